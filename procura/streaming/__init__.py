@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The workload is a batch full refresh on a schedule (four rebuilds a weekday);
+there is no stream, watermark or session state in it.  Refreshes are modelled
+as batch jobs that publish a new snapshot (see ``procura.sources.sinks``).
+"""
