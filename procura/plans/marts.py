@@ -74,22 +74,26 @@ class Marts:
     def fund_frame(self, how: str = "left") -> DataFrame:
         """Funds with their balances per fund type.  ``how="inner"`` gives the
         older variant that drops funds without balance or external name."""
-        fm, au, fmu = self.src.fund_master, self.src.accounting_unit, self.src.fund_myuser
-        efp, efpn = self.src.external_fund_property, self.src.external_fund_property_name
-        d = (fm.join(au, au.id == fm.accounting_unit_id)
-             .join(fmu, fmu.fund_master_id == fm.id, how)
-             .join(efp, efp.code_num == fmu.external_fund_code_num, how)
-             .join(efpn, efpn.external_fund_property_id == efp.id, how))
+        fm = self.src.fund_master.select(F.col("id").alias("fund_master_id"), F.col("accounting_unit_id").alias("_au"),
+                                         F.col("code_num").alias("fund_code_num"),
+                                         F.col("code").alias("fund_master_code"))
+        au = self.src.accounting_unit.select(F.col("id").alias("_au_id"),
+                                             F.col("code_num").alias("accounting_unit_code_num"))
+        fmu = self.src.fund_myuser.withColumnRenamed("fund_master_id", "_fmid")
+        efp = self.src.external_fund_property.select(F.col("id").alias("_efp_id"), F.col("code_num").alias("_efp_cn"))
+        efpn = self.src.external_fund_property_name.select(F.col("external_fund_property_id").alias("_efpn_id"),
+                                                           F.col("name").alias("external_fund_name"))
+        d = (fm.join(au, F.col("_au_id") == F.col("_au"))
+             .join(fmu, F.col("_fmid") == F.col("fund_master_id"), how)
+             .join(efp, F.col("_efp_cn") == F.col("external_fund_code_num"), how)
+             .join(efpn, F.col("_efpn_id") == F.col("_efp_id"), how))
         return d.select(
-            fm.id.alias("fund_master_id"), au.code_num.alias("accounting_unit_code_num"),
-            fm.code_num.alias("fund_code_num"), fm.code.alias("fund_master_code"),
-            fmu.fund_type, fmu.fund_code, fmu.external_fund_code_num,
-            efpn.name.alias("external_fund_name"),
-            fmu.appropriation.cast("bigint").alias("appropriation"),
-            fmu.expenditure.cast("bigint").alias("expenditure"),
-            fmu.encumbrance.cast("bigint").alias("encumbrance"),
-            fmu.num_orders, fmu.num_payments, fmu.warning_percent, fmu.discount_percent,
-            fmu.name, fmu.note1, fmu.note2)
+            "fund_master_id", "accounting_unit_code_num", "fund_code_num", "fund_master_code",
+            "fund_type", "fund_code", "external_fund_code_num", "external_fund_name",
+            F.col("appropriation").cast("bigint").alias("appropriation"),
+            F.col("expenditure").cast("bigint").alias("expenditure"),
+            F.col("encumbrance").cast("bigint").alias("encumbrance"),
+            "num_orders", "num_payments", "warning_percent", "discount_percent", "name", "note1", "note2")
 
     @cached_property
     def fund(self) -> DataFrame:

@@ -2,6 +2,8 @@
 
 Each callable derives the source relations from the test tables under
 ``sf_dir`` and runs one mart, report or report query over the whole tables.
+Nested array columns are rendered as JSON text (null fields kept) so results
+compare across engines.
 """
 
 from __future__ import annotations
@@ -9,24 +11,93 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from procura.plans import queries as Q
 from procura.plans.marts import Marts
+from procura.plans.reports import Reports
 from procura.session import apply_sql_conf
 from procura.sources.testdata import TestSources
 
+# Fixed parameter values of the registered report queries.
+PARAMS = {
+    "order_record_num": 1_000_100,
+    "fund_code": "brd13",
+    "more_than_funds": 2,
+    "order_status_code": "o",
+    "posted_from": "1997-01-01",
+    "posted_to": "1997-12-31",
+    "barcode_pattern": "%77%",
+}
+
 
 def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
     apply_sql_conf(spark)
     return Marts(TestSources(spark, sf_dir))
 
 
-def _q(fn: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def reports_for(spark: SparkSession, sf_dir: str) -> Reports:
+    return Reports(marts_for(spark, sf_dir))
+
+
+def _m(fn: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(marts_for(spark, sf_dir))
-    run.__doc__ = fn.__doc__
     return run
 
 
+def _r(fn: Callable[[Reports], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(reports_for(spark, sf_dir))
+    return run
+
+
+J = Q._json_arrays
+
+ALT_ORDER = ["pe_id", "ref", "line_cnt", "invoice_record_id", "gl_key", "gl_obj", "dist_amt", "fund_code",
+             "vendor_code"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "invoice_line_allocation": _q(lambda m: m.invoice_line_data),
+    # marts
+    "varfield_types": _m(lambda m: m.varfield_metadata),
+    "varfield_rows": _m(lambda m: m.varfield),
+    "fund_balances": _m(lambda m: m.fund),
+    "invoice_nested": _m(lambda m: J(m.invoice)),
+    "invoice_line_allocation": _m(lambda m: m.invoice_line_data),
+    "invoice_order_link": _m(lambda m: m.invoice_record_order_record_link),
+    "invoice_vendor_link": _m(lambda m: m.invoice_record_vendor_record_link),
+    "order_summary": _m(lambda m: J(m.orders)),
+    "vendor_nested": _m(lambda m: J(m.vendors)),
+    "vendor_summary_rows": _m(lambda m: m.invoice_record_vendor_summary),
+    "receipts": _m(lambda m: m.order_record_received),
+    # report views
+    "on_order": _r(lambda r: r.on_order_view),
+    "vendor_activity": _r(lambda r: r.vendors_summary_view),
+    "vendor_last_invoice": _r(lambda r: r.vendors_summary_last_invoice_view),
+    "fiscal_vendor_match": _r(lambda r: r.fiscal_office_vendors_view),
+    "invoice_unnested": _r(lambda r: r.munis_invoice_output),
+    "payee_id": _r(lambda r: r.peid_view),
+    "invoice_reference": _r(lambda r: r.ref_view),
+    "ledger_export": _r(lambda r: r.munis_output),
+    "ledger_export_distinct": _r(lambda r: r.munis_output_view),
+    "ledger_lines_alt": _r(lambda r: r.one_solution_output_view),
+    "vendor_alt_code": _r(lambda r: r.invoice_vendor_alt_code_view),
+    "fully_paid_cost": _r(lambda r: J(r.fully_paid_order_bib_avg_item_cost_view)),
+    "fund_use_long": _r(lambda r: r.fund_use),
+    # report queries
+    "invoices_for_order": _m(lambda m: Q.invoices_for_order(m, PARAMS["order_record_num"])),
+    "on_order_by_fund": _m(lambda m: Q.on_order_by_fund(m, PARAMS["fund_code"])),
+    "multi_fund_orders": _m(lambda m: Q.multi_fund_orders(m, PARAMS["more_than_funds"],
+                                                          PARAMS["order_status_code"])),
+    "order_status_counts": _m(Q.order_status_counts),
+    "on_order_list": _m(Q.on_order_list),
+    "order_price_list": _m(Q.order_price_list),
+    "report_range": _r(lambda r: Q.browse(r.one_solution_output_view,
+                                          gte={"posted_date": PARAMS["posted_from"]},
+                                          lte={"posted_date": PARAMS["posted_to"]},
+                                          hide=["extra_data", "alt_addr_cd"])),
+    "barcode_search": _m(lambda m: Q.barcode_search(m, PARAMS["barcode_pattern"])),
+    "report_top": _r(lambda r: Q.top_rows(r.one_solution_output_view,
+                                          [F.col(c).asc_nulls_last() for c in ALT_ORDER])),
+    "facet_counts": _r(lambda r: Q.facet_counts(r.one_solution_output_view, "pe_id")),
 }
