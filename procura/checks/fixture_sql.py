@@ -170,13 +170,13 @@ CTES["accounting_unit"] = "select distinct cast(1 as bigint) as id, 1 as code_nu
 CTES["fund_myuser"] = """
   select cast(code_num as bigint) as fund_master_id, 'fbal' as fund_type, fund_code,
     code_num as external_fund_code_num, appropriation, expenditure, encumbrance,
-    n_parts as num_orders, cast(n_parts / 2 as integer) as num_payments, 90 as warning_percent,
+    n_parts as num_orders, cast(n_parts // 2 as integer) as num_payments, 90 as warning_percent,
     cast(0 as decimal(18,6)) as discount_percent, concat('Fund ', code_num) as name,
     cast(null as varchar) as note1, cast(null as varchar) as note2
   from src_fund_base
   union all
   select cast(code_num as bigint), 'oldfbal', fund_code, code_num, appropriation // 3, expenditure // 3,
-    encumbrance // 3, n_parts, cast(n_parts / 2 as integer), 90, cast(0 as decimal(18,6)),
+    encumbrance // 3, n_parts, cast(n_parts // 2 as integer), 90, cast(0 as decimal(18,6)),
     concat('Fund ', code_num), null, null
   from src_fund_base"""
 CTES["external_fund_property"] = "select cast(code_num as bigint) as id, code_num from src_fund_base"

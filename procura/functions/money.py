@@ -34,7 +34,7 @@ def pct_of(num, den, scale: int = 2) -> Column:
     a = (F.abs(n) * F.lit(2 * 10 ** (scale + 2)) + F.abs(d)).cast("decimal(38,0)")
     b = (F.abs(d) * F.lit(2)).cast("decimal(38,0)")
     q = int_div(a, b)
-    r = F.when(d == 0, F.lit(None)).otherwise(F.signum(n) * F.signum(d) * q)
+    r = F.when(d == 0, F.lit(None)).when((n < 0) != (d < 0), -q).otherwise(q)
     out = (r.cast("decimal(38,0)") / F.lit(10 ** scale)).cast(f"decimal(18,{scale})")
     return F.coalesce(out, F.lit(0).cast(f"decimal(18,{scale})"))
 

@@ -311,7 +311,7 @@ class TestSources:
             F.col("code_num").cast("bigint").alias("fund_master_id"), F.lit("fbal").alias("fund_type"),
             "fund_code", F.col("code_num").alias("external_fund_code_num"),
             "appropriation", "expenditure", "encumbrance",
-            F.col("n_parts").alias("num_orders"), (F.col("n_parts") / 2).cast("int").alias("num_payments"),
+            F.col("n_parts").alias("num_orders"), F.expr("n_parts div 2").cast("int").alias("num_payments"),
             F.lit(90).alias("warning_percent"), F.lit(0).cast("decimal(18,6)").alias("discount_percent"),
             F.concat(F.lit("Fund "), F.col("code_num")).alias("name"),
             F.lit(None).cast("string").alias("note1"), F.lit(None).cast("string").alias("note2"))
