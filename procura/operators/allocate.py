@@ -54,6 +54,16 @@ def share_cents(amount, subtotal, total) -> Column:
     return (F.round(ratio * diff, 2) * F.lit(100)).cast("bigint")
 
 
+def with_chunk(df: DataFrame, group: list[str] | str, order: str,
+               chunk_size: int = DEFAULT_CHUNK_SIZE, repartition: bool = False) -> DataFrame:
+    """Add the chunk number of every row; with ``repartition`` also
+    hash-partition by ``(group, chunk)`` so that later steps keyed on a
+    superset of these columns need no shuffle of their own."""
+    group = [group] if isinstance(group, str) else list(group)
+    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_size)).cast("bigint"))
+    return d.repartition(*group, "_chunk") if repartition else d
+
+
 def running_sum(df: DataFrame, group: list[str] | str, order: str, value: str, out: str,
                 group_totals: dict[str, str] | None = None,
                 chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
@@ -62,13 +72,16 @@ def running_sum(df: DataFrame, group: list[str] | str, order: str, value: str, o
 
     ``order`` must be an integral column.  ``group_totals`` maps new column
     names to columns whose whole-group sum is wanted as well (taken from the
-    chunk table, so it costs no extra pass over the rows).
+    chunk table, so it costs no extra pass over the rows).  If ``df`` already
+    went through :func:`with_chunk` it is not shuffled again.
     """
     group = [group] if isinstance(group, str) else list(group)
     group_totals = group_totals or {}
     keys = group + ["_chunk"]
-    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_size)).cast("bigint"))
+    d = df if "_chunk" in df.columns else with_chunk(df, group, order, chunk_size, repartition=True)
 
+    # the rows and their chunk table both read the same (group, chunk)
+    # clustering: the per-chunk aggregate and the join back reuse it
     aggs = [F.sum(value).alias("_cs"), F.count(value).alias("_cc")]
     aggs += [F.sum(src).alias(f"_t_{name}") for name, src in group_totals.items()]
     per_chunk = d.groupBy(*keys).agg(*aggs)

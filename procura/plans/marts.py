@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from procura.functions import digits_key, to_cents
-from procura.operators.allocate import DEFAULT_CHUNK_SIZE, allocate
+from procura.operators.allocate import DEFAULT_CHUNK_SIZE, allocate, with_chunk
 from procura.operators.nesting import first_by, nest
+from procura.session import materialize
 
 INVOICE, ORDER, VENDOR, ITEM, BIB = "n", "o", "v", "i", "b"
 
@@ -34,9 +35,15 @@ def _date(col: str) -> F.Column:
 class Marts:
     """All marts over one set of sources.  Attributes are lazy DataFrames."""
 
-    def __init__(self, sources, chunk_size: int = DEFAULT_CHUNK_SIZE):
+    def __init__(self, sources, chunk_size: int = DEFAULT_CHUNK_SIZE, materialize: str = "table"):
+        """``materialize`` says how intermediate results that several parts of
+        one plan read are computed once (see :func:`procura.session.materialize`)."""
         self.src = sources
         self.chunk_size = chunk_size
+        self.materialize_mode = materialize
+
+    def _once(self, df: DataFrame) -> DataFrame:
+        return materialize(df, self.materialize_mode)
 
     # ---------------------------------------------------------------- helpers
     def record_nums(self, kind: str, id_name: str, num_name: str) -> DataFrame:
@@ -156,7 +163,8 @@ class Marts:
                          "invoice_record_vendor_summary_id", "is_use_tax"))
         j = ir.join(lines, ir.invoice_record_id == lines._iid, "left")
         from procura.operators.allocate import share_cents
-        return j.select(
+        # read by the nested mart and by most report views: compute once
+        return self._once(j.select(
             "invoice_record_id", "_line_id",
             *[F.col(c) for c in ("line_cnt", "order_record_id", "order_record_num", "title")],
             to_cents("paid_amt").alias("paid_amt_cents"),
@@ -167,7 +175,7 @@ class Marts:
             to_cents("line_level_tax").alias("line_level_tax_cents"), "vendor_code",
             "accounting_transaction_voucher_num", "accounting_transaction_voucher_seq_num",
             "invoice_record_vendor_summary_id", "is_use_tax",
-            share_cents("paid_amt", "subtotal_amt", "grand_total_amt").alias("approx_adjust_amt"))
+            share_cents("paid_amt", "subtotal_amt", "grand_total_amt").alias("approx_adjust_amt")))
 
     @cached_property
     def invoice(self) -> DataFrame:
@@ -197,12 +205,16 @@ class Marts:
         base = (ir.join(rm, rm._rid == ir.invoice_record_id)
                 .join(il, il._lid == ir._iid))
         # identical (paid amount, position) lines of an invoice are merged; the
-        # line count still counts every line
-        merged = (base.groupBy("invoice_record_id", "invoice_record_num", "paid_amt", "subtotal_amt",
+        # line count still counts every line.  Positions are grouped in chunks
+        # so that no step of the allocation works on a whole invoice at once.
+        base = with_chunk(base.withColumn("line_cnt", (F.col("line_cnt") + 1).cast("int")),
+                          "invoice_record_id", "line_cnt", self.chunk_size)
+        merged = (base.groupBy("invoice_record_id", "_chunk", "invoice_record_num", "paid_amt", "subtotal_amt",
                                "grand_total_amt", "line_cnt")
                   .agg(F.count(F.lit(1)).alias("_n"))
-                  .withColumn("line_cnt", (F.col("line_cnt") + 1).cast("int"))
                   .withColumn("paid_amt_cents", to_cents("paid_amt")))
+        # the rows feed both the per-chunk totals and the join back: compute once
+        merged = self._once(merged)
         out = allocate(merged, "invoice_record_id", "line_cnt", "paid_amt_cents",
                        "subtotal_amt", "grand_total_amt", line_count="total_lines", count_col="_n",
                        chunk_size=self.chunk_size)

@@ -8,6 +8,7 @@ compare across engines.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +32,12 @@ PARAMS = {
 }
 
 
+MATERIALIZE = os.environ.get("PROCURA_MATERIALIZE", "persist")
+
+
 def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
     apply_sql_conf(spark)
-    return Marts(TestSources(spark, sf_dir))
+    return Marts(TestSources(spark, sf_dir), materialize=MATERIALIZE)
 
 
 def reports_for(spark: SparkSession, sf_dir: str) -> Reports:

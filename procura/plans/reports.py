@@ -210,11 +210,13 @@ class Reports:
         peid = (self.peid_view.groupBy("invoice_record_id")
                 .agg(first_by("peid", ["peid"]).alias("peid")))
         h = self.m.invoice_header
-        return (h.join(self._line_counts, "invoice_record_id").join(peid, "invoice_record_id", "left")
-                .select("invoice_record_id", "invoice_record_num", "invoice_number_text",
-                        "count_invoice_record_line", "invoice_date", "paid_date", "invoice_record_status_code",
-                        "posted_date", "grand_total_amt_cents", "subtotal_amt_cents", "peid",
-                        strip_zeros_if_numeric("invoice_number_text").alias("ref")))
+        # detail and heading rows of the ledger both read it: compute once
+        return self.m._once(
+            h.join(self._line_counts, "invoice_record_id").join(peid, "invoice_record_id", "left")
+            .select("invoice_record_id", "invoice_record_num", "invoice_number_text",
+                    "count_invoice_record_line", "invoice_date", "paid_date", "invoice_record_status_code",
+                    "posted_date", "grand_total_amt_cents", "subtotal_amt_cents", "peid",
+                    strip_zeros_if_numeric("invoice_number_text").alias("ref")))
 
     @cached_property
     def current_funds(self) -> DataFrame:

@@ -27,6 +27,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "procura", extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.host", "127.0.0.1")
          .config("spark.driver.bindAddress", "127.0.0.1")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -64,3 +65,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(prefix: str = "procura-") -> str:
     return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+def materialize(df, mode: str = "table"):
+    """Compute ``df`` once for several consumers in the same job.
+
+    * ``table`` (default): write it as parquet under the shared checkpoint
+      folder (``spark.checkpoint.dir``) and read it back.  Lineage is cut, a
+      lost executor costs no recomputation of the upstream, and later readers
+      get column pruning and predicate pushdown on the columnar files.
+    * ``checkpoint``: Spark's reliable RDD checkpoint into the same folder.
+    * ``persist``: executor memory / local disk, recomputed from lineage if an
+      executor is lost.
+    * ``none``: unchanged (one lazy plan, upstream recomputed per consumer).
+    """
+    if mode == "none":
+        return df
+    if mode == "persist":
+        from pyspark import StorageLevel
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    if mode == "checkpoint":
+        return df.checkpoint(eager=True)
+    if mode == "table":
+        import uuid
+        path = f"{base.rstrip('/')}/procura-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    raise ValueError(f"unknown materialize mode {mode!r}")

@@ -112,7 +112,7 @@ class TestSources:
     # --------------------------------------------------------------- invoices
     @cached_property
     def invoice_record(self) -> DataFrame:
-        g = (self._lines.groupBy("ik")
+        g = (self._line_base.groupBy("ik")
              .agg(F.sum("paid_cents").cast("bigint").alias("sub_c"),
                   F.sum("charged_cents").cast("bigint").alias("grand_c"),
                   F.sum(F.expr("(paid_cents * disc100) div 100")).cast("bigint").alias("disc_c"),
@@ -418,7 +418,8 @@ class TestSources:
                 F.lit(CREATED_GMT).cast("timestamp_ntz").alias("creation_date_gmt"),
                 F.lit(UPDATED_GMT).cast("timestamp_ntz").alias("record_last_updated_gmt"),
                 (F.col(key) % 7).cast("int").alias("num_revisions"))
-        inv = self.invoice_record.select((F.col("record_id") - INVOICE_OFFSET).alias("k"))
+        inv = (self._line_base.select(F.col("ik").alias("k")).distinct()
+               .unionByName(self.table("supplier").select((F.col("s_suppkey") * 1000 + 999).alias("k"))))
         return (kind(inv, "k", INVOICE_OFFSET, "n")
                 .unionByName(kind(self.table("orders"), "o_orderkey", ORDER_OFFSET, "o"))
                 .unionByName(kind(self.table("supplier"), "s_suppkey", VENDOR_OFFSET, "v"))
