@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-CURRENT_POINTER = "_CURRENT"
+CURRENT_POINTER = "CURRENT"
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -87,7 +87,7 @@ def _rename_over(spark: SparkSession, src, dst) -> None:
 def publish_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                      label: str | None = None, layout: dict[str, dict] | None = None) -> str:
     """Build every table under a fresh ``root/snapshot=<label>/`` folder,
-    then switch the ``_CURRENT`` pointer to it with an atomic rename.  Readers
+    then switch the ``CURRENT`` pointer to it with an atomic rename.  Readers
     of the current snapshot never see a half-written table."""
     label = label or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     base = f"{root.rstrip('/')}/snapshot={label}"
@@ -103,8 +103,15 @@ def publish_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: st
 
 
 def current_snapshot(spark: SparkSession, root: str) -> str:
-    """Folder of the currently published snapshot."""
-    return spark.read.text(f"{root.rstrip('/')}/{CURRENT_POINTER}").first()[0]
+    """Folder of the currently published snapshot (read from the pointer file
+    on the driver: a few bytes, no job)."""
+    fs, p = _fs(spark, f"{root.rstrip('/')}/{CURRENT_POINTER}")
+    stream = fs.open(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:

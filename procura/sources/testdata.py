@@ -45,6 +45,8 @@ class TestSources:
     Attribute access returns a lazy DataFrame; nothing is computed here.
     """
 
+    __test__ = False  # not a pytest test class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
