@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from procura.functions import digits_key, to_cents
 from procura.operators.allocate import DEFAULT_CHUNK_SIZE, allocate, with_chunk
 from procura.operators.nesting import first_by, nest
+from procura.operators.sizing import broadcast_if_small as small
 from procura.session import materialize
 
 INVOICE, ORDER, VENDOR, ITEM, BIB = "n", "o", "v", "i", "b"
@@ -90,10 +91,10 @@ class Marts:
         efp = self.src.external_fund_property.select(F.col("id").alias("_efp_id"), F.col("code_num").alias("_efp_cn"))
         efpn = self.src.external_fund_property_name.select(F.col("external_fund_property_id").alias("_efpn_id"),
                                                            F.col("name").alias("external_fund_name"))
-        d = (fm.join(au, F.col("_au_id") == F.col("_au"))
+        d = (fm.join(small(au), F.col("_au_id") == F.col("_au"))
              .join(fmu, F.col("_fmid") == F.col("fund_master_id"), how)
-             .join(efp, F.col("_efp_cn") == F.col("external_fund_code_num"), how)
-             .join(efpn, F.col("_efpn_id") == F.col("_efp_id"), how))
+             .join(small(efp), F.col("_efp_cn") == F.col("external_fund_code_num"), how)
+             .join(small(efpn), F.col("_efpn_id") == F.col("_efp_id"), how))
         return d.select(
             "fund_master_id", "accounting_unit_code_num", "fund_code_num", "fund_master_code",
             "fund_type", "fund_code", "external_fund_code_num", "external_fund_name",
@@ -246,7 +247,7 @@ class Marts:
                                            F.col("code").alias("_vcode"))
         vrm = self.record_nums(VENDOR, "_vid", "vendor_record_num")
         return (s.join(irm, irm._iid == s.invoice_record_id, "left")
-                .join(vr, vr._vcode == s.vendor_code, "left")
+                .join(small(vr), F.col("_vcode") == s.vendor_code, "left")
                 .join(vrm, vrm._vid == vr.vendor_record_id, "left")
                 .select("invoice_record_id", "invoice_record_num", "vendor_record_id", "vendor_record_num",
                         "vendor_code", "voucher_num", "voucher_total", "display_order"))
@@ -261,9 +262,10 @@ class Marts:
                                          F.col("code").alias("_fm_code"), "accounting_unit_id")
         au = self.src.accounting_unit.select(F.col("id").alias("_au_id"),
                                              F.col("code_num").alias("acct_unit_code_num"))
+        # funds: few rows but hot keys on the children side -> checked broadcast
+        funds = small(fm.join(au, au._au_id == fm.accounting_unit_id, "left"))
         kids = (cmf.withColumn("_fkey", digits_key("fund_code"))
-                .join(fm, F.col("_fkey") == fm.fund_code_num, "left")
-                .join(au, au._au_id == fm.accounting_unit_id, "left")
+                .join(funds, F.col("_fkey") == F.col("fund_code_num"), "left")
                 .select("order_record_id", "display_order", F.col("id").alias("cmf_id"), "fund_code_num",
                         F.col("_fm_code").alias("fund_code"), "acct_unit_code_num", "copies",
                         "location_code", F.col("fund_code").alias("_raw_fund_code")))
@@ -303,10 +305,10 @@ class Marts:
              .join(rm, rm._oid == orr.record_id, "left")
              .join(link, link._lo == orr.record_id, "left")
              .join(bibm, bibm._bid == link.bib_record_id, "left")
-             .join(forms, forms._fcode == orr.form_code, "left")
-             .join(otpm, otpm._otc == orr.order_type_code, "left")
-             .join(statuses, statuses._scode == orr.order_status_code, "left")
-             .join(vr, vr._vcode == orr.vendor_record_code, "left"))
+             .join(small(forms), F.col("_fcode") == orr.form_code, "left")
+             .join(small(otpm), F.col("_otc") == orr.order_type_code, "left")
+             .join(small(statuses), F.col("_scode") == orr.order_status_code, "left")
+             .join(small(vr), F.col("_vcode") == orr.vendor_record_code, "left"))
         return d.select(
             "order_record_num", agg.order_record_id, "count_cmf", "count_distinct_cmf_fund_codes",
             "sum_cmf_copies", "cmf_data", "orders_display_order", "bib_record_id", "bib_record_num",
@@ -328,7 +330,7 @@ class Marts:
         vr = self.src.vendor_record.select(F.col("record_id").alias("vendor_record_id"),
                                            F.col("code").alias("vendor_record_code"),
                                            "accounting_unit_code_num")
-        addrs = (vra.join(vrat, vrat._tid == vra.vendor_record_address_type_id)
+        addrs = (vra.join(small(vrat), F.col("_tid") == vra.vendor_record_address_type_id)
                  .select("vendor_record_id", "address_type_code", "display_order", "addr1", "addr2",
                          "addr3", "village", "city", "region", "postal_code", "country",
                          F.col("id").alias("vendor_record_address_id")))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from procura.functions import (cents_to_money, gl_object_description, int_prefix, pct_of,
                                strip_zeros_if_numeric)
 from procura.operators.nesting import first_by
+from procura.operators.sizing import broadcast_if_small as small
 from procura.operators.reshape import concat_distinct, melt, with_headings
 from procura.plans.marts import Marts
 
@@ -174,8 +175,8 @@ class Reports:
                .agg(first_by("field_content", ["occ_num", "varfield_id"]).alias("alt_code")))
         fiscal = (self.src.fiscal_vendors.groupBy(F.col("SierraVendorCode").alias("code"))
                   .agg(first_by("FiscalVendorCode", ["FiscalVendorId", "FiscalVendorCode"]).alias("fiscal_code")))
-        return (alt.join(fiscal, "code", "full")
-                .select("code", F.coalesce("alt_code", "fiscal_code").alias("peid")))
+        return small(alt.join(fiscal, "code", "full")
+                     .select("code", F.coalesce("alt_code", "fiscal_code").alias("peid")))
 
     def _with_payee(self, df: DataFrame, code_col: str, out: str) -> DataFrame:
         p = self.payee_by_vendor_code.select(F.col("code").alias("_pcode"), F.col("peid").alias(out))
@@ -224,7 +225,7 @@ class Reports:
         f = self.m.fund.filter(F.col("fund_type") == "fbal").select(
             "fund_code_num", F.col("fund_code").alias("fund_table_code"))
         fo = self.src.fiscal_funds.select(F.lower("SierraFundCode").alias("_glcode"), "GLKey", "GLObj")
-        return f.join(fo, F.lower(f.fund_table_code) == fo._glcode, "left").drop("_glcode")
+        return small(f.join(fo, F.lower(f.fund_table_code) == fo._glcode, "left").drop("_glcode"))
 
     def _allocated_lines(self) -> DataFrame:
         """Lines with their allocation row (if the invoice is posted)."""
@@ -282,12 +283,12 @@ class Reports:
         f = self.m.fund.filter(F.col("fund_type") == "fbal").filter(F.col("fund_code") != "65535").select(
             "fund_code_num", F.col("fund_code").alias("fund_table_code"))
         fo = self.src.fiscal_funds.select(F.lower("SierraFundCode").alias("_glcode"), "GLKey", "GLObj")
-        d = (d.join(f, d._fund_key == f.fund_code_num, "inner")
-             .join(fo, F.lower(F.col("fund_table_code")) == fo._glcode, "left"))
+        funds = small(f.join(fo, F.lower(F.col("fund_table_code")) == fo._glcode, "left"))
+        d = d.join(funds, d._fund_key == F.col("fund_code_num"), "inner")
         # raw (untrimmed) vendor code join of the reference: repeats a line once
         # per vendor carrying that code, keeps lines without one
-        v = self.m.vendors.select(F.col("vendor_record_code").alias("_vc"))
-        d = d.join(v, d.vendor_code == v._vc, "left")
+        v = small(self.m.vendors.select(F.col("vendor_record_code").alias("_vc")))
+        d = d.join(v, d.vendor_code == F.col("_vc"), "left")
         d = self._with_payee(d, "vendor_code", "pe_id")
         h = self.m.invoice_header.select("invoice_record_id", "invoice_record_num", "invoice_number_text",
                                          "invoice_date", "posted_date", "grand_total_amt_cents",
@@ -314,8 +315,9 @@ class Reports:
         v = self.m.vendors.select("vendor_record_id", "vendor_record_code", "vendor_name", "vendor_record_num")
         alt = (self.m.varfield.filter(F.col("varfield_type_code") == "d")
                .select(F.col("record_id").alias("_alt_vid"), F.col("field_content").alias("alternate_code")))
-        j = (per_inv.join(v, per_inv.vendor_code == v.vendor_record_code, "left")
-             .join(alt, F.col("vendor_record_id") == alt._alt_vid, "left"))
+        # vendor attributes with their alternate codes: vendor-sized, checked broadcast
+        va = small(v.join(alt, F.col("vendor_record_id") == F.col("_alt_vid"), "left"))
+        j = per_inv.join(va, per_inv.vendor_code == F.col("vendor_record_code"), "left")
         return (j.groupBy("vendor_code", "vendor_name", "vendor_record_num", "alternate_code")
                 .agg(F.count(F.lit(1)).cast("bigint").alias("count_invoices"),
                      F.max("posted_date").alias("last_posted_date")))

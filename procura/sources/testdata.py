@@ -18,7 +18,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from procura.operators.sizing import row_number_chunked
 
 # Fixed values of the test mapping (FIXTURES.md section 3).
 INVOICE_OFFSET = 10_000_000_000
@@ -72,10 +73,13 @@ class TestSources:
     @cached_property
     def _lines(self) -> DataFrame:
         """One row per line item with its position inside the monthly invoice."""
-        w = Window.partitionBy("ik").orderBy(
-            "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
-            "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-        return self._line_base.withColumn("line_cnt", (F.row_number().over(w) - 1).cast("int"))
+        # numbered per (invoice, ship day, order-key range) with offsets, so a
+        # supplier with a huge share of the lines is not numbered in one task
+        order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
+                 "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+        chunk = [F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 65536)]
+        return (row_number_chunked(self._line_base, ["ik"], order, chunk, "line_cnt", zero_based=True)
+                .withColumn("line_cnt", F.col("line_cnt").cast("int")))
 
     @cached_property
     def invoice_record_line(self) -> DataFrame:
@@ -248,10 +252,10 @@ class TestSources:
     @cached_property
     def _line_rows(self) -> DataFrame:
         """lineitem ⋈ part with a per-order sequence number (cmf and receipt ids)."""
-        w = Window.partitionBy("l_orderkey").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity",
-            "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-        return self._line_base.withColumn("seq", F.row_number().over(w))
+        order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+        chunk = [F.col("l_linenumber"), F.floor(F.col("l_partkey") / 65536)]
+        return row_number_chunked(self._line_base, ["l_orderkey"], order, chunk, "seq")
 
     @cached_property
     def order_record_cmf(self) -> DataFrame:
