@@ -47,12 +47,14 @@ def reports_for(spark: SparkSession, sf_dir: str) -> Reports:
 def _m(fn: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(marts_for(spark, sf_dir))
+    run.on_marts = fn  # the same query over any sources (stored tables, JDBC)
     return run
 
 
 def _r(fn: Callable[[Reports], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(reports_for(spark, sf_dir))
+    run.on_marts = lambda m: fn(Reports(m))
     return run
 
 
