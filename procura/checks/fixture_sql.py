@@ -70,7 +70,7 @@ CTES["invoice_record"] = f"""
     case when ik % 7 = 0 then null else cast(last_d as timestamp) end as paid_date_gmt,
     case when ik % 5 = 0 then null else cast(last_d as timestamp) end as posted_data_gmt,
     ik % 2 = 0 as is_paid_date_received_date,
-    concat('user', ik % 10) as iii_user_name, 'USD' as foreign_currency_code,
+    concat('user', ik % 10) as staff_user_name, 'USD' as foreign_currency_code,
     cast(null as varchar) as foreign_currency_format, cast(1 as decimal(18,6)) as foreign_currency_exchange_rate,
     cast(null as varchar) as tax_fund_code, cast(null as varchar) as tax_type_code,
     cast(cast(disc_c as decimal(14,0)) / 100 as decimal(14,2)) as discount_amt,
@@ -184,8 +184,8 @@ CTES["external_fund_property_name"] = """
   select cast(code_num as bigint) as external_fund_property_id, concat('Ext ', brand) as name
   from src_fund_base where code_num % 5 <> 0"""
 CTES["fiscal_funds"] = """
-  select code_num as FiscalFundId, concat('Fund ', code_num) as FundName, upper(fund_code) as SierraFundCode,
-    code_num as SierraFundCodeNumeric, concat('BRD ', code_num) as SierraFundCodeSpaces,
+  select code_num as FiscalFundId, concat('Fund ', code_num) as FundName, upper(fund_code) as IlsFundCode,
+    code_num as IlsFundCodeNumeric, concat('BRD ', code_num) as IlsFundCodeSpaces,
     cast(8100000000 + code_num * 100 as bigint) as GLKey,
     case code_num % 6 when 0 then 5410 when 1 then 5420 when 2 then 5430 when 3 then 5450
          when 4 then 5210 else 9999 end as GLObj
@@ -215,7 +215,7 @@ CTES["vendor_record_address"] = f"""
 CTES["vendor_record_address_type"] = "select * from (values (cast(1 as bigint), 'a'), (2, 'b')) t(id, code)"
 CTES["fiscal_vendors"] = """
   select cast(s_suppkey as integer) as FiscalVendorId, concat('FV', s_suppkey) as FiscalVendorCode,
-    s_name as VendorName, concat('v', s_suppkey) as SierraVendorCode
+    s_name as VendorName, concat('v', s_suppkey) as IlsVendorCode
   from supplier where s_suppkey % 3 <> 0 and s_suppkey % 5 <> 0"""
 
 CTES["varfield"] = f"""

@@ -124,7 +124,7 @@ class Marts:
                         _date("paid_date_gmt").alias("paid_date"),
                         F.col("status_code").alias("invoice_record_status_code"),
                         _date("posted_data_gmt").alias("posted_date"),
-                        "is_paid_date_received_date", "iii_user_name", "foreign_currency_code",
+                        "is_paid_date_received_date", "staff_user_name", "foreign_currency_code",
                         "foreign_currency_format", "foreign_currency_exchange_rate",
                         "tax_fund_code", "tax_type_code",
                         to_cents("discount_amt").alias("discount_amt_cents"),

@@ -134,9 +134,9 @@ def register_views(spark: SparkSession, m: Marts, r: Reports) -> list[str]:
         "on_order_view": r.on_order_view, "vendors_summary_view": r.vendors_summary_view,
         "vendors_summary_last_invoice_view": r.vendors_summary_last_invoice_view,
         "fiscal_office_vendors_view": r.fiscal_office_vendors_view,
-        "munis_invoice_output": r.munis_invoice_output, "peid_view": r.peid_view, "ref_view": r.ref_view,
-        "munis_output": r.munis_output, "munis_output_view": r.munis_output_view,
-        "one_solution_output_view": r.one_solution_output_view,
+        "invoice_export_rows": r.invoice_export_rows, "peid_view": r.peid_view, "ref_view": r.ref_view,
+        "ledger_export_table": r.ledger_export_table, "ledger_export_view": r.ledger_export_view,
+        "ledger_lines_alt_view": r.ledger_lines_alt_view,
         "invoice_vendor_alt_code_view": r.invoice_vendor_alt_code_view,
         "fully_paid_order_bib_avg_item_cost_view": r.fully_paid_order_bib_avg_item_cost_view,
         "fund_use": r.fund_use,

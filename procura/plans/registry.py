@@ -81,12 +81,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vendor_activity": _r(lambda r: r.vendors_summary_view),
     "vendor_last_invoice": _r(lambda r: r.vendors_summary_last_invoice_view),
     "fiscal_vendor_match": _r(lambda r: r.fiscal_office_vendors_view),
-    "invoice_unnested": _r(lambda r: r.munis_invoice_output),
+    "invoice_unnested": _r(lambda r: r.invoice_export_rows),
     "payee_id": _r(lambda r: r.peid_view),
     "invoice_reference": _r(lambda r: r.ref_view),
-    "ledger_export": _r(lambda r: r.munis_output),
-    "ledger_export_distinct": _r(lambda r: r.munis_output_view),
-    "ledger_lines_alt": _r(lambda r: r.one_solution_output_view),
+    "ledger_export": _r(lambda r: r.ledger_export_table),
+    "ledger_export_distinct": _r(lambda r: r.ledger_export_view),
+    "ledger_lines_alt": _r(lambda r: r.ledger_lines_alt_view),
     "vendor_alt_code": _r(lambda r: r.invoice_vendor_alt_code_view),
     "fully_paid_cost": _r(lambda r: J(r.fully_paid_order_bib_avg_item_cost_view)),
     "fund_use_long": _r(lambda r: r.fund_use),
@@ -98,12 +98,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_status_counts": _m(Q.order_status_counts),
     "on_order_list": _m(Q.on_order_list),
     "order_price_list": _m(Q.order_price_list),
-    "report_range": _r(lambda r: Q.browse(r.one_solution_output_view,
+    "report_range": _r(lambda r: Q.browse(r.ledger_lines_alt_view,
                                           gte={"posted_date": PARAMS["posted_from"]},
                                           lte={"posted_date": PARAMS["posted_to"]},
                                           hide=["extra_data", "alt_addr_cd"])),
     "barcode_search": _m(lambda m: Q.barcode_search(m, PARAMS["barcode_pattern"])),
-    "report_top": _r(lambda r: Q.top_rows(r.one_solution_output_view,
+    "report_top": _r(lambda r: Q.top_rows(r.ledger_lines_alt_view,
                                           [F.col(c).asc_nulls_last() for c in ALT_ORDER])),
-    "facet_counts": _r(lambda r: Q.facet_counts(r.one_solution_output_view, "pe_id")),
+    "facet_counts": _r(lambda r: Q.facet_counts(r.ledger_lines_alt_view, "pe_id")),
 }

@@ -129,9 +129,9 @@ class Reports:
                                   "record_create_date", "record_last_updated")
         last = self._vendor_orders.select("vendor_record_id",
                                           F.to_date("max_order_date_gmt").alias("max_order_date"))
-        return (f.join(v, v.vendor_record_code == f.SierraVendorCode, "left")
+        return (f.join(v, v.vendor_record_code == f.IlsVendorCode, "left")
                 .join(last, "vendor_record_id", "left")
-                .select("FiscalVendorId", "FiscalVendorCode", "VendorName", "SierraVendorCode",
+                .select("FiscalVendorId", "FiscalVendorCode", "VendorName", "IlsVendorCode",
                         "vendor_record_num", "vendor_record_id", "record_create_date", "record_last_updated",
                         "max_order_date"))
 
@@ -144,7 +144,7 @@ class Reports:
 
     # ------------------------------------------------ V5 invoice export rows
     @cached_property
-    def munis_invoice_output(self) -> DataFrame:
+    def invoice_export_rows(self) -> DataFrame:
         rows = self.invoice_line_rows
         keys = ["invoice_record_id", "invoice_record_num", "invoice_number_text", "posted_date", "invoice_date"]
         detail = rows.select(*keys, (F.col("line_cnt") + 1).alias("line_cnt"),
@@ -173,7 +173,7 @@ class Reports:
                .join(v, "vendor_record_id")
                .groupBy(F.col("vendor_record_code").alias("code"))
                .agg(first_by("field_content", ["occ_num", "varfield_id"]).alias("alt_code")))
-        fiscal = (self.src.fiscal_vendors.groupBy(F.col("SierraVendorCode").alias("code"))
+        fiscal = (self.src.fiscal_vendors.groupBy(F.col("IlsVendorCode").alias("code"))
                   .agg(first_by("FiscalVendorCode", ["FiscalVendorId", "FiscalVendorCode"]).alias("fiscal_code")))
         return small(alt.join(fiscal, "code", "full")
                      .select("code", F.coalesce("alt_code", "fiscal_code").alias("peid")))
@@ -224,7 +224,7 @@ class Reports:
         """Current-year funds ('fbal') with their general-ledger mapping."""
         f = self.m.fund.filter(F.col("fund_type") == "fbal").select(
             "fund_code_num", F.col("fund_code").alias("fund_table_code"))
-        fo = self.src.fiscal_funds.select(F.lower("SierraFundCode").alias("_glcode"), "GLKey", "GLObj")
+        fo = self.src.fiscal_funds.select(F.lower("IlsFundCode").alias("_glcode"), "GLKey", "GLObj")
         return small(f.join(fo, F.lower(f.fund_table_code) == fo._glcode, "left").drop("_glcode"))
 
     def _allocated_lines(self) -> DataFrame:
@@ -243,7 +243,7 @@ class Reports:
         return j.withColumn("_amount_cents", amount).withColumn("_fund_key", int_prefix("fund_code"))
 
     @cached_property
-    def munis_output(self) -> DataFrame:
+    def ledger_export_table(self) -> DataFrame:
         d = self._allocated_lines()
         d = d.join(self.current_funds, d._fund_key == F.col("fund_code_num"), "left")
         inv = self.invoice_data
@@ -270,19 +270,19 @@ class Reports:
         return with_headings(detail, heading)
 
     @cached_property
-    def munis_output_view(self) -> DataFrame:
-        return self.munis_output.distinct()
+    def ledger_export_view(self) -> DataFrame:
+        return self.ledger_export_table.distinct()
 
     # ------------------------------------------------- V10 second ledger format
     @cached_property
-    def one_solution_output_view(self) -> DataFrame:
+    def ledger_lines_alt_view(self) -> DataFrame:
         d = self._allocated_lines()
         # the filters on the allocation's paid amount and the fund's code need
         # both rows to exist, so these two joins are inner
         d = d.filter(F.col("_ild_paid") != 0)
         f = self.m.fund.filter(F.col("fund_type") == "fbal").filter(F.col("fund_code") != "65535").select(
             "fund_code_num", F.col("fund_code").alias("fund_table_code"))
-        fo = self.src.fiscal_funds.select(F.lower("SierraFundCode").alias("_glcode"), "GLKey", "GLObj")
+        fo = self.src.fiscal_funds.select(F.lower("IlsFundCode").alias("_glcode"), "GLKey", "GLObj")
         funds = small(f.join(fo, F.lower(F.col("fund_table_code")) == fo._glcode, "left"))
         d = d.join(funds, d._fund_key == F.col("fund_code_num"), "inner")
         # raw (untrimmed) vendor code join of the reference: repeats a line once

@@ -15,25 +15,31 @@ FISCAL_VENDOR_COLUMNS = {
     "FiscalVendorId": "int",
     "FiscalVendorCode": "string",
     "VendorName": "string",
-    "SierraVendorCode": "string",
+    "IlsVendorCode": "string",
 }
 
 FISCAL_FUND_COLUMNS = {
     "FiscalFundId": "int",
     "FundName": "string",
-    "SierraFundCode": "string",
-    "SierraFundCodeNumeric": "int",
-    "SierraFundCodeSpaces": "string",
+    "IlsFundCode": "string",
+    "IlsFundCodeNumeric": "int",
+    "IlsFundCodeSpaces": "string",
     "GLKey": "bigint",
     "GLObj": "int",
 }
 
 
-def _read_typed(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+def _read_typed(spark: SparkSession, path: str, columns: dict[str, str],
+                titles: dict[str, str] | None = None) -> DataFrame:
+    """Read a header CSV as text and cast by column name.  ``titles`` maps
+    column titles used in the file to the column names above (for files
+    whose header differs); unknown titles are ignored, missing columns are
+    null."""
     raw = (spark.read.option("header", True).option("inferSchema", False)
            .option("quote", '"').option("escape", '"').option("ignoreTrailingWhiteSpace", True)
            .csv(path))
-    present = {c.strip().strip("﻿"): c for c in raw.columns}
+    rename = titles or {}
+    present = {rename.get(c.strip().lstrip("\ufeff"), c.strip().lstrip("\ufeff")): c for c in raw.columns}
     out = []
     for name, typ in columns.items():
         if name in present:
@@ -45,12 +51,12 @@ def _read_typed(spark: SparkSession, path: str, columns: dict[str, str]) -> Data
     return raw.select(*out)
 
 
-def read_fiscal_vendors(spark: SparkSession, path: str) -> DataFrame:
+def read_fiscal_vendors(spark: SparkSession, path: str, titles: dict[str, str] | None = None) -> DataFrame:
     """Fiscal office vendor list."""
-    return _read_typed(spark, path, FISCAL_VENDOR_COLUMNS)
+    return _read_typed(spark, path, FISCAL_VENDOR_COLUMNS, titles)
 
 
-def read_fiscal_funds(spark: SparkSession, path: str) -> DataFrame:
+def read_fiscal_funds(spark: SparkSession, path: str, titles: dict[str, str] | None = None) -> DataFrame:
     """Fund to general-ledger mapping; any extra column (``rowid``) is
     dropped, columns are matched by name."""
-    return _read_typed(spark, path, FISCAL_FUND_COLUMNS)
+    return _read_typed(spark, path, FISCAL_FUND_COLUMNS, titles)

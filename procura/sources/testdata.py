@@ -148,7 +148,7 @@ class TestSources:
             F.expr("case when ik % 5 = 0 then cast(null as timestamp_ntz) else cast(last_d as timestamp_ntz) end")
             .alias("posted_data_gmt"),
             F.expr("ik % 2 = 0").alias("is_paid_date_received_date"),
-            F.expr("concat('user', ik % 10)").alias("iii_user_name"),
+            F.expr("concat('user', ik % 10)").alias("staff_user_name"),
             F.lit("USD").alias("foreign_currency_code"),
             F.lit(None).cast("string").alias("foreign_currency_format"),
             F.lit(1).cast("decimal(18,6)").alias("foreign_currency_exchange_rate"),
@@ -344,15 +344,15 @@ class TestSources:
         main = base.select(
             F.col("code_num").alias("FiscalFundId"),
             F.concat(F.lit("Fund "), F.col("code_num")).alias("FundName"),
-            F.upper("fund_code").alias("SierraFundCode"),
-            F.col("code_num").alias("SierraFundCodeNumeric"),
-            F.concat(F.lit("BRD "), F.col("code_num")).alias("SierraFundCodeSpaces"),
+            F.upper("fund_code").alias("IlsFundCode"),
+            F.col("code_num").alias("IlsFundCodeNumeric"),
+            F.concat(F.lit("BRD "), F.col("code_num")).alias("IlsFundCodeSpaces"),
             F.expr("cast(8100000000 + code_num * 100 as bigint)").alias("GLKey"),
             F.expr("case code_num % 6 when 0 then 5410 when 1 then 5420 when 2 then 5430 "
                    "when 3 then 5450 when 4 then 5210 else 9999 end").alias("GLObj"))
-        dup = (main.filter(F.col("SierraFundCodeNumeric").isin(1, 2))
+        dup = (main.filter(F.col("IlsFundCodeNumeric").isin(1, 2))
                .withColumn("FiscalFundId", F.col("FiscalFundId") + 1000)
-               .withColumn("SierraFundCode", F.lower("SierraFundCode")))
+               .withColumn("IlsFundCode", F.lower("IlsFundCode")))
         return main.unionByName(dup)
 
     # ---------------------------------------------------------------- vendors
@@ -393,7 +393,7 @@ class TestSources:
                 .select(F.col("s_suppkey").cast("int").alias("FiscalVendorId"),
                         F.concat(F.lit("FV"), F.col("s_suppkey")).alias("FiscalVendorCode"),
                         F.col("s_name").alias("VendorName"),
-                        F.concat(F.lit("v"), F.col("s_suppkey")).alias("SierraVendorCode")))
+                        F.concat(F.lit("v"), F.col("s_suppkey")).alias("IlsVendorCode")))
 
     # --------------------------------------------------------- variable fields
     @cached_property

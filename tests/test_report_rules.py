@@ -32,8 +32,8 @@ def _vendor_sources(spark, small_dir):
           {"id": 4, "record_id": VO + 3, "varfield_type_code": "d", "occ_num": 0, "field_content": "D3a"},
           {"id": 5, "record_id": VO + 4, "varfield_type_code": "z", "occ_num": 0, "field_content": "Z4"},
           {"id": 6, "record_id": VO + 4, "varfield_type_code": "d", "occ_num": 3, "field_content": "D4"}]
-    fv = [{"FiscalVendorId": 2, "FiscalVendorCode": "FV2", "VendorName": "n", "SierraVendorCode": "v2"},
-          {"FiscalVendorId": 3, "FiscalVendorCode": "FV3", "VendorName": "n", "SierraVendorCode": "v3"}]
+    fv = [{"FiscalVendorId": 2, "FiscalVendorCode": "FV2", "VendorName": "n", "IlsVendorCode": "v2"},
+          {"FiscalVendorId": 3, "FiscalVendorCode": "FV3", "VendorName": "n", "IlsVendorCode": "v3"}]
     inv = [{"id": IO + k, "record_id": IO + k, "invoice_number_text": f"00{k}", "subtotal_amt": Decimal("1.00"),
             "grand_total_amt": Decimal("1.00"), "invoice_date_gmt": TS} for k in vendors]
     lines = [{"id": k, "invoice_record_id": IO + k, "line_cnt": 0, "paid_amt": Decimal("1.00"),
@@ -55,8 +55,8 @@ def _ledger_sources(spark, small_dir):
     fm = [{"id": 1, "accounting_unit_id": 1, "code_num": 1, "code": "brd1"}]
     fmu = [{"fund_master_id": 1, "fund_type": "fbal", "fund_code": "brd1", "external_fund_code_num": 1,
             "appropriation": 100, "expenditure": 1, "encumbrance": 1}]
-    ff = [{"FiscalFundId": 1, "SierraFundCode": "BRD1", "GLKey": 8100000100, "GLObj": 5410},
-          {"FiscalFundId": 2, "SierraFundCode": "brd1", "GLKey": 8100000100, "GLObj": 5410}]
+    ff = [{"FiscalFundId": 1, "IlsFundCode": "BRD1", "GLKey": 8100000100, "GLObj": 5410},
+          {"FiscalFundId": 2, "IlsFundCode": "brd1", "GLKey": 8100000100, "GLObj": 5410}]
     inv = [{"id": IO + 1, "record_id": IO + 1, "invoice_number_text": "0001", "subtotal_amt": Decimal("3.00"),
             "grand_total_amt": Decimal("3.10"), "invoice_date_gmt": TS, "posted_data_gmt": TS}]
     lines = [{"id": i, "invoice_record_id": IO + 1, "line_cnt": i, "paid_amt": Decimal("1.00"), "fund_code": "1",
@@ -68,8 +68,8 @@ def _ledger_sources(spark, small_dir):
 
 def test_ledger_duplicates_removed_by_distinct_view(spark, small_dir):
     r = Reports(Marts(_ledger_sources(spark, small_dir), materialize="none"))
-    full = r.munis_output.collect()
-    distinct = r.munis_output_view.collect()
+    full = r.ledger_export_table.collect()
+    distinct = r.ledger_export_view.collect()
     # two GL rows share the code case-insensitively: every detail row doubles
     assert sum(1 for x in full if x.row_type == "D") == 6
     assert sum(1 for x in distinct if x.row_type == "D") == 3

@@ -11,16 +11,16 @@ from procura.sources.sinks import (conform, current_snapshot, export_csv, publis
                                    write_table)
 from procura.sources.testdata import TestSources
 
-FUNDS_QUOTED_LF = ('"rowid","FiscalFundId","FundName","SierraFundCode","SierraFundCodeNumeric",'
-                   '"SierraFundCodeSpaces","GLKey","GLObj"\n'
-                   '1,1,"Fund A","ABEBFGEN",4,"ABE B F GEN",81900520,5410\n'
-                   '10,10,"Fund B","ANDAFAND",,"AND A F AND",,5430\n'
-                   '68,68,"Fund C","abebfgen",4,"ABE B F GEN",81900520,5410\n')
-FUNDS_PLAIN_CRLF = ('rowid,FiscalFundId,FundName,SierraFundCode,SierraFundCodeNumeric,SierraFundCodeSpaces,GLKey,GLObj\r\n'
-                    '1,1,Fund A,ABEBFGEN,4,ABE B F GEN,81900521,5410\r\n'
-                    '2,2,Fund B,ANDAFAND,5,AND A F AND,20102202,5430\r\n')
-FUNDS_NO_ROWID = ('FiscalFundId,FundName,SierraFundCode,SierraFundCodeNumeric,SierraFundCodeSpaces,GLKey,GLObj\n'
-                  '1,Fund A,ABEBFGEN,4,ABE B F GEN,8119100115,5410\n')
+FUNDS_QUOTED_LF = ('"rowid","FiscalFundId","FundName","IlsFundCode","IlsFundCodeNumeric",'
+                   '"IlsFundCodeSpaces","GLKey","GLObj"\n'
+                   '1,1,"Fund A","QRXFGEN",4,"QRX F GEN",81900520,5410\n'
+                   '10,10,"Fund B","TUVAFND",,"TUV A F ND",,5430\n'
+                   '68,68,"Fund C","qrxfgen",4,"QRX F GEN",81900520,5410\n')
+FUNDS_PLAIN_CRLF = ('rowid,FiscalFundId,FundName,IlsFundCode,IlsFundCodeNumeric,IlsFundCodeSpaces,GLKey,GLObj\r\n'
+                    '1,1,Fund A,QRXFGEN,4,QRX F GEN,81900521,5410\r\n'
+                    '2,2,Fund B,TUVAFND,5,TUV A F ND,20102202,5430\r\n')
+FUNDS_NO_ROWID = ('FiscalFundId,FundName,IlsFundCode,IlsFundCodeNumeric,IlsFundCodeSpaces,GLKey,GLObj\n'
+                  '1,Fund A,QRXFGEN,4,QRX F GEN,8119100115,5410\n')
 
 
 def _write(tmp, name, text):
@@ -33,18 +33,24 @@ def _write(tmp, name, text):
 def test_fund_csv_layouts(spark, tmp):
     a = read_fiscal_funds(spark, _write(tmp, "a.csv", FUNDS_QUOTED_LF)).orderBy("FiscalFundId").collect()
     assert [r.FiscalFundId for r in a] == [1, 10, 68]
-    assert a[1].GLKey is None and a[1].SierraFundCodeNumeric is None and a[1].GLObj == 5430
+    assert a[1].GLKey is None and a[1].IlsFundCodeNumeric is None and a[1].GLObj == 5430
     b = read_fiscal_funds(spark, _write(tmp, "b.csv", FUNDS_PLAIN_CRLF)).orderBy("FiscalFundId").collect()
-    assert [(r.SierraFundCode, r.GLObj) for r in b] == [("ABEBFGEN", 5410), ("ANDAFAND", 5430)]
+    assert [(r.IlsFundCode, r.GLObj) for r in b] == [("QRXFGEN", 5410), ("TUVAFND", 5430)]
     c = read_fiscal_funds(spark, _write(tmp, "c.csv", FUNDS_NO_ROWID))
     assert dict(c.dtypes)["GLKey"] == "bigint" and c.first().GLKey == 8119100115
     assert "rowid" not in c.columns
 
 
+def test_fund_csv_with_other_titles(spark, tmp):
+    text = "Id,FiscalFundId,LegacyFundCode,GLKey,GLObj\n5,5,XYZ,8100000500,5450\n"
+    r = read_fiscal_funds(spark, _write(tmp, "d.csv", text), titles={"LegacyFundCode": "IlsFundCode"}).first()
+    assert (r.FiscalFundId, r.IlsFundCode, r.GLKey, r.GLObj, r.FundName) == (5, "XYZ", 8100000500, 5450, None)
+
+
 def test_vendor_csv(spark, tmp):
-    p = _write(tmp, "v.csv", "FiscalVendorId,FiscalVendorCode,VendorName,SierraVendorCode\n7,FV7,\"A, B\",v7\n")
+    p = _write(tmp, "v.csv", "FiscalVendorId,FiscalVendorCode,VendorName,IlsVendorCode\n7,FV7,\"A, B\",v7\n")
     r = read_fiscal_vendors(spark, p).first()
-    assert (r.FiscalVendorId, r.FiscalVendorCode, r.VendorName, r.SierraVendorCode) == (7, "FV7", "A, B", "v7")
+    assert (r.FiscalVendorId, r.FiscalVendorCode, r.VendorName, r.IlsVendorCode) == (7, "FV7", "A, B", "v7")
 
 
 def test_write_table_conform_and_csv_export(spark, tmp):
@@ -74,7 +80,7 @@ def test_full_refresh(spark, tmp, small_dir):
     for n in MART_NAMES + REPORT_NAMES:
         assert os.path.isdir(f"{base}/{n}"), n
     # reports built from the stored marts equal the ones built in one plan
-    stored = spark.read.parquet(f"{base}/munis_output_view")
+    stored = spark.read.parquet(f"{base}/ledger_export_view")
     direct = QUERIES["ledger_export_distinct"](spark, small_dir)
     assert stored.count() == direct.count()
     assert stored.select(sorted(stored.columns)).exceptAll(direct.select(sorted(direct.columns))).count() == 0
