@@ -135,6 +135,8 @@ class Marts:
                         "use_tax_fund_code", "use_tax_percentage_rate", "use_tax_type_code",
                         "use_tax_ship_service_code", "is_suppressed"))
 
+    LINE_PAGE_SIZE = 4096
+
     LINE_FIELDS = ("line_cnt", "order_record_id", "order_record_num", "title", "paid_amt_cents",
                    "lien_amt_cents", "lien_flag", "list_price_cents", "fund_code", "subfund_num",
                    "copies_paid_cnt", "external_fund_code_num", "status_code", "note",
@@ -180,15 +182,24 @@ class Marts:
 
     @cached_property
     def invoice(self) -> DataFrame:
-        """M4: one row per invoice with its lines nested in line order."""
-        flat = self.invoice_lines_flat
-        nested = nest(flat, key="invoice_record_id", fields=list(self.LINE_FIELDS),
-                      order=["line_cnt", "order_record_id", "_line_id"], out="json_invoice_record_line",
-                      count_of="_line_id", count_out="count_invoice_record_line")
+        """M4: invoices with their lines nested in line order.
+
+        One row per (invoice, page of ``LINE_PAGE_SIZE`` line positions): an
+        invoice with fewer lines than that (every real one) is exactly one
+        row, and no task ever collects more than one page of lines, however
+        big an invoice is.  ``count_invoice_record_line`` is the count of the
+        whole invoice (a partial aggregate, joined back)."""
+        flat = self.invoice_lines_flat.withColumn(
+            "line_page", F.coalesce(F.floor(F.col("line_cnt") / F.lit(self.LINE_PAGE_SIZE)), F.lit(0))
+            .cast("int"))
+        nested = nest(flat, key=["invoice_record_id", "line_page"], fields=list(self.LINE_FIELDS),
+                      order=["line_cnt", "order_record_id", "_line_id"], out="json_invoice_record_line")
+        counts = (flat.groupBy("invoice_record_id")
+                  .agg(F.count("_line_id").cast("bigint").alias("count_invoice_record_line")))
         h = self.invoice_header
-        return (nested.join(h, "invoice_record_id")
+        return (nested.join(counts, "invoice_record_id").join(h, "invoice_record_id")
                 .select("invoice_record_id", "invoice_record_num", "invoice_number_text",
-                        "count_invoice_record_line", "json_invoice_record_line",
+                        "count_invoice_record_line", "line_page", "json_invoice_record_line",
                         *[c for c in h.columns if c not in ("invoice_record_id", "invoice_record_num",
                                                             "invoice_number_text")]))
 

@@ -24,7 +24,7 @@ MART_DDL = {
     ),
     "invoice": (
         "invoice_record_id BIGINT,invoice_record_num BIGINT,invoice_number_text STRING,"
-        "count_invoice_record_line BIGINT,json_invoice_record_line ARRAY<STRUCT<line_cnt: INT,"
+        "count_invoice_record_line BIGINT,line_page INT,json_invoice_record_line ARRAY<STRUCT<line_cnt: INT,"
         " order_record_id: BIGINT, order_record_num: BIGINT, title: STRING, paid_amt_cents: BIGINT,"
         " lien_amt_cents: BIGINT, lien_flag: STRING, list_price_cents: BIGINT, fund_code: STRING,"
         " subfund_num: INT, copies_paid_cnt: INT, external_fund_code_num: INT, status_code: STRING,"

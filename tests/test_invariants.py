@@ -41,3 +41,21 @@ def test_invoice_without_lines_has_one_null_line(spark, small_dir):
 def test_vendor_name_is_first_address(spark, small_dir):
     v = marts_for(spark, small_dir).vendors
     assert v.filter(F.col("vendor_name") != F.col("vendor_record_address")[0]["addr1"]).count() == 0
+
+
+def test_invoice_pages_reassemble(spark, small_dir):
+    """Small pages give the same lines, in the same order, as one page."""
+    m = marts_for(spark, small_dir)
+    whole = {r.invoice_record_id: [x.line_cnt for x in r.json_invoice_record_line] for r in m.invoice.collect()}
+    paged = marts_for(spark, small_dir)
+    paged.LINE_PAGE_SIZE = 2
+    parts = {}
+    for r in paged.invoice.collect():
+        parts.setdefault(r.invoice_record_id, []).append((r.line_page, [x.line_cnt for x in r.json_invoice_record_line],
+                                                          r.count_invoice_record_line))
+    assert set(parts) == set(whole)
+    assert any(len(v) > 1 for v in parts.values())
+    for k, v in parts.items():
+        v.sort()
+        assert [c for _, page, _ in v for c in page] == whole[k]
+        assert {n for _, _, n in v} == {sum(1 for c in whole[k] if c is not None)}
