@@ -152,12 +152,15 @@ class Reports:
                              F.lit(None).cast("decimal(14,2)").alias("discount_amt"),
                              F.lit(None).cast("decimal(14,2)").alias("grand_total_amt"),
                              F.lit(None).cast("decimal(14,2)").alias("subtotal_amt"))
-        heading = (rows.select(*keys, F.lit(None).cast("int").alias("line_cnt"),
-                               F.lit(None).cast("decimal(14,2)").alias("paid_amount"), "vendor_code",
-                               _money("discount_amt_cents").alias("discount_amt"),
-                               _money("grand_total_amt_cents").alias("grand_total_amt"),
-                               _money("subtotal_amt_cents").alias("subtotal_amt"))
-                   .distinct())
+        # one heading per (invoice, vendor code): reduce the lines to those
+        # pairs first, then attach the header at that grain
+        pairs = self.m.invoice_lines_flat.select("invoice_record_id", "vendor_code").distinct()
+        heading = (pairs.join(self.m.invoice_header, "invoice_record_id")
+                   .select(*keys, F.lit(None).cast("int").alias("line_cnt"),
+                           F.lit(None).cast("decimal(14,2)").alias("paid_amount"), "vendor_code",
+                           _money("discount_amt_cents").alias("discount_amt"),
+                           _money("grand_total_amt_cents").alias("grand_total_amt"),
+                           _money("subtotal_amt_cents").alias("subtotal_amt")))
         return with_headings(detail, heading)
 
     # ------------------------------------------------------------ V6 payee id
@@ -186,8 +189,9 @@ class Reports:
     def peid_view(self) -> DataFrame:
         # distinct (invoice, vendor code) first: the look-up then runs once per
         # invoice and vendor instead of once per line
-        pairs = self.invoice_line_rows.select("invoice_record_id", "invoice_record_num", "invoice_number_text",
-                                              "vendor_code").distinct()
+        pairs = (self.m.invoice_lines_flat.select("invoice_record_id", "vendor_code").distinct()
+                 .join(self.m.invoice_header.select("invoice_record_id", "invoice_record_num",
+                                                    "invoice_number_text"), "invoice_record_id"))
         return (self._with_payee(pairs, "vendor_code", "peid")
                 .select("invoice_record_id", "invoice_record_num", "invoice_number_text", "peid").distinct())
 
@@ -308,10 +312,12 @@ class Reports:
     # --------------------------------------------------- V11 vendor alt codes
     @cached_property
     def invoice_vendor_alt_code_view(self) -> DataFrame:
-        rows = (self.invoice_line_rows.filter(F.col("posted_date").isNotNull())
-                .select(F.trim("vendor_code").alias("vendor_code"), "invoice_record_id", "posted_date"))
-        # one row per (vendor code, invoice) before the fan-out joins
-        per_inv = rows.groupBy("vendor_code", "invoice_record_id").agg(F.max("posted_date").alias("posted_date"))
+        # one row per (vendor code, invoice) before any join
+        pairs = (self.m.invoice_lines_flat.select(F.trim("vendor_code").alias("vendor_code"), "invoice_record_id")
+                 .distinct())
+        posted = (self.m.invoice_header.filter(F.col("posted_date").isNotNull())
+                  .select("invoice_record_id", "posted_date"))
+        per_inv = pairs.join(posted, "invoice_record_id")
         v = self.m.vendors.select("vendor_record_id", "vendor_record_code", "vendor_name", "vendor_record_num")
         alt = (self.m.varfield.filter(F.col("varfield_type_code") == "d")
                .select(F.col("record_id").alias("_alt_vid"), F.col("field_content").alias("alternate_code")))
