@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from procura.functions import digits_key, to_cents
-from procura.operators.allocate import DEFAULT_CHUNK_SIZE, allocate, with_chunk
+from procura.operators.allocate import DEFAULT_CHUNK_SIZE, allocate, share_cents, with_chunk
 from procura.operators.nesting import first_by, nest
 from procura.operators.sizing import broadcast_if_small as small
 from procura.session import materialize
@@ -144,19 +144,19 @@ class Marts:
                    "accounting_transaction_voucher_num", "accounting_transaction_voucher_seq_num",
                    "invoice_record_vendor_summary_id", "is_use_tax", "approx_adjust_amt")
 
-    @cached_property
-    def invoice_lines_flat(self) -> DataFrame:
+    def invoice_lines_frame(self, how: str = "left") -> DataFrame:
         """One row per (invoice, line) - the unnested form of the invoice mart.
 
-        Every invoice appears; an invoice without lines has one row whose line
-        fields are all null (what unnesting the nested mart gives).  Report
-        views read this form, so no view depends on one row per invoice
-        holding all of its lines."""
+        ``how="left"``: every invoice appears; an invoice without lines has
+        one row whose line fields are all null (what unnesting the nested
+        mart gives) and lines without an order are kept.  ``how="inner"``:
+        the older variant - only lines of a known order, only invoices with
+        such lines."""
         ir = self.src.invoice_record.select(
             F.col("record_id").alias("invoice_record_id"), "subtotal_amt", "grand_total_amt")
         il = self.src.invoice_record_line
         orm = self.record_nums(ORDER, "_oid", "order_record_num")
-        lines = (il.join(orm, orm._oid == il.order_record_metadata_id, "left")
+        lines = (il.join(orm, orm._oid == il.order_record_metadata_id, how)
                  .select(il.invoice_record_id.alias("_iid"), il.id.alias("_line_id"), "line_cnt",
                          il.order_record_metadata_id.alias("order_record_id"), "order_record_num",
                          "title", "paid_amt", "lien_amt", "lien_flag", "list_price", "fund_code",
@@ -164,10 +164,8 @@ class Marts:
                          "is_single_copy_partial_pmt", "multiflag_code", "line_level_tax", "vendor_code",
                          "accounting_transaction_voucher_num", "accounting_transaction_voucher_seq_num",
                          "invoice_record_vendor_summary_id", "is_use_tax"))
-        j = ir.join(lines, ir.invoice_record_id == lines._iid, "left")
-        from procura.operators.allocate import share_cents
-        # read by the nested mart and by most report views: compute once
-        return self._once(j.select(
+        j = ir.join(lines, ir.invoice_record_id == lines._iid, how)
+        return j.select(
             "invoice_record_id", "_line_id",
             *[F.col(c) for c in ("line_cnt", "order_record_id", "order_record_num", "title")],
             to_cents("paid_amt").alias("paid_amt_cents"),
@@ -178,21 +176,31 @@ class Marts:
             to_cents("line_level_tax").alias("line_level_tax_cents"), "vendor_code",
             "accounting_transaction_voucher_num", "accounting_transaction_voucher_seq_num",
             "invoice_record_vendor_summary_id", "is_use_tax",
-            share_cents("paid_amt", "subtotal_amt", "grand_total_amt").alias("approx_adjust_amt")))
+            share_cents("paid_amt", "subtotal_amt", "grand_total_amt").alias("approx_adjust_amt"))
 
     @cached_property
-    def invoice(self) -> DataFrame:
+    def invoice_lines_flat(self) -> DataFrame:
+        """The flat invoice lines (left variant).  Read by the nested mart and
+        by most report views, so no view depends on one row per invoice
+        holding all of its lines; computed once per plan."""
+        return self._once(self.invoice_lines_frame("left"))
+
+    def invoice_frame(self, how: str = "left", allocation: bool = True) -> DataFrame:
         """M4: invoices with their lines nested in line order.
 
         One row per (invoice, page of ``LINE_PAGE_SIZE`` line positions): an
         invoice with fewer lines than that (every real one) is exactly one
         row, and no task ever collects more than one page of lines, however
         big an invoice is.  ``count_invoice_record_line`` is the count of the
-        whole invoice (a partial aggregate, joined back)."""
-        flat = self.invoice_lines_flat.withColumn(
+        whole invoice (a partial aggregate, joined back).  ``how="inner",
+        allocation=False`` is the older variant (lines of known orders only,
+        no allocated share per line)."""
+        flat = self.invoice_lines_flat if how == "left" else self.invoice_lines_frame(how)
+        flat = flat.withColumn(
             "line_page", F.coalesce(F.floor(F.col("line_cnt") / F.lit(self.LINE_PAGE_SIZE)), F.lit(0))
             .cast("int"))
-        nested = nest(flat, key=["invoice_record_id", "line_page"], fields=list(self.LINE_FIELDS),
+        fields = [f for f in self.LINE_FIELDS if allocation or f != "approx_adjust_amt"]
+        nested = nest(flat, key=["invoice_record_id", "line_page"], fields=fields,
                       order=["line_cnt", "order_record_id", "_line_id"], out="json_invoice_record_line")
         counts = (flat.groupBy("invoice_record_id")
                   .agg(F.count("_line_id").cast("bigint").alias("count_invoice_record_line")))
@@ -203,6 +211,10 @@ class Marts:
                         *[c for c in h.columns if c not in ("invoice_record_id", "invoice_record_num",
                                                             "invoice_number_text")]))
 
+    @cached_property
+    def invoice(self) -> DataFrame:
+        return self.invoice_frame("left", allocation=True)
+
     # -------------------------------------------------- M5 invoice line allocation
     @cached_property
     def invoice_line_data(self) -> DataFrame:

@@ -68,7 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "varfield_types": _m(lambda m: m.varfield_metadata),
     "varfield_rows": _m(lambda m: m.varfield),
     "fund_balances": _m(lambda m: m.fund),
+    "fund_balances_inner": _m(lambda m: m.fund_frame("inner")),
     "invoice_nested": _m(lambda m: J(m.invoice)),
+    "invoice_nested_inner": _m(lambda m: J(m.invoice_frame("inner", allocation=False))),
     "invoice_line_allocation": _m(lambda m: m.invoice_line_data),
     "invoice_order_link": _m(lambda m: m.invoice_record_order_record_link),
     "invoice_vendor_link": _m(lambda m: m.invoice_record_vendor_record_link),
