@@ -103,6 +103,30 @@ class Marts:
             F.col("encumbrance").cast("bigint").alias("encumbrance"),
             "num_orders", "num_payments", "warning_percent", "discount_percent", "name", "note1", "note2")
 
+    def fund_by_code(self) -> DataFrame:
+        """Draft form of the fund mart: balances matched on the fund code
+        (not the master id), external name on the fund's code number; inner
+        joins throughout."""
+        fm = self.src.fund_master.select(F.col("code_num").alias("fund_code_num"), F.col("code").alias("fund_code"),
+                                         F.col("accounting_unit_id").alias("_au"))
+        au = self.src.accounting_unit.select(F.col("id").alias("_au_id"),
+                                             F.col("code_num").alias("accounting_unit_code_num"))
+        efp = self.src.external_fund_property.select(F.col("id").alias("_efp_id"), F.col("code_num").alias("_efp_cn"))
+        efpn = self.src.external_fund_property_name.select(F.col("external_fund_property_id").alias("_efpn_id"),
+                                                           F.col("name").alias("external_fund_name"))
+        bal = self.src.fund_myuser.select(F.col("fund_code").alias("_bal_code"), "fund_type", "appropriation",
+                                          "expenditure", "encumbrance", "num_orders", "num_payments",
+                                          "warning_percent")
+        return (fm.join(small(au), F.col("_au_id") == F.col("_au"))
+                .join(small(efp), F.col("_efp_cn") == F.col("fund_code_num"))
+                .join(small(efpn), F.col("_efpn_id") == F.col("_efp_id"))
+                .join(bal, F.col("_bal_code") == F.col("fund_code"))
+                .select("fund_code_num", "fund_code", "accounting_unit_code_num", "external_fund_name", "fund_type",
+                        F.col("appropriation").cast("bigint").alias("appropriation"),
+                        F.col("expenditure").cast("bigint").alias("expenditure"),
+                        F.col("encumbrance").cast("bigint").alias("encumbrance"),
+                        "num_orders", "num_payments", "warning_percent"))
+
     @cached_property
     def fund(self) -> DataFrame:
         return self.fund_frame("left")

@@ -69,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "varfield_rows": _m(lambda m: m.varfield),
     "fund_balances": _m(lambda m: m.fund),
     "fund_balances_inner": _m(lambda m: m.fund_frame("inner")),
+    "fund_by_code": _m(lambda m: m.fund_by_code()),
     "invoice_nested": _m(lambda m: J(m.invoice)),
     "invoice_nested_inner": _m(lambda m: J(m.invoice_frame("inner", allocation=False))),
     "invoice_line_allocation": _m(lambda m: m.invoice_line_data),
