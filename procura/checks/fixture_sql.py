@@ -164,9 +164,12 @@ CTES["src_fund_base"] = """
   from part group by 1"""
 
 CTES["fund_master"] = """
-  select cast(code_num as bigint) as id, cast(1 as bigint) as accounting_unit_id, code_num, fund_code as code
+  select cast(code_num as bigint) as id, cast(1 + code_num // 1000 as bigint) as accounting_unit_id, code_num,
+    fund_code as code
+  from src_fund_base"""
+CTES["accounting_unit"] = """
+  select distinct cast(1 + code_num // 1000 as bigint) as id, cast(1 + code_num // 1000 as integer) as code_num
   from src_fund_base"""
-CTES["accounting_unit"] = "select distinct cast(1 as bigint) as id, 1 as code_num from src_fund_base"
 CTES["fund_myuser"] = """
   select cast(code_num as bigint) as fund_master_id, 'fbal' as fund_type, fund_code,
     code_num as external_fund_code_num, appropriation, expenditure, encumbrance,

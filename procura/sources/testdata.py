@@ -303,13 +303,18 @@ class TestSources:
     @cached_property
     def fund_master(self) -> DataFrame:
         return self._fund_base.select(
-            F.col("code_num").cast("bigint").alias("id"), F.lit(1).cast("bigint").alias("accounting_unit_id"),
+            F.col("code_num").cast("bigint").alias("id"),
+            # every fund is in accounting unit 1; the key is read from the data
+            # (1 + code_num div 1000) so the join stays a real equi-join
+            F.expr("cast(1 + code_num div 1000 as bigint)").alias("accounting_unit_id"),
             "code_num", F.col("fund_code").alias("code"))
 
     @cached_property
     def accounting_unit(self) -> DataFrame:
-        # the single accounting unit all funds belong to
-        return self._fund_base.select(F.lit(1).cast("bigint").alias("id"), F.lit(1).alias("code_num")).distinct()
+        # the accounting units the funds belong to (all funds: unit 1)
+        return self._fund_base.select(
+            F.expr("cast(1 + code_num div 1000 as bigint)").alias("id"),
+            F.expr("cast(1 + code_num div 1000 as int)").alias("code_num")).distinct()
 
     @cached_property
     def fund_myuser(self) -> DataFrame:
