@@ -106,7 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                           lte={"posted_date": PARAMS["posted_to"]},
                                           hide=["extra_data", "alt_addr_cd"])),
     "barcode_search": _m(lambda m: Q.barcode_search(m, PARAMS["barcode_pattern"])),
+    # sorted as the reference's view (ascending, nulls first as its engine
+    # sorts them), with total tie-breakers after its three sort columns
     "report_top": _r(lambda r: Q.top_rows(r.ledger_lines_alt_view,
-                                          [F.col(c).asc_nulls_last() for c in ALT_ORDER])),
+                                          [F.col(c).asc_nulls_first() for c in ALT_ORDER])),
     "facet_counts": _r(lambda r: Q.facet_counts(r.ledger_lines_alt_view, "pe_id")),
 }
