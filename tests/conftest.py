@@ -12,7 +12,8 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from procura.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4, app_name="procura-tests")
+    s = build_session(master="local[4]", shuffle_partitions=4, app_name="procura-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="procura-test-wh-")})
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="procura-test-ckpt-"))
     yield s
     s.stop()

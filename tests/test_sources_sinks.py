@@ -64,6 +64,15 @@ def test_write_table_conform_and_csv_export(spark, tmp):
     assert txt["Col A"] == "1" and txt["c"] == '[{"p":1,"q":null}]'
 
 
+def test_save_report_as_catalog_table(spark, small_dir):
+    from procura.plans.registry import reports_for
+    from procura.sources.sinks import save_report
+    r = reports_for(spark, small_dir)
+    save_report(r.fund_use, "fund_use_test")
+    assert spark.table("fund_use_test").count() == r.fund_use.count()
+    spark.sql("drop table fund_use_test")
+
+
 def test_snapshot_publish_switches_pointer(spark, tmp):
     one = spark.range(3).withColumn("v", F.lit("a"))
     two = spark.range(5).withColumn("v", F.lit("b"))
