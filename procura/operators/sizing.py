@@ -23,7 +23,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     shuffle of the big side at all)."""
     d = df.persist()
     n = d.limit(max_rows + 1).count()
-    return F.broadcast(d) if n <= max_rows else d
+    if n <= max_rows:
+        return F.broadcast(d)
+    d.unpersist()  # large: do not hold it; the shuffle join reads it lazily
+    return df
 
 
 def row_number_chunked(df: DataFrame, group: list[str], order: list[str], chunk: list[Column],

@@ -61,3 +61,28 @@ def test_fallback_lookup_and_decode(spark):
     assert got == {"x": "P1", "y": "S2", "z": None}
     codes = spark.createDataFrame([("x", "Ex")], "code string, name string")
     assert dict((r.c, r.n) for r in decode(df, "c", codes, "n").collect()) == {"x": "Ex", "y": None, "z": None}
+
+
+def test_broadcast_only_when_counted_small(spark):
+    from procura.operators.sizing import broadcast_if_small
+    big = spark.range(50).withColumnRenamed("id", "k")
+    facts = spark.range(1000).withColumn("k", F.col("id") % 50)
+    small_plan = facts.join(broadcast_if_small(big, max_rows=100), "k")._jdf.queryExecution().optimizedPlan().toString()
+    large_plan = facts.join(broadcast_if_small(big, max_rows=10), "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in small_plan.lower()
+    assert "strategy=broadcast" not in large_plan.lower() and "broadcast)" not in large_plan.lower()
+
+
+def test_row_number_chunked_matches_window(spark):
+    import random
+
+    from pyspark.sql.window import Window
+
+    from procura.operators.sizing import row_number_chunked
+    rnd = random.Random(3)
+    rows = [(rnd.randint(0, 3), rnd.randint(0, 20), rnd.randint(0, 1000), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, a int, b int, u int")
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("a", "b", "u")))
+    got = row_number_chunked(df, ["g"], ["a", "b", "u"], [F.col("a"), F.floor(F.col("b") / 100)], "rn")
+    assert sorted(tuple(r) for r in got.select("g", "a", "b", "u", "rn").collect()) == \
+        sorted(tuple(r) for r in ref.select("g", "a", "b", "u", "rn").collect())
