@@ -50,14 +50,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to a shared file system path and
-    is used as is.  Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    is used as is (unset on a cluster is an error).  Only in local mode with
+    nothing set (tests) a scratch folder is created and registered.
     """
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
-    if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
+                               "(a machine-local folder does not work on a cluster)")
         d = tempfile.mkdtemp(prefix="procura-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d
