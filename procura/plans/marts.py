@@ -5,12 +5,15 @@ Each mart is a lazy DataFrame built from the source relations held by a
 :class:`procura.sources.testdata.TestSources`, or
 :class:`procura.sources.catalog.SourceCatalog` over parquet / JDBC).
 
-Join strategy: code tables and funds are tiny and get broadcast by the
-optimizer (AQE re-checks real sizes at run time); record metadata holds a row
-for every record of every kind, so it is always filtered to one record kind
-before a join and never broadcast explicitly.  Children (lines, fund
-children, addresses) are aggregated before they meet their header, so every
-header join is one-to-one.
+Join strategy: code tables, funds and vendor look-ups join through
+:func:`procura.operators.sizing.broadcast_if_small` (broadcast only after
+counting them; a broadcast side also shields the join from hot keys on the
+fact side); record metadata holds a row for every record of every kind, so
+it is always filtered to one record kind before a join and never broadcast.
+Children (lines, fund children, addresses) are aggregated before they meet
+their header, so every header join is one-to-one; the remaining big joins
+are shuffle joins on the invoice / order key, where AQE splits skewed
+partitions.
 """
 
 from __future__ import annotations
