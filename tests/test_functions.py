@@ -60,3 +60,14 @@ def test_gl_object_description(spark):
     got = col_values(spark, [5410, 5420, 5430, 5450, 5210, 9999, None], "int", gl_object_description)
     assert got == ["PRINT MATERIALS", "PERIODICALS", "A/V LIBRARY MATERIALS", "ELECTRONIC MATERIALS",
                    "ADMIN SUPPLIES", None, None]
+
+
+def test_pct_of_matches_published_fund_chart(spark):
+    """Golden rows of the published fund-use chart: (appropriation,
+    encumbrance, expenditure) -> total % used, expenditure % used."""
+    golden = [(150000, 0, 5900, "3.93", "3.93"), (148984, 16460, 73847, "60.62", "49.57"),
+              (200000, 0, 0, "0.00", "0.00"), (1459190, 4636, 257415, "17.96", "17.64"),
+              (4154362, 435696, 405302, "20.24", "9.76")]
+    df = spark.createDataFrame([g[:3] for g in golden], "a bigint, enc bigint, exp bigint")
+    got = df.select(pct_of(F.col("exp") + F.col("enc"), "a").alias("t"), pct_of("exp", "a").alias("e")).collect()
+    assert [(str(r.t), str(r.e)) for r in got] == [(g[3], g[4]) for g in golden]
