@@ -215,7 +215,10 @@ CTES["vendor_record_address"] = f"""
     n_name, r_name, null, null
   from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey
   where s_suppkey % 9 <> 8 and s_suppkey % 2 = 0"""
-CTES["vendor_record_address_type"] = "select * from (values (cast(1 as bigint), 'a'), (2, 'b')) t(id, code)"
+CTES["vendor_record_address_type"] = """
+  select distinct vendor_record_address_type_id as id,
+    case vendor_record_address_type_id when 1 then 'a' else 'b' end as code
+  from vendor_record_address"""
 CTES["fiscal_vendors"] = """
   select cast(s_suppkey as integer) as FiscalVendorId, concat('FV', s_suppkey) as FiscalVendorCode,
     s_name as VendorName, concat('v', s_suppkey) as IlsVendorCode

@@ -388,8 +388,9 @@ class TestSources:
 
     @cached_property
     def vendor_record_address_type(self) -> DataFrame:
-        # address type code table: 1 = 'a' (head office), 2 = 'b' (billing)
-        return self.spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, code string")
+        # the address types in use: 1 = 'a' (head office), 2 = 'b' (billing)
+        return (self.vendor_record_address.select(F.col("vendor_record_address_type_id").alias("id")).distinct()
+                .select("id", F.expr("case id when 1 then 'a' else 'b' end").alias("code")))
 
     @cached_property
     def fiscal_vendors(self) -> DataFrame:
