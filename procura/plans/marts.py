@@ -297,8 +297,8 @@ class Marts:
                                            F.col("code").alias("_vcode"))
         vrm = self.record_nums(VENDOR, "_vid", "vendor_record_num")
         return (s.join(irm, irm._iid == s.invoice_record_id, "left")
-                .join(small(vr), F.col("_vcode") == s.vendor_code, "left")
-                .join(vrm, vrm._vid == vr.vendor_record_id, "left")
+                .join(small(vr.join(vrm, vrm._vid == vr.vendor_record_id, "left")),
+                      F.col("_vcode") == s.vendor_code, "left")
                 .select("invoice_record_id", "invoice_record_num", "vendor_record_id", "vendor_record_num",
                         "vendor_code", "voucher_num", "voucher_total", "display_order"))
 
