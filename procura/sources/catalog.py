@@ -55,21 +55,24 @@ class SourceCatalog:
 
     @classmethod
     def parquet(cls, spark: SparkSession, root: str, fiscal_vendors_csv: str | None = None,
-                fiscal_funds_csv: str | None = None) -> "SourceCatalog":
-        """One parquet folder per relation under ``root``."""
+                fiscal_funds_csv: str | None = None, csv_titles: dict[str, str] | None = None) -> "SourceCatalog":
+        """One parquet folder per relation under ``root``; the two fiscal
+        office lists from CSV files if given (``csv_titles`` maps the files'
+        column titles to the column names)."""
         root = root.rstrip("/")
         readers: dict[str, Callable[[], DataFrame]] = {
             n: (lambda n=n: spark.read.parquet(f"{root}/{n}")) for n in SOURCE_RELATIONS}
-        readers["fiscal_vendors"] = (lambda: read_fiscal_vendors(spark, fiscal_vendors_csv)) \
+        readers["fiscal_vendors"] = (lambda: read_fiscal_vendors(spark, fiscal_vendors_csv, csv_titles)) \
             if fiscal_vendors_csv else (lambda: spark.read.parquet(f"{root}/fiscal_vendors"))
-        readers["fiscal_funds"] = (lambda: read_fiscal_funds(spark, fiscal_funds_csv)) \
+        readers["fiscal_funds"] = (lambda: read_fiscal_funds(spark, fiscal_funds_csv, csv_titles)) \
             if fiscal_funds_csv else (lambda: spark.read.parquet(f"{root}/fiscal_funds"))
         return cls(spark, readers)
 
     @classmethod
     def jdbc(cls, spark: SparkSession, url: str, properties: dict[str, str], schema: str,
              fiscal_vendors_csv: str, fiscal_funds_csv: str,
-             partitioning: dict[str, tuple[str, int]] | None = None) -> "SourceCatalog":
+             partitioning: dict[str, tuple[str, int]] | None = None,
+             csv_titles: dict[str, str] | None = None) -> "SourceCatalog":
         """Relations of a JDBC source (``schema.relation``); large relations are
         read in parallel ranges of a numeric key."""
         parts = {**JDBC_PARTITIONING, **(partitioning or {})}
@@ -92,8 +95,8 @@ class SourceCatalog:
             return read
 
         readers = {n: reader(n) for n in SOURCE_RELATIONS}
-        readers["fiscal_vendors"] = lambda: read_fiscal_vendors(spark, fiscal_vendors_csv)
-        readers["fiscal_funds"] = lambda: read_fiscal_funds(spark, fiscal_funds_csv)
+        readers["fiscal_vendors"] = lambda: read_fiscal_vendors(spark, fiscal_vendors_csv, csv_titles)
+        readers["fiscal_funds"] = lambda: read_fiscal_funds(spark, fiscal_funds_csv, csv_titles)
         return cls(spark, readers)
 
 
