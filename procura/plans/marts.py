@@ -304,9 +304,10 @@ class Marts:
 
     # ---------------------------------------------------------------- M8 orders
     @cached_property
-    def orders(self) -> DataFrame:
-        """M8: one row per order (x bib link x vendor match) with its fund
-        children (except summary rows at location ``multi``) aggregated."""
+    def order_funds_flat(self) -> DataFrame:
+        """Fund children of orders, one row each (summary rows at location
+        ``multi`` excluded), with the fund resolved by the digits of the
+        child's fund code.  The flat form the reports read."""
         cmf = self.src.order_record_cmf.filter(F.col("location_code") != "multi")
         fm = self.src.fund_master.select(F.col("code_num").alias("fund_code_num"),
                                          F.col("code").alias("_fm_code"), "accounting_unit_id")
@@ -314,11 +315,17 @@ class Marts:
                                              F.col("code_num").alias("acct_unit_code_num"))
         # funds: few rows but hot keys on the children side -> checked broadcast
         funds = small(fm.join(au, au._au_id == fm.accounting_unit_id, "left"))
-        kids = (cmf.withColumn("_fkey", digits_key("fund_code"))
+        return (cmf.withColumn("_fkey", digits_key("fund_code"))
                 .join(funds, F.col("_fkey") == F.col("fund_code_num"), "left")
                 .select("order_record_id", "display_order", F.col("id").alias("cmf_id"), "fund_code_num",
                         F.col("_fm_code").alias("fund_code"), "acct_unit_code_num", "copies",
                         "location_code", F.col("fund_code").alias("_raw_fund_code")))
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        """M8: one row per order (x bib link x vendor match) with its fund
+        children (except summary rows at location ``multi``) aggregated."""
+        kids = self.order_funds_flat
         agg = (kids.groupBy("order_record_id")
                .agg(F.count("cmf_id").cast("bigint").alias("count_cmf"),
                     F.countDistinct("_raw_fund_code").cast("bigint").alias("count_distinct_cmf_fund_codes"),

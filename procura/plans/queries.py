@@ -37,7 +37,10 @@ def on_order_by_fund(m: Marts, fund_code: str) -> DataFrame:
     """Q2: on-order orders with a fund child of ``fund_code``; an order is
     repeated once per matching child (unnest + filter, not EXISTS)."""
     o = m.orders.filter(F.col("order_status_code") == "o")
-    hits = o.select("*", F.explode("cmf_data").alias("_c")).filter(F.col("_c.fund_code") == fund_code).drop("_c")
+    # one row per matching child, from the flat children
+    kids = (m.order_funds_flat.filter(F.col("fund_code") == fund_code)
+            .select(F.col("order_record_id").alias("_kid_order")))
+    hits = o.join(kids, o.order_record_id == kids._kid_order).drop("_kid_order")
     return _json_arrays(hits)
 
 

@@ -68,10 +68,10 @@ class Reports:
     @cached_property
     def on_order_view(self) -> DataFrame:
         o = self.m.orders
-        funds = (o.filter(F.col("order_status_code") == "o")
-                 .select("order_record_num", F.explode("cmf_data").alias("c"))
-                 .select("order_record_num", F.col("c.fund_code").alias("fund_code"))
-                 .filter(F.col("fund_code").isNotNull())
+        # fund codes from the flat children (not by unnesting the array)
+        on = o.filter(F.col("order_status_code") == "o").select("order_record_id", "order_record_num").distinct()
+        kids = self.m.order_funds_flat.filter(F.col("fund_code").isNotNull()).select("order_record_id", "fund_code")
+        funds = (kids.join(on, "order_record_id")
                  .groupBy("order_record_num")
                  .agg(concat_distinct("fund_code").alias("fund_codes")))
         return funds.join(o, "order_record_num").select(
