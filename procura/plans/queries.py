@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from procura.operators.nesting import to_json_text
 from procura.plans.marts import Marts
 from procura.plans.reports import Reports
+from procura.sources.sinks import register_views as sink_views
 
 # Browse limits of the reporting front end.
 MAX_RETURNED_ROWS = 10_000
@@ -131,7 +132,7 @@ def register_views(spark: SparkSession, m: Marts, r: Reports) -> list[str]:
         "invoice": m.invoice, "invoice_line_data": m.invoice_line_data,
         "invoice_record_order_record_link": m.invoice_record_order_record_link,
         "invoice_record_vendor_record_link": m.invoice_record_vendor_record_link,
-        "orders": m.orders, "vendors": m.vendors,
+        "orders": m.orders, "order_funds_flat": m.order_funds_flat, "vendors": m.vendors,
         "invoice_record_vendor_summary": m.invoice_record_vendor_summary,
         "order_record_received": m.order_record_received,
         "on_order_view": r.on_order_view, "vendors_summary_view": r.vendors_summary_view,
@@ -144,9 +145,7 @@ def register_views(spark: SparkSession, m: Marts, r: Reports) -> list[str]:
         "fully_paid_order_bib_avg_item_cost_view": r.fully_paid_order_bib_avg_item_cost_view,
         "fund_use": r.fund_use,
     }
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return sorted(views)
+    return sink_views(views)
 
 
 # Canned SQL with named parameters (run with spark.sql(text, args={...})).
