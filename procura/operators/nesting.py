@@ -41,6 +41,24 @@ def nest(df: DataFrame, key: str | list[str], fields: list[str], order: list[str
             .drop("_arr")
 
 
+def nest_paged(df: DataFrame, key: str | list[str], fields: list[str], order: list[str], out: str,
+               chunk: list[Column], page_col: str, page_size: int) -> DataFrame:
+    """Like :func:`nest`, but one row per (``key``, page of ``page_size``
+    children): each child's position inside its parent comes from a
+    skew-safe row numbering (``chunk``: expressions that never decrease
+    along ``order``, see :func:`procura.operators.sizing.row_number_chunked`),
+    so no task ever collects more than one page, however many children a
+    parent has.  Parents with up to ``page_size`` children give one row
+    (page 0).  Parent-level aggregates are the caller's (aggregate the flat
+    rows by ``key`` and join)."""
+    from procura.operators.sizing import row_number_chunked
+    keys = [key] if isinstance(key, str) else list(key)
+    ordering = [F.col(o).asc_nulls_last() for o in order]
+    d = row_number_chunked(df, keys, ordering, chunk, "_pos", zero_based=True)
+    d = d.withColumn(page_col, F.floor(F.col("_pos") / F.lit(page_size)).cast("int"))
+    return nest(d, keys + [page_col], fields, order, out)
+
+
 def unnest(df: DataFrame, array_col: str, fields: list[str] | None = None, prefix: str = "") -> DataFrame:
     """One row per array element; parents with an empty or null array drop
     out (inner unnest).  Element fields become columns."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import digits_key, to_cents
 from procura.operators.allocate import DEFAULT_CHUNK_SIZE, allocate, share_cents, with_chunk
-from procura.operators.nesting import first_by, nest
+from procura.operators.nesting import first_by, nest, nest_paged
 from procura.operators.sizing import broadcast_if_small as small
 from procura.session import materialize
 
@@ -321,25 +321,19 @@ class Marts:
                         F.col("_fm_code").alias("fund_code"), "acct_unit_code_num", "copies",
                         "location_code", F.col("fund_code").alias("_raw_fund_code")))
 
+    CHILD_PAGE_SIZE = 4096
+
     @cached_property
-    def orders(self) -> DataFrame:
-        """M8: one row per order (x bib link x vendor match) with its fund
-        children (except summary rows at location ``multi``) aggregated."""
+    def order_header(self) -> DataFrame:
+        """Order-grain part of M8: one row per order (x bib link x vendor
+        match) with the aggregates of its fund children (except summary rows
+        at location ``multi``), without the nested children.  Reports that
+        count or list orders read this."""
         kids = self.order_funds_flat
         agg = (kids.groupBy("order_record_id")
                .agg(F.count("cmf_id").cast("bigint").alias("count_cmf"),
                     F.countDistinct("_raw_fund_code").cast("bigint").alias("count_distinct_cmf_fund_codes"),
-                    F.sum("copies").cast("bigint").alias("sum_cmf_copies"),
-                    F.array_sort(F.collect_list(F.struct(
-                        F.col("display_order").isNull().alias("_o0"), "display_order",
-                        F.col("cmf_id").alias("_o1"),
-                        "cmf_id", "fund_code_num", "fund_code", "acct_unit_code_num", "copies",
-                        "location_code"))).alias("_kids")))
-        agg = agg.withColumn("cmf_data", F.transform("_kids", lambda k: F.struct(
-            k.display_order.alias("display_order"), k.cmf_id.alias("cmf_id"),
-            k.fund_code_num.alias("fund_code_num"), k.fund_code.alias("fund_code"),
-            k.acct_unit_code_num.alias("acct_unit_code_num"), k.copies.alias("copies"),
-            k.location_code.alias("location_code")))).drop("_kids")
+                    F.sum("copies").cast("bigint").alias("sum_cmf_copies")))
         orr = self.src.order_record
         rm = self.src.record_metadata.filter(F.col("record_type_code") == ORDER).select(
             F.col("id").alias("_oid"), F.col("record_num").alias("order_record_num"), "creation_date_gmt")
@@ -368,7 +362,7 @@ class Marts:
              .join(small(vr), F.col("_vcode") == orr.vendor_record_code, "left"))
         return d.select(
             "order_record_num", agg.order_record_id, "count_cmf", "count_distinct_cmf_fund_codes",
-            "sum_cmf_copies", "cmf_data", "orders_display_order", "bib_record_id", "bib_record_num",
+            "sum_cmf_copies", "orders_display_order", "bib_record_id", "bib_record_num",
             "creation_date_gmt", orr.accounting_unit_code_num,
             to_cents(orr.estimated_price).alias("estimated_price_cents"),
             orr.form_code.alias("physical_form_code"), "physical_form_name",
@@ -376,6 +370,25 @@ class Marts:
             orr.received_date_gmt, orr.receiving_location_code, orr.order_status_code, "order_status_name",
             orr.vendor_record_code, "vendor_record_id", orr.volume_count)
 
+    ORDER_CHILD_FIELDS = ("display_order", "cmf_id", "fund_code_num", "fund_code", "acct_unit_code_num", "copies",
+                          "location_code")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        """M8: orders with their fund children nested in display order.
+
+        One row per order (x bib link x vendor match) and page of
+        ``CHILD_PAGE_SIZE`` children: every real order is one row (page 0);
+        no task collects more than one page of children."""
+        pages = nest_paged(self.order_funds_flat, "order_record_id", list(self.ORDER_CHILD_FIELDS),
+                           ["display_order", "cmf_id"], "cmf_data",
+                           chunk=[F.col("display_order").isNull(), F.col("display_order")],
+                           page_col="cmf_page", page_size=self.CHILD_PAGE_SIZE)
+        h = self.order_header
+        cols = h.columns
+        i = cols.index("sum_cmf_copies") + 1
+        return h.join(pages, "order_record_id").select(*cols[:i], "cmf_page", "cmf_data", *cols[i:])
+
     # --------------------------------------------------------------- M9 vendors
     @cached_property
     def vendors(self) -> DataFrame:

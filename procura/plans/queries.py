@@ -51,7 +51,7 @@ def multi_fund_orders(m: Marts, more_than: int, order_status_code: str) -> DataF
                         & (F.col("order_status_code") == order_status_code))
     return _json_arrays(o.select(
         "order_record_num", F.to_date("creation_date_gmt").alias("creation_date"), "count_cmf",
-        F.col("count_distinct_cmf_fund_codes").alias("count_fund_codes"), "sum_cmf_copies", "cmf_data",
+        F.col("count_distinct_cmf_fund_codes").alias("count_fund_codes"), "sum_cmf_copies", "cmf_page", "cmf_data",
         "bib_record_id", F.col("accounting_unit_code_num").alias("accnt_unit_code"),
         (F.col("estimated_price_cents").cast("decimal(14,0)") / 100).cast("decimal(14,2)").alias("estimated_price"),
         "physical_form_name", F.to_date("order_date_gmt").alias("order_date"),
@@ -61,7 +61,7 @@ def multi_fund_orders(m: Marts, more_than: int, order_status_code: str) -> DataF
 
 def order_status_counts(m: Marts) -> DataFrame:
     """Q4: number of orders per status."""
-    return (m.orders.groupBy("order_status_code", "order_status_name")
+    return (m.order_header.groupBy("order_status_code", "order_status_name")
             .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
 
 
@@ -84,12 +84,12 @@ def _order_listing(o: DataFrame, with_total: bool) -> DataFrame:
 
 def on_order_list(m: Marts) -> DataFrame:
     """Q5: on-order listing with derived price and dates."""
-    return _order_listing(m.orders.filter(F.col("order_status_code") == "o"), with_total=False)
+    return _order_listing(m.order_header.filter(F.col("order_status_code") == "o"), with_total=False)
 
 
 def order_price_list(m: Marts) -> DataFrame:
     """Q6: order listing with estimated total price = price x copies."""
-    return _order_listing(m.orders, with_total=True)
+    return _order_listing(m.order_header, with_total=True)
 
 
 def browse(df: DataFrame, gte: dict | None = None, lte: dict | None = None,
@@ -132,7 +132,8 @@ def register_views(spark: SparkSession, m: Marts, r: Reports) -> list[str]:
         "invoice": m.invoice, "invoice_line_data": m.invoice_line_data,
         "invoice_record_order_record_link": m.invoice_record_order_record_link,
         "invoice_record_vendor_record_link": m.invoice_record_vendor_record_link,
-        "orders": m.orders, "order_funds_flat": m.order_funds_flat, "vendors": m.vendors,
+        "orders": m.orders, "order_header": m.order_header, "order_funds_flat": m.order_funds_flat,
+        "vendors": m.vendors,
         "invoice_record_vendor_summary": m.invoice_record_vendor_summary,
         "order_record_received": m.order_record_received,
         "on_order_view": r.on_order_view, "vendors_summary_view": r.vendors_summary_view,

@@ -67,7 +67,7 @@ class Reports:
     # ------------------------------------------------------------ V1 on order
     @cached_property
     def on_order_view(self) -> DataFrame:
-        o = self.m.orders
+        o = self.m.order_header
         # fund codes from the flat children (not by unnesting the array)
         on = o.filter(F.col("order_status_code") == "o").select("order_record_id", "order_record_num").distinct()
         kids = self.m.order_funds_flat.filter(F.col("fund_code").isNotNull()).select("order_record_id", "fund_code")
@@ -90,7 +90,7 @@ class Reports:
         """Per vendor: number of orders and latest order time.  Aggregated
         before the join, so one vendor with a huge share of the orders is
         pre-aggregated map side instead of fanning out through a join."""
-        return (self.m.orders.filter(F.col("vendor_record_id").isNotNull())
+        return (self.m.order_header.filter(F.col("vendor_record_id").isNotNull())
                 .groupBy("vendor_record_id")
                 .agg(F.max("order_date_gmt").alias("max_order_date_gmt"),
                      F.count("order_record_num").alias("n_orders")))
@@ -331,7 +331,7 @@ class Reports:
     # ------------------------------------------- V12 fully paid cost per bib
     @cached_property
     def fully_paid_order_bib_avg_item_cost_view(self) -> DataFrame:
-        o = (self.m.orders.filter(F.col("order_status_name") == "FULLY PAID")
+        o = (self.m.order_header.filter(F.col("order_status_name") == "FULLY PAID")
              .select("bib_record_num", "order_record_num", "physical_form_name", "estimated_price_cents",
                      "sum_cmf_copies", "order_type_name", F.to_date("order_date_gmt").alias("order_date")))
         s, n = F.sum("estimated_price_cents"), F.count("estimated_price_cents")

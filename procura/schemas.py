@@ -59,7 +59,7 @@ MART_DDL = {
     "orders": (
         "order_record_num BIGINT,order_record_id BIGINT,count_cmf BIGINT,"
         "count_distinct_cmf_fund_codes BIGINT,sum_cmf_copies BIGINT,"
-        "cmf_data ARRAY<STRUCT<display_order: INT, cmf_id: BIGINT, fund_code_num: INT, fund_code: STRING,"
+        "cmf_page INT,cmf_data ARRAY<STRUCT<display_order: INT, cmf_id: BIGINT, fund_code_num: INT, fund_code: STRING,"
         " acct_unit_code_num: INT, copies: INT, location_code: STRING>>,orders_display_order INT,"
         "bib_record_id BIGINT,bib_record_num BIGINT,creation_date_gmt TIMESTAMP_NTZ,"
         "accounting_unit_code_num INT,estimated_price_cents BIGINT,physical_form_code STRING,"

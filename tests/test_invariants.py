@@ -84,3 +84,20 @@ def test_allocation_independent_of_chunk_size(spark, small_dir):
     b = Marts(src, chunk_size=3, materialize="persist").invoice_line_data
     assert b.count() == a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_order_pages_reassemble(spark, small_dir):
+    """Small child pages give the same fund children, in the same order."""
+    m = marts_for(spark, small_dir)
+    whole = {r.order_record_id: [x.cmf_id for x in r.cmf_data] for r in m.orders.collect()}
+    paged = marts_for(spark, small_dir)
+    paged.CHILD_PAGE_SIZE = 2
+    parts = {}
+    for r in paged.orders.collect():
+        parts.setdefault(r.order_record_id, []).append((r.cmf_page, [x.cmf_id for x in r.cmf_data], r.count_cmf))
+    assert set(parts) == set(whole) and any(len(v) > 1 for v in parts.values())
+    for k, v in parts.items():
+        v.sort()
+        assert [c for _, page, _ in v for c in page] == whole[k]
+        assert all(len(page) <= 2 for _, page, _ in v)
+        assert {n for _, _, n in v} == {len(whole[k])}
