@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from procura.operators.sizing import join_null_safe
+
 DEFAULT_CHUNK_SIZE = 4096
 
 
@@ -94,7 +96,7 @@ def running_sum(df: DataFrame, group: list[str] | str, order: str, value: str, o
         F.sum("_cc").over(before).alias("_off_c"),
         *[F.sum(f"_t_{name}").over(whole).alias(name) for name in group_totals])
 
-    j = d.join(offsets, on=keys, how="inner")
+    j = join_null_safe(d, offsets, keys)
     within = Window.partitionBy(*keys).orderBy(order)  # default frame: RANGE .. CURRENT ROW
     seen = F.coalesce(F.col("_off_c"), F.lit(0)) + F.count(value).over(within)
     total = F.coalesce(F.col("_off_s"), F.lit(0)) + F.coalesce(F.sum(value).over(within), F.lit(0))

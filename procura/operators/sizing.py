@@ -29,6 +29,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return df
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null keys match null keys (``<=>``), as
+    grouping does; the right side's key columns are dropped."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def row_number_chunked(df: DataFrame, group: list[str], order: list[str], chunk: list[Column],
                        out: str, zero_based: bool = False) -> DataFrame:
     """``row_number() over (partition by group order by order)`` without
@@ -44,7 +52,7 @@ def row_number_chunked(df: DataFrame, group: list[str], order: list[str], chunk:
     before = Window.partitionBy(*group).orderBy("_rn_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group, "_rn_chunk", F.coalesce(F.sum("_rn_n").over(before), F.lit(0))
                             .alias("_rn_off"))
-    j = d.join(offsets, [*group, "_rn_chunk"])
+    j = join_null_safe(d, offsets, [*group, "_rn_chunk"])
     within = Window.partitionBy(*group, "_rn_chunk").orderBy(*order)
     rn = F.row_number().over(within) + F.col("_rn_off") - (1 if zero_based else 0)
     return j.withColumn(out, rn).drop("_rn_chunk", "_rn_off")

@@ -391,36 +391,54 @@ class Marts:
 
     # --------------------------------------------------------------- M9 vendors
     @cached_property
-    def vendors(self) -> DataFrame:
-        """M9: vendors with at least one address; addresses nested in
-        (type code, display order, id) order; name = addr1 of the first one."""
+    def vendor_addresses(self) -> DataFrame:
+        """Vendor addresses with their type code, one row each (flat form)."""
         vra = self.src.vendor_record_address
         vrat = self.src.vendor_record_address_type.select(F.col("id").alias("_tid"),
                                                           F.col("code").alias("address_type_code"))
+        return (vra.join(small(vrat), F.col("_tid") == vra.vendor_record_address_type_id)
+                .select("vendor_record_id", "address_type_code", "display_order", "addr1", "addr2",
+                        "addr3", "village", "city", "region", "postal_code", "country",
+                        F.col("id").alias("vendor_record_address_id")))
+
+    ADDRESS_ORDER = ("address_type_code", "display_order", "vendor_record_address_id")
+
+    @cached_property
+    def vendor_header(self) -> DataFrame:
+        """Vendor-grain part of M9: vendors with at least one address, the
+        address count and the name (addr1 of the first address by type code,
+        display order, id), without the nested addresses."""
+        addrs = self.vendor_addresses
+        agg = (addrs.groupBy("vendor_record_id")
+               .agg(F.count("vendor_record_address_id").cast("bigint").alias("count_address"),
+                    first_by("addr1", list(self.ADDRESS_ORDER)).alias("vendor_name")))
         vr = self.src.vendor_record.select(F.col("record_id").alias("vendor_record_id"),
                                            F.col("code").alias("vendor_record_code"),
                                            "accounting_unit_code_num")
-        addrs = (vra.join(small(vrat), F.col("_tid") == vra.vendor_record_address_type_id)
-                 .select("vendor_record_id", "address_type_code", "display_order", "addr1", "addr2",
-                         "addr3", "village", "city", "region", "postal_code", "country",
-                         F.col("id").alias("vendor_record_address_id")))
-        fields = ["address_type_code", "display_order", "addr1", "addr2", "addr3", "village", "city",
-                  "region", "postal_code", "country", "vendor_record_address_id"]
-        nested = nest(addrs, key="vendor_record_id", fields=fields,
-                      order=["address_type_code", "display_order", "vendor_record_address_id"],
-                      out="vendor_record_address", count_of="vendor_record_address_id",
-                      count_out="count_address",
-                      extra_aggs=[first_by("addr1", ["address_type_code", "display_order",
-                                                     "vendor_record_address_id"]).alias("vendor_name")])
         rm = self.src.record_metadata.filter(F.col("record_type_code") == VENDOR).select(
             F.col("id").alias("_vid"), F.col("record_num").alias("vendor_record_num"),
             _date("creation_date_gmt").alias("record_create_date"),
             _date("record_last_updated_gmt").alias("record_last_updated"), "num_revisions")
-        return (nested.join(vr, "vendor_record_id")
+        return (agg.join(vr, "vendor_record_id")
                 .join(rm, rm._vid == F.col("vendor_record_id"))
                 .select("vendor_record_id", "vendor_record_num", "record_create_date", "record_last_updated",
                         "num_revisions", "vendor_name", "vendor_record_code", "accounting_unit_code_num",
-                        "count_address", "vendor_record_address"))
+                        "count_address"))
+
+    @cached_property
+    def vendors(self) -> DataFrame:
+        """M9: vendors with their addresses nested in (type code, display
+        order, id) order; one row per vendor and page of ``CHILD_PAGE_SIZE``
+        addresses (one row for every real vendor)."""
+        fields = ["address_type_code", "display_order", "addr1", "addr2", "addr3", "village", "city",
+                  "region", "postal_code", "country", "vendor_record_address_id"]
+        pages = nest_paged(self.vendor_addresses, "vendor_record_id", fields, list(self.ADDRESS_ORDER),
+                           "vendor_record_address",
+                           chunk=[F.col("address_type_code").isNull(), F.col("address_type_code"),
+                                  F.col("display_order").isNull(), F.col("display_order")],
+                           page_col="address_page", page_size=self.CHILD_PAGE_SIZE)
+        return self.vendor_header.join(pages, "vendor_record_id").select(
+            *self.vendor_header.columns, "address_page", "vendor_record_address")
 
     # ----------------------------------------------- M10 invoice vendor summary
     @cached_property

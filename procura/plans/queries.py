@@ -133,7 +133,7 @@ def register_views(spark: SparkSession, m: Marts, r: Reports) -> list[str]:
         "invoice_record_order_record_link": m.invoice_record_order_record_link,
         "invoice_record_vendor_record_link": m.invoice_record_vendor_record_link,
         "orders": m.orders, "order_header": m.order_header, "order_funds_flat": m.order_funds_flat,
-        "vendors": m.vendors,
+        "vendors": m.vendors, "vendor_header": m.vendor_header,
         "invoice_record_vendor_summary": m.invoice_record_vendor_summary,
         "order_record_received": m.order_record_received,
         "on_order_view": r.on_order_view, "vendors_summary_view": r.vendors_summary_view,

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from procura.functions import (cents_to_money, gl_object_description, int_prefix, pct_of,
                                strip_zeros_if_numeric)
-from procura.operators.nesting import first_by
+from procura.operators.nesting import first_by, nest_paged
 from procura.operators.sizing import broadcast_if_small as small
+from procura.operators.sizing import join_null_safe
 from procura.operators.reshape import concat_distinct, melt, with_headings
 from procura.plans.marts import Marts
 
@@ -96,7 +97,7 @@ class Reports:
                      F.count("order_record_num").alias("n_orders")))
 
     def _vendor_summary(self) -> DataFrame:
-        v = self.m.vendors
+        v = self.m.vendor_header
         a = self._vendor_orders
         return (v.join(a, "vendor_record_id", "left")
                 .select("vendor_record_id", "vendor_record_num", "vendor_record_code", "vendor_name",
@@ -125,7 +126,7 @@ class Reports:
     @cached_property
     def fiscal_office_vendors_view(self) -> DataFrame:
         f = self.src.fiscal_vendors
-        v = self.m.vendors.select("vendor_record_code", "vendor_record_num", "vendor_record_id",
+        v = self.m.vendor_header.select("vendor_record_code", "vendor_record_num", "vendor_record_id",
                                   "record_create_date", "record_last_updated")
         last = self._vendor_orders.select("vendor_record_id",
                                           F.to_date("max_order_date_gmt").alias("max_order_date"))
@@ -170,7 +171,7 @@ class Reports:
         code ('d' field), else the fiscal office's vendor code.  'z' fields
         never give a payee (the reference sorts them after 'd' and blanks
         them).  One row per code that has either."""
-        v = self.m.vendors.select("vendor_record_id", "vendor_record_code")
+        v = self.m.vendor_header.select("vendor_record_id", "vendor_record_code")
         alt = (self.m.varfield.filter(F.col("varfield_type_code") == "d")
                .select(F.col("record_id").alias("vendor_record_id"), "occ_num", "varfield_id", "field_content")
                .join(v, "vendor_record_id")
@@ -291,7 +292,7 @@ class Reports:
         d = d.join(funds, d._fund_key == F.col("fund_code_num"), "inner")
         # raw (untrimmed) vendor code join of the reference: repeats a line once
         # per vendor carrying that code, keeps lines without one
-        v = small(self.m.vendors.select(F.col("vendor_record_code").alias("_vc")))
+        v = small(self.m.vendor_header.select(F.col("vendor_record_code").alias("_vc")))
         d = d.join(v, d.vendor_code == F.col("_vc"), "left")
         d = self._with_payee(d, "vendor_code", "pe_id")
         h = self.m.invoice_header.select("invoice_record_id", "invoice_record_num", "invoice_number_text",
@@ -318,7 +319,7 @@ class Reports:
         posted = (self.m.invoice_header.filter(F.col("posted_date").isNotNull())
                   .select("invoice_record_id", "posted_date"))
         per_inv = pairs.join(posted, "invoice_record_id")
-        v = self.m.vendors.select("vendor_record_id", "vendor_record_code", "vendor_name", "vendor_record_num")
+        v = self.m.vendor_header.select("vendor_record_id", "vendor_record_code", "vendor_name", "vendor_record_num")
         alt = (self.m.varfield.filter(F.col("varfield_type_code") == "d")
                .select(F.col("record_id").alias("_alt_vid"), F.col("field_content").alias("alternate_code")))
         # vendor attributes with their alternate codes: vendor-sized, checked broadcast
@@ -331,22 +332,26 @@ class Reports:
     # ------------------------------------------- V12 fully paid cost per bib
     @cached_property
     def fully_paid_order_bib_avg_item_cost_view(self) -> DataFrame:
+        """Per (title, physical form): fully paid orders' copies, average
+        price (floored), first/last order date, count, and the orders nested
+        in (date, number) order - one row per group and page of
+        ``CHILD_PAGE_SIZE`` orders (one row for every real title)."""
         o = (self.m.order_header.filter(F.col("order_status_name") == "FULLY PAID")
              .select("bib_record_num", "order_record_num", "physical_form_name", "estimated_price_cents",
                      "sum_cmf_copies", "order_type_name", F.to_date("order_date_gmt").alias("order_date")))
-        s, n = F.sum("estimated_price_cents"), F.count("estimated_price_cents")
-        g = (o.groupBy("bib_record_num", "physical_form_name")
-             .agg(F.sum("sum_cmf_copies").cast("bigint").alias("total_copies"),
-                  F.when(n > 0, F.floor((s - F.pmod(s, n)) / n)).cast("bigint").alias("est_avg_price_cents"),
-                  F.min("order_date").alias("min_order_date"), F.max("order_date").alias("max_order_date"),
-                  F.count(F.lit(1)).cast("bigint").alias("count_order_records"),
-                  F.array_sort(F.collect_list(F.struct(
-                      F.col("order_date").isNull().alias("_n0"), "order_date",
-                      F.col("order_record_num").isNull().alias("_n1"), "order_record_num",
-                      "order_type_name", "sum_cmf_copies"))).alias("_od")))
-        return g.withColumn("order_dates", F.transform("_od", lambda x: F.struct(
-            x.order_date.alias("order_date"), x.order_record_num.alias("order_record_num"),
-            x.order_type_name.alias("order_type_name"), x.sum_cmf_copies.alias("sum_cmf_copies")))).drop("_od")
+        keys = ["bib_record_num", "physical_form_name"]
+        s_, n_ = F.sum("estimated_price_cents"), F.count("estimated_price_cents")
+        agg = (o.groupBy(*keys)
+               .agg(F.sum("sum_cmf_copies").cast("bigint").alias("total_copies"),
+                    F.when(n_ > 0, F.floor((s_ - F.pmod(s_, n_)) / n_)).cast("bigint").alias("est_avg_price_cents"),
+                    F.min("order_date").alias("min_order_date"), F.max("order_date").alias("max_order_date"),
+                    F.count(F.lit(1)).cast("bigint").alias("count_order_records")))
+        pages = nest_paged(o, keys, ["order_date", "order_record_num", "order_type_name", "sum_cmf_copies"],
+                           ["order_date", "order_record_num"], "order_dates",
+                           chunk=[F.col("order_date").isNull(), F.col("order_date")],
+                           page_col="order_page", page_size=self.m.CHILD_PAGE_SIZE)
+        # grouping keys may be null (unknown form): join null-safely
+        return join_null_safe(agg, pages, keys)
 
     # ------------------------------------------------------- V13 fund use
     @cached_property

@@ -72,7 +72,7 @@ MART_DDL = {
         "vendor_record_id BIGINT,vendor_record_num BIGINT,record_create_date DATE,"
         "record_last_updated DATE,num_revisions INT,vendor_name STRING,vendor_record_code STRING,"
         "accounting_unit_code_num INT,count_address BIGINT,"
-        "vendor_record_address ARRAY<STRUCT<address_type_code: STRING, display_order: INT, addr1: STRING,"
+        "address_page INT,vendor_record_address ARRAY<STRUCT<address_type_code: STRING, display_order: INT, addr1: STRING,"
         " addr2: STRING, addr3: STRING, village: STRING, city: STRING, region: STRING,"
         " postal_code: STRING, country: STRING, vendor_record_address_id: BIGINT>>"
     ),
