@@ -44,19 +44,28 @@ def nest(df: DataFrame, key: str | list[str], fields: list[str], order: list[str
 def nest_paged(df: DataFrame, key: str | list[str], fields: list[str], order: list[str], out: str,
                chunk: list[Column], page_col: str, page_size: int) -> DataFrame:
     """Like :func:`nest`, but one row per (``key``, page of ``page_size``
-    children): each child's position inside its parent comes from a
-    skew-safe row numbering (``chunk``: expressions that never decrease
-    along ``order``, see :func:`procura.operators.sizing.row_number_chunked`),
-    so no task ever collects more than one page, however many children a
-    parent has.  Parents with up to ``page_size`` children give one row
-    (page 0).  Parent-level aggregates are the caller's (aggregate the flat
-    rows by ``key`` and join)."""
-    from procura.operators.sizing import row_number_chunked
+    children), so no task ever collects more than one page, however many
+    children a parent has.  Parents with up to ``page_size`` children (all
+    ordinary ones) give one row, page 0.
+
+    Hot parents are split off: children are counted per parent (partial
+    aggregation), the parents above ``page_size`` are found (their keys are
+    broadcast after a size check), and only their children are numbered,
+    skew-safely (``chunk``: expressions that never decrease along ``order``,
+    see :func:`procura.operators.sizing.row_number_chunked`), to give pages.
+    Parent-level aggregates are the caller's (aggregate the flat rows by
+    ``key`` and join)."""
+    from procura.operators.sizing import broadcast_if_small, join_null_safe, row_number_chunked
     keys = [key] if isinstance(key, str) else list(key)
+    big = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > page_size).select(*keys, F.lit(True).alias("_big")))
+    flagged = join_null_safe(df, broadcast_if_small(big), keys, "left")
+    ordinary = flagged.filter(F.col("_big").isNull()).drop("_big").withColumn(page_col, F.lit(0))
+    hot = flagged.filter(F.col("_big").isNotNull()).drop("_big")
     ordering = [F.col(o).asc_nulls_last() for o in order]
-    d = row_number_chunked(df, keys, ordering, chunk, "_pos", zero_based=True)
-    d = d.withColumn(page_col, F.floor(F.col("_pos") / F.lit(page_size)).cast("int"))
-    return nest(d, keys + [page_col], fields, order, out)
+    hot = row_number_chunked(hot, keys, ordering, chunk, "_pos", zero_based=True)
+    hot = hot.withColumn(page_col, F.floor(F.col("_pos") / F.lit(page_size)).cast("int")).drop("_pos")
+    return nest(ordinary.unionByName(hot), keys + [page_col], fields, order, out)
 
 
 def unnest(df: DataFrame, array_col: str, fields: list[str] | None = None, prefix: str = "") -> DataFrame:
