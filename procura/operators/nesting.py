@@ -57,6 +57,9 @@ def nest_paged(df: DataFrame, key: str | list[str], fields: list[str], order: li
     ``key`` and join)."""
     from procura.operators.sizing import broadcast_if_small, join_null_safe, row_number_chunked
     keys = [key] if isinstance(key, str) else list(key)
+    # the children are read three times below (sizes, ordinary, hot): keep
+    # them once (a no-op when the caller already materialised this plan)
+    df = df.persist()
     big = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > page_size).select(*keys, F.lit(True).alias("_big")))
     flagged = join_null_safe(df, broadcast_if_small(big), keys, "left")

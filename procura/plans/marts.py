@@ -307,7 +307,12 @@ class Marts:
     def order_funds_flat(self) -> DataFrame:
         """Fund children of orders, one row each (summary rows at location
         ``multi`` excluded), with the fund resolved by the digits of the
-        child's fund code.  The flat form the reports read."""
+        child's fund code.  The flat form the reports read; the order header
+        and the nested mart both read it, so it is computed once."""
+        return self._once(self.order_funds_frame())
+
+    def order_funds_frame(self) -> DataFrame:
+        """The fund children as a lazy plan (see :attr:`order_funds_flat`)."""
         cmf = self.src.order_record_cmf.filter(F.col("location_code") != "multi")
         fm = self.src.fund_master.select(F.col("code_num").alias("fund_code_num"),
                                          F.col("code").alias("_fm_code"), "accounting_unit_id")
@@ -392,14 +397,15 @@ class Marts:
     # --------------------------------------------------------------- M9 vendors
     @cached_property
     def vendor_addresses(self) -> DataFrame:
-        """Vendor addresses with their type code, one row each (flat form)."""
+        """Vendor addresses with their type code, one row each (flat form;
+        read by the vendor header and the nested mart, computed once)."""
         vra = self.src.vendor_record_address
         vrat = self.src.vendor_record_address_type.select(F.col("id").alias("_tid"),
                                                           F.col("code").alias("address_type_code"))
-        return (vra.join(small(vrat), F.col("_tid") == vra.vendor_record_address_type_id)
-                .select("vendor_record_id", "address_type_code", "display_order", "addr1", "addr2",
-                        "addr3", "village", "city", "region", "postal_code", "country",
-                        F.col("id").alias("vendor_record_address_id")))
+        return self._once(vra.join(small(vrat), F.col("_tid") == vra.vendor_record_address_type_id)
+                          .select("vendor_record_id", "address_type_code", "display_order", "addr1", "addr2",
+                                  "addr3", "village", "city", "region", "postal_code", "country",
+                                  F.col("id").alias("vendor_record_address_id")))
 
     ADDRESS_ORDER = ("address_type_code", "display_order", "vendor_record_address_id")
 

@@ -336,9 +336,11 @@ class Reports:
         price (floored), first/last order date, count, and the orders nested
         in (date, number) order - one row per group and page of
         ``CHILD_PAGE_SIZE`` orders (one row for every real title)."""
-        o = (self.m.order_header.filter(F.col("order_status_name") == "FULLY PAID")
-             .select("bib_record_num", "order_record_num", "physical_form_name", "estimated_price_cents",
-                     "sum_cmf_copies", "order_type_name", F.to_date("order_date_gmt").alias("order_date")))
+        # read by the group aggregates and by the nesting: computed once
+        o = self.m._once(
+            self.m.order_header.filter(F.col("order_status_name") == "FULLY PAID")
+            .select("bib_record_num", "order_record_num", "physical_form_name", "estimated_price_cents",
+                    "sum_cmf_copies", "order_type_name", F.to_date("order_date_gmt").alias("order_date")))
         keys = ["bib_record_num", "physical_form_name"]
         s_, n_ = F.sum("estimated_price_cents"), F.count("estimated_price_cents")
         agg = (o.groupBy(*keys)
