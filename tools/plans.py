@@ -11,7 +11,6 @@ numbers describe the final adaptive plan.
 from __future__ import annotations
 
 import os
-import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -19,42 +18,50 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from procura.session import build_session  # noqa: E402
 
 
-def _own_lines(plan: str) -> list[str]:
-    """Plan lines without the subtrees of cached relations (those were
-    computed once, by an earlier job, and are only read here)."""
-    out, skip_indent = [], None
-    for line in plan.splitlines():
-        indent = len(line) - len(line.lstrip(" :+-"))
-        if skip_indent is not None:
-            if indent > skip_indent:
-                continue
-            skip_indent = None
-        out.append(line)
-        if "InMemoryRelation" in line:
-            skip_indent = indent
-    return out
+def _walk(node):
+    """Nodes of the final physical plan: adaptive plans are followed into
+    their final plan and query stages into their exchanges; cached relations
+    (computed once by an earlier job) and reused exchanges are not entered."""
+    cls = node.getClass().getSimpleName()
+    if cls == "AdaptiveSparkPlanExec":
+        yield from _walk(node.executedPlan())
+        return
+    if cls.endswith("QueryStageExec"):
+        yield from _walk(node.plan())
+        return
+    yield node
+    if cls in ("InMemoryTableScanExec", "ReusedExchangeExec"):
+        return
+    kids = node.children()
+    for i in range(kids.size()):
+        yield from _walk(kids.apply(i))
 
 
-def summarise(plan: str) -> dict:
-    lines = _own_lines(plan)
+def summarise(plan) -> dict:
+    nodes = [(n.getClass().getSimpleName(), n) for n in _walk(plan)]
 
-    def count(pattern: str) -> int:
-        return sum(1 for x in lines if re.search(pattern, x))
+    def count(*classes: str) -> int:
+        return sum(1 for c, _ in nodes if c in classes)
+
+    scans = [n for c, n in nodes if c == "FileSourceScanExec"]
+
+    def pushed(n) -> bool:
+        f = n.metadata().get("PushedFilters")
+        return f.isDefined() and f.get() not in ("[]", "")
 
-    scans = [x for x in lines if "FileScan parquet" in x]
-    pushed = sum(1 for x in scans if "PushedFilters: [" in x and "PushedFilters: []" not in x)
     return {
-        "shuffles": count(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition"),
-        "broadcasts": count(r"BroadcastExchange"),
-        "bhj": count(r"BroadcastHashJoin"),
-        "smj": count(r"SortMergeJoin"),
-        "windows": count(r"\bWindow\b"),
-        "aggregates": count(r"HashAggregate|ObjectHashAggregate|SortAggregate"),
-        "cached": count(r"InMemoryTableScan"),
+        "shuffles": count("ShuffleExchangeExec"),
+        "broadcasts": count("BroadcastExchangeExec"),
+        "bhj": count("BroadcastHashJoinExec"),
+        "smj": count("SortMergeJoinExec", "ShuffledHashJoinExec"),
+        "windows": count("WindowExec"),
+        "aggregates": count("HashAggregateExec", "ObjectHashAggregateExec", "SortAggregateExec"),
+        "cached": count("InMemoryTableScanExec"),
         "scans": len(scans),
-        "scans_pushed": pushed,
-        "cartesian": count(r"CartesianProduct|BroadcastNestedLoopJoin"),
-        "python": count(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas"),
+        "scans_pushed": sum(1 for n in scans if pushed(n)),
+        "cartesian": count("CartesianProductExec", "BroadcastNestedLoopJoinExec"),
+        "python": count("BatchEvalPythonExec", "ArrowEvalPythonExec", "FlatMapGroupsInPandasExec",
+                        "MapInPandasExec"),
     }
 
 
@@ -92,7 +99,7 @@ def _table(spark, runs) -> None:
     for name, make in runs:
         df = make()
         df.write.format("noop").mode("overwrite").save()
-        s = summarise(df._jdf.queryExecution().executedPlan().toString())
+        s = summarise(df._jdf.queryExecution().executedPlan())
         print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |")
 
 
@@ -109,8 +116,8 @@ def main() -> None:
     qs = sorted(E.queries().items())
     print(f"# Executed plans of the registered queries ({os.path.basename(sf_dir)}, local[8], AQE on)\n")
     print("Generated by `python tools/plans.py`.  Counts are operators of the final adaptive plan of each "
-          "query; intermediates that the query materialises once (persisted) are read as `cached` and their "
-          "own plans are not counted again.  `cartesian` counts cartesian products and nested-loop joins, "
+          "query (walked as a tree; reused exchanges count once); intermediates that the query materialises "
+          "once (persisted) are read as `cached` and their own plans are not counted again.  `cartesian` counts cartesian products and nested-loop joins, "
           "`python` any Python evaluation; both must be 0.\n")
     print(FLAGSHIP)
     print("## Production shape: sources stored as parquet\n")
@@ -120,7 +127,8 @@ def main() -> None:
     _table(spark, [(n, lambda f=f: f.on_marts(Marts(SourceCatalog.parquet(spark, root), materialize="persist")))
                    for n, f in qs])
     print("\n## Registered form: sources derived from the test tables in the same plan\n")
-    print("Includes the test-table mapping (joins, chunked numbering, aggregates) in every plan.\n")
+    print("Includes the test-table mapping (joins, chunked numbering, aggregates); the parts that the query "
+          "materialises once appear as cached reads.\n")
     _table(spark, [(n, lambda f=f: f(spark, sf_dir)) for n, f in qs])
     spark.stop()
 
