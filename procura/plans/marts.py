@@ -387,7 +387,9 @@ class Marts:
         no task collects more than one page of children."""
         pages = nest_paged(self.order_funds_flat, "order_record_id", list(self.ORDER_CHILD_FIELDS),
                            ["display_order", "cmf_id"], "cmf_data",
-                           chunk=[F.col("display_order").isNull(), F.col("display_order")],
+                           # sub-ranges of (display order, id): no chunk grows past 65 536 children
+                           chunk=[F.col("display_order").isNull(), F.col("display_order"),
+                                  F.floor(F.col("cmf_id") / 65536)],
                            page_col="cmf_page", page_size=self.CHILD_PAGE_SIZE)
         h = self.order_header
         cols = h.columns
@@ -441,7 +443,8 @@ class Marts:
         pages = nest_paged(self.vendor_addresses, "vendor_record_id", fields, list(self.ADDRESS_ORDER),
                            "vendor_record_address",
                            chunk=[F.col("address_type_code").isNull(), F.col("address_type_code"),
-                                  F.col("display_order").isNull(), F.col("display_order")],
+                                  F.col("display_order").isNull(), F.col("display_order"),
+                                  F.floor(F.col("vendor_record_address_id") / 65536)],
                            page_col="address_page", page_size=self.CHILD_PAGE_SIZE)
         return self.vendor_header.join(pages, "vendor_record_id").select(
             *self.vendor_header.columns, "address_page", "vendor_record_address")

@@ -350,7 +350,8 @@ class Reports:
                     F.count(F.lit(1)).cast("bigint").alias("count_order_records")))
         pages = nest_paged(o, keys, ["order_date", "order_record_num", "order_type_name", "sum_cmf_copies"],
                            ["order_date", "order_record_num"], "order_dates",
-                           chunk=[F.col("order_date").isNull(), F.col("order_date")],
+                           chunk=[F.col("order_date").isNull(), F.col("order_date"),
+                                  F.col("order_record_num").isNull(), F.floor(F.col("order_record_num") / 65536)],
                            page_col="order_page", page_size=self.m.CHILD_PAGE_SIZE)
         # grouping keys may be null (unknown form): join null-safely
         return join_null_safe(agg, pages, keys)

@@ -101,3 +101,22 @@ def test_order_pages_reassemble(spark, small_dir):
         assert [c for _, page, _ in v for c in page] == whole[k]
         assert all(len(page) <= 2 for _, page, _ in v)
         assert {n for _, _, n in v} == {len(whole[k])}
+
+
+def test_paid_order_pages_reassemble(spark, small_dir):
+    """V12 in pages of one order gives the same orders and group figures."""
+    from procura.plans.registry import reports_for
+    key = lambda r: (r.bib_record_num, r.physical_form_name)
+    whole = {key(r): r for r in reports_for(spark, small_dir).fully_paid_order_bib_avg_item_cost_view.collect()}
+    r1 = reports_for(spark, small_dir)
+    r1.m.CHILD_PAGE_SIZE = 1
+    parts = {}
+    for r in r1.fully_paid_order_bib_avg_item_cost_view.collect():
+        parts.setdefault(key(r), []).append(r)
+    assert set(parts) == set(whole) and any(len(v) > 1 for v in parts.values())
+    for k, rows in parts.items():
+        rows.sort(key=lambda r: r.order_page)
+        assert [o.order_record_num for r in rows for o in r.order_dates] == \
+            [o.order_record_num for o in whole[k].order_dates]
+        assert {(r.total_copies, r.est_avg_price_cents, r.count_order_records) for r in rows} == \
+            {(whole[k].total_copies, whole[k].est_avg_price_cents, whole[k].count_order_records)}
