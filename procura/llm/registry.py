@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from procura.llm.packing import op1_best_fit_packing
+from procura.llm.simhash import op4_simhash_near_dedup
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
