@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from procura.llm import decontaminate, secrets
+from procura.llm.decontaminate import op10_benchmark_decontamination
 from procura.llm.packing import op1_best_fit_packing
+from procura.llm.secrets import op3_secret_scans
 from procura.llm.simhash import op4_simhash_near_dedup
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_secret_scans": op3_secret_scans,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_secret_scans": secrets.SQL,
+    "op10_benchmark_decontamination": decontaminate.SQL,
+}

@@ -1,0 +1,168 @@
+"""Secret scans over an incremental ledger of content-addressed blobs.
+
+Every version of a document is a blob, addressed by the SHA-256 of its text.
+The ledger has a row for each blob and rule version that has been scanned,
+with the spans found; a scan looks at unseen (blob, rule version) pairs alone,
+each distinct blob once however many paths hold it, and joins the findings
+back to all paths.  DataFrame functions only: the matches of a pattern and the
+pieces between them give the code-point positions.
+
+Defined cases: null text is the empty blob; repeated rows and null ids each
+get their row; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from procura.llm.common import read_table, stage
+
+
+@dataclass(frozen=True)
+class Rule:
+    """``pattern`` is matched from left to right without overlap; a match
+    counts if its ``group`` has ``least`` characters or more."""
+    kind: str
+    version: int
+    pattern: str
+    group: int = 0
+    least: int = 1
+
+
+ASSIGN = Rule("assign", 1, r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+              2, 12)
+ACCESS = Rule("access", 1, "AKIA[A-Z0-9]{14,}")
+#: Greedy runs of 16 or more are exactly the runs of any length that pass.
+HEX = Rule("hex", 1, "[0-9a-f]{16,}")
+#: Added by this operator: private key blocks and signed tokens.
+PEM = Rule("pem", 1, "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+JWT = Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
+RULES = (ASSIGN, ACCESS, HEX, PEM, JWT)
+
+SPAN = "array<struct<start:int,kind:string,rank:int,stop:int>>"
+LEDGER = f"blob string, kind string, version int, spans {SPAN}"
+
+
+def _matches(text: Column, rule: Rule) -> tuple[Column, Column, Column]:
+    """All matches, the checked groups, and the pieces between the matches."""
+    pattern = F.lit(rule.pattern)
+    whole = F.regexp_extract_all(text, pattern, F.lit(0))
+    checked = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
+    return whole, checked, F.split(text, rule.pattern, -1)
+
+
+def find_spans(text: Column, rule: Rule, rank: int) -> Column:
+    """Spans of a rule's matches in ``text`` (code points, end exclusive)."""
+    whole, checked, pieces = _matches(text, rule)
+    rows = F.arrays_zip(whole.alias("m"), checked.alias("g"), F.slice(pieces, 1, F.size(whole)).alias("p"))
+    done = F.aggregate(
+        rows, F.struct(F.lit(0).alias("at"), F.lit(None).cast(SPAN).alias("found")),
+        lambda a, x: F.struct(
+            (a["at"] + F.length(x["p"]) + F.length(x["m"])).alias("at"),
+            F.when(F.length(x["g"]) >= rule.least,
+                   F.concat(F.coalesce(a["found"], F.array().cast(SPAN)), F.array(F.struct(
+                       (a["at"] + F.length(x["p"])).alias("start"), F.lit(rule.kind).alias("kind"),
+                       F.lit(rank).alias("rank"), (a["at"] + F.length(x["p"]) + F.length(x["m"])).alias("stop")))))
+            .otherwise(a["found"]).alias("found")))
+    return F.when(text.rlike(rule.pattern), F.coalesce(done["found"], F.array().cast(SPAN))).otherwise(
+        F.array().cast(SPAN))
+
+
+def blob_of(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
+def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Ledger rows for the unseen (blob, rule version) pairs of ``versions``
+    (columns ``blob`` and ``text``; append them to the ledger)."""
+    known = F.lit(None).cast("array<string>")
+    blobs = versions.select("blob", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["blob"])
+    if ledger is not None:
+        seen = ledger.groupBy("blob").agg(F.collect_set(F.concat_ws(":", "kind", "version")).alias("seen"))
+        blobs = blobs.join(seen, "blob", "left")
+        known = F.col("seen")
+    wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"),
+                                F.when(~F.coalesce(F.array_contains(known, f"{r.kind}:{r.version}"), F.lit(False)),
+                                       find_spans(F.col("text"), r, k)).alias("spans"))
+                       for k, r in enumerate(rules)])
+    return (blobs.select("blob", F.explode(wanted).alias("r"))
+            .select("blob", "r.kind", "r.version", "r.spans").filter("spans is not null"))
+
+
+def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """One row per blob with the spans of the given rules, sorted by start,
+    then rule."""
+    current = " or ".join(f"kind = '{r.kind}' and version = {r.version}" for r in rules)
+    return (ledger.filter(current).filter(F.size("spans") > 0).groupBy("blob")
+            .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")))
+
+
+def scan(docs: DataFrame, ledger: DataFrame | None = None,
+         rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
+    """``doc_id`` and ``text`` -> (``doc_id``, ``spans`` for every row, new
+    ledger rows).  ``spans`` is an array of (start, kind, rank, stop)."""
+    versions = docs.select(F.col("doc_id").cast("long"), "text", blob_of(F.col("text")).alias("blob"))
+    new = stage(scan_unseen(versions, ledger, rules), "ledger")
+    found = findings(new if ledger is None else ledger.select(new.columns).union(new), rules)
+    out = versions.select("doc_id", "blob").join(found, "blob", "left")
+    return out.select("doc_id", F.coalesce("spans", F.array().cast(SPAN)).alias("spans")), new
+
+
+def redact(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """``text`` with each finding replaced by ``[kind]``, rule after rule."""
+    for rule in rules:
+        whole, checked, pieces = _matches(text, rule)
+        rows = F.arrays_zip(whole.alias("m"), checked.alias("g"), pieces.alias("p"))
+        parts = F.transform(rows, lambda x: F.concat(x["p"], F.coalesce(
+            F.when(F.length(x["g"]) >= rule.least, F.lit(f"[{rule.kind}]")).otherwise(x["m"]), F.lit(""))))  # noqa: B023
+        text = F.when(text.rlike(rule.pattern), F.array_join(parts, "")).otherwise(text)
+    return text
+
+
+def span_text(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"),
+                                                                 s["stop"].cast("string"))), ",")
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = scan(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < 3)
+    count = [F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long").alias(f"n_{r.kind}")  # noqa: B023
+             for k, r in enumerate(RULES[:3])]
+    return found.select("doc_id", *count, F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"),
+                        span_text(F.col("spans")).alias("spans"))
+
+
+def _sql_spans(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    """Spans of one rule as a DuckDB list of (start, rank, stop, kind)."""
+    p = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, rid, list_filter(list_transform(range(1, len(m) + 1), lambda i: {{
+      'start': list_sum(list_transform(p[1:i], lambda x: len(x)))::BIGINT
+               + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0)::BIGINT,
+      'rank': {rank},
+      'stop': list_sum(list_transform(p[1:i], lambda x: len(x)))::BIGINT
+              + list_sum(list_transform(m[1:i], lambda x: len(x)))::BIGINT,
+      'kind': '{kind}', 'ok': len(g[i]) >= {least}}}), lambda s: s.ok) AS s
+  FROM (SELECT doc_id, rid, regexp_extract_all(t, '{p}') AS m, regexp_extract_all(t, '{p}', {group}) AS g,
+               regexp_split_to_array(t, '{p}') AS p FROM d)"""
+
+
+def _sql() -> str:
+    parts = " UNION ALL ".join(_sql_spans(r.kind, k, r.pattern, r.group, r.least) for k, r in enumerate(RULES))
+    show = "lambda x: x.kind || ':' || x.start || ':' || x.stop"
+    n = ", ".join(f"len(list_filter(s, lambda x: x.kind = '{k}')) AS n_{k}" for k in ("assign", "access", "hex"))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
+f AS ({parts}),
+a AS (SELECT doc_id, rid, list_sort(flatten(list(s))) AS s FROM f GROUP BY doc_id, rid)
+SELECT doc_id, {n},
+       sha256(coalesce(array_to_string(list_transform(list_filter(s, lambda x: x.rank < 3), {show}), ','), '')) AS base_sha256,
+       coalesce(array_to_string(list_transform(s, {show}), ','), '') AS spans
+FROM a"""
+
+
+SQL = _sql()
