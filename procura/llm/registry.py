@@ -6,6 +6,7 @@ from procura.llm import decontaminate, secrets
 from procura.llm.decontaminate import op10_benchmark_decontamination
 from procura.llm.packing import op1_best_fit_packing
 from procura.llm.quality import op9_quality_classifier
+from procura.llm.rules import op8_quality_rules
 from procura.llm.secrets import op3_secret_scans
 from procura.llm.simhash import op4_simhash_near_dedup
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
