@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from procura.llm import decontaminate, secrets
 from procura.llm.decontaminate import op10_benchmark_decontamination
+from procura.llm.language import op7_language_id
 from procura.llm.packing import op1_best_fit_packing
 from procura.llm.quality import op9_quality_classifier
 from procura.llm.rules import op8_quality_rules
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
