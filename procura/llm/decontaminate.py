@@ -23,8 +23,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,18 +106,22 @@ class Index:
 OUT = "doc_id long, item_id long, n_shingles int, n_shared int, containment double"
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, threshold: float = THRESHOLD,
-               block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row for each test item contained in a document."""
+def indexes(benchmark: DataFrame, width: int, threshold: float, block_chars: int) -> Iterator[Index]:
+    """The items in blocks, each small enough to travel with a task function."""
     items = benchmark.select(F.col("item_id").cast("long"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-
-    def search(block: int) -> DataFrame:
+    for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = Index([tuple(r) for r in part.collect()], width, threshold)  # travels with the task function
+        yield Index([tuple(r) for r in part.collect()], width, threshold)
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, threshold: float = THRESHOLD,
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """One row for each test item contained in a document."""
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
 
+    def search(index: Index) -> DataFrame:
         def run(batches):
             hashes = per_process("alphanumeric word hashes", word_hasher)
             for batch in batches:
@@ -126,10 +133,24 @@ def find_items(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS
 
         return map_batches(docs, run, OUT)
 
-    out = search(0)
-    for block in range(1, blocks):
-        out = out.union(search(block))
-    return out
+    return reduce(DataFrame.union, map(search, indexes(benchmark, width, threshold, block_chars)))
+
+
+def _is_clean(index: Index):
+    @F.pandas_udf("boolean")
+    def clean(text: pd.Series) -> pd.Series:
+        hashes = per_process("alphanumeric word hashes", word_hasher)
+        return pd.Series([not index.contained(t or "", hashes) for t in text], dtype=bool)
+
+    return clean
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, threshold: float = THRESHOLD,
+                      block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` without the rows that contain a test item."""
+    for index in indexes(benchmark, width, threshold, block_chars):
+        docs = docs.filter(_is_clean(index)("text"))
+    return docs
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

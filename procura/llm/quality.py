@@ -20,6 +20,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,15 +83,16 @@ def describe(docs: DataFrame) -> DataFrame:
                        "doc_id long, held_out boolean, x array<float>")
 
 
-def training_rows(described: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """Described rows that may be learnt from, with ``y`` and ``calibrate``
-    (a fifth, by a hash of the id).  At most about ``max_rows`` of them."""
+def drawn_labels(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
+    """``doc_id`` and ``y`` of the labels that may be learnt from, at most
+    about ``max_rows`` by a hash of the id, so small enough to broadcast; a
+    fifth is marked ``calibrate``."""
     known = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("double").alias("y")).filter(
         "y is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    n = known.count()
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_rows / max(n, 1)))
+    share = min(1.0, max_rows / max(known.count(), 1))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000)) < int(1_000_000 * share)
     fold = (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 0).alias("calibrate")
-    return described.filter("not held_out").join(known.filter(drawn), "doc_id").select("*", fold)
+    return known.filter(drawn).select("doc_id", "y", fold)
 
 
 def matrix(column) -> np.ndarray:
@@ -144,8 +146,9 @@ class Model:
         return 0.999 * np.interp(raw, self.knots, self.rates) + 0.001 * np.clip(raw, 0, 1)
 
 
-def fit(train: DataFrame) -> Model | None:
-    """Fit on the rows of ``training_rows``; None without rows."""
+def fit(described: DataFrame, labels: DataFrame) -> Model | None:
+    """Fit on the described rows with ``drawn_labels``; None without rows."""
+    train = described.join(F.broadcast(labels), "doc_id")
     train = stage(train.select("x", "y", "calibrate").repartition(FIT_TASKS), "train")
 
     def sums(batch):
@@ -191,7 +194,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold:
           max_rows: int = MAX_ROWS) -> DataFrame:
     """Score every row of ``docs`` for ``label``."""
     described = stage(describe(docs), "described")
-    model = fit(training_rows(described, labels, label, max_rows))
+    model = fit(described, drawn_labels(labels, label, max_rows))
 
     def run(batches):
         for batch in batches:
@@ -203,5 +206,20 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold:
     return map_batches(described, run, OUT)
 
 
+def drop_rejected(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD,
+                  max_rows: int = MAX_ROWS) -> DataFrame:
+    """``docs`` without the rows whose score is under ``threshold``.  The
+    documents are filtered where they are read, with no join or shuffle."""
+    drawn = drawn_labels(labels, label, max_rows)
+    model = fit(describe(docs.join(F.broadcast(drawn.select("doc_id").distinct()), "doc_id", "left_semi")), drawn)
+
+    @F.pandas_udf("boolean")
+    def keeps(text: pd.Series) -> pd.Series:
+        x = np.array([statistics(t or "") for t in text], np.float32).reshape(-1, N_STATISTICS).astype(np.float64)
+        return pd.Series(np.full(len(x), 0.5) >= threshold if model is None else model.score(x) >= threshold)
+
+    return docs.filter(keeps("text"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from procura.llm import decontaminate, secrets, substrings, urls
+from procura.llm import decontaminate, secret_scan, substrings, urls
 from procura.llm.decontaminate import op10_benchmark_decontamination
+from procura.llm.extraction import op2_html_extraction
 from procura.llm.language import op7_language_id
 from procura.llm.packing import op1_best_fit_packing
 from procura.llm.quality import op9_quality_classifier
 from procura.llm.rules import op8_quality_rules
-from procura.llm.secrets import op3_secret_scans
+from procura.llm.secret_scan import op3_secret_scans
 from procura.llm.simhash import op4_simhash_near_dedup
 from procura.llm.substrings import op6_substring_dedup
 from procura.llm.urls import op5_url_filters
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_html_extraction": op2_html_extraction,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_url_filters": op5_url_filters,
@@ -26,7 +28,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op3_secret_scans": secrets.SQL,
+    "op3_secret_scans": secret_scan.SQL,
     "op5_url_filters": urls.SQL,
     "op6_substring_dedup": substrings.SQL,
     "op10_benchmark_decontamination": decontaminate.SQL,

@@ -22,8 +22,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm.common import (covered, hash_words, held_out, map_batches, per_process, read_table, stage, texts_of,
+from procura.llm.common import (covered, hash_words, map_batches, per_process, read_table, stage, texts_of,
                                 window_hashes, word_hasher)
+from procura.llm.quality import drawn_labels
 
 #: Labelled rows that the fit may use, and hashed features of each kind.
 MAX_ROWS = 24_000
@@ -119,11 +120,7 @@ def minimise(value_and_gradient: Callable, x: np.ndarray, steps: int, memory: in
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     """Hashed n-grams of the labelled rows that may be learnt from: non-zero
     places and values, label ``y`` and ``calibrate`` (a fifth of the rows)."""
-    known = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("double").alias("y")).filter(
-        "y is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    n = known.count()
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_rows / max(n, 1)))
-    fold = (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 0).alias("calibrate")
+    drawn = drawn_labels(labels, label, max_rows)
 
     def run(batches):
         hashes = per_process("word hashes", word_hasher)
@@ -139,7 +136,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int)
                 yield {"place": place, "value": value, "y": batch.column(1)[at:at + 64],
                        "calibrate": batch.column(2)[at:at + 64]}
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(known.filter(drawn), "doc_id").select("text", "y", fold)
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(
+        F.broadcast(drawn), "doc_id").select("text", "y", "calibrate")
     return map_batches(rows, run, "place binary, value binary, y double, calibrate boolean")
 
 

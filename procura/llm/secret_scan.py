@@ -111,15 +111,30 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None,
     return out.select("doc_id", F.coalesce("spans", F.array().cast(SPAN)).alias("spans")), new
 
 
-def redact(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """``text`` with each finding replaced by ``[kind]``, rule after rule."""
-    for rule in rules:
-        whole, checked, pieces = _matches(text, rule)
-        rows = F.arrays_zip(whole.alias("m"), checked.alias("g"), pieces.alias("p"))
-        parts = F.transform(rows, lambda x: F.concat(x["p"], F.coalesce(
-            F.when(F.length(x["g"]) >= rule.least, F.lit(f"[{rule.kind}]")).otherwise(x["m"]), F.lit(""))))  # noqa: B023
-        text = F.when(text.rlike(rule.pattern), F.array_join(parts, "")).otherwise(text)
-    return text
+def redact(text: Column, spans: Column) -> Column:
+    """``text`` with each span (sorted by start) replaced by ``[kind]``;
+    of overlapping spans the first gives the kind."""
+    done = F.aggregate(
+        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda a, s: F.struct(
+            F.greatest(a["at"], s["stop"]).alias("at"),
+            F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]),
+                                                   F.lit("["), s["kind"], F.lit("]"))).otherwise(a["out"]).alias("out")))
+    return F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+
+
+def redact_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by its kind (and
+    ``n_chars``, if there, counted anew)."""
+    keyed = docs.withColumn("__blob", blob_of(F.col("text")))
+    new = stage(scan_unseen(keyed.select(F.col("__blob").alias("blob"), "text"), ledger, rules), "ledger")
+    found = findings(new if ledger is None else ledger.select(new.columns).union(new), rules).toDF("__blob", "__spans")
+    out = keyed.join(found, "__blob", "left").withColumn(
+        "text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("__spans"))))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(
+            F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*docs.columns)
 
 
 def span_text(spans: Column) -> Column:

@@ -59,13 +59,15 @@ def fingerprint(text: str, words_per_shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id`` and ``text`` -> ``doc_id``, ``fp`` (the signed long)."""
+    """``doc_id`` and ``text`` -> ``doc_id``, ``text_key`` (a hash of the
+    text), ``fp`` (the signed long)."""
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t, words_per_shingle) for t in texts_of(batch.column(1))], np.uint64)
-            yield {"doc_id": batch.column(0), "fp": fps.view(np.int64)}
+            yield {"doc_id": batch.column(0), "text_key": batch.column(2), "fp": fps.view(np.int64)}
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, fp long")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key")), run,
+                       "doc_id long, text_key long, fp long")
 
 
 def _masks(blocks: int, keep: int) -> list[int]:
@@ -158,7 +160,8 @@ def _links(fps: DataFrame, bits: int, blocks: int, keep: int, limit: int | None)
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id``, ``fp`` (signed long) and ``component_id`` of every row."""
+    """``doc_id``, ``text_key``, ``fp`` (signed long) and ``component_id`` of
+    every row."""
     prints = stage(fingerprints(docs, words_per_shingle), "prints")
     fps = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     if max_bits > 0:
@@ -175,6 +178,21 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max
     return prints.join(fps.join(lowest, "root").select("fp", "component_id"), "fp")
 
 
+def drop_near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS,
+                         max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (of
+    the smallest text hash if the id is repeated).  Where a component has null
+    ids alone, nothing names its rows: one row of each text stays."""
+    nameless = F.lit(-(1 << 63)).cast("long")
+    found = near_duplicates(docs, words_per_shingle, max_bits)
+    first = F.coalesce("doc_id", nameless)
+    kept = (found.filter("doc_id <=> component_id")
+            .groupBy(first.alias("__id"), F.when(F.col("doc_id").isNull(), F.col("text_key")).alias("each"))
+            .agg(F.min("text_key").alias("__key")).select("__id", "__key"))
+    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), nameless)).withColumn("__key", F.xxhash64("text"))
+    return keyed.join(kept, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).select(*docs.columns)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,20 +1,37 @@
-"""Stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame."""
+"""Stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame.
+
+All but the last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from procura.llm import packing
+from procura.llm import decontaminate, packing, quality, secret_scan, simhash
+from procura.llm.common import read_table
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack every kept document into training sequences (one row per piece)."""
-    import public_tokenizers
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.drop_rejected(docs, read_table(spark, sf_dir, "labels"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.drop_near_duplicates(docs, simhash.SHINGLE_WORDS, simhash.MAX_BITS)
 
 
-def quality_classifier(spark, docs, sf_dir):
-    raise NotImplementedError
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-simhash_near_dedup = benchmark_decontamination = secret_scans = quality_classifier
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the kept texts are redacted."""
+    return secret_scan.redact_secrets(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every kept document is packed into training sequences (a row a piece)."""
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
