@@ -115,8 +115,8 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 
 def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
-    """Mask of the ``n`` positions covered by windows of ``size`` at ``starts``."""
+    """Mask of the ``n`` positions covered by runs of ``size`` at ``starts``."""
     edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, starts, 1)
+    np.add.at(edge, np.minimum(starts, n), 1)
     np.add.at(edge, np.minimum(np.asarray(starts) + size, n), -1)
     return np.cumsum(edge[:n]) > 0

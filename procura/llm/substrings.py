@@ -92,9 +92,9 @@ def _word_groups(batches, hashes: dict):
     """Documents of the batches, sorted by id and about ``GROUP_WORDS`` words
     at a time: (ids, number of words, all their word hashes, extra column)."""
     for batch in batches:
-        keep = np.flatnonzero(~np.asarray(batch.column(0).is_null()))
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        keep = keep[np.argsort(ids[keep].astype(np.int64), kind="stable")]
+        keep = np.flatnonzero(batch.column(0).is_valid().to_numpy(zero_copy_only=False))
+        ids = batch.column(0).fill_null(0).to_numpy()
+        keep = keep[np.argsort(ids[keep], kind="stable")]
         texts = batch.column(1)
         extra = batch.column(2) if batch.num_columns > 2 else None
         group, words = [], 0
