@@ -51,8 +51,7 @@ BLOCK = frozenset(("address article aside blockquote body caption center dd deta
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre "
                    "section select summary table tbody td tfoot th thead tr ul").split())
 #: Tags that are no article text wherever they stand.
-DROPPED = frozenset(("head nav footer aside form button select input dialog menu canvas object audio video "
-                     "figure-controls " + " ".join(RAW)).split())
+DROPPED = frozenset("head nav footer aside form button select dialog menu canvas object audio video".split())
 #: Class, id and role words that name a branch as no article text.
 NAMED = frozenset(("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar "
                    "navigation menu breadcrumb breadcrumbs footer sidebar side aside widget cookie cookies consent gdpr notice "
@@ -82,33 +81,36 @@ def style_of(tag: str, attributes: str) -> tuple[str, bool]:
     return tag + "".join(f".{w}" for w in sorted(set(shown))), tag in DROPPED or not names.isdisjoint(NAMED)
 
 
-def blocks_of(html: str) -> list[tuple[str, bool, str]]:
-    """(style path, given away, text) of each text block in page order."""
-    out: list[tuple[str, bool, str]] = []
+def blocks_of(html: str) -> list[tuple[str, str]]:
+    """(style path, text) of each text block in page order, without the text
+    of branches that tag, class or role give away."""
+    out: list[tuple[str, str]] = []
     open_: list[tuple[str, str, bool]] = []  # tag, path, given away
     text: list[str] = []
     at = 0
-    lower = html.lower() if "<" in html else html
+    lower = html.lower()
 
     def end_block():
         if text:
             joined = " ".join(unescape("".join(text)).split())
             text.clear()
             if joined:
-                inner = next((o for o in reversed(open_) if o[0] in BLOCK), None)
-                out.append((inner[1] if inner else "", bool(open_ and open_[-1][2]), joined))
+                out.append((open_[-1][1] if open_ else "", joined))
 
     def close(k):
         while len(open_) > k:
-            if open_[-1][0] in BLOCK or open_[-1][2]:
+            if open_[-1][0] in BLOCK:
                 end_block()
             open_.pop()
 
+    def say(piece):
+        if not (open_ and open_[-1][2]):
+            text.append(piece)
+
     for m in _TOKEN.finditer(html):
         if m.start() < at:
             continue
-        if m.start() > at:
-            text.append(html[at:m.start()])
+        say(html[at:m.start()])
         at = m.end()
         if m[2] is None:
             continue
@@ -123,48 +125,40 @@ def blocks_of(html: str) -> list[tuple[str, bool, str]]:
                 end_block()
             continue
         if tag == "br":
-            text.append("\n")
+            say("\n")
+            continue
+        if tag in RAW:
+            end = lower.find(f"</{tag}", at)
+            at = lower.find(">", end) + 1 if end >= 0 else 0
+            if not at:
+                break
             continue
-        style, bad = style_of(tag, m[3])
-        if tag == "header" and not any(o[0] in ("article", "main") for o in open_):
-            bad = True
         if tag in BLOCK:
-            closed = CLOSES.get(tag, ("p",))
             k = len(open_)
             for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] in closed:
+                if open_[i][0] in CLOSES.get(tag, ("p",)):
                     k = i
                 elif open_[i][0] in BORDER:
                     break
-            # formatting left open inside a closed paragraph ends with it
-            close(k)
+            close(k)  # formatting left open in a closed paragraph ends with it
             end_block()
-        bad = bad or bool(open_ and open_[-1][2])
-        if tag in RAW:
-            end = lower.find(f"</{tag}", at)
-            at = len(html) if end < 0 else end
-            if end < 0:
-                break
-            open_.append((tag, "", True))
-            continue
         if tag in VOID or m[3].rstrip().endswith("/") and tag not in BLOCK:
             continue
-        if bad and not (open_ and open_[-1][2]):
-            end_block()
-        path = f"{open_[-1][1]}/{style}" if open_ and tag in BLOCK else (open_[-1][1] if open_ else "")
-        if not open_ and tag in BLOCK:
-            path = "/" + style
-        open_.append((tag, path, bad))
+        style, bad = style_of(tag, m[3])
+        if tag == "header" and not any(o[0] in ("article", "main") for o in open_):
+            bad = True
+        path = open_[-1][1] if open_ else ""
+        open_.append((tag, f"{path}/{style}" if tag in BLOCK else path, bad or bool(open_ and open_[-1][2])))
     else:
-        text.append(html[at:])
+        say(html[at:])
     close(0)
     end_block()
     return out
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url``, ``host`` and the arrays ``paths``, ``bad`` and
-    ``texts`` of a page's blocks."""
+    """``page_id``, ``url``, ``host`` and the arrays ``paths`` and ``texts`` of
+    a page's blocks."""
     def run(batches):
         for batch in batches:
             texts = texts_of(batch.column(3))
@@ -172,17 +166,15 @@ def parsed(pages: DataFrame) -> DataFrame:
                 found = [blocks_of(t) for t in texts[at:at + 512]]
                 part = batch.slice(at, 512)
                 yield {"page_id": part.column(0), "url": part.column(1), "host": part.column(2),
-                       "paths": [[b[0] for b in f] for f in found], "bad": [[b[1] for b in f] for f in found],
-                       "texts": [[b[2] for b in f] for f in found]}
+                       "paths": [[b[0] for b in f] for f in found], "texts": [[b[1] for b in f] for f in found]}
 
     return map_batches(pages.select(F.col("page_id").cast("long"), "url", host_of(F.col("url")).alias("host"), "html"),
-                       run, "page_id long, url string, host string, paths array<string>, bad array<boolean>, "
-                            "texts array<string>")
+                       run, "page_id long, url string, host string, paths array<string>, texts array<string>")
 
 
 def node_rows(pages: DataFrame) -> DataFrame:
-    """A row for each page, style node and content: ``host``, ``node``, the
-    ``page``, and the hashes ``children`` (its blocks' styles) and ``content``."""
+    """A row for each page and style node in it: ``host``, ``node`` and the
+    hashes ``children`` (of the styles under it) and ``contents``."""
     def run(batches):
         import xxhash
 
@@ -191,13 +183,12 @@ def node_rows(pages: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = {k: [] for k in ("host", "node", "children", "contents")}
-            for host, paths, bad, texts in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            for host, paths, texts in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 under: dict[str, list[int]] = {}
                 for k, path in enumerate(paths):
-                    if not bad[k]:
-                        steps = path.split("/")
-                        for depth in range(2, len(steps) + 1):
-                            under.setdefault("/".join(steps[:depth]), []).append(k)
+                    steps = path.split("/")
+                    for depth in range(2, len(steps) + 1):
+                        under.setdefault("/".join(steps[:depth]), []).append(k)
                 for node, ks in under.items():
                     out["host"].append(host)
                     out["node"].append(node)
@@ -205,7 +196,7 @@ def node_rows(pages: DataFrame) -> DataFrame:
                     out["contents"].append(sorted({signed(texts[k]) for k in ks}))
             yield out
 
-    return map_batches(pages.select("host", "paths", "bad", "texts"), run,
+    return map_batches(pages.select("host", "paths", "texts"), run,
                        "host string, node string, children long, contents array<long>")
 
 
@@ -234,9 +225,9 @@ def node_values(nodes: DataFrame) -> DataFrame:
 
 
 def keeps_blocks(low: Column) -> Column:
-    """Texts of the blocks with no given-away or low-importance ancestor."""
-    rows = F.arrays_zip("paths", "bad", "texts")
-    kept = F.filter(rows, lambda b: ~b["bad"] & ~F.exists(
+    """Texts of the blocks under no low-importance node."""
+    rows = F.arrays_zip("paths", "texts")
+    kept = F.filter(rows, lambda b: ~F.exists(
         low, lambda n: (b["paths"] == n) | b["paths"].startswith(F.concat(n, F.lit("/")))))
     return F.transform(kept, lambda b: b["texts"])
 

@@ -160,8 +160,8 @@ def _links(fps: DataFrame, bits: int, blocks: int, keep: int, limit: int | None)
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id``, ``text_key``, ``fp`` (signed long) and ``component_id`` of
-    every row."""
+    """``doc_id``, ``text_key``, ``fp`` (signed long), ``component_id`` and
+    ``root`` (the component's smallest fingerprint) of every row."""
     prints = stage(fingerprints(docs, words_per_shingle), "prints")
     fps = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     if max_bits > 0:
@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max
     else:
         fps = fps.withColumn("root", F.col("fp"))
     lowest = fps.groupBy("root").agg(F.min("low").alias("component_id"))
-    return prints.join(fps.join(lowest, "root").select("fp", "component_id"), "fp")
+    return prints.join(fps.join(lowest, "root").select("fp", "component_id", "root"), "fp")
 
 
 def drop_near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS,
@@ -187,8 +187,8 @@ def drop_near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS
     found = near_duplicates(docs, words_per_shingle, max_bits)
     first = F.coalesce("doc_id", nameless)
     kept = (found.filter("doc_id <=> component_id")
-            .groupBy(first.alias("__id"), F.when(F.col("doc_id").isNull(), F.col("text_key")).alias("each"))
-            .agg(F.min("text_key").alias("__key")).select("__id", "__key"))
+            .groupBy("root", F.when(F.col("doc_id").isNull(), F.col("text_key")).alias("each"))
+            .agg(F.min(first).alias("__id"), F.min("text_key").alias("__key")).select("__id", "__key"))
     keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), nameless)).withColumn("__key", F.xxhash64("text"))
     return keyed.join(kept, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).select(*docs.columns)
 
