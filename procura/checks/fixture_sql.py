@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import re
 
-IO, OO, VO, TO, BO = 10_000_000_000, 20_000_000_000, 30_000_000_000, 40_000_000_000, 50_000_000_000
+IO, OO, VO, TO, BO = (kind << 56 for kind in (1, 2, 3, 4, 5))
 
 CTES: dict[str, str] = {}
 
 CTES["src_line_base"] = """
   select l.*, p.p_name, p.p_brand, p.p_type, p.p_retailprice,
-         l_suppkey * 1000 + (year(l_shipdate) - 1990) * 12 + month(l_shipdate) as ik,
+         case when l_linenumber = 7 and l_orderkey < 10000 then 501
+              else l_suppkey * 1000 + (year(l_shipdate) - 1990) * 12 + month(l_shipdate) end as ik,
          cast(round(l_extendedprice * 100) as bigint) as paid_cents,
          cast(round(l_discount * 100) as bigint) as disc100,
          cast(round(l_tax * 100) as bigint) as tax100,
@@ -25,12 +26,13 @@ CTES["src_line_base"] = """
   from lineitem l join part p on p.p_partkey = l.l_partkey"""
 
 CTES["src_lines"] = """
-  select *, cast(row_number() over (partition by ik order by l_shipdate, l_orderkey, l_linenumber, l_partkey,
-         l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) - 1 as integer) as line_cnt
-  from src_line_base"""
+  select *, cast(case when pos % 89 = 88 then null when pos % 13 = 12 then pos - 1 else pos end as integer) as line_cnt
+  from (select *, row_number() over (partition by ik order by l_shipdate, l_orderkey, l_linenumber, l_partkey,
+          l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) - 1 as pos
+        from src_line_base) x"""
 
 CTES["invoice_record_line"] = f"""
-  select ik * 100000 + line_cnt as id, ik + {IO} as invoice_record_id, line_cnt,
+  select ik * 4194304 + pos as id, ik + {IO} as invoice_record_id, line_cnt,
     case when l_returnflag = 'R' and l_linestatus = 'F' then null else l_orderkey + {OO} end
       as order_record_metadata_id,
     p_name as title,
@@ -103,7 +105,7 @@ CTES["order_record"] = f"""
     concat('rl', o_orderkey % 4) as receiving_location_code,
     lower(o_orderstatus) as order_status_code,
     concat('v', o_orderkey % 10) as vendor_record_code,
-    o_orderdate as order_date_gmt,
+    case when o_orderkey % 11 = 5 then null else o_orderdate end as order_date_gmt,
     case when o_orderstatus = 'O' then null else o_orderdate end as catalog_date_gmt,
     case when o_orderstatus = 'F' then o_orderdate + interval 30 days else null end as received_date_gmt,
     cast(o_orderkey % 3 as integer) as volume_count
@@ -230,7 +232,8 @@ CTES["varfield"] = f"""
     concat('P', s_suppkey) as field_content
   from supplier
   union all
-  select (s_suppkey + {VO}) * 10 + 1, s_suppkey + {VO}, 'd', 1, concat('Q', s_suppkey)
+  select (s_suppkey + {VO}) * 10 + 1, s_suppkey + {VO}, 'd', 1,
+    concat(case when s_suppkey % 12 = 0 then 'P' else 'Q' end, s_suppkey)
   from supplier where s_suppkey % 6 = 0
   union all
   select (p_partkey + {TO}) * 10, p_partkey + {TO}, 'b', 0, concat('a', p_partkey) from part"""

@@ -88,7 +88,9 @@ def running_sum(df: DataFrame, group: list[str] | str, order: str, value: str, o
     aggs += [F.sum(src).alias(f"_t_{name}") for name, src in group_totals.items()]
     per_chunk = d.groupBy(*keys).agg(*aggs)
 
-    before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # rows without a position come last, as in an ascending SQL sort
+    before = (Window.partitionBy(*group).orderBy(F.col("_chunk").asc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
     whole = Window.partitionBy(*group)
     offsets = per_chunk.select(
         *keys,
@@ -97,7 +99,7 @@ def running_sum(df: DataFrame, group: list[str] | str, order: str, value: str, o
         *[F.sum(f"_t_{name}").over(whole).alias(name) for name in group_totals])
 
     j = join_null_safe(d, offsets, keys)
-    within = Window.partitionBy(*keys).orderBy(order)  # default frame: RANGE .. CURRENT ROW
+    within = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last())  # default frame: RANGE .. CURRENT ROW
     seen = F.coalesce(F.col("_off_c"), F.lit(0)) + F.count(value).over(within)
     total = F.coalesce(F.col("_off_s"), F.lit(0)) + F.coalesce(F.sum(value).over(within), F.lit(0))
     return (j.withColumn(out, F.when(seen == 0, F.lit(None)).otherwise(total))

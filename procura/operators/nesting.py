@@ -10,29 +10,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _sort_struct(order: list[str], fields: list[str]) -> Column:
+def _sort_struct(order: list[str], fields: list[str], nulls_first: bool = False) -> Column:
     """Struct whose leading fields give the wanted order: for every order
-    column a null flag (nulls last, as in an ascending SQL sort) and the
-    value, then the payload fields."""
+    column a null flag (nulls last, as in an ascending SQL sort, unless
+    ``nulls_first``) and the value, then the payload fields."""
     keys = []
     for i, o in enumerate(order):
-        keys += [F.col(o).isNull().alias(f"_n{i}"), F.col(o).alias(f"_k{i}")]
+        flag = F.col(o).isNotNull() if nulls_first else F.col(o).isNull()
+        keys += [flag.alias(f"_n{i}"), F.col(o).alias(f"_k{i}")]
     return F.struct(*keys, *[F.col(f).alias(f) for f in fields])
 
 
 def nest(df: DataFrame, key: str | list[str], fields: list[str], order: list[str], out: str,
          count_of: str | None = None, count_out: str | None = None,
-         extra_aggs: list[Column] | None = None) -> DataFrame:
+         extra_aggs: list[Column] | None = None, nulls_first: bool = False) -> DataFrame:
     """One row per ``key`` with ``out`` = the rows' ``fields`` as an array of
-    structs sorted by ``order`` (ascending, nulls last).  ``count_of`` adds
-    ``count_out`` = number of non-null values of that column.
-
-    The array holds every row of a key, so its size is bounded by the number of
-    children of one parent (lines of an invoice, addresses of a vendor); the
-    flat form stays available for anything that must scale past that.
+    structs sorted by ``order`` (ascending, nulls last unless
+    ``nulls_first``).  ``count_of`` adds ``count_out`` = number of non-null
+    values of that column.
+
+    One parent is one row at every size, whatever its number of children: a
+    row is what a nested mart is made of, so a parent with more children than
+    a row can hold fails.  Everything that must scale past that reads the flat
+    form instead; no report reads a nested array.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    aggs = [F.array_sort(F.collect_list(_sort_struct(order, fields))).alias("_arr")]
+    aggs = [F.array_sort(F.collect_list(_sort_struct(order, fields, nulls_first))).alias("_arr")]
     if count_of:
         aggs.append(F.count(count_of).cast("bigint").alias(count_out or f"count_{count_of}"))
     aggs += extra_aggs or []
@@ -41,36 +44,6 @@ def nest(df: DataFrame, key: str | list[str], fields: list[str], order: list[str
             .drop("_arr")
 
 
-def nest_paged(df: DataFrame, key: str | list[str], fields: list[str], order: list[str], out: str,
-               chunk: list[Column], page_col: str, page_size: int) -> DataFrame:
-    """Like :func:`nest`, but one row per (``key``, page of ``page_size``
-    children), so no task ever collects more than one page, however many
-    children a parent has.  Parents with up to ``page_size`` children (all
-    ordinary ones) give one row, page 0.
-
-    Hot parents are split off: children are counted per parent (partial
-    aggregation), the parents above ``page_size`` are found (their keys are
-    broadcast after a size check), and only their children are numbered,
-    skew-safely (``chunk``: expressions that never decrease along ``order``,
-    see :func:`procura.operators.sizing.row_number_chunked`), to give pages.
-    Parent-level aggregates are the caller's (aggregate the flat rows by
-    ``key`` and join)."""
-    from procura.operators.sizing import broadcast_if_small, join_null_safe, row_number_chunked
-    keys = [key] if isinstance(key, str) else list(key)
-    # the children are read three times below (sizes, ordinary, hot): keep
-    # them once (a no-op when the caller already materialised this plan)
-    df = df.persist()
-    big = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > page_size).select(*keys, F.lit(True).alias("_big")))
-    flagged = join_null_safe(df, broadcast_if_small(big), keys, "left")
-    ordinary = flagged.filter(F.col("_big").isNull()).drop("_big").withColumn(page_col, F.lit(0))
-    hot = flagged.filter(F.col("_big").isNotNull()).drop("_big")
-    ordering = [F.col(o).asc_nulls_last() for o in order]
-    hot = row_number_chunked(hot, keys, ordering, chunk, "_pos", zero_based=True)
-    hot = hot.withColumn(page_col, F.floor(F.col("_pos") / F.lit(page_size)).cast("int")).drop("_pos")
-    return nest(ordinary.unionByName(hot), keys + [page_col], fields, order, out)
-
-
 def unnest(df: DataFrame, array_col: str, fields: list[str] | None = None, prefix: str = "") -> DataFrame:
     """One row per array element; parents with an empty or null array drop
     out (inner unnest).  Element fields become columns."""

@@ -1,4 +1,4 @@
-"""Size-checked broadcast and skew-safe row numbering."""
+"""Null-safe joins and skew-safe row numbering."""
 
 from __future__ import annotations
 
@@ -6,28 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A side is broadcast only when it is proven (counted) to hold at most this
-# many rows; otherwise the join stays a shuffle join that AQE may still
-# re-plan from runtime statistics.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint on ``df`` only if it has at most ``max_rows`` rows.
-
-    Meant for dimension-like sides (funds, ledger mapping, code tables,
-    per-vendor look-ups) whose size does not grow with the fact rows but is
-    not known to the optimizer (they are derived from large scans).  The
-    side is cached first, so counting it and joining it read it once.  A
-    broadcast side makes a join immune to hot keys on the other side (no
-    shuffle of the big side at all)."""
-    d = df.persist()
-    n = d.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(d)
-    d.unpersist()  # large: do not hold it; the shuffle join reads it lazily
-    return df
-
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null keys match null keys (``<=>``), as
@@ -37,22 +15,34 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def row_number_chunked(df: DataFrame, group: list[str], order: list[str], chunk: list[Column],
+def row_number_chunked(df: DataFrame, group: list[str], order: list[str], levels: list[Column],
                        out: str, zero_based: bool = False) -> DataFrame:
     """``row_number() over (partition by group order by order)`` without
     putting a whole group into one task.
 
-    ``chunk`` are expressions that never decrease along ``order`` inside a
-    group (e.g. the first sort column, plus a coarse range of the second).
-    Rows are numbered inside each (group, chunk); each chunk's offset is the
-    number of rows in the chunks before it, taken from a small per-chunk
-    count table.  The largest window partition is one chunk."""
-    d = df.withColumn("_rn_chunk", F.struct(*chunk))
-    counts = d.groupBy(*group, "_rn_chunk").agg(F.count(F.lit(1)).alias("_rn_n"))
-    before = Window.partitionBy(*group).orderBy("_rn_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group, "_rn_chunk", F.coalesce(F.sum("_rn_n").over(before), F.lit(0))
-                            .alias("_rn_off"))
-    j = join_null_safe(d, offsets, [*group, "_rn_chunk"])
-    within = Window.partitionBy(*group, "_rn_chunk").orderBy(*order)
+    ``levels`` are expressions, coarse to fine, that together never decrease
+    along ``order`` inside a group (e.g. the day, then a range of the key
+    within the day).  Rows are numbered inside their finest chunk.  A chunk's
+    offset is the sum, over the levels, of the rows in earlier chunks of the
+    same parent chunk, each from a table of counts one level up; so no task
+    ever holds more than one finest chunk of rows, or the children of one
+    chunk at one level - not all the chunks of a group, even where every row
+    has a chunk of its own."""
+    names = [f"_rn_{i}" for i in range(len(levels))]
+    d = df.select("*", *[c.alias(n) for c, n in zip(levels, names)])
+    counts = d.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("_rn_n"))
+    offsets = None
+    for depth in range(len(names), 0, -1):
+        parent, level = [*group, *names[:depth - 1]], names[depth - 1]
+        before = Window.partitionBy(*parent).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        here = counts.select(*parent, level, F.coalesce(F.sum("_rn_n").over(before), F.lit(0)).alias("_rn_here"))
+        if offsets is None:
+            offsets = here.withColumnRenamed("_rn_here", "_rn_off")
+        else:
+            offsets = (join_null_safe(offsets, here, [*parent, level])
+                       .withColumn("_rn_off", F.col("_rn_off") + F.col("_rn_here")).drop("_rn_here"))
+        counts = counts.groupBy(*parent).agg(F.sum("_rn_n").alias("_rn_n"))
+    j = join_null_safe(d, offsets, [*group, *names])
+    within = Window.partitionBy(*group, *names).orderBy(*order)
     rn = F.row_number().over(within) + F.col("_rn_off") - (1 if zero_based else 0)
-    return j.withColumn(out, rn).drop("_rn_chunk", "_rn_off")
+    return j.withColumn(out, rn).drop(*names, "_rn_off")

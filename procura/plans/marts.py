@@ -5,12 +5,13 @@ Each mart is a lazy DataFrame built from the source relations held by a
 :class:`procura.sources.testdata.TestSources`, or
 :class:`procura.sources.catalog.SourceCatalog` over parquet / JDBC).
 
-Join strategy: code tables, funds and vendor look-ups join through
-:func:`procura.operators.sizing.broadcast_if_small` (broadcast only after
-counting them; a broadcast side also shields the join from hot keys on the
-fact side); record metadata holds a row for every record of every kind, so
-it is always filtered to one record kind before a join and never broadcast.
-Children (lines, fund children, addresses) are aggregated before they meet
+Join strategy: no side carries a broadcast hint.  Code tables, funds and
+vendor look-ups are broadcast by the optimizer (stored tables) or by adaptive
+execution (derived sides) where their measured bytes are under
+``spark.sql.autoBroadcastJoinThreshold``; larger ones stay shuffle joins with
+skew splitting.  Building a mart starts no job.  Record metadata holds a row
+for every record of every kind, so it is filtered to one record kind before a
+join.  Children (lines, fund children, addresses) are aggregated before they meet
 their header, so every header join is one-to-one; the remaining big joins
 are shuffle joins on the invoice / order key, where AQE splits skewed
 partitions.
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 
 from procura.functions import digits_key, to_cents
 from procura.operators.allocate import DEFAULT_CHUNK_SIZE, allocate, share_cents, with_chunk
-from procura.operators.nesting import first_by, nest, nest_paged
-from procura.operators.sizing import broadcast_if_small as small
+from procura.operators.nesting import first_by, nest
+from procura.operators.reshape import decode
 from procura.session import materialize
 
 INVOICE, ORDER, VENDOR, ITEM, BIB = "n", "o", "v", "i", "b"
@@ -39,7 +40,7 @@ def _date(col: str) -> F.Column:
 class Marts:
     """All marts over one set of sources.  Attributes are lazy DataFrames."""
 
-    def __init__(self, sources, chunk_size: int = DEFAULT_CHUNK_SIZE, materialize: str = "table"):
+    def __init__(self, sources, chunk_size: int = DEFAULT_CHUNK_SIZE, materialize: str = "none"):
         """``materialize`` says how intermediate results that several parts of
         one plan read are computed once (see :func:`procura.session.materialize`)."""
         self.src = sources
@@ -94,10 +95,10 @@ class Marts:
         efp = self.src.external_fund_property.select(F.col("id").alias("_efp_id"), F.col("code_num").alias("_efp_cn"))
         efpn = self.src.external_fund_property_name.select(F.col("external_fund_property_id").alias("_efpn_id"),
                                                            F.col("name").alias("external_fund_name"))
-        d = (fm.join(small(au), F.col("_au_id") == F.col("_au"))
+        d = (fm.join(au, F.col("_au_id") == F.col("_au"))
              .join(fmu, F.col("_fmid") == F.col("fund_master_id"), how)
-             .join(small(efp), F.col("_efp_cn") == F.col("external_fund_code_num"), how)
-             .join(small(efpn), F.col("_efpn_id") == F.col("_efp_id"), how))
+             .join(efp, F.col("_efp_cn") == F.col("external_fund_code_num"), how)
+             .join(efpn, F.col("_efpn_id") == F.col("_efp_id"), how))
         return d.select(
             "fund_master_id", "accounting_unit_code_num", "fund_code_num", "fund_master_code",
             "fund_type", "fund_code", "external_fund_code_num", "external_fund_name",
@@ -120,9 +121,9 @@ class Marts:
         bal = self.src.fund_myuser.select(F.col("fund_code").alias("_bal_code"), "fund_type", "appropriation",
                                           "expenditure", "encumbrance", "num_orders", "num_payments",
                                           "warning_percent")
-        return (fm.join(small(au), F.col("_au_id") == F.col("_au"))
-                .join(small(efp), F.col("_efp_cn") == F.col("fund_code_num"))
-                .join(small(efpn), F.col("_efpn_id") == F.col("_efp_id"))
+        return (fm.join(au, F.col("_au_id") == F.col("_au"))
+                .join(efp, F.col("_efp_cn") == F.col("fund_code_num"))
+                .join(efpn, F.col("_efpn_id") == F.col("_efp_id"))
                 .join(bal, F.col("_bal_code") == F.col("fund_code"))
                 .select("fund_code_num", "fund_code", "accounting_unit_code_num", "external_fund_name", "fund_type",
                         F.col("appropriation").cast("bigint").alias("appropriation"),
@@ -162,8 +163,6 @@ class Marts:
                         "use_tax_fund_code", "use_tax_percentage_rate", "use_tax_type_code",
                         "use_tax_ship_service_code", "is_suppressed"))
 
-    LINE_PAGE_SIZE = 4096
-
     LINE_FIELDS = ("line_cnt", "order_record_id", "order_record_num", "title", "paid_amt_cents",
                    "lien_amt_cents", "lien_flag", "list_price_cents", "fund_code", "subfund_num",
                    "copies_paid_cnt", "external_fund_code_num", "status_code", "note",
@@ -215,28 +214,17 @@ class Marts:
     def invoice_frame(self, how: str = "left", allocation: bool = True) -> DataFrame:
         """M4: invoices with their lines nested in line order.
 
-        One row per (invoice, page of ``LINE_PAGE_SIZE`` line positions): an
-        invoice with fewer lines than that (every real one) is exactly one
-        row, and no task ever collects more than one page of lines, however
-        big an invoice is.  ``count_invoice_record_line`` is the count of the
-        whole invoice (a partial aggregate, joined back).  ``how="inner",
-        allocation=False`` is the older variant (lines of known orders only,
-        no allocated share per line)."""
+        One row per invoice: one aggregate per invoice, one join with the
+        header.  ``how="inner", allocation=False`` is the older variant (lines
+        of known orders only, no allocated share per line)."""
         flat = self.invoice_lines_flat if how == "left" else self.invoice_lines_frame(how)
-        flat = flat.withColumn(
-            "line_page", F.coalesce(F.floor(F.col("line_cnt") / F.lit(self.LINE_PAGE_SIZE)), F.lit(0))
-            .cast("int"))
         fields = [f for f in self.LINE_FIELDS if allocation or f != "approx_adjust_amt"]
-        nested = nest(flat, key=["invoice_record_id", "line_page"], fields=fields,
-                      order=["line_cnt", "order_record_id", "_line_id"], out="json_invoice_record_line")
-        counts = (flat.groupBy("invoice_record_id")
-                  .agg(F.count("_line_id").cast("bigint").alias("count_invoice_record_line")))
+        nested = nest(flat, key="invoice_record_id", fields=fields, order=["line_cnt", "order_record_id", "_line_id"],
+                      out="json_invoice_record_line", count_of="_line_id", count_out="count_invoice_record_line")
         h = self.invoice_header
-        return (nested.join(counts, "invoice_record_id").join(h, "invoice_record_id")
-                .select("invoice_record_id", "invoice_record_num", "invoice_number_text",
-                        "count_invoice_record_line", "line_page", "json_invoice_record_line",
-                        *[c for c in h.columns if c not in ("invoice_record_id", "invoice_record_num",
-                                                            "invoice_number_text")]))
+        lead = ["invoice_record_id", "invoice_record_num", "invoice_number_text"]
+        return nested.join(h, "invoice_record_id").select(
+            *lead, "count_invoice_record_line", "json_invoice_record_line", *[c for c in h.columns if c not in lead])
 
     @cached_property
     def invoice(self) -> DataFrame:
@@ -258,8 +246,10 @@ class Marts:
         # identical (paid amount, position) lines of an invoice are merged; the
         # line count still counts every line.  Positions are grouped in chunks
         # so that no step of the allocation works on a whole invoice at once.
+        # One repartition by (invoice, chunk) serves the merge, the per-chunk
+        # totals and the running total.
         base = with_chunk(base.withColumn("line_cnt", (F.col("line_cnt") + 1).cast("int")),
-                          "invoice_record_id", "line_cnt", self.chunk_size)
+                          "invoice_record_id", "line_cnt", self.chunk_size, repartition=True)
         merged = (base.groupBy("invoice_record_id", "_chunk", "invoice_record_num", "paid_amt", "subtotal_amt",
                                "grand_total_amt", "line_cnt")
                   .agg(F.count(F.lit(1)).alias("_n"))
@@ -297,7 +287,7 @@ class Marts:
                                            F.col("code").alias("_vcode"))
         vrm = self.record_nums(VENDOR, "_vid", "vendor_record_num")
         return (s.join(irm, irm._iid == s.invoice_record_id, "left")
-                .join(small(vr.join(vrm, vrm._vid == vr.vendor_record_id, "left")),
+                .join(vr.join(vrm, vrm._vid == vr.vendor_record_id, "left"),
                       F.col("_vcode") == s.vendor_code, "left")
                 .select("invoice_record_id", "invoice_record_num", "vendor_record_id", "vendor_record_num",
                         "vendor_code", "voucher_num", "voucher_total", "display_order"))
@@ -319,15 +309,13 @@ class Marts:
         au = self.src.accounting_unit.select(F.col("id").alias("_au_id"),
                                              F.col("code_num").alias("acct_unit_code_num"))
         # funds: few rows but hot keys on the children side -> checked broadcast
-        funds = small(fm.join(au, au._au_id == fm.accounting_unit_id, "left"))
+        funds = fm.join(au, au._au_id == fm.accounting_unit_id, "left")
         return (cmf.withColumn("_fkey", digits_key("fund_code"))
                 .join(funds, F.col("_fkey") == F.col("fund_code_num"), "left")
                 .select("order_record_id", "display_order", F.col("id").alias("cmf_id"), "fund_code_num",
                         F.col("_fm_code").alias("fund_code"), "acct_unit_code_num", "copies",
                         "location_code", F.col("fund_code").alias("_raw_fund_code")))
 
-    CHILD_PAGE_SIZE = 4096
-
     @cached_property
     def order_header(self) -> DataFrame:
         """Order-grain part of M8: one row per order (x bib link x vendor
@@ -346,25 +334,22 @@ class Marts:
             F.col("order_record_id").alias("_lo"), "orders_display_order", "bib_record_id")
         bibm = self.record_nums(BIB, "_bid", "bib_record_num")
         fp, fpn = self.src.form_property, self.src.form_property_name
-        otpm = self.src.order_type_property_myuser.select(F.col("code").alias("_otc"),
-                                                          F.col("name").alias("order_type_name"))
+        otpm = self.src.order_type_property_myuser.select("code", "name")
         osp, ospn = self.src.order_status_property, self.src.order_status_property_name
         vr = self.src.vendor_record.select(F.col("record_id").alias("vendor_record_id"),
                                            F.col("code").alias("_vcode"))
-        forms = fp.join(fpn, fpn.form_property_id == fp.id).select(
-            F.col("code").alias("_fcode"), F.col("name").alias("physical_form_name"))
-        statuses = osp.join(ospn, ospn.order_status_property_id == osp.id).select(
-            F.col("code").alias("_scode"), F.col("name").alias("order_status_name"))
+        forms = fp.join(fpn, fpn.form_property_id == fp.id).select("code", "name")
+        statuses = osp.join(ospn, ospn.order_status_property_id == osp.id).select("code", "name")
         # the aggregate starts from the order table in the reference, so only
         # children of known orders count: an inner join here is the same
         d = (agg.join(orr, orr.record_id == agg.order_record_id, "inner")
              .join(rm, rm._oid == orr.record_id, "left")
              .join(link, link._lo == orr.record_id, "left")
              .join(bibm, bibm._bid == link.bib_record_id, "left")
-             .join(small(forms), F.col("_fcode") == orr.form_code, "left")
-             .join(small(otpm), F.col("_otc") == orr.order_type_code, "left")
-             .join(small(statuses), F.col("_scode") == orr.order_status_code, "left")
-             .join(small(vr), F.col("_vcode") == orr.vendor_record_code, "left"))
+             .join(vr, F.col("_vcode") == orr.vendor_record_code, "left"))
+        for code, names, out in (("form_code", forms, "physical_form_name"), ("order_type_code", otpm, "order_type_name"),
+                                 ("order_status_code", statuses, "order_status_name")):
+            d = decode(d, code, names, out)
         return d.select(
             "order_record_num", agg.order_record_id, "count_cmf", "count_distinct_cmf_fund_codes",
             "sum_cmf_copies", "orders_display_order", "bib_record_id", "bib_record_num",
@@ -380,21 +365,14 @@ class Marts:
 
     @cached_property
     def orders(self) -> DataFrame:
-        """M8: orders with their fund children nested in display order.
-
-        One row per order (x bib link x vendor match) and page of
-        ``CHILD_PAGE_SIZE`` children: every real order is one row (page 0);
-        no task collects more than one page of children."""
-        pages = nest_paged(self.order_funds_flat, "order_record_id", list(self.ORDER_CHILD_FIELDS),
-                           ["display_order", "cmf_id"], "cmf_data",
-                           # sub-ranges of (display order, id): no chunk grows past 65 536 children
-                           chunk=[F.col("display_order").isNull(), F.col("display_order"),
-                                  F.floor(F.col("cmf_id") / 65536)],
-                           page_col="cmf_page", page_size=self.CHILD_PAGE_SIZE)
+        """M8: orders with their fund children nested in display order, one
+        row per order (x bib link x vendor match)."""
+        kids = nest(self.order_funds_flat, "order_record_id", list(self.ORDER_CHILD_FIELDS),
+                    ["display_order", "cmf_id"], "cmf_data")
         h = self.order_header
         cols = h.columns
         i = cols.index("sum_cmf_copies") + 1
-        return h.join(pages, "order_record_id").select(*cols[:i], "cmf_page", "cmf_data", *cols[i:])
+        return h.join(kids, "order_record_id").select(*cols[:i], "cmf_data", *cols[i:])
 
     # --------------------------------------------------------------- M9 vendors
     @cached_property
@@ -404,7 +382,7 @@ class Marts:
         vra = self.src.vendor_record_address
         vrat = self.src.vendor_record_address_type.select(F.col("id").alias("_tid"),
                                                           F.col("code").alias("address_type_code"))
-        return self._once(vra.join(small(vrat), F.col("_tid") == vra.vendor_record_address_type_id)
+        return self._once(vra.join(vrat, F.col("_tid") == vra.vendor_record_address_type_id)
                           .select("vendor_record_id", "address_type_code", "display_order", "addr1", "addr2",
                                   "addr3", "village", "city", "region", "postal_code", "country",
                                   F.col("id").alias("vendor_record_address_id")))
@@ -436,18 +414,13 @@ class Marts:
     @cached_property
     def vendors(self) -> DataFrame:
         """M9: vendors with their addresses nested in (type code, display
-        order, id) order; one row per vendor and page of ``CHILD_PAGE_SIZE``
-        addresses (one row for every real vendor)."""
+        order, id) order, one row per vendor."""
         fields = ["address_type_code", "display_order", "addr1", "addr2", "addr3", "village", "city",
                   "region", "postal_code", "country", "vendor_record_address_id"]
-        pages = nest_paged(self.vendor_addresses, "vendor_record_id", fields, list(self.ADDRESS_ORDER),
-                           "vendor_record_address",
-                           chunk=[F.col("address_type_code").isNull(), F.col("address_type_code"),
-                                  F.col("display_order").isNull(), F.col("display_order"),
-                                  F.floor(F.col("vendor_record_address_id") / 65536)],
-                           page_col="address_page", page_size=self.CHILD_PAGE_SIZE)
-        return self.vendor_header.join(pages, "vendor_record_id").select(
-            *self.vendor_header.columns, "address_page", "vendor_record_address")
+        addresses = nest(self.vendor_addresses, "vendor_record_id", fields, list(self.ADDRESS_ORDER),
+                         "vendor_record_address")
+        return self.vendor_header.join(addresses, "vendor_record_id").select(
+            *self.vendor_header.columns, "vendor_record_address")
 
     # ----------------------------------------------- M10 invoice vendor summary
     @cached_property

@@ -1,23 +1,26 @@
 """Parameterised report queries (Q1..Q10) and browse helpers.
 
-Parameters are plain function arguments; the same queries are available as
-SQL text with named parameters through :func:`register_views` +
-``spark.sql(text, args={...})``.
+Parameters are plain function arguments.  Look-ups resolve the ids of the
+matching parents first and build the marts over those parents only
+(:mod:`procura.sources.subset`); nesting comes last.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procura.operators.nesting import to_json_text
-from procura.plans.marts import Marts
-from procura.plans.reports import Reports
+from procura.plans.marts import ORDER, Marts
+from procura.plans.reports import VIEW_ORDER, Reports
+from procura.sources.sinks import MONTH_COLUMN
 from procura.sources.sinks import register_views as sink_views
+from procura.sources.subset import SubsetSources, only_invoices, only_orders
 
 # Browse limits of the reporting front end.
 MAX_RETURNED_ROWS = 10_000
-FACET_SIZE = 30
 
 
 def _json_arrays(df: DataFrame) -> DataFrame:
@@ -26,43 +29,52 @@ def _json_arrays(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def _over(m: Marts, src) -> Marts:
+    return Marts(src, chunk_size=m.chunk_size, materialize=m.materialize_mode)
+
+
 def invoices_for_order(m: Marts, order_record_num: int) -> DataFrame:
-    """Q1: invoices that pay for an order (by order record number)."""
-    link = m.invoice_record_order_record_link.filter(F.col("order_record_num") == order_record_num)
-    inv = m.invoice
-    return _json_arrays(inv.join(link.select(F.col("invoice_record_num").alias("_n")),
-                                 inv.invoice_record_num == F.col("_n")).drop("_n"))
+    """Q1: invoices that pay for an order (by order record number), the last
+    updated first."""
+    order = m.record_nums(ORDER, "_oid", "_num").filter(F.col("_num") == order_record_num)
+    lines = m.src.invoice_record_line
+    ids = lines.join(order, lines.order_record_metadata_id == order._oid, "left_semi").select("invoice_record_id")
+    found = _over(m, only_invoices(m.src, ids)).invoice
+    return _json_arrays(found.orderBy(F.col("last_updated").desc_nulls_last(), "invoice_record_num"))
 
 
 def on_order_by_fund(m: Marts, fund_code: str) -> DataFrame:
     """Q2: on-order orders with a fund child of ``fund_code``; an order is
     repeated once per matching child (unnest + filter, not EXISTS)."""
-    o = m.orders.filter(F.col("order_status_code") == "o")
-    # one row per matching child, from the flat children
-    kids = (m.order_funds_flat.filter(F.col("fund_code") == fund_code)
-            .select(F.col("order_record_id").alias("_kid_order")))
-    hits = o.join(kids, o.order_record_id == kids._kid_order).drop("_kid_order")
-    return _json_arrays(hits)
+    on_order = m.src.order_record.filter(F.col("order_status_code") == "o").select("record_id")
+    kids = (_over(m, only_orders(m.src, on_order)).order_funds_flat.filter(F.col("fund_code") == fund_code)
+            .select("order_record_id"))
+    return _json_arrays(_over(m, only_orders(m.src, kids)).orders.join(kids, "order_record_id"))
 
 
 def multi_fund_orders(m: Marts, more_than: int, order_status_code: str) -> DataFrame:
-    """Q3: orders using more than ``more_than`` distinct fund codes."""
-    o = m.orders.filter((F.col("count_distinct_cmf_fund_codes") > more_than)
-                        & (F.col("order_status_code") == order_status_code))
+    """Q3: orders using more than ``more_than`` distinct fund codes, by
+    creation date."""
+    status = m.src.order_record.filter(F.col("order_status_code") == order_status_code).select("record_id")
+    ids = (_over(m, only_orders(m.src, status)).order_funds_flat.groupBy("order_record_id")
+           .agg(F.count_distinct("_raw_fund_code").alias("n")).filter(F.col("n") > more_than).select("order_record_id"))
+    o = _over(m, only_orders(m.src, ids)).orders
     return _json_arrays(o.select(
         "order_record_num", F.to_date("creation_date_gmt").alias("creation_date"), "count_cmf",
-        F.col("count_distinct_cmf_fund_codes").alias("count_fund_codes"), "sum_cmf_copies", "cmf_page", "cmf_data",
+        F.col("count_distinct_cmf_fund_codes").alias("count_fund_codes"), "sum_cmf_copies", "cmf_data",
         "bib_record_id", F.col("accounting_unit_code_num").alias("accnt_unit_code"),
         (F.col("estimated_price_cents").cast("decimal(14,0)") / 100).cast("decimal(14,2)").alias("estimated_price"),
         "physical_form_name", F.to_date("order_date_gmt").alias("order_date"),
         F.to_date("catalog_date_gmt").alias("cat_date"), "order_type_name", "order_status_code",
-        "order_status_name", "vendor_record_code", "vendor_record_id", "volume_count"))
+        "order_status_name", "vendor_record_code", "vendor_record_id", "volume_count")
+        .orderBy(F.col("creation_date").asc_nulls_first(), "order_record_num"))
 
 
 def order_status_counts(m: Marts) -> DataFrame:
-    """Q4: number of orders per status."""
+    """Q4: number of orders per status, the most frequent first."""
     return (m.order_header.groupBy("order_status_code", "order_status_name")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("count"))
+            .orderBy(F.col("count").desc(), "order_status_code"))
 
 
 def _order_listing(o: DataFrame, with_total: bool) -> DataFrame:
@@ -83,8 +95,9 @@ def _order_listing(o: DataFrame, with_total: bool) -> DataFrame:
 
 
 def on_order_list(m: Marts) -> DataFrame:
-    """Q5: on-order listing with derived price and dates."""
-    return _order_listing(m.order_header.filter(F.col("order_status_code") == "o"), with_total=False)
+    """Q5: on-order listing with derived price and dates, by order number."""
+    return _order_listing(m.order_header.filter(F.col("order_status_code") == "o"),
+                          with_total=False).orderBy("order_record_num")
 
 
 def order_price_list(m: Marts) -> DataFrame:
@@ -96,14 +109,34 @@ def browse(df: DataFrame, gte: dict | None = None, lte: dict | None = None,
            hide: list[str] | None = None) -> DataFrame:
     """Q7: range filters ``col >= a`` / ``col <= b`` and hidden columns, the
     way a report is browsed with URL filters.  Filters are plain predicates,
-    so they reach the parquet scan when the report is read from storage."""
-    for c, v in (gte or {}).items():
-        df = df.filter(F.col(c) >= F.lit(v))
-    for c, v in (lte or {}).items():
-        df = df.filter(F.col(c) <= F.lit(v))
+    so they reach the parquet scan when the report is read from storage; a
+    range of posting dates also prunes the months a table is partitioned by."""
+    for bounds, keeps in ((gte, Column.__ge__), (lte, Column.__le__)):
+        for c, v in (bounds or {}).items():
+            df = df.filter(keeps(F.col(c), F.lit(v)))
+            if c == "posted_date" and MONTH_COLUMN in df.columns:
+                df = df.filter(keeps(F.col(MONTH_COLUMN), F.lit(str(v)[:7])))
     return df.drop(*(hide or []))
 
 
+def in_order(df: DataFrame, view: str) -> DataFrame:
+    """A report in the order in which it is shown (a range sort)."""
+    return df.orderBy(*[F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_first()
+                        for c, d in VIEW_ORDER.get(view, ())])
+
+
+def ledger_lines_between(m: Marts, posted_from: str, posted_to: str, hide: list[str] | None = None) -> DataFrame:
+    """Q7 over the second ledger format computed from the sources: the range
+    of posting dates picks the invoices before their lines are allocated."""
+    end = dt.date.fromisoformat(posted_to) + dt.timedelta(days=1)
+    posted = m.src.invoice_record.filter(
+        (F.col("posted_data_gmt") >= F.lit(posted_from).cast("timestamp_ntz"))
+        & (F.col("posted_data_gmt") < F.lit(str(end)).cast("timestamp_ntz")))
+    chosen = only_invoices(m.src, posted.select("record_id"))
+    chosen = SubsetSources(chosen, invoice_record=posted)
+    return Reports(_over(m, chosen)).ledger_lines_alt_view.drop(*(hide or []))
+
+
 def barcode_search(m: Marts, pattern: str) -> DataFrame:
     """Q8: items whose barcode field matches a LIKE pattern."""
     items = m.record_nums("i", "item_record_id", "item_record_num")
@@ -118,11 +151,12 @@ def top_rows(df: DataFrame, order: list[Column], n: int = MAX_RETURNED_ROWS) ->
     return df.orderBy(*order).limit(n)
 
 
-def facet_counts(df: DataFrame, col: str, n: int = FACET_SIZE) -> DataFrame:
-    """Q10: the most frequent values of a column with their counts (largest
-    first, ties by value)."""
-    return (df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-            .orderBy(F.col("count").desc(), F.col("value").asc_nulls_last()).limit(n))
+def facet_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
+    """Q10: the values of a column with their counts (largest first, ties by
+    value); the ``n`` most frequent ones if ``n`` is given, else all."""
+    out = (df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).cast("bigint").alias("count"))
+           .orderBy(F.col("count").desc(), F.col("value").asc_nulls_last()))
+    return out if n is None else out.limit(n)
 
 
 def register_views(spark: SparkSession, m: Marts, r: Reports) -> list[str]:
@@ -149,14 +183,12 @@ def register_views(spark: SparkSession, m: Marts, r: Reports) -> list[str]:
     return sink_views(views)
 
 
-# Canned SQL with named parameters (run with spark.sql(text, args={...})).
-CANNED_SQL = {
-    "invoice_with_order": """
-        SELECT i.* FROM invoice_record_order_record_link AS l
-        JOIN invoice AS i ON i.invoice_record_num = l.invoice_record_num
-        WHERE l.order_record_num = :order_record_num
-        ORDER BY i.last_updated DESC""",
-    "on_order_fund_code": """
-        SELECT o.* FROM orders AS o LATERAL VIEW explode(o.cmf_data) c AS cmf
-        WHERE cmf.fund_code = :fund_code AND o.order_status_code = 'o'""",
-}
+#: The queries of the reporting front end by name; ``run_canned`` runs them.
+CANNED = {"invoice_with_order": (invoices_for_order, "order_record_num"),
+          "on_order_fund_code": (on_order_by_fund, "fund_code")}
+
+
+def run_canned(m: Marts, name: str, **params) -> DataFrame:
+    """Run a canned query with its named parameter."""
+    query, parameter = CANNED[name]
+    return query(m, params[parameter])

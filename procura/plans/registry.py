@@ -8,13 +8,14 @@ compare across engines.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from procura.operators.nesting import unnest
 from procura.plans import queries as Q
+from procura.plans import roundtrip as T
 from procura.plans.marts import Marts
 from procura.plans.reports import Reports
 from procura.session import apply_sql_conf
@@ -32,12 +33,10 @@ PARAMS = {
 }
 
 
-MATERIALIZE = os.environ.get("PROCURA_MATERIALIZE", "persist")
-
-
 def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
+    """Marts as one lazy plan: nothing is cached or run before an action."""
     apply_sql_conf(spark)
-    return Marts(TestSources(spark, sf_dir), materialize=MATERIALIZE)
+    return Marts(TestSources(spark, sf_dir), materialize="none")
 
 
 def reports_for(spark: SparkSession, sf_dir: str) -> Reports:
@@ -101,14 +100,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_status_counts": _m(Q.order_status_counts),
     "on_order_list": _m(Q.on_order_list),
     "order_price_list": _m(Q.order_price_list),
-    "report_range": _r(lambda r: Q.browse(r.ledger_lines_alt_view,
-                                          gte={"posted_date": PARAMS["posted_from"]},
-                                          lte={"posted_date": PARAMS["posted_to"]},
-                                          hide=["extra_data", "alt_addr_cd"])),
+    "report_range": _m(lambda m: Q.ledger_lines_between(m, PARAMS["posted_from"], PARAMS["posted_to"],
+                                                        hide=["extra_data", "alt_addr_cd"])),
     "barcode_search": _m(lambda m: Q.barcode_search(m, PARAMS["barcode_pattern"])),
     # sorted as the reference's view (ascending, nulls first as its engine
     # sorts them), with total tie-breakers after its three sort columns
     "report_top": _r(lambda r: Q.top_rows(r.ledger_lines_alt_view,
                                           [F.col(c).asc_nulls_first() for c in ALT_ORDER])),
+    # the nested lines unnested again
+    "invoice_lines_from_nested": _m(lambda m: unnest(m.invoice.select("invoice_record_id", "json_invoice_record_line"),
+                                                     "json_invoice_record_line")),
     "facet_counts": _r(lambda r: Q.facet_counts(r.ledger_lines_alt_view, "pe_id")),
+    # round trips through the sinks and sources
+    "fiscal_funds_file": _m(T.fiscal_funds_file),
+    "fiscal_vendors_file": _m(T.fiscal_vendors_file),
+    "stored_sources_fund": _m(T.stored_sources_fund),
+    "typed_vendors_table": _m(T.typed_vendors_table),
+    "stored_fund_use": _r(T.stored_fund_use),
+    "ledger_alt_file": _r(T.ledger_alt_file),
+    "published_receipts": _m(T.published_receipts),
 }
+
+#: Registered queries that write while they are built.
+ROUND_TRIPS = ("fiscal_funds_file", "fiscal_vendors_file", "stored_sources_fund", "typed_vendors_table",
+               "stored_fund_use", "ledger_alt_file", "published_receipts")

@@ -3,10 +3,10 @@
 Each report is a lazy DataFrame.  Reports that unnest invoice lines read the
 flat line form of the invoice mart (:attr:`Marts.invoice_lines_flat`), which
 gives the same rows as unnesting the nested array without routing a whole
-invoice through one row.  Sorting is left to the caller
-(:func:`procura.plans.queries.top_rows` or a writer): the reports are
-order-free relations, and a global sort is only paid for where it is the
-feature.
+invoice through one row.  The reports themselves are order-free relations;
+``VIEW_ORDER`` has the order in which each is shown, which
+:func:`procura.plans.queries.in_order` and the file writers apply (a range
+sort, never one partition).
 
 Column names of the two ledger exports are snake_case here; the export
 headers of the fiscal system are in ``LEDGER_HEADERS`` / ``ALT_LEDGER_HEADERS``
@@ -22,10 +22,8 @@ from pyspark.sql import functions as F
 
 from procura.functions import (cents_to_money, gl_object_description, int_prefix, pct_of,
                                strip_zeros_if_numeric)
-from procura.operators.nesting import first_by, nest_paged
-from procura.operators.sizing import broadcast_if_small as small
-from procura.operators.sizing import join_null_safe
-from procura.operators.reshape import concat_distinct, melt, with_headings
+from procura.operators.nesting import first_by, nest
+from procura.operators.reshape import concat_distinct, fallback_lookup, melt, with_headings
 from procura.plans.marts import Marts
 
 # Export headers of the ledger export, in column order.
@@ -53,6 +51,20 @@ ALT_LEDGER_ADDRESS_CODE = "B1"
 # Labels of the fund-use chart series.
 FUND_USE_SERIES = {"expenditure": " expenditure % used", "encumbrance": "encumbrance % used"}
 
+# Order of each report as shown: (column, direction), then unique tie-breakers.
+VIEW_ORDER = {
+    "vendors_summary_view": (("last_order_date", "desc"), ("vendor_record_num", "asc")),
+    "fiscal_office_vendors_view": (("FiscalVendorId", "asc"), ("FiscalVendorCode", "asc")),
+    "invoice_export_rows": (("invoice_date", "asc"), ("invoice_number_text", "asc"), ("line_cnt", "asc"),
+                            ("invoice_record_id", "asc")),
+    "ledger_export_table": (("invoice_date", "asc"), ("invoice_record_id", "asc"), ("row_type", "desc"),
+                            ("invoice_total_or_sequence", "asc")),
+    "ledger_export_view": (("invoice_date", "asc"), ("invoice_record_id", "asc"), ("row_type", "desc"),
+                           ("invoice_total_or_sequence", "asc")),
+    "ledger_lines_alt_view": (("pe_id", "asc"), ("ref", "asc"), ("line_cnt", "asc"), ("invoice_record_id", "asc")),
+    "invoice_vendor_alt_code_view": (("count_invoices", "desc"), ("vendor_code", "asc"), ("alternate_code", "asc")),
+}
+
 US_DATE = "MM/dd/yyyy"
 
 
@@ -68,14 +80,11 @@ class Reports:
     # ------------------------------------------------------------ V1 on order
     @cached_property
     def on_order_view(self) -> DataFrame:
-        o = self.m.order_header
-        # fund codes from the flat children (not by unnesting the array)
-        on = o.filter(F.col("order_status_code") == "o").select("order_record_id", "order_record_num").distinct()
-        kids = self.m.order_funds_flat.filter(F.col("fund_code").isNotNull()).select("order_record_id", "fund_code")
-        funds = (kids.join(on, "order_record_id")
-                 .groupBy("order_record_num")
-                 .agg(concat_distinct("fund_code").alias("fund_codes")))
-        return funds.join(o, "order_record_num").select(
+        o = self.m.order_header.filter(F.col("order_status_code") == "o")
+        # fund codes per order from the flat children; the header is joined once
+        funds = (self.m.order_funds_flat.filter(F.col("fund_code").isNotNull())
+                 .groupBy("order_record_id").agg(concat_distinct("fund_code").alias("fund_codes")))
+        return o.join(funds, "order_record_id").select(
             "order_record_num", "fund_codes", "count_cmf", "sum_cmf_copies", "bib_record_num",
             F.to_date("creation_date_gmt").alias("create_date"),
             _money("estimated_price_cents").alias("est_price"),
@@ -166,25 +175,26 @@ class Reports:
 
     # ------------------------------------------------------------ V6 payee id
     @cached_property
-    def payee_by_vendor_code(self) -> DataFrame:
-        """Payee id per vendor code: the vendor's lowest-occurrence alternate
-        code ('d' field), else the fiscal office's vendor code.  'z' fields
-        never give a payee (the reference sorts them after 'd' and blanks
-        them).  One row per code that has either."""
+    def _alternate_codes(self) -> DataFrame:
+        """Per vendor code the vendor's lowest-occurrence alternate code ('d'
+        field).  'z' fields never give a payee (the reference sorts them after
+        'd' and blanks them)."""
         v = self.m.vendor_header.select("vendor_record_id", "vendor_record_code")
-        alt = (self.m.varfield.filter(F.col("varfield_type_code") == "d")
-               .select(F.col("record_id").alias("vendor_record_id"), "occ_num", "varfield_id", "field_content")
-               .join(v, "vendor_record_id")
-               .groupBy(F.col("vendor_record_code").alias("code"))
-               .agg(first_by("field_content", ["occ_num", "varfield_id"]).alias("alt_code")))
-        fiscal = (self.src.fiscal_vendors.groupBy(F.col("IlsVendorCode").alias("code"))
-                  .agg(first_by("FiscalVendorCode", ["FiscalVendorId", "FiscalVendorCode"]).alias("fiscal_code")))
-        return small(alt.join(fiscal, "code", "full")
-                     .select("code", F.coalesce("alt_code", "fiscal_code").alias("peid")))
+        return (self.m.varfield.filter(F.col("varfield_type_code") == "d")
+                .select(F.col("record_id").alias("vendor_record_id"), "occ_num", "varfield_id", "field_content")
+                .join(v, "vendor_record_id")
+                .groupBy(F.col("vendor_record_code").alias("k"))
+                .agg(first_by("field_content", ["occ_num", "varfield_id"]).alias("v")))
+
+    @cached_property
+    def _fiscal_codes(self) -> DataFrame:
+        """Per vendor code the fiscal office's code of the lowest id."""
+        return (self.src.fiscal_vendors.groupBy(F.col("IlsVendorCode").alias("k"))
+                .agg(first_by("FiscalVendorCode", ["FiscalVendorId", "FiscalVendorCode"]).alias("v")))
 
     def _with_payee(self, df: DataFrame, code_col: str, out: str) -> DataFrame:
-        p = self.payee_by_vendor_code.select(F.col("code").alias("_pcode"), F.col("peid").alias(out))
-        return df.join(p, F.trim(F.col(code_col)) == p._pcode, "left").drop("_pcode")
+        """Payee id: the alternate code, else the fiscal office's code."""
+        return fallback_lookup(df, F.trim(F.col(code_col)), self._alternate_codes, self._fiscal_codes, out)
 
     @cached_property
     def peid_view(self) -> DataFrame:
@@ -230,7 +240,7 @@ class Reports:
         f = self.m.fund.filter(F.col("fund_type") == "fbal").select(
             "fund_code_num", F.col("fund_code").alias("fund_table_code"))
         fo = self.src.fiscal_funds.select(F.lower("IlsFundCode").alias("_glcode"), "GLKey", "GLObj")
-        return small(f.join(fo, F.lower(f.fund_table_code) == fo._glcode, "left").drop("_glcode"))
+        return f.join(fo, F.lower(f.fund_table_code) == fo._glcode, "left").drop("_glcode")
 
     def _allocated_lines(self) -> DataFrame:
         """Lines with their allocation row (if the invoice is posted)."""
@@ -288,11 +298,11 @@ class Reports:
         f = self.m.fund.filter(F.col("fund_type") == "fbal").filter(F.col("fund_code") != "65535").select(
             "fund_code_num", F.col("fund_code").alias("fund_table_code"))
         fo = self.src.fiscal_funds.select(F.lower("IlsFundCode").alias("_glcode"), "GLKey", "GLObj")
-        funds = small(f.join(fo, F.lower(F.col("fund_table_code")) == fo._glcode, "left"))
+        funds = f.join(fo, F.lower(F.col("fund_table_code")) == fo._glcode, "left")
         d = d.join(funds, d._fund_key == F.col("fund_code_num"), "inner")
         # raw (untrimmed) vendor code join of the reference: repeats a line once
         # per vendor carrying that code, keeps lines without one
-        v = small(self.m.vendor_header.select(F.col("vendor_record_code").alias("_vc")))
+        v = self.m.vendor_header.select(F.col("vendor_record_code").alias("_vc"))
         d = d.join(v, d.vendor_code == F.col("_vc"), "left")
         d = self._with_payee(d, "vendor_code", "pe_id")
         h = self.m.invoice_header.select("invoice_record_id", "invoice_record_num", "invoice_number_text",
@@ -321,9 +331,9 @@ class Reports:
         per_inv = pairs.join(posted, "invoice_record_id")
         v = self.m.vendor_header.select("vendor_record_id", "vendor_record_code", "vendor_name", "vendor_record_num")
         alt = (self.m.varfield.filter(F.col("varfield_type_code") == "d")
-               .select(F.col("record_id").alias("_alt_vid"), F.col("field_content").alias("alternate_code")))
-        # vendor attributes with their alternate codes: vendor-sized, checked broadcast
-        va = small(v.join(alt, F.col("vendor_record_id") == F.col("_alt_vid"), "left"))
+               .select(F.col("record_id").alias("_alt_vid"), F.col("field_content").alias("alternate_code")).distinct())
+        # distinct: a vendor's equal alternate codes count an invoice once
+        va = v.join(alt, F.col("vendor_record_id") == F.col("_alt_vid"), "left")
         j = per_inv.join(va, per_inv.vendor_code == F.col("vendor_record_code"), "left")
         return (j.groupBy("vendor_code", "vendor_name", "vendor_record_num", "alternate_code")
                 .agg(F.count(F.lit(1)).cast("bigint").alias("count_invoices"),
@@ -334,27 +344,18 @@ class Reports:
     def fully_paid_order_bib_avg_item_cost_view(self) -> DataFrame:
         """Per (title, physical form): fully paid orders' copies, average
         price (floored), first/last order date, count, and the orders nested
-        in (date, number) order - one row per group and page of
-        ``CHILD_PAGE_SIZE`` orders (one row for every real title)."""
-        # read by the group aggregates and by the nesting: computed once
-        o = self.m._once(
-            self.m.order_header.filter(F.col("order_status_name") == "FULLY PAID")
-            .select("bib_record_num", "order_record_num", "physical_form_name", "estimated_price_cents",
-                    "sum_cmf_copies", "order_type_name", F.to_date("order_date_gmt").alias("order_date")))
+        in (date, number) order, orders without a date first."""
+        o = (self.m.order_header.filter(F.col("order_status_name") == "FULLY PAID")
+             .select("bib_record_num", "order_record_num", "physical_form_name", "estimated_price_cents",
+                     "sum_cmf_copies", "order_type_name", F.to_date("order_date_gmt").alias("order_date")))
         keys = ["bib_record_num", "physical_form_name"]
         s_, n_ = F.sum("estimated_price_cents"), F.count("estimated_price_cents")
-        agg = (o.groupBy(*keys)
-               .agg(F.sum("sum_cmf_copies").cast("bigint").alias("total_copies"),
-                    F.when(n_ > 0, F.floor((s_ - F.pmod(s_, n_)) / n_)).cast("bigint").alias("est_avg_price_cents"),
-                    F.min("order_date").alias("min_order_date"), F.max("order_date").alias("max_order_date"),
-                    F.count(F.lit(1)).cast("bigint").alias("count_order_records")))
-        pages = nest_paged(o, keys, ["order_date", "order_record_num", "order_type_name", "sum_cmf_copies"],
-                           ["order_date", "order_record_num"], "order_dates",
-                           chunk=[F.col("order_date").isNull(), F.col("order_date"),
-                                  F.col("order_record_num").isNull(), F.floor(F.col("order_record_num") / 65536)],
-                           page_col="order_page", page_size=self.m.CHILD_PAGE_SIZE)
-        # grouping keys may be null (unknown form): join null-safely
-        return join_null_safe(agg, pages, keys)
+        figures = [F.sum("sum_cmf_copies").cast("bigint").alias("total_copies"),
+                   F.when(n_ > 0, F.floor((s_ - F.pmod(s_, n_)) / n_)).cast("bigint").alias("est_avg_price_cents"),
+                   F.min("order_date").alias("min_order_date"), F.max("order_date").alias("max_order_date"),
+                   F.count(F.lit(1)).cast("bigint").alias("count_order_records")]
+        return nest(o, keys, ["order_date", "order_record_num", "order_type_name", "sum_cmf_copies"],
+                    ["order_date", "order_record_num"], "order_dates", extra_aggs=figures, nulls_first=True)
 
     # ------------------------------------------------------- V13 fund use
     @cached_property

@@ -1,5 +1,5 @@
 """Declared schemas of the marts (names and types; nullability is not part
-of the contract).  ``tests/test_schemas.py`` asserts every mart conforms, and
+of the contract).  ``tests/test_schemas_sql.py`` asserts every mart conforms, and
 :func:`procura.sources.sinks.conform` casts a frame to one of them."""
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ MART_DDL = {
     ),
     "invoice": (
         "invoice_record_id BIGINT,invoice_record_num BIGINT,invoice_number_text STRING,"
-        "count_invoice_record_line BIGINT,line_page INT,json_invoice_record_line ARRAY<STRUCT<line_cnt: INT,"
+        "count_invoice_record_line BIGINT,json_invoice_record_line ARRAY<STRUCT<line_cnt: INT,"
         " order_record_id: BIGINT, order_record_num: BIGINT, title: STRING, paid_amt_cents: BIGINT,"
         " lien_amt_cents: BIGINT, lien_flag: STRING, list_price_cents: BIGINT, fund_code: STRING,"
         " subfund_num: INT, copies_paid_cnt: INT, external_fund_code_num: INT, status_code: STRING,"
@@ -59,7 +59,7 @@ MART_DDL = {
     "orders": (
         "order_record_num BIGINT,order_record_id BIGINT,count_cmf BIGINT,"
         "count_distinct_cmf_fund_codes BIGINT,sum_cmf_copies BIGINT,"
-        "cmf_page INT,cmf_data ARRAY<STRUCT<display_order: INT, cmf_id: BIGINT, fund_code_num: INT, fund_code: STRING,"
+        "cmf_data ARRAY<STRUCT<display_order: INT, cmf_id: BIGINT, fund_code_num: INT, fund_code: STRING,"
         " acct_unit_code_num: INT, copies: INT, location_code: STRING>>,orders_display_order INT,"
         "bib_record_id BIGINT,bib_record_num BIGINT,creation_date_gmt TIMESTAMP_NTZ,"
         "accounting_unit_code_num INT,estimated_price_cents BIGINT,physical_form_code STRING,"
@@ -72,7 +72,7 @@ MART_DDL = {
         "vendor_record_id BIGINT,vendor_record_num BIGINT,record_create_date DATE,"
         "record_last_updated DATE,num_revisions INT,vendor_name STRING,vendor_record_code STRING,"
         "accounting_unit_code_num INT,count_address BIGINT,"
-        "address_page INT,vendor_record_address ARRAY<STRUCT<address_type_code: STRING, display_order: INT, addr1: STRING,"
+        "vendor_record_address ARRAY<STRUCT<address_type_code: STRING, display_order: INT, addr1: STRING,"
         " addr2: STRING, addr3: STRING, village: STRING, city: STRING, region: STRING,"
         " postal_code: STRING, country: STRING, vendor_record_address_id: BIGINT>>"
     ),

@@ -8,8 +8,8 @@ one when the cluster has none (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,21 +68,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scratch_dir(prefix: str = "procura-") -> str:
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
+def owned_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the checkpoint folder, deleted when the session
+    ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/procura-{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def materialize(df, mode: str = "table"):
     """Compute ``df`` once for several consumers in the same job.
 
-    * ``table`` (default): write it as parquet under the shared checkpoint
+    * ``table``: write it as parquet under the shared checkpoint
       folder (``spark.checkpoint.dir``) and read it back.  Lineage is cut, a
       lost executor costs no recomputation of the upstream, and later readers
       get column pruning and predicate pushdown on the columnar files.
     * ``checkpoint``: Spark's reliable RDD checkpoint into the same folder.
     * ``persist``: executor memory / local disk, recomputed from lineage if an
       executor is lost.
-    * ``none``: unchanged (one lazy plan, upstream recomputed per consumer).
+    * ``none``: unchanged (one lazy plan; equal parts of it share exchanges).
     """
     if mode == "none":
         return df
@@ -90,12 +95,11 @@ def materialize(df, mode: str = "table"):
         from pyspark import StorageLevel
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
     if mode == "checkpoint":
+        checkpoint_dir(spark)
         return df.checkpoint(eager=True)
     if mode == "table":
-        import uuid
-        path = f"{base.rstrip('/')}/procura-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
+        path = owned_folder(spark, "once")
+        df.write.parquet(path)
         return spark.read.parquet(path)
     raise ValueError(f"unknown materialize mode {mode!r}")

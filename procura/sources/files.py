@@ -2,13 +2,13 @@
 
 The fund mapping file exists in several layouts: with or without a leading
 ``rowid`` column, quoted or not, LF or CRLF line ends, empty ``GLKey`` or
-numeric code.  Columns are therefore read by header name as text and cast
+numeric code.  Columns are therefore read by header title as text and cast
 explicitly; the ledger key is a ``bigint`` (values beyond 32 bits occur).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FISCAL_VENDOR_COLUMNS = {
@@ -29,28 +29,69 @@ FISCAL_FUND_COLUMNS = {
 }
 
 
+#: Columns whose title carries the name of the library system in front; any
+#: such title is accepted if exactly one column of the file ends this way.
+TITLE_ENDS = {"IlsFundCode": "FundCode", "IlsFundCodeNumeric": "FundCodeNumeric",
+              "IlsFundCodeSpaces": "FundCodeSpaces", "IlsVendorCode": "VendorCode"}
+
+
+def _match_titles(found: list[str], columns: dict[str, str], titles: dict[str, str] | None) -> dict[str, str]:
+    """Column name -> title in the file; an unmatched column is an error."""
+    clean = {c.strip().lstrip("\ufeff"): c for c in found}
+    named = {v: k for k, v in (titles or {}).items()}
+    out = {}
+    for name in columns:
+        title = named.get(name, name)
+        if title in clean:
+            out[name] = clean[title]
+        elif name in TITLE_ENDS and name not in named:
+            ends = [c for c in clean if c.endswith(TITLE_ENDS[name]) and c not in columns]
+            if len(ends) == 1:
+                out[name] = clean[ends[0]]
+    missing = [name for name in columns if name not in out]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the file's header ({', '.join(clean)}); "
+                         "name the titles of such columns")
+    return out
+
+
+def _raw(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.option("header", True).option("inferSchema", False)
+            .option("quote", '"').option("escape", '"').option("ignoreTrailingWhiteSpace", True).csv(path))
+
+
+def _text(title: str) -> Column:
+    v = F.trim(F.col(f"`{title}`"))
+    return F.when(v == "", F.lit(None)).otherwise(v)
+
+
 def _read_typed(spark: SparkSession, path: str, columns: dict[str, str],
                 titles: dict[str, str] | None = None) -> DataFrame:
     """Read a header CSV as text and cast by column name.  ``titles`` maps
-    column titles used in the file to the column names above (for files
-    whose header differs); unknown titles are ignored, missing columns are
-    null."""
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("quote", '"').option("escape", '"').option("ignoreTrailingWhiteSpace", True)
-           .csv(path))
-    rename = titles or {}
-    present = {rename.get(c.strip().lstrip("\ufeff"), c.strip().lstrip("\ufeff")): c for c in raw.columns}
+    column titles used in the file to the column names above; other titles are
+    ignored.  A missing column raises at once, a malformed number when the
+    rows are read (:func:`rejected_values` counts them)."""
+    raw = _raw(spark, path)
+    title = _match_titles(raw.columns, columns, titles)
     out = []
     for name, typ in columns.items():
-        if name in present:
-            v = F.trim(F.col(f"`{present[name]}`"))
-            v = F.when(v == "", F.lit(None)).otherwise(v)
-            out.append((v if typ == "string" else v.try_cast(typ)).alias(name))
-        else:
-            out.append(F.lit(None).cast(typ).alias(name))
+        v = _text(title[name])
+        if typ != "string":
+            bad = v.isNotNull() & v.try_cast(typ).isNull()
+            v = F.when(bad, F.raise_error(F.concat(F.lit(f"{name} is no {typ}: "), v)).cast(typ)).otherwise(v.try_cast(typ))
+        out.append(v.alias(name))
     return raw.select(*out)
 
 
+def rejected_values(spark: SparkSession, path: str, columns: dict[str, str],
+                    titles: dict[str, str] | None = None) -> DataFrame:
+    """One row: for each typed column the number of malformed values."""
+    raw = _raw(spark, path)
+    title = _match_titles(raw.columns, columns, titles)
+    return raw.agg(*[F.count_if(_text(title[n]).isNotNull() & _text(title[n]).try_cast(t).isNull()).alias(n)
+                     for n, t in columns.items() if t != "string"])
+
+
 def read_fiscal_vendors(spark: SparkSession, path: str, titles: dict[str, str] | None = None) -> DataFrame:
     """Fiscal office vendor list."""
     return _read_typed(spark, path, FISCAL_VENDOR_COLUMNS, titles)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CURRENT_POINTER = "CURRENT"
+#: Partition column of tables laid out by posting month (``yyyy-MM``).
+MONTH_COLUMN = "posted_month"
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -22,14 +24,22 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, schema: StructType | None = None,
-                partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> None:
+                partition_by: list[str] | None = None, sort_within: list[str] | None = None,
+                month_of: str | None = None) -> None:
     """Replace a table with ``df`` (optionally conformed to ``schema``).
+    ``month_of`` adds the month of that date as partition column.
 
     ``sort_within`` orders rows inside each output partition so parquet
     row-group statistics become selective on those columns (the columnar
     counterpart of a secondary index); there is no global sort."""
     if schema is not None:
         df = conform(df, schema)
+    if month_of:
+        df = df.withColumn(MONTH_COLUMN, F.date_format(month_of, "yyyy-MM"))
+        # one writer per month and day range: few files, a hot month still spreads
+        df = df.repartition(MONTH_COLUMN, F.dayofmonth(month_of), F.pmod(F.xxhash64(*df.columns[:8]), F.lit(8)))
+        partition_by = [*(partition_by or []), MONTH_COLUMN]
+        sort_within = [MONTH_COLUMN, *(sort_within or [])]
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite")
@@ -56,15 +66,17 @@ def register_views(views: dict[str, DataFrame]) -> list[str]:
 
 def export_csv(df: DataFrame, path: str, headers: dict[str, str] | None = None) -> None:
     """CSV export with a header line, unlimited size (one file per
-    partition, written in parallel).  ``headers`` renames columns to the
-    export's column titles; nested arrays are written as JSON text."""
+    partition, written in parallel; the part files of a sorted report follow
+    one another in its order).  ``headers`` renames columns to the export's
+    column titles; nested arrays are written as JSON text."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if f.dataType.typeName() in ("array", "struct", "map"):
             c = F.to_json(c, {"ignoreNullFields": "false"})
         cols.append(c.alias((headers or {}).get(f.name, f.name)))
-    df.select(*cols).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*cols).write.mode("overwrite").option("header", True).option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -87,8 +99,10 @@ def _rename_over(spark: SparkSession, src, dst) -> None:
 def publish_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                      label: str | None = None, layout: dict[str, dict] | None = None) -> str:
     """Build every table under a fresh ``root/snapshot=<label>/`` folder,
-    then switch the ``CURRENT`` pointer to it with an atomic rename.  Readers
-    of the current snapshot never see a half-written table."""
+    then switch the ``CURRENT`` pointer to it with a rename.  Readers of the
+    current snapshot never see a half-written table.  The rename is atomic on
+    HDFS-like file systems; an object store copies the pointer (a few bytes),
+    so a reader may meet it missing for a moment and should retry."""
     label = label or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     base = f"{root.rstrip('/')}/snapshot={label}"
     for name, df in tables.items():
@@ -114,5 +128,14 @@ def current_snapshot(spark: SparkSession, root: str) -> str:
         stream.close()
 
 
+def open_snapshot(spark: SparkSession, root: str) -> list[str]:
+    """Register every table of the current snapshot as a temporary view, so
+    reports are browsed and queried as published, without computing them."""
+    base = current_snapshot(spark, root)
+    fs, p = _fs(spark, base)
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+    return register_views({n: spark.read.parquet(f"{base}/{n}") for n in names})
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{current_snapshot(spark, root)}/{name}")

@@ -6,8 +6,10 @@ children, vendors, funds, variable fields, record metadata ...), following the
 mapping written down in FIXTURES.md section 3.  Every relation is a lazy
 DataFrame over the parquet scans, so all work grows with the input tables.
 
-Id rule: record ids are unique across record kinds, so every record id gets a
-per-kind offset after the base key is computed (modulo rules use the base key).
+Id rule: record ids are unique across record kinds, so every record id has its
+kind in the bits from 56 up and the base key below (modulo rules use the base
+key).  Line ids hold the invoice key above 22 bits of the line's position: room
+for 2^41 invoice keys and four million lines an invoice.
 Money starts as integer cents ``cast(round(x * 100) as bigint)`` and decimals
 are derived from cents, never cast from doubles.
 """
@@ -22,11 +24,9 @@ from pyspark.sql import functions as F
 from procura.operators.sizing import row_number_chunked
 
 # Fixed values of the test mapping (FIXTURES.md section 3).
-INVOICE_OFFSET = 10_000_000_000
-ORDER_OFFSET = 20_000_000_000
-VENDOR_OFFSET = 30_000_000_000
-ITEM_OFFSET = 40_000_000_000
-BIB_OFFSET = 50_000_000_000
+INVOICE_OFFSET, ORDER_OFFSET, VENDOR_OFFSET, ITEM_OFFSET, BIB_OFFSET = (kind << 56 for kind in (1, 2, 3, 4, 5))
+#: An invoice of several thousand lines: the seventh lines of the first orders.
+LONG_INVOICE, LONG_INVOICE_ORDERS = 501, 10_000
 RECORD_NUM_BASE = 1_000_000
 CREATED_GMT = "2020-01-01 00:00:00"
 UPDATED_GMT = "2020-06-01 12:00:00"
@@ -63,7 +63,9 @@ class TestSources:
         part = self.table("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
         j = li.join(part, li.l_partkey == part.p_partkey, "inner")
         return (j
-                .withColumn("ik", F.expr("l_suppkey * 1000 + (year(l_shipdate) - 1990) * 12 + month(l_shipdate)"))
+                .withColumn("ik", F.expr(
+                    f"case when l_linenumber = 7 and l_orderkey < {LONG_INVOICE_ORDERS} then {LONG_INVOICE} "
+                    "else l_suppkey * 1000 + (year(l_shipdate) - 1990) * 12 + month(l_shipdate) end"))
                 .withColumn("paid_cents", F.expr("cast(round(l_extendedprice * 100) as bigint)"))
                 .withColumn("disc100", F.expr("cast(round(l_discount * 100) as bigint)"))
                 .withColumn("tax100", F.expr("cast(round(l_tax * 100) as bigint)"))
@@ -72,19 +74,22 @@ class TestSources:
 
     @cached_property
     def _lines(self) -> DataFrame:
-        """One row per line item with its position inside the monthly invoice."""
+        """One row per line item with its place ``pos`` inside the monthly
+        invoice and its line position: the place, but for some lines that share
+        the position before them and a few that have none."""
         # numbered per (invoice, ship day, order-key range) with offsets, so a
         # supplier with a huge share of the lines is not numbered in one task
         order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
                  "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-        chunk = [F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 65536)]
-        return (row_number_chunked(self._line_base, ["ik"], order, chunk, "line_cnt", zero_based=True)
-                .withColumn("line_cnt", F.col("line_cnt").cast("int")))
+        levels = [F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 65536)]
+        return (row_number_chunked(self._line_base, ["ik"], order, levels, "pos", zero_based=True)
+                .withColumn("line_cnt", F.expr(
+                    "cast(case when pos % 89 = 88 then null when pos % 13 = 12 then pos - 1 else pos end as int)")))
 
     @cached_property
     def invoice_record_line(self) -> DataFrame:
         return self._lines.select(
-            (F.col("ik") * 100000 + F.col("line_cnt")).alias("id"),
+            (F.col("ik") * (1 << 22) + F.col("pos")).alias("id"),
             (F.col("ik") + INVOICE_OFFSET).alias("invoice_record_id"),
             F.col("line_cnt"),
             F.expr(f"case when l_returnflag = 'R' and l_linestatus = 'F' then cast(null as bigint) "
@@ -199,7 +204,8 @@ class TestSources:
             F.expr("concat('rl', o_orderkey % 4)").alias("receiving_location_code"),
             F.expr("lower(o_orderstatus)").alias("order_status_code"),
             F.expr("concat('v', o_orderkey % 10)").alias("vendor_record_code"),
-            F.col("o_orderdate").alias("order_date_gmt"),
+            F.expr("case when o_orderkey % 11 = 5 then cast(null as timestamp_ntz) else o_orderdate end")
+            .alias("order_date_gmt"),
             F.expr("case when o_orderstatus = 'O' then cast(null as timestamp_ntz) else o_orderdate end")
             .alias("catalog_date_gmt"),
             F.expr("case when o_orderstatus = 'F' then o_orderdate + interval 30 days "
@@ -254,8 +260,8 @@ class TestSources:
         """lineitem ⋈ part with a per-order sequence number (cmf and receipt ids)."""
         order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity",
                  "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-        chunk = [F.col("l_linenumber"), F.floor(F.col("l_partkey") / 65536)]
-        return row_number_chunked(self._line_base, ["l_orderkey"], order, chunk, "seq")
+        levels = [F.col("l_linenumber"), F.floor(F.col("l_partkey") / 65536)]
+        return row_number_chunked(self._line_base, ["l_orderkey"], order, levels, "seq")
 
     @cached_property
     def order_record_cmf(self) -> DataFrame:
@@ -412,7 +418,8 @@ class TestSources:
                          F.concat(F.lit("P"), F.col("s_suppkey")).alias("field_content"))
         second = s.filter(F.col("s_suppkey") % 6 == 0).select(
             (vid * 10 + 1).alias("id"), vid.alias("record_id"), F.lit("d").alias("varfield_type_code"),
-            F.lit(1).alias("occ_num"), F.concat(F.lit("Q"), F.col("s_suppkey")).alias("field_content"))
+            F.lit(1).alias("occ_num"),
+            F.expr("concat(case when s_suppkey % 12 = 0 then 'P' else 'Q' end, s_suppkey)").alias("field_content"))
         iid = F.col("p_partkey") + ITEM_OFFSET
         barcodes = self.table("part").select(
             (iid * 10).alias("id"), iid.alias("record_id"), F.lit("b").alias("varfield_type_code"),

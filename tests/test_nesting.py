@@ -63,14 +63,9 @@ def test_fallback_lookup_and_decode(spark):
     assert dict((r.c, r.n) for r in decode(df, "c", codes, "n").collect()) == {"x": "Ex", "y": None, "z": None}
 
 
-def test_broadcast_only_when_counted_small(spark):
-    from procura.operators.sizing import broadcast_if_small
-    big = spark.range(50).withColumnRenamed("id", "k")
-    facts = spark.range(1000).withColumn("k", F.col("id") % 50)
-    small_plan = facts.join(broadcast_if_small(big, max_rows=100), "k")._jdf.queryExecution().optimizedPlan().toString()
-    large_plan = facts.join(broadcast_if_small(big, max_rows=10), "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in small_plan.lower()
-    assert "strategy=broadcast" not in large_plan.lower() and "broadcast)" not in large_plan.lower()
+def test_nest_can_put_nulls_first(spark):
+    df = spark.createDataFrame([(1, 2), (1, None), (1, 1)], "k int, o int")
+    assert [e.o for e in nest(df, "k", ["o"], ["o"], "a", nulls_first=True).first().a] == [None, 1, 2]
 
 
 def test_row_number_chunked_matches_window(spark):
@@ -80,9 +75,24 @@ def test_row_number_chunked_matches_window(spark):
 
     from procura.operators.sizing import row_number_chunked
     rnd = random.Random(3)
-    rows = [(rnd.randint(0, 3), rnd.randint(0, 20), rnd.randint(0, 1000), i) for i in range(400)]
+    rows = [(rnd.choice([None, 0, 1, 2]), rnd.choice([None, *range(20)]), rnd.randint(0, 1000), i) for i in range(400)]
     df = spark.createDataFrame(rows, "g int, a int, b int, u int")
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("a", "b", "u")))
-    got = row_number_chunked(df, ["g"], ["a", "b", "u"], [F.col("a"), F.floor(F.col("b") / 100)], "rn")
-    assert sorted(tuple(r) for r in got.select("g", "a", "b", "u", "rn").collect()) == \
-        sorted(tuple(r) for r in ref.select("g", "a", "b", "u", "rn").collect())
+    want = sorted(map(repr, ref.select("g", "a", "b", "u", "rn").collect()))
+    for levels in ([F.col("a")], [F.col("a"), F.floor(F.col("b") / 100)], [F.col("a"), F.col("b"), F.col("u")]):
+        got = row_number_chunked(df, ["g"], ["a", "b", "u"], levels, "rn")
+        assert sorted(map(repr, got.select("g", "a", "b", "u", "rn").collect())) == want
+
+
+def test_offsets_of_one_dense_group_are_shared_out(spark):
+    """One group whose rows each have a chunk of their own: the offsets are
+    prefix sums per coarse chunk, so no window holds the group's chunks."""
+    from procura.operators.sizing import row_number_chunked
+    df = spark.range(0, 20_000, 1, 8).selectExpr("id div 100000 as g", "id div 200 as a", "id")
+    out = row_number_chunked(df, ["g"], ["a", "id"], [F.col("a"), F.col("id")], "rn", zero_based=True)
+    assert out.filter("rn <> id").count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(g" in plan and "_rn_0" in plan
+    # the fine level's window is partitioned by (group, coarse chunk), not by the group alone
+    windows = [line for line in plan.split("\n") if "Window" in line and "_rn_1" in line]
+    assert windows and all("_rn_0" in w.split("windowspecdefinition(")[1].split(" ASC")[0] for w in windows)

