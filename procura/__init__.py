@@ -8,7 +8,6 @@ Sub-packages:
 * ``sources``   – reading source relations (parquet / CSV / JDBC), deriving them
   from the test tables, and the table sinks.
 * ``plans``     – the marts, report views and parameterised report queries.
-* ``streaming`` – intentionally empty: the workload is a scheduled full refresh.
 """
 
 __version__ = "0.1.0"

@@ -25,17 +25,17 @@ SOURCE_RELATIONS = (
     "order_type_property_myuser", "vendor_record", "vendor_record_address", "vendor_record_address_type",
 )
 
-# Partitioned JDBC reads of the large relations: (column, number of partitions).
-# Bounds are looked up from the table itself at read time.
-JDBC_PARTITIONING = {
-    "record_metadata": ("id", 64),
-    "varfield": ("record_id", 64),
-    "invoice_record_line": ("invoice_record_id", 64),
-    "invoice_record": ("record_id", 16),
-    "order_record": ("record_id", 16),
-    "order_record_cmf": ("order_record_id", 32),
-    "order_record_received": ("order_record_id", 16),
-}
+# Key that large relations are read by in parallel ranges over JDBC.
+JDBC_KEYS = {"record_metadata": "id", "varfield": "record_id", "invoice_record_line": "invoice_record_id",
+             "invoice_record": "record_id", "order_record": "record_id", "order_record_cmf": "order_record_id",
+             "order_record_received": "order_record_id"}
+ROWS_PER_PARTITION = 1_000_000
+FETCH_ROWS = 10_000
+
+
+def jdbc_partitions(rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Ranges that a relation of ``rows`` rows is read in."""
+    return max(1, -(-rows // rows_per_partition))
 
 
 class SourceCatalog:
@@ -71,26 +71,29 @@ class SourceCatalog:
     @classmethod
     def jdbc(cls, spark: SparkSession, url: str, properties: dict[str, str], schema: str,
              fiscal_vendors_csv: str, fiscal_funds_csv: str,
-             partitioning: dict[str, tuple[str, int]] | None = None,
+             keys: dict[str, str] | None = None, rows_per_partition: int = ROWS_PER_PARTITION,
              csv_titles: dict[str, str] | None = None) -> "SourceCatalog":
-        """Relations of a JDBC source (``schema.relation``); large relations are
-        read in parallel ranges of a numeric key."""
-        parts = {**JDBC_PARTITIONING, **(partitioning or {})}
+        """Relations of a JDBC source (``schema.relation``).  Relations with a
+        key (``JDBC_KEYS``, ``keys``) are read in parallel ranges of it, as
+        many as their row count asks for."""
+        keys = {**JDBC_KEYS, **(keys or {})}
+        properties = {"fetchsize": str(FETCH_ROWS), **properties}
 
         def reader(name: str) -> Callable[[], DataFrame]:
             table = f"{schema}.{name}"
 
             def read() -> DataFrame:
-                if name not in parts:
+                if name not in keys:
                     return spark.read.jdbc(url, table, properties=properties)
-                col, n = parts[name]
-                bounds = spark.read.jdbc(
-                    url, f"(select min({col}) as lo, max({col}) as hi from {table}) b",
+                key = keys[name]
+                about = spark.read.jdbc(
+                    url, f"(select min({key}) as lo, max({key}) as hi, count(*) as n from {table}) b",
                     properties=properties).first()
-                if bounds is None or bounds["lo"] is None:
+                if about is None or about["lo"] is None:
                     return spark.read.jdbc(url, table, properties=properties)
-                return spark.read.jdbc(url, table, column=col, lowerBound=int(bounds["lo"]),
-                                       upperBound=int(bounds["hi"]) + 1, numPartitions=n,
+                return spark.read.jdbc(url, table, column=key, lowerBound=int(about["lo"]),
+                                       upperBound=int(about["hi"]) + 1,
+                                       numPartitions=jdbc_partitions(int(about["n"]), rows_per_partition),
                                        properties=properties)
             return read
 

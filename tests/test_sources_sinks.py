@@ -100,6 +100,34 @@ def test_vendor_csv(spark, tmp):
     assert (r.FiscalVendorId, r.FiscalVendorCode, r.VendorName, r.IlsVendorCode) == (7, "FV7", "A, B", "v7")
 
 
+class _FakeJdbc:
+    """Records how relations are read; every count is 2.5 million rows."""
+
+    def __init__(self, rows):
+        self.rows, self.calls = rows, []
+        self.read = self
+
+    def jdbc(self, url, table, **kw):
+        self.calls.append((table, kw))
+        return self
+
+    def first(self):
+        return {"lo": 5, "hi": 900, "n": self.rows} if self.rows else {"lo": None, "hi": None, "n": 0}
+
+
+def test_jdbc_reads_large_relations_in_ranges():
+    from procura.sources.catalog import SourceCatalog
+    fake = _FakeJdbc(2_500_000)
+    src = SourceCatalog.jdbc(fake, "jdbc:x", {"user": "u"}, "s", "v.csv", "f.csv")
+    assert src.fund_master is fake and fake.calls == [("s.fund_master", {"properties": {"fetchsize": "10000", "user": "u"}})]
+    assert src.invoice_record_line is fake
+    table, kw = fake.calls[-1]
+    assert (table, kw["column"], kw["lowerBound"], kw["upperBound"], kw["numPartitions"]) == (
+        "s.invoice_record_line", "invoice_record_id", 5, 901, 3)
+    empty = _FakeJdbc(0)
+    assert SourceCatalog.jdbc(empty, "jdbc:x", {}, "s", "v", "f").varfield is empty and "column" not in empty.calls[-1][1]
+
+
 def test_write_table_conform_and_csv_export(spark, tmp):
     df = spark.createDataFrame([(1, "x", [(1, None)])], "a bigint, b string, c array<struct<p:int,q:string>>")
     schema = spark.createDataFrame([], "b string, a int").schema

@@ -77,8 +77,8 @@ Executed plan over stored sources (sf0.1, `local[8]`), bottom-up:
    AQE splits).
 3. Identical (paid amount, position) lines are merged by a hash aggregate
    keyed on (invoice, chunk, position, ...): partial aggregation before the
-   shuffle, a hot invoice spreads over all its chunks.  The merged rows are
-   persisted once and read by both following branches.
+   shuffle, a hot invoice spreads over all its chunks.  One repartition by
+   (invoice, chunk) before the merge serves it and both following branches.
 4. Chunk table: partial + final aggregate per (invoice, chunk) (sum, count,
    line count), then a window per invoice over the chunk rows only
    (exclusive prefix sum and whole-invoice line count).
@@ -106,29 +106,28 @@ def _table(spark, runs) -> None:
 def main() -> None:
     import tempfile
 
-    import __spark_entry__ as E
     from procura.plans.marts import Marts
     from procura.sources.catalog import SourceCatalog, export_sources
     from procura.sources.testdata import TestSources
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
-    qs = sorted(E.queries().items())
+    from procura.plans.registry import QUERIES, ROUND_TRIPS
+    qs = sorted((n, f) for n, f in QUERIES.items() if n not in ROUND_TRIPS)
     print(f"# Executed plans of the registered queries ({os.path.basename(sf_dir)}, local[8], AQE on)\n")
     print("Generated by `python tools/plans.py`.  Counts are operators of the final adaptive plan of each "
-          "query (walked as a tree; reused exchanges count once); intermediates that the query materialises "
-          "once (persisted) are read as `cached` and their own plans are not counted again.  `cartesian` counts cartesian products and nested-loop joins, "
-          "`python` any Python evaluation; both must be 0.\n")
+          "query (walked as a tree; reused exchanges count once).  `cartesian` counts cartesian products and "
+          "nested-loop joins, `python` any Python evaluation; both must be 0.  The operators of the optional "
+          "subpackage are not listed (README has their measured figures).\n")
     print(FLAGSHIP)
     print("## Production shape: sources stored as parquet\n")
     print("The marts and reports over stored source tables (what `refresh()` and `bench.py` run).\n")
     root = tempfile.mkdtemp(prefix="procura-plans-")
     export_sources(TestSources(spark, sf_dir), root)
-    _table(spark, [(n, lambda f=f: f.on_marts(Marts(SourceCatalog.parquet(spark, root), materialize="persist")))
+    _table(spark, [(n, lambda f=f: f.on_marts(Marts(SourceCatalog.parquet(spark, root))))
                    for n, f in qs])
     print("\n## Registered form: sources derived from the test tables in the same plan\n")
-    print("Includes the test-table mapping (joins, chunked numbering, aggregates); the parts that the query "
-          "materialises once appear as cached reads.\n")
+    print("Includes the test-table mapping (joins, chunked numbering, aggregates).\n")
     _table(spark, [(n, lambda f=f: f(spark, sf_dir)) for n, f in qs])
     spark.stop()
 
