@@ -211,6 +211,19 @@ class Marts:
         holding all of its lines; computed once per plan."""
         return self._once(self.invoice_lines_frame("left"))
 
+    @cached_property
+    def invoice_line_base(self) -> DataFrame:
+        """The flat invoice lines without what needs the order or the share:
+        what the reports read (from the stored flat lines if there are any)."""
+        names = ["invoice_record_id", "_line_id", "line_cnt", "paid_amt_cents", "fund_code", "vendor_code"]
+        if "invoice_lines_flat" in self.__dict__:
+            return self.invoice_lines_flat.select(*names)
+        ir = self.src.invoice_record.select(F.col("record_id").alias("invoice_record_id"))
+        il = self.src.invoice_record_line.select(
+            F.col("invoice_record_id").alias("_iid"), F.col("id").alias("_line_id"), "line_cnt",
+            to_cents("paid_amt").alias("paid_amt_cents"), "fund_code", "vendor_code")
+        return ir.join(il, ir.invoice_record_id == il._iid, "left").select(*names)
+
     def invoice_frame(self, how: str = "left", allocation: bool = True) -> DataFrame:
         """M4: invoices with their lines nested in line order.
 

@@ -150,7 +150,14 @@ class Reports:
     def invoice_line_rows(self) -> DataFrame:
         """Unnested invoice lines joined to their invoice header."""
         h = self.m.invoice_header
-        return self.m.invoice_lines_flat.join(h, "invoice_record_id")
+        return self.m.invoice_line_base.join(h, "invoice_record_id")
+
+    @cached_property
+    def _vendor_pairs(self) -> DataFrame:
+        """Lines per (invoice, vendor code as written); an invoice without
+        lines has one pair with a null code and no line."""
+        return (self.m.invoice_line_base.groupBy("invoice_record_id", "vendor_code")
+                .agg(F.count("_line_id").cast("bigint").alias("n_lines")))
 
     # ------------------------------------------------ V5 invoice export rows
     @cached_property
@@ -164,8 +171,7 @@ class Reports:
                              F.lit(None).cast("decimal(14,2)").alias("subtotal_amt"))
         # one heading per (invoice, vendor code): reduce the lines to those
         # pairs first, then attach the header at that grain
-        pairs = self.m.invoice_lines_flat.select("invoice_record_id", "vendor_code").distinct()
-        heading = (pairs.join(self.m.invoice_header, "invoice_record_id")
+        heading = (self._vendor_pairs.join(self.m.invoice_header, "invoice_record_id")
                    .select(*keys, F.lit(None).cast("int").alias("line_cnt"),
                            F.lit(None).cast("decimal(14,2)").alias("paid_amount"), "vendor_code",
                            _money("discount_amt_cents").alias("discount_amt"),
@@ -200,7 +206,7 @@ class Reports:
     def peid_view(self) -> DataFrame:
         # distinct (invoice, vendor code) first: the look-up then runs once per
         # invoice and vendor instead of once per line
-        pairs = (self.m.invoice_lines_flat.select("invoice_record_id", "vendor_code").distinct()
+        pairs = (self._vendor_pairs
                  .join(self.m.invoice_header.select("invoice_record_id", "invoice_record_num",
                                                     "invoice_number_text"), "invoice_record_id"))
         return (self._with_payee(pairs, "vendor_code", "peid")
@@ -217,22 +223,20 @@ class Reports:
     @cached_property
     def _line_counts(self) -> DataFrame:
         """Number of lines per invoice (0 for an invoice without lines)."""
-        return (self.m.invoice_lines_flat.groupBy("invoice_record_id")
+        return (self.m.invoice_line_base.groupBy("invoice_record_id")
                 .agg(F.count("_line_id").cast("bigint").alias("count_invoice_record_line")))
 
     @cached_property
     def invoice_data(self) -> DataFrame:
-        """Invoice header with line count, one payee id and the reference."""
-        peid = (self.peid_view.groupBy("invoice_record_id")
-                .agg(first_by("peid", ["peid"]).alias("peid")))
-        h = self.m.invoice_header
-        # detail and heading rows of the ledger both read it: compute once
-        return self.m._once(
-            h.join(self._line_counts, "invoice_record_id").join(peid, "invoice_record_id", "left")
-            .select("invoice_record_id", "invoice_record_num", "invoice_number_text",
-                    "count_invoice_record_line", "invoice_date", "paid_date", "invoice_record_status_code",
-                    "posted_date", "grand_total_amt_cents", "subtotal_amt_cents", "peid",
-                    strip_zeros_if_numeric("invoice_number_text").alias("ref")))
+        """Invoice header with line count, one payee id and the reference.
+        Lines are grouped by (invoice, vendor code) once, for both figures."""
+        per_invoice = (self._with_payee(self._vendor_pairs, "vendor_code", "peid").groupBy("invoice_record_id")
+                       .agg(F.sum("n_lines").alias("count_invoice_record_line"),
+                            first_by("peid", ["peid"]).alias("peid")))
+        return self.m.invoice_header.join(per_invoice, "invoice_record_id").select(
+            "invoice_record_id", "invoice_record_num", "invoice_number_text", "count_invoice_record_line",
+            "invoice_date", "paid_date", "invoice_record_status_code", "posted_date", "grand_total_amt_cents",
+            "subtotal_amt_cents", "peid", strip_zeros_if_numeric("invoice_number_text").alias("ref"))
 
     @cached_property
     def current_funds(self) -> DataFrame:
@@ -244,7 +248,7 @@ class Reports:
 
     def _allocated_lines(self) -> DataFrame:
         """Lines with their allocation row (if the invoice is posted)."""
-        lines = self.m.invoice_lines_flat.select(
+        lines = self.m.invoice_line_base.select(
             "invoice_record_id", "_line_id", (F.col("line_cnt") + 1).alias("seq"), "paid_amt_cents",
             "fund_code", "vendor_code")
         ild = self.m.invoice_line_data.select(
@@ -259,30 +263,24 @@ class Reports:
 
     @cached_property
     def ledger_export_table(self) -> DataFrame:
+        """Detail and heading rows are put together before they meet the
+        invoice, so its data is computed and joined once."""
         d = self._allocated_lines()
-        d = d.join(self.current_funds, d._fund_key == F.col("fund_code_num"), "left")
+        detail = d.join(self.current_funds, d._fund_key == F.col("fund_code_num"), "left").select(
+            "invoice_record_id", F.lit("D").alias("row_type"), "seq", "_amount_cents", "paid_amt_cents", "GLKey", "GLObj")
+        heading = self.src.invoice_record.select(F.col("record_id").alias("invoice_record_id"), F.lit("H").alias("row_type"))
         inv = self.invoice_data
-        detail = d.join(inv, "invoice_record_id").select(
-            F.lit("D").alias("row_type"), F.col("peid").alias("vendor_number"),
-            F.col("ref").alias("invoice_number"),
-            F.col("seq").cast("decimal(14,2)").alias("invoice_total_or_sequence"),
-            _money("_amount_cents").alias("net_amount"),
+        is_head = F.col("row_type") == "H"
+        date = F.date_format("invoice_date", US_DATE)
+        return with_headings(detail, heading).join(inv, "invoice_record_id").select(
+            "row_type", F.col("peid").alias("vendor_number"), F.col("ref").alias("invoice_number"),
+            F.when(is_head, _money("grand_total_amt_cents")).otherwise(F.col("seq").cast("decimal(14,2)"))
+            .alias("invoice_total_or_sequence"),
+            F.when(is_head, _money("grand_total_amt_cents")).otherwise(_money("_amount_cents")).alias("net_amount"),
             gl_object_description("GLObj").alias("payment_method_or_description"),
-            F.col("GLKey").cast("string").alias("invoice_date_or_org"),
-            F.col("GLObj").cast("string").alias("due_date_or_object"),
-            F.lit("").alias("extra_data"), _money("paid_amt_cents").alias("orig_paid_amt"),
-            *inv.columns)
-        heading = inv.select(
-            F.lit("H").alias("row_type"), F.col("peid").alias("vendor_number"),
-            F.col("ref").alias("invoice_number"),
-            _money("grand_total_amt_cents").alias("invoice_total_or_sequence"),
-            _money("grand_total_amt_cents").alias("net_amount"),
-            F.lit(None).cast("string").alias("payment_method_or_description"),
-            F.date_format("invoice_date", US_DATE).alias("invoice_date_or_org"),
-            F.date_format("invoice_date", US_DATE).alias("due_date_or_object"),
-            F.lit("").alias("extra_data"), F.lit(None).cast("decimal(14,2)").alias("orig_paid_amt"),
-            *inv.columns)
-        return with_headings(detail, heading)
+            F.when(is_head, date).otherwise(F.col("GLKey").cast("string")).alias("invoice_date_or_org"),
+            F.when(is_head, date).otherwise(F.col("GLObj").cast("string")).alias("due_date_or_object"),
+            F.lit("").alias("extra_data"), _money("paid_amt_cents").alias("orig_paid_amt"), *inv.columns)
 
     @cached_property
     def ledger_export_view(self) -> DataFrame:
@@ -324,7 +322,7 @@ class Reports:
     @cached_property
     def invoice_vendor_alt_code_view(self) -> DataFrame:
         # one row per (vendor code, invoice) before any join
-        pairs = (self.m.invoice_lines_flat.select(F.trim("vendor_code").alias("vendor_code"), "invoice_record_id")
+        pairs = (self._vendor_pairs.select(F.trim("vendor_code").alias("vendor_code"), "invoice_record_id")
                  .distinct())
         posted = (self.m.invoice_header.filter(F.col("posted_date").isNotNull())
                   .select("invoice_record_id", "posted_date"))
