@@ -70,11 +70,14 @@ def texts_of(column: pa.Array) -> list[str]:
 
 
 def per_process(name: str, make: Callable):
-    """An object made once per Python worker and kept between its tasks."""
+    """An object made once per Python worker and kept between its tasks.  One
+    is kept at a time, so that a worker which goes on to another operator does
+    not hold the tables of all operators before it."""
     kept = sys.modules.setdefault("_procura_llm_kept", types.ModuleType("_procura_llm_kept")).__dict__
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
+    if kept.get("name") != name:
+        kept["name"], kept["object"] = name, None  # the old one goes before the new one is made
+        kept["object"] = make()
+    return kept["object"]
 
 
 # --- rolling hashes over words -------------------------------------------
@@ -83,7 +86,7 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
-def word_hasher(limit: int = 1_000_000) -> dict:
+def word_hasher(limit: int = 300_000) -> dict:
     """A dict from word bytes to its XXH64; forgets everything at ``limit``."""
     import xxhash
 

@@ -37,7 +37,8 @@ TRAIN_CHARS = 30_000
 DOC_CHARS = (50, 6_000)
 #: Languages share this many training characters if they are very many.
 ALL_CHARS = 6_000_000
-KEPT_WORDS = 500_000
+#: Words whose phrases a task keeps counted.
+KEPT_WORDS = 300_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 BREAK = " "

@@ -29,7 +29,8 @@ from procura.llm.common import map_batches, per_process, read_table, stage, text
 
 CAPACITY = 2048
 END_ID = 0
-KEPT_CHUNKS = 700_000
+#: Chunks of text whose token ids a worker keeps.
+KEPT_CHUNKS = 500_000
 
 #: Places where the byte-level pre-tokeniser always splits: before one blank
 #: or line end that stands between two characters that aren't white space.
