@@ -13,7 +13,7 @@ side bar, notice, advert, form or comments go whatever their importance.
 
 What is left is cut into blocks at block-level tags; references are decoded,
 white space inside a block becomes one blank, blocks are joined by two line
-ends in page order.
+ends in page order.  Importance never leaves a page with no text at all.
 
 Defined cases: null html is empty text; a null url is the host ''; unclosed and
 stray tags are repaired, markup cut off at the end is dropped; a page of bare
@@ -28,7 +28,7 @@ import re
 from html import unescape
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procura.llm.common import map_batches, read_table, stage, texts_of
@@ -43,7 +43,7 @@ BACKING_PAGES = 50
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                     r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"(class|role|id|aria-label|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"\b(class|role|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
@@ -58,6 +58,9 @@ NAMED = frozenset(("ad ads adv advert adverts advertisement advertising banner s
                    "popup modal overlay comment comments disqus reply replies respond reactions form login signup search "
                    "newsletter subscribe subscription share sharing social related recommended pagination pager toolbar "
                    "masthead topbar skip contentinfo complementary alert").split())
+#: Names that begin so tell how an element is laid out ("has-sidebar").
+LAYOUT = frozenset("has no with without".split())
+FRAME = frozenset("html body main article".split())
 #: Opening one of these closes an open one of the same set, up to a border.
 CLOSES = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"),
           "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",)}
@@ -67,18 +70,18 @@ _SPLIT_NAME = re.compile(r"[^a-z]+")
 
 
 def style_of(tag: str, attributes: str) -> tuple[str, bool]:
-    """Presentation of an element, and whether its names give it away."""
+    """Presentation of an element, and whether its names give it away.  The
+    page's own frame and its article are never given away by name."""
     names, shown = set(), []
     for m in _ATTRIBUTE.finditer(attributes):
-        value = (m[2] or m[3] or m[4] or "").lower()
-        words = [w for w in _SPLIT_NAME.split(value) if w]
-        if m[1].lower() == "hidden" and tag not in BLOCK:
-            continue
-        if m[1].lower() != "aria-label":
-            names.update(words)
-        if m[1].lower() in ("class", "role"):
-            shown += words
-    return tag + "".join(f".{w}" for w in sorted(set(shown))), tag in DROPPED or not names.isdisjoint(NAMED)
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
+            words = [w for w in _SPLIT_NAME.split(name) if w]
+            if words and words[0] not in LAYOUT:
+                names.update(words)
+            if m[1].lower() != "id":
+                shown += words
+    bad = tag in DROPPED or tag not in FRAME and not names.isdisjoint(NAMED)
+    return tag + "".join(f".{w}" for w in sorted(set(shown))), bad
 
 
 def blocks_of(html: str) -> list[tuple[str, str]]:
@@ -156,20 +159,8 @@ def blocks_of(html: str) -> list[tuple[str, str]]:
     return out
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url``, ``host`` and the arrays ``paths`` and ``texts`` of
-    a page's blocks."""
-    def run(batches):
-        for batch in batches:
-            texts = texts_of(batch.column(3))
-            for at in range(0, len(texts), 512):
-                found = [blocks_of(t) for t in texts[at:at + 512]]
-                part = batch.slice(at, 512)
-                yield {"page_id": part.column(0), "url": part.column(1), "host": part.column(2),
-                       "paths": [[b[0] for b in f] for f in found], "texts": [[b[1] for b in f] for f in found]}
-
-    return map_batches(pages.select(F.col("page_id").cast("long"), "url", host_of(F.col("url")).alias("host"), "html"),
-                       run, "page_id long, url string, host string, paths array<string>, texts array<string>")
+def _hosts(pages: DataFrame) -> DataFrame:
+    return pages.select(F.col("page_id").cast("long"), "url", host_of(F.col("url")).alias("host"), "html")
 
 
 def node_rows(pages: DataFrame) -> DataFrame:
@@ -183,20 +174,20 @@ def node_rows(pages: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = {k: [] for k in ("host", "node", "children", "contents")}
-            for host, paths, texts in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                under: dict[str, list[int]] = {}
-                for k, path in enumerate(paths):
-                    steps = path.split("/")
+            for host, html in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+                under: dict[str, list[tuple[str, int]]] = {}
+                for path, text in blocks_of(html):
+                    steps, content = path.split("/"), signed(text)
                     for depth in range(2, len(steps) + 1):
-                        under.setdefault("/".join(steps[:depth]), []).append(k)
-                for node, ks in under.items():
+                        under.setdefault("/".join(steps[:depth]), []).append((path, content))
+                for node, found in under.items():
                     out["host"].append(host)
                     out["node"].append(node)
-                    out["children"].append(signed("|".join(sorted({paths[k][len(node):] for k in ks}))))
-                    out["contents"].append(sorted({signed(texts[k]) for k in ks}))
+                    out["children"].append(signed("|".join(sorted({path[len(node):] for path, _ in found}))))
+                    out["contents"].append(sorted({content for _, content in found}))
             yield out
 
-    return map_batches(pages.select("host", "paths", "texts"), run,
+    return map_batches(_hosts(pages).select("host", "html"), run,
                        "host string, node string, children long, contents array<long>")
 
 
@@ -224,23 +215,30 @@ def node_values(nodes: DataFrame) -> DataFrame:
     return own.join(every, "node").select("host", "node", (share * F.col("own") + (1 - share) * F.col("every")).alias("value"))
 
 
-def keeps_blocks(low: Column) -> Column:
-    """Texts of the blocks under no low-importance node."""
-    rows = F.arrays_zip("paths", "texts")
-    kept = F.filter(rows, lambda b: ~F.exists(
-        low, lambda n: (b["paths"] == n) | b["paths"].startswith(F.concat(n, F.lit("/")))))
-    return F.transform(kept, lambda b: b["texts"])
+def main_text(pages: DataFrame, least: float = LEAST) -> DataFrame:
+    """``page_id``, ``url`` and ``html`` -> the main ``text`` of every page.
 
+    The pages are parsed twice, for the trees and for the text, which is
+    cheaper than storing the blocks in between.  The hosts' low nodes are a
+    stored table: the optimizer broadcasts it while its files are under the
+    threshold, else the join is shuffled and skewed hosts are split."""
+    nodes = stage(node_rows(pages), "nodes")
+    low = stage(node_values(nodes).filter(F.col("value") < least)
+                .groupBy("host").agg(F.collect_set("node").alias("low")), "low-nodes")
 
-def main_text(pages: DataFrame, least: float = LEAST) -> DataFrame:
-    """``page_id``, ``url`` and ``html`` -> the main ``text`` of every page."""
-    found = stage(parsed(pages), "blocks")
-    nodes = stage(node_rows(found), "nodes")
-    # a host's style nodes under the bar (structure, not pages: few per host)
-    low = node_values(nodes).filter(F.col("value") < least).groupBy("host").agg(F.collect_set("node").alias("low"))
-    text = F.array_join(keeps_blocks(F.coalesce("low", F.array().cast("array<string>"))), "\n\n")
-    out = found.join(low, "host", "left").select("page_id", "url", text.alias("text"))
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    def run(batches):
+        for batch in batches:
+            html, cut, texts = texts_of(batch.column(2)), batch.column(3).to_pylist(), []
+            for page, nodes_ in zip(html, cut):
+                drop = tuple(n + "/" for n in nodes_ or ())
+                blocks = blocks_of(page)
+                # a host of copies shares all its contents: a page is never cut to nothing
+                left = [t for path, t in blocks if not (path + "/").startswith(drop)] or [t for _, t in blocks]
+                texts.append("\n\n".join(left))
+            yield {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": [len(t) for t in texts]}
+
+    joined = _hosts(pages).join(low, "host", "left").select("page_id", "url", "html", "low")
+    return map_batches(joined, run, "page_id long, url string, text string, n_chars long")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,7 @@ def text_of(html):
     ("<p>a <span class=ad>buy</span> b <button>x</button>c</p>", "a b c"),
     ("<script>never closed <p>x</p>", ""),
     ("a < b and 1<2", "a < b and 1<2"),
+    ("<body class='has-sidebar menu'><main id=comments><p class=with-ads>y</p></main>", "y"),
     ("<div role=contentinfo>f</div><div class=story>s</div>", "s"),
 ])
 def test_blocks(html, want):
@@ -88,5 +89,11 @@ def test_shared_branches_of_a_host_are_cut_without_a_telling_name(spark):
     assert rest == [(False, ""), (False, "lone page style"), (True, "")]
 
 
+def test_a_host_of_copies_keeps_its_text(spark):
+    pages = [(i, "http://same.org/", "<div class=story><p>One story.</p><p>Its end.</p></div>") for i in range(300)]
+    out = ex.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.text for r in out} == {"One story.\n\nIts end."}
+
+
 def test_empty_table(spark):
     assert ex.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
