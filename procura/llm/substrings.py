@@ -12,8 +12,10 @@ whole; overlapping matched windows make up the maximal exact repeats.
 
 Runs travel as packed hashes: one row per group of documents and bucket of the
 hash range holds many runs (a few bytes a word), and a bucket is joined in one
-task whose size ``BUCKET_BYTES`` of input sets.  A bucket is a range of hash
-values, so a passage that very many documents share spreads over many buckets.
+task whose size ``BUCKET_BYTES`` of input sets.  Before they travel, the equal
+runs of a group of documents are settled among themselves: all but those of the
+group's smallest document have a smaller one beside them and are hits on the
+spot, so a run that very many documents share is sent once or twice a group.
 The anchor hashes may collide (32 bits and the bucket's): a false anchor only
 costs a comparison of whole windows, by 64 bits and the document's own words.
 
@@ -58,17 +60,20 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, f"<u{raw[0]}", offset=1)
 
 
-def pack_runs(doc: np.ndarray, place: np.ndarray, hashes: np.ndarray, buckets: int, width: int) -> dict[str, list]:
+def pack_runs(doc: np.ndarray, place: np.ndarray, hashes: np.ndarray, buckets: int, width: int,
+              settled: bool = False) -> dict[str, list]:
     """Rows of ``PACKED`` for runs sorted by document; ``width`` bytes of the
-    hash travel beside the bucket, which its upper bits give."""
+    hash travel beside the bucket, which its upper bits give (counted down
+    from -1 for runs that are settled already)."""
     bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    doc = np.asarray(doc, np.int64)
     out: dict[str, list] = {k: [] for k in ("bucket", "docs", "counts", "places", "hashes")}
     for i in np.split(order, edges[1:]) if len(order) else []:
         first = np.flatnonzero(np.r_[True, doc[i][1:] != doc[i][:-1]])
         ids = doc[i][first]
-        out["bucket"].append(int(bucket[i[0]]))
+        out["bucket"].append(-1 - int(bucket[i[0]]) if settled else int(bucket[i[0]]))
         out["docs"].append(int(ids[0]).to_bytes(8, "little", signed=True) + _pack(np.diff(ids).astype(np.uint64)))
         out["counts"].append(_pack(np.diff(np.r_[first, len(i)])))
         out["places"].append(_pack(place[i]))
@@ -118,30 +123,62 @@ def _rolled(sizes: np.ndarray, words: np.ndarray, length: int) -> tuple[np.ndarr
     return own[inside], doc[inside], place[inside]
 
 
+def settle(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Equal runs of a group of documents (sorted by id): the places in the
+    arrays, grouped by hash, the group of each, and for each group whether it
+    holds several documents; and which places belong to the smallest one."""
+    order = np.argsort(hashes, kind="stable")
+    new = np.r_[True, hashes[order][1:] != hashes[order][:-1]] if len(order) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    smallest = doc[order] == doc[order][first][group]
+    last = np.r_[first[1:], len(order)] - 1
+    several = doc[order][last] != doc[order][first]
+    return order, group, several, smallest
+
+
 def anchors(docs: DataFrame, window: int, buckets: int) -> DataFrame:
-    """(doc_id, place) of the block-long runs that a smaller document has as a
-    block, and of the blocks that a larger document has anywhere."""
+    """(doc_id, place) of block-long runs that a smaller document has, and of
+    those that a larger document has, as far as one of the two is a block.
+    Found within a group of documents, runs need not be blocks."""
     block = window // 2
 
     def probe(batches):
         hashes = per_process("word hashes", word_hasher)
         for ids, sizes, words, _ in _word_groups(batches, hashes):
-            own, doc, place = _rolled(sizes, words, block)
-            yield pack_runs(ids[doc], place, own, buckets, 4)
+            own, number, place = _rolled(sizes, words, block)
+            doc = ids[number]
+            order, group, several, smallest = settle(doc, own)
+            shared = several[group]
+            # settled here: the runs of all documents of a group of several
+            here = np.sort(order[shared])
+            yield pack_runs(doc[here], place[here], own[here], buckets, 4, settled=True)
+            # sent: those of the smallest document and one of the largest
+            last = np.flatnonzero(np.r_[group[1:] != group[:-1], True]) if len(group) else group
+            sent = np.sort(np.r_[order[smallest], order[last[several]]])
+            yield pack_runs(doc[sent], place[sent], own[sent], buckets, 4)
+            # a block of any of them stands for the smallest document (place 0 is a block's)
+            blocks = np.zeros(len(several), bool)
+            np.logical_or.at(blocks, group[shared], place[order[shared]] % block == 0)
+            first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
+            mark = np.sort(order[first[blocks]])
+            yield pack_runs(doc[mark], np.zeros(len(mark), np.int64), own[mark], buckets, 4)
 
     out = _arrow_schema(docs.sparkSession, "doc_id long, place int")
 
     def meet(table: pa.Table) -> pa.Table:
         doc, place, own = unpack_runs(table, 4)
-        order = np.argsort(own, kind="stable")
-        doc, place, own = doc[order], place[order], own[order]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        size = np.diff(np.r_[first, len(own)])
-        is_block = place % block == 0
-        lowest = np.minimum.reduceat(np.where(is_block, doc, np.iinfo(np.int64).max), first)
-        highest = np.maximum.reduceat(doc, first)
-        hit = (doc > np.repeat(lowest, size)) | is_block & (doc < np.repeat(highest, size))
-        return pa.Table.from_arrays([pa.array(doc[hit]), pa.array(place[hit].astype(np.int32))], schema=out)
+        if table.column("bucket")[0].as_py() >= 0:
+            order = np.argsort(own, kind="stable")
+            doc, place, own = doc[order], place[order], own[order]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            size = np.diff(np.r_[first, len(own)])
+            is_block = place % block == 0
+            lowest = np.minimum.reduceat(np.where(is_block, doc, np.iinfo(np.int64).max), first)
+            highest = np.maximum.reduceat(doc, first)
+            hit = (doc > np.repeat(lowest, size)) | is_block & (doc < np.repeat(highest, size))
+            doc, place = doc[hit], place[hit]
+        return pa.Table.from_arrays([pa.array(doc), pa.array(place.astype(np.int32))], schema=out)
 
     return map_batches(docs, probe, PACKED).groupBy("bucket").applyInArrow(meet, "doc_id long, place int")
 
@@ -163,26 +200,32 @@ def repeats(docs: DataFrame, hits: DataFrame, window: int, buckets: int) -> Data
     def extend(batches):
         hashes = per_process("word hashes", word_hasher)
         for ids, sizes, words, places in _word_groups(batches, hashes):
-            own, doc, at = [], [], []
+            own, doc, place = [], [], []
             for k, end in enumerate(np.cumsum(sizes)):
                 values = _windows(words[end - sizes[k]:end], window)
                 mask = covered(np.maximum(np.array(places[k]) - (window - block), 0), window - block + 1, len(values))
                 here = np.flatnonzero(mask)
                 own.append(values[here])
-                at.append(here)
+                place.append(here)
                 doc.append(np.full(len(here), ids[k]))
-            yield pack_runs(np.concatenate(doc), np.concatenate(at), np.concatenate(own), buckets, 8)
+            own, doc, place = np.concatenate(own), np.concatenate(doc), np.concatenate(place)
+            order, _, _, smallest = settle(doc, own)
+            for chosen, settled in ((~smallest, True), (smallest, False)):
+                i = np.sort(order[chosen])
+                yield pack_runs(doc[i], place[i], own[i], buckets, 8, settled)
 
     out = _arrow_schema(docs.sparkSession, "doc_id long, place int, hash long")
 
     def meet(table: pa.Table) -> pa.Table:
         doc, place, own = unpack_runs(table, 8)
-        order = np.argsort(own, kind="stable")
-        doc, place, own = doc[order], place[order], own[order]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        hit = doc > np.repeat(np.minimum.reduceat(doc, first), np.diff(np.r_[first, len(own)]))
-        return pa.Table.from_arrays([pa.array(doc[hit]), pa.array(place[hit].astype(np.int32)),
-                                     pa.array(own[hit].view(np.int64))], schema=out)
+        if table.column("bucket")[0].as_py() >= 0:
+            order = np.argsort(own, kind="stable")
+            doc, place, own = doc[order], place[order], own[order]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            hit = doc > np.repeat(np.minimum.reduceat(doc, first), np.diff(np.r_[first, len(own)]))
+            doc, place, own = doc[hit], place[hit], own[hit]
+        return pa.Table.from_arrays([pa.array(doc), pa.array(place.astype(np.int32)), pa.array(own.view(np.int64))],
+                                    schema=out)
 
     return map_batches(found, extend, PACKED).groupBy("bucket").applyInArrow(meet, "doc_id long, place int, hash long")
 
