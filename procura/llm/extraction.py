@@ -47,6 +47,7 @@ _ATTRIBUTE = re.compile(r"\b(class|role|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
+_RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 BLOCK = frozenset(("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre "
                    "section select summary table tbody td tfoot th thead tr ul").split())
@@ -91,7 +92,6 @@ def blocks_of(html: str) -> list[tuple[str, str]]:
     open_: list[tuple[str, str, bool]] = []  # tag, path, given away
     text: list[str] = []
     at = 0
-    lower = html.lower()
 
     def end_block():
         if text:
@@ -131,10 +131,10 @@ def blocks_of(html: str) -> list[tuple[str, str]]:
             say("\n")
             continue
         if tag in RAW:
-            end = lower.find(f"</{tag}", at)
-            at = lower.find(">", end) + 1 if end >= 0 else 0
-            if not at:
+            end = _RAW_END[tag].search(html, at)
+            if not end:
                 break
+            at = end.end()
             continue
         if tag in BLOCK:
             k = len(open_)

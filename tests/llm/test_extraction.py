@@ -20,6 +20,7 @@ def text_of(html):
     ("<header><h1>Site</h1></header><main><header><h1>T</h1></header><p>y</p></main>", "T\n\ny"),
     ("<div id=comments><p>c</p></div><article><p>y</p><section class='comment-list'><p>z</p></section></article>", "y"),
     ("<script>var t='</p><p>no';</script><style>p{}</style><p>yes</p><!-- <p>no</p> -->", "yes"),
+    ("<p>\u0130\u0130\u0130</p><SCRIPT>x</Script><p>b</p>", "\u0130\u0130\u0130\n\nb"),
     ("<p>a<script>if(a<b){}</script>b</p>", "ab"),
     ("<article><p>before<aside>side</aside>after</p></article>", "before\n\nafter"),
     ("<article><p>a<form><input value='>'>f</form></p>b</article>", "a\n\nb"),
