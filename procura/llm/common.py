@@ -87,14 +87,15 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def word_hasher(limit: int = 300_000) -> dict:
-    """A dict from word bytes to its XXH64; forgets everything at ``limit``."""
+    """A dict from word bytes to its XXH64 that keeps the first ``limit``
+    words it meets (the frequent ones come early)."""
     import xxhash
 
     class Hashes(dict):
         def __missing__(self, word):
-            if len(self) >= limit:
-                self.clear()
-            value = self[word] = xxhash.xxh64_intdigest(word, 7)
+            value = xxhash.xxh64_intdigest(word, 7)
+            if len(self) < limit:
+                self[word] = value
             return value
 
     return Hashes()
