@@ -17,7 +17,7 @@ from procura.plans.marts import ORDER, Marts
 from procura.plans.reports import VIEW_ORDER, Reports
 from procura.sources.sinks import MONTH_COLUMN
 from procura.sources.sinks import register_views as sink_views
-from procura.sources.subset import SubsetSources, only_invoices, only_orders
+from procura.sources.subset import SubsetSources, children_of, only_invoices, renewed
 
 # Browse limits of the reporting front end.
 MAX_RETURNED_ROWS = 10_000
@@ -46,19 +46,20 @@ def invoices_for_order(m: Marts, order_record_num: int) -> DataFrame:
 def on_order_by_fund(m: Marts, fund_code: str) -> DataFrame:
     """Q2: on-order orders with a fund child of ``fund_code``; an order is
     repeated once per matching child (unnest + filter, not EXISTS)."""
-    on_order = m.src.order_record.filter(F.col("order_status_code") == "o").select("record_id")
-    kids = (_over(m, only_orders(m.src, on_order)).order_funds_flat.filter(F.col("fund_code") == fund_code)
-            .select("order_record_id"))
-    return _json_arrays(_over(m, only_orders(m.src, kids)).orders.join(kids, "order_record_id"))
+    kids = m.order_funds_flat.filter(F.col("fund_code") == fund_code).select("order_record_id")
+    found = SubsetSources(m.src, order_record=m.src.order_record.filter(F.col("order_status_code") == "o"),
+                          order_record_cmf=children_of(m.src, kids))
+    return _json_arrays(_over(m, found).orders.join(kids, "order_record_id"))
 
 
 def multi_fund_orders(m: Marts, more_than: int, order_status_code: str) -> DataFrame:
     """Q3: orders using more than ``more_than`` distinct fund codes, by
     creation date."""
-    status = m.src.order_record.filter(F.col("order_status_code") == order_status_code).select("record_id")
-    ids = (_over(m, only_orders(m.src, status)).order_funds_flat.groupBy("order_record_id")
+    chosen = m.src.order_record.filter(F.col("order_status_code") == order_status_code)
+    kids = SubsetSources(m.src, order_record_cmf=children_of(m.src, chosen.select("record_id")))
+    ids = (_over(m, kids).order_funds_flat.groupBy("order_record_id")
            .agg(F.count_distinct("_raw_fund_code").alias("n")).filter(F.col("n") > more_than).select("order_record_id"))
-    o = _over(m, only_orders(m.src, ids)).orders
+    o = _over(m, SubsetSources(m.src, order_record=renewed(chosen), order_record_cmf=children_of(m.src, ids))).orders
     return _json_arrays(o.select(
         "order_record_num", F.to_date("creation_date_gmt").alias("creation_date"), "count_cmf",
         F.col("count_distinct_cmf_fund_codes").alias("count_fund_codes"), "sum_cmf_copies", "cmf_data",
