@@ -39,7 +39,7 @@ WINDOW = 50
 #: Input bytes (as the optimizer estimates them) whose runs meet in a bucket.
 BUCKET_BYTES = 4_000_000
 #: Words whose runs are packed together.
-GROUP_WORDS = 1_000_000
+GROUP_WORDS = 500_000
 
 PACKED = "bucket int, docs binary, counts binary, places binary, hashes binary"
 
