@@ -61,25 +61,15 @@ class ChunkIds(dict):
         self.merge = tiktoken.Encoding("of the file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                        special_tokens={}).encode_ordinary
 
-        self.passing: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        return self.passing[chunk]
-
     def learn(self, chunks: set[str]) -> None:
-        """Ids of new chunks: kept while there is room (the frequent chunks
-        come early), else for the texts at hand only."""
+        if len(self) + len(chunks) > KEPT_CHUNKS:
+            self.clear()
         new = chunks.difference(self)
-        ids = {}
         for special in self.special:
             for c in [c for c in new if special in c]:
                 new.discard(c)
-                ids[c] = array("I", self.tokenizer.encode(c, add_special_tokens=False).ids).tobytes()
-        ids.update(zip(new, [array("I", x).tobytes() for x in map(self.merge, new)]))
-        if len(self) + len(ids) > KEPT_CHUNKS:
-            self.passing = ids
-        else:
-            self.update(ids)
+                self[c] = array("I", self.tokenizer.encode(c, add_special_tokens=False).ids).tobytes()
+        self.update(zip(new, [array("I", ids).tobytes() for ids in map(self.merge, new)]))
 
 
 #: What makes the plain cuts of ``chunks_of`` unsafe, beside other white space.
