@@ -12,8 +12,12 @@ the phrases of a word are counted once per distinct word; the words of a batch
 are parsed together, one character position at a time, on the automata's dense
 transition tables.
 
-The training text is at most ``TRAIN_CHARS`` characters a language, whole
-documents drawn by a hash of their ids.  Defined cases: null text or text
+The training text is at most ``TRAIN_CHARS`` characters a language, drawn from
+its documents of every length in the order of a hash of their ids.  A document
+gives at most ``DOC_PART`` of it (a slice of its words, placed by the hash),
+more only if the language has no other text.  A draw that brings too little is
+repeated at a higher rate, so a language with a letter is always learnt.
+Defined cases: null text or text
 without a letter is ``und`` with score 0; a letter that no training text has
 costs a phrase in every language; training rows with null text, language or id
 are not used; a null id is judged, never learnt from; repeated rows are judged
@@ -32,9 +36,11 @@ from pyspark.sql import functions as F
 
 from procura.llm.common import held_out, map_batches, read_table, texts_of
 
-#: Training characters a language, and the lengths of the documents drawn.
+#: Training characters a language, and the part of them one document may give.
 TRAIN_CHARS = 30_000
-DOC_CHARS = (50, 6_000)
+DOC_PART = 0.2
+#: Growth of the rate if a language's draw brings too little.
+REDRAW = 8
 #: Languages share this many training characters if they are very many.
 ALL_CHARS = 6_000_000
 #: Words whose phrases a task keeps counted.
@@ -161,27 +167,74 @@ def verdict(cost: np.ndarray, names: list[str]) -> tuple[str, float]:
     return names[best], float(1 / np.exp(-SHARPNESS * (cost - cost[best])).sum())
 
 
+def slice_of(text: str, size: int, key: int) -> str:
+    """At most ``size`` characters of ``text`` (words joined by ``BREAK``) from
+    a place given by ``key``; whole words if one fits."""
+    if len(text) <= size:
+        return text
+    at = key % (len(text) - size + 1)
+    words = text[at:at + size].split(BREAK)
+    if at and text[at - 1] != BREAK:
+        words = words[1:]
+    if at + size < len(text) and text[at + size] != BREAK:
+        words = words[:-1]
+    return BREAK.join(words).strip(BREAK) or text[at:at + size].strip(BREAK)
+
+
+def _draw(usable: DataFrame, rate: dict[str, float], size: dict[str, int]) -> list:
+    """(lang, key, text) of the drawn documents that have words, cut to the
+    language's ``size``."""
+    limit = F.create_map(*[F.lit(x) for k, v in rate.items() for x in (k, int(v * 1_000_000_000))])
+    key = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000_000))
+    drawn = usable.withColumn("key", key).filter(F.col("key") < limit[F.col("lang")])
+
+    def run(batches):
+        for batch in batches:
+            out = {k: [] for k in ("lang", "key", "doc_id", "text")}
+            for lang, key, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                words = words_of(text)
+                if words:
+                    for k, v in zip(out, (lang, key, doc_id, slice_of(BREAK.join(words), size[lang], key))):
+                        out[k].append(v)
+            yield out
+
+    cut = map_batches(drawn.select("lang", "key", "doc_id", "text"), run, "lang string, key long, doc_id long, text string")
+    return sorted(map(tuple, cut.collect()), key=lambda r: r[1:])
+
+
 def training_text(docs: DataFrame, train_chars: int = TRAIN_CHARS) -> dict[str, str]:
     """Language -> words of its training text, joined by blanks."""
-    low, high = DOC_CHARS
     usable = docs.select(F.col("doc_id").cast("long"), "lang", "text").filter(
-        "doc_id is not null and lang is not null and text is not null").filter(~held_out(F.col("doc_id"))).filter(
-        F.length("text") <= high)
-    rows = usable.groupBy("lang").agg(F.sum(F.greatest(F.length("text"), F.lit(1))).alias("chars")).orderBy("lang").collect()
-    each = min(train_chars, ALL_CHARS // max(1, len(rows)))
+        "doc_id is not null and lang is not null and text is not null").filter(~held_out(F.col("doc_id")))
+    part = F.lit(max(1, int(train_chars * DOC_PART)))
+    rows = usable.groupBy("lang").agg(F.sum(F.least(F.greatest(F.length("text"), F.lit(1)), part)).alias("chars")).collect()
+    each = max(1, min(train_chars, ALL_CHARS // max(1, len(rows))))
     rate = {r["lang"]: min(1.0, 1.5 * each / r["chars"]) for r in rows}
-    if not rate:
-        return {}
-    limit = F.create_map(*[F.lit(x) for k, v in rate.items() for x in (k, int(v * 1_000_000_000))])
-    drawn = usable.filter(F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000_000)) < limit[F.col("lang")])
-    text: dict[str, list[str]] = {k: [] for k in rate}
-    size = dict.fromkeys(rate, 0)
-    for r in drawn.orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect():
-        words = words_of(r["text"])
-        if size[r["lang"]] < each and (len(r["text"]) >= low or rate[r["lang"]] >= 1):
-            text[r["lang"]] += words
-            size[r["lang"]] += sum(map(len, words)) + len(words)
-    return {k: BREAK + BREAK.join(v) + BREAK for k, v in text.items() if v}
+    size = dict.fromkeys(rate, max(1, int(each * DOC_PART)))
+    found: dict[str, list[tuple[int, str]]] = {}
+    while rate:
+        got: dict[str, list[tuple[int, str]]] = {k: [] for k in rate}
+        for lang, key, _, text in _draw(usable, rate, size):
+            got[lang].append((key, text))
+        found.update(got)
+        short = [k for k, v in got.items() if sum(len(t) + 1 for _, t in v) < each and (rate[k] < 1 or size[k] < each)]
+        # more documents first, longer slices of them if there are no more
+        size = {k: size[k] if rate[k] < 1 else each for k in short}
+        rate = {k: min(1.0, rate[k] * REDRAW) for k in short}
+    out = {}
+    for lang, drawn in sorted(found.items()):
+        text, room = [], each
+        for key, piece in drawn:
+            if len(piece) >= room and text:
+                piece = slice_of(piece, room - 1, key) if room > 1 else ""
+            if piece:
+                text.append(piece)
+            room -= len(piece) + 1
+            if room <= 0:
+                break
+        if text:
+            out[lang] = BREAK + BREAK.join(text) + BREAK
+    return out
 
 
 def train(text: dict[str, str]) -> Model:

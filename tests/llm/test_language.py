@@ -88,3 +88,29 @@ def test_held_out_accuracy(spark, sf):
     docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
     out = lang.op7_language_id(spark, f"/root/testdata/{sf}").join(docs, "doc_id").filter("held_out").collect()
     assert sum(r.lang_pred == r.lang for r in out) / len(out) > 0.97
+
+
+def labelled(spark, texts):
+    """Documents that may be learnt from, ids counting up over ``texts``."""
+    import zlib
+    ids = (i for i in range(10 ** 6) if zlib.crc32(str(i).encode()) % 4 != 2)
+    return spark.createDataFrame([(next(ids), t, k) for k, ts in texts.items() for t in ts],
+                                 "doc_id long, text string, lang string").repartition(3)
+
+
+def test_languages_of_long_or_short_documents_alone_are_learnt(spark):
+    texts = {"long": ["lomba renke " * 6_000] * 40, "one": ["sufi tarka " * 20_000], "short": ["gip zed"] * 9_000,
+             "block": ["ж" * 90_000] * 3, "digits": ["12 34"] * 20_000}
+    training = lang.training_text(labelled(spark, texts))
+    assert set(training) == {"long", "one", "short", "block"}
+    for k, t in training.items():
+        assert 0.9 * lang.TRAIN_CHARS <= len(t) <= lang.TRAIN_CHARS + 2, k
+        assert set(t.split()) <= {w for d in texts[k] for w in d.split()} or k == "block"
+    out = lang.identify(spark.createDataFrame([(1, "renke lomba"), (2, "tarka sufi"), (3, "zed gip")], "doc_id long, text string"),
+                        lang.train(training)).collect()
+    assert {r.doc_id: r.lang_pred for r in out} == {1: "long", 2: "one", 3: "short"}
+
+
+def test_one_long_document_fills_what_others_leave(spark):
+    training = lang.training_text(labelled(spark, {"k": ["abc"] * 10 + ["lomba renke " * 10_000]}))
+    assert 0.9 * lang.TRAIN_CHARS <= len(training["k"]) <= lang.TRAIN_CHARS + 2
