@@ -17,7 +17,8 @@ ends in page order.  Importance never leaves a page with no text at all.
 
 Defined cases: null html is empty text; a null url is the host ''; unclosed and
 stray tags are repaired, markup cut off at the end is dropped; a page of bare
-text is one block; a null id and repeated rows are extracted each; an empty
+text is one block; only an unclosed script, style, textarea or title takes the
+rest of its page; a null id and repeated rows are extracted each; an empty
 table gives no rows.  Hosts may hold any share of the pages: contents are
 counted per (host, node, content) before they meet per node.
 """
@@ -41,13 +42,23 @@ LEAST = 0.45
 #: Pages at which a host's own tree weighs as much as the tree of all hosts.
 BACKING_PAGES = 50
 
+#: Attributes as in the HTML standard: a quote opens a value right after "="
+#: only, elsewhere it is an ordinary character.
+_ATTRIBUTES = (r"(?:[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*)?)?)*+")
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                    r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
+                    rf"<(/?)([A-Za-z][^\s/>]*)({_ATTRIBUTES})(>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|role|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
+#: Of these, an element without end takes the rest of the page.
+ENDLESS = frozenset("script style textarea title".split())
+#: Foreign elements may close themselves; a tag of the page ends an open one.
+FOREIGN = frozenset("svg math".split())
 _RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
+_HOLDS_HTML = re.compile(r"<(?:foreignobject|desc|annotation-xml)\b", re.I)
+_BREAKOUT = re.compile(r"<(?:blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|img|li|listing|menu|meta|ol|p|"
+                       r"pre|ruby|small|span|strong|table|ul)(?=[\s/>])", re.I)
 BLOCK = frozenset(("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre "
                    "section select summary table tbody td tfoot th thead tr ul").split())
@@ -131,10 +142,18 @@ def blocks_of(html: str) -> list[tuple[str, str]]:
             say("\n")
             continue
         if tag in RAW:
+            if tag in FOREIGN and m[3].rstrip().endswith("/"):
+                continue
             end = _RAW_END[tag].search(html, at)
             if not end:
-                break
-            at = end.end()
+                if tag in ENDLESS:
+                    break
+                continue
+            out_at = _BREAKOUT.search(html, at, end.start()) if tag in FOREIGN else None
+            if out_at and not _HOLDS_HTML.search(html, at, out_at.start()):
+                at = out_at.start()
+            else:
+                at = end.end()
             continue
         if tag in BLOCK:
             k = len(open_)

@@ -98,3 +98,28 @@ def test_a_host_of_copies_keeps_its_text(spark):
 
 def test_empty_table(spark):
     assert ex.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<p>one</p><img alt=John's><p>two</p><p>three</p>", "one\n\ntwo\n\nthree"),
+    ("<div class=\"a\"\"><p>two</p></div><p>three</p>", "two\n\nthree"),
+    ("<p title='it's fine'>one</p><p>two</p>", "one\n\ntwo"),
+    ("<a href = \"x>y\" title = 'a\"b>c'>one</a><p>two</p>", "one\n\ntwo"),
+    ("<p \"odd' name>one</p><p class=>two</p></p \">three", "one\n\ntwo\n\nthree"),
+    ("<a href=a=\"x>one</a><p>two\" </p>", "one\n\ntwo\""),
+    ("<div class='ad'x=\"y\">no</div><p>yes</p>", "yes"),
+    ("<svg class=icon/><p>one</p><svg><path d='M0'/></svg><p>two</p>", "one\n\ntwo"),
+    ("<svg viewBox='0 0 1 1' /><p>one</p><math/><p>two</p>", "one\n\ntwo"),
+    ("<svg><path><p>one</p><svg><path></svg><p>two</p>", "one\n\ntwo"),
+    ("<svg><foreignObject><p>no</p></foreignObject></svg><p>yes</p>", "yes"),
+    ("<svg><text>no</text></svg><p>yes</p>", "yes"),
+    *((f"<p>one</p><{tag}><p>two</p>", "one\n\ntwo") for tag in ("svg", "math", "iframe", "noscript", "template", "xmp")),
+    *((f"<p>one</p><{tag}><p>two</p>", "one") for tag in ("script", "style", "textarea", "title")),
+])
+def test_malformed_markup_swallows_no_text(html, want):
+    assert text_of(html) == want
+
+
+def test_long_runs_in_a_tag_take_linear_time():
+    for run in ("' ", "a=", "= ", "/ ", "a=' "):
+        assert text_of(f"<p>one</p><img {run * 50_001}'><p>two</p>").startswith("one")
