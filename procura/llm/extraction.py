@@ -6,8 +6,12 @@ presentation nodes, and over the pages of the host it gathers the child
 sequences and the contents seen under it.  A node's importance joins the
 entropy of its presentation (log base the number of pages, as in a site style
 tree) and of its contents: a content that many pages share says little, one
-that is found on a single page says most.  Nodes of hosts with few pages lean
-on the tree merged over all hosts.  From each page the low-importance branches
+that is found on a single page says most.  Pages are
+counted once per article, so copies under headings or bylines of their own do
+not make an article look like a notice: pages are one article if they share
+the longest block of the style with the most text (of the next style, if over
+``WIDE`` of the host's pages have that block: a notice).  Nodes of hosts with
+few articles lean on the tree merged over all hosts.  From each page the low-importance branches
 are cut; branches whose tag, class or role names them as menu, header, footer,
 side bar, notice, advert, form or comments go whatever their importance.
 
@@ -39,7 +43,11 @@ from procura.llm.urls import host_of
 CONTENT_WEIGHT = 0.9
 #: Importance under which a branch is cut.
 LEAST = 0.45
-#: Pages at which a host's own tree weighs as much as the tree of all hosts.
+#: Share of a host's pages over which a block tells no article.
+WIDE = 0.9
+#: Styles of a page, by length of text, whose longest blocks may tell its article.
+TELLING = 4
+#: Articles at which a host's own tree weighs as much as the tree of all hosts.
 BACKING_PAGES = 50
 
 #: Attributes as in the HTML standard: a quote opens a value right after "="
@@ -182,9 +190,21 @@ def _hosts(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long"), "url", host_of(F.col("url")).alias("host"), "html")
 
 
+def telling(blocks: list[tuple[str, str]]) -> list[str]:
+    """Longest block of each of the styles with the most text, then all text."""
+    size: dict[str, int] = {}
+    longest: dict[str, str] = {}
+    for path, text in blocks:
+        size[path] = size.get(path, 0) + len(text)
+        longest[path] = max(longest.get(path, ""), text, key=len)
+    first = sorted(size, key=lambda path: (-size[path], path))[:TELLING]
+    return [longest[path] for path in first] + ["\n\n".join(text for _, text in blocks)]
+
+
 def node_rows(pages: DataFrame) -> DataFrame:
-    """A row for each page and style node in it: ``host``, ``node`` and the
-    hashes ``children`` (of the styles under it) and ``contents``."""
+    """A row for each page and style node in it: ``host``, ``node``, the
+    hashes ``children`` (of the styles under it) and ``contents``, and for the
+    page's article ``telling`` (``first`` marks one row a page)."""
     def run(batches):
         import xxhash
 
@@ -192,44 +212,77 @@ def node_rows(pages: DataFrame) -> DataFrame:
             return int(np.uint64(xxhash.xxh64_intdigest(text)).view(np.int64))
 
         for batch in batches:
-            out = {k: [] for k in ("host", "node", "children", "contents")}
+            out = {k: [] for k in ("host", "node", "children", "contents", "telling", "first")}
             for host, html in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
                 under: dict[str, list[tuple[str, int]]] = {}
-                for path, text in blocks_of(html):
+                blocks = blocks_of(html)
+                for path, text in blocks:
                     steps, content = path.split("/"), signed(text)
                     for depth in range(2, len(steps) + 1):
                         under.setdefault("/".join(steps[:depth]), []).append((path, content))
-                for node, found in under.items():
+                tells = [signed(text) for text in telling(blocks)] if under else []
+                for i, (node, found) in enumerate(under.items()):
                     out["host"].append(host)
                     out["node"].append(node)
                     out["children"].append(signed("|".join(sorted({path[len(node):] for path, _ in found}))))
                     out["contents"].append(sorted({content for _, content in found}))
+                    out["telling"].append(tells)
+                    out["first"].append(i == 0)
             yield out
 
-    return map_batches(_hosts(pages).select("host", "html"), run,
-                       "host string, node string, children long, contents array<long>")
+    return map_batches(_hosts(pages).select("host", "html"), run, "host string, node string, children long, "
+                       "contents array<long>, telling array<long>, first boolean")
+
+
+def with_articles(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with the ``article`` of each row's page: the first telling
+    block that is not on too many pages of the host, else the whole text."""
+    firsts = nodes.filter("first")
+    pages = firsts.groupBy("host").agg(F.count("*").alias("pages"))
+    wide = (firsts.select("host", F.explode(F.array_distinct("telling")).alias("tell"))
+            .groupBy("host", "tell").agg(F.count("*").alias("n")).filter("n > 1").join(pages, "host")
+            .filter(F.col("n") > WIDE * F.col("pages")).groupBy("host").agg(F.collect_set("tell").alias("wide")))
+    own = F.filter("telling", lambda t: ~F.coalesce(F.array_contains("wide", t), F.lit(False)))
+    return nodes.join(stage(wide, "wide"), "host", "left").withColumn(
+        "article", F.coalesce(F.get(own, F.lit(0)), F.element_at("telling", -1))).select(
+        "host", "node", "children", "contents", "article")
 
 
 def importance(nodes: DataFrame, by: list[str]) -> DataFrame:
-    """Pages ``m`` and importance of each style node of the trees merged ``by``
-    (host and node, or node alone)."""
+    """Articles ``m`` and importance of each style node of the trees merged
+    ``by`` (host and node, or node alone).  What the pages of one ``article``
+    share counts once; without that column each row is an article."""
+    def counted_by(rows, key):
+        if "article" in rows.columns:
+            rows = rows.select(*by, "article", key).distinct()
+        return rows.groupBy(*by, key).agg(F.count("*").alias("n"))
+
+    def entropy_sums(counts, total, nlogn):
+        return counts.groupBy(*by).agg(F.sum("n").alias(total),
+                                       F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias(nlogn))
+
+    shown = entropy_sums(counted_by(nodes, "children"), "s", "slogs")
+    if "article" in nodes.columns:
+        articles = nodes.select(*by, "article").distinct().groupBy(*by).agg(F.count("*").alias("m"))
+        shown = shown.join(articles, by)
+    else:
+        shown = shown.withColumn("m", F.col("s"))
     log = F.log(F.greatest(F.col("m"), F.lit(2)).cast("double"))
-    shown = (nodes.groupBy(*by, "children").agg(F.count("*").alias("n"))
-             .groupBy(*by).agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias("nlogn")))
-    # -sum p log_m p over the presentations; 1 for a node of one page
-    style = F.when(F.col("m") <= 1, 1.0).otherwise((F.log(F.col("m").cast("double")) - F.col("nlogn") / F.col("m")) / log)
-    counted = (nodes.select(*by, F.explode("contents").alias("content")).groupBy(*by, "content").agg(F.count("*").alias("k"))
-               .groupBy(*by).agg(F.sum("k").alias("f"), F.sum(F.col("k") * F.log(F.col("k").cast("double"))).alias("klogk")))
-    # a content on k of m pages has entropy log_m k; the mean over all contents
+    # -sum p log_s p over the presentations; 1 for a node of one article
+    s = F.col("s").cast("double")
+    style = F.when(F.col("m") <= 1, 1.0).otherwise((F.log(s) - F.col("slogs") / s) / F.log(F.greatest(s, F.lit(2.0))))
+    counted = entropy_sums(counted_by(nodes.withColumn("content", F.explode("contents")), "content"), "f", "klogk")
+    # a content in k of m articles has entropy log_m k; the mean over all contents
     content = F.when(F.col("m") <= 1, 1.0).otherwise(1 - F.col("klogk") / F.col("f") / log)
     value = CONTENT_WEIGHT * content + (1 - CONTENT_WEIGHT) * style
     return shown.join(counted, by).select(*by, "m", value.alias("importance"))
 
 
 def node_values(nodes: DataFrame) -> DataFrame:
-    """Importance of each host's style nodes, few pages leaning on all hosts."""
-    own = importance(nodes, ["host", "node"]).toDF("host", "node", "m", "own")
-    every = importance(nodes, ["node"]).select("node", F.col("importance").alias("every"))
+    """Importance of each host's style nodes, few articles leaning on all hosts.
+    Both trees are stored, so the shuffles of one go before the other's come."""
+    own = stage(importance(nodes, ["host", "node"]), "own").toDF("host", "node", "m", "own")
+    every = stage(importance(nodes, ["node"]), "every").select("node", F.col("importance").alias("every"))
     share = F.col("m") / (F.col("m") + BACKING_PAGES)
     return own.join(every, "node").select("host", "node", (share * F.col("own") + (1 - share) * F.col("every")).alias("value"))
 
@@ -242,7 +295,7 @@ def main_text(pages: DataFrame, least: float = LEAST) -> DataFrame:
     stored table: the optimizer broadcasts it while its files are under the
     threshold, else the join is shuffled and skewed hosts are split."""
     nodes = stage(node_rows(pages), "nodes")
-    low = stage(node_values(nodes).filter(F.col("value") < least)
+    low = stage(node_values(with_articles(nodes)).filter(F.col("value") < least)
                 .groupBy("host").agg(F.collect_set("node").alias("low")), "low-nodes")
 
     def run(batches):

@@ -123,3 +123,20 @@ def test_malformed_markup_swallows_no_text(html, want):
 def test_long_runs_in_a_tag_take_linear_time():
     for run in ("' ", "a=", "= ", "/ ", "a=' "):
         assert text_of(f"<p>one</p><img {run * 50_001}'><p>two</p>").startswith("one")
+
+
+def test_copies_under_own_headings_keep_their_text(spark):
+    """Groups of pages share six paragraphs under headings of their own; the
+    host's unnamed menu and notice still go, its unique articles stay."""
+    def story(key):
+        return [f"Paragraph {j} of the article {key}, long enough to be told from a notice." for j in range(6)]
+
+    pages, want = [], {}
+    for i in range(2_400):
+        body = story(i % 12 if i < 2_300 else i)
+        pages.append((i, "http://copies.org/", "<div class=blurb><p>Home and more</p></div><div class=story>"
+                      f"<h1>Heading {i}</h1>{''.join(f'<p>{t}</p>' for t in body)}</div><div class=legal><p>All rights kept.</p></div>"))
+        want[i] = "\n\n".join([f"Heading {i}", *body])
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in ex.main_text(df).collect()}
+    assert got == want
