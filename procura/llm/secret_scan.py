@@ -37,11 +37,33 @@ ASSIGN = Rule("assign", 1, r"""((?i:password|passwd|secret|token|api_?key))["']?
 ACCESS = Rule("access", 1, "AKIA[A-Z0-9]{14,}")
 #: Greedy runs of 16 or more are exactly the runs of any length that pass.
 HEX = Rule("hex", 1, "[0-9a-f]{16,}")
-#: Added by this operator: private key blocks and signed tokens.
+#: Added by this operator: first lines of private key blocks, and signed tokens.
 PEM = Rule("pem", 1, "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
 JWT = Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
 RULES = (ASSIGN, ACCESS, HEX, PEM, JWT)
 
+
+def _pem_block() -> str:
+    """Pattern of a whole private key block: header lines and base64 body up to
+    the END line, or without one up to the last body line.  Lines may be parted
+    by blanks, escaped line ends or quotes.  Possessive, so that matching needs
+    no stack however long a body is."""
+    line_end = r"""(?:\\[nrt]|[\s\\"'`,;>|*#&<])"""
+    headers = rf"(?:{line_end}++[A-Za-z][A-Za-z0-9-]{{0,40}}:\x20?[^\r\n\\]{{0,200}}+(?=[\r\n\\]))*+"
+    to_end = rf"""{headers}[A-Za-z0-9+/=\s\\"'`,;&#<>|*]*+-----END [A-Z ]{{0,40}}PRIVATE KEY-----"""
+    last = rf"""(?:{line_end}++(?:[A-Za-z0-9+/]{{0,39}}+={{1,2}}|[A-Za-z0-9+/]{{1,39}}+(?=\s*+\z|\s*?[\r\n]|[\\"'`])))?"""
+    lines = rf"(?:{line_end}*+[A-Za-z0-9+/=]{{40,}}+)"
+    short = rf"(?:{line_end}++[A-Za-z0-9+/=]{{20,39}}+(?![A-Za-z0-9+/=]))"
+    cut = rf"{headers}(?:{lines}++|{short}++){last}"
+    only = rf"{headers}\s++[A-Za-z0-9+/]{{1,39}}={{0,2}}\s*+\z"
+    return rf"{PEM.pattern}(?:{to_end}|{cut}|{only})?"
+
+
+#: The pipeline redacts the whole block, key and END line included; the query
+#: marks first lines, as its SQL does.
+PEM_BLOCK = Rule("pem", 2, _pem_block())
+REDACTED = (ASSIGN, ACCESS, HEX, PEM_BLOCK, JWT)
+
 SPAN = "array<struct<start:int,kind:string,rank:int,stop:int>>"
 LEDGER = f"blob string, kind string, version int, spans {SPAN}"
 

@@ -27,8 +27,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the kept texts are redacted."""
-    return secret_scan.redact_secrets(docs)
+    """Secrets in the kept texts are redacted, private keys as whole blocks."""
+    return secret_scan.redact_secrets(docs, rules=secret_scan.REDACTED)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
