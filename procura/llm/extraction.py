@@ -13,7 +13,10 @@ the longest block of the style with the most text (of the next style, if over
 ``WIDE`` of the host's pages have that block: a notice).  Nodes of hosts with
 few articles lean on the tree merged over all hosts.  From each page the low-importance branches
 are cut; branches whose tag, class or role names them as menu, header, footer,
-side bar, notice, advert, form or comments go whatever their importance.
+side bar, notice, advert, form or comments go whatever their importance.  A name
+is no verdict over the article itself: a form, or a wrapper whose class tells of
+a side bar, stays if it holds the page's article or main element or nearly all
+of its running text, and so does the header of the block that has the paragraphs.
 
 What is left is cut into blocks at block-level tags; references are decoded,
 white space inside a block becomes one blank, blocks are joined by two line
@@ -30,6 +33,7 @@ counted per (host, node, content) before they meet per node.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import numpy as np
@@ -47,6 +51,12 @@ LEAST = 0.45
 WIDE = 0.9
 #: Styles of a page, by length of text, whose longest blocks may tell its article.
 TELLING = 4
+#: Length of a block that is running text, not a menu entry or a label.
+RUNNING = 100
+#: A named branch is the page's body if it has so many times the text beside it.
+BODY_TIMES = 4
+#: Depth of the style tree; styles below are not told apart.
+MAX_DEPTH = 48
 #: Articles at which a host's own tree weighs as much as the tree of all hosts.
 BACKING_PAGES = 50
 
@@ -71,15 +81,26 @@ BLOCK = frozenset(("address article aside blockquote body caption center dd deta
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre "
                    "section select summary table tbody td tfoot th thead tr ul").split())
 #: Tags that are no article text wherever they stand.
-DROPPED = frozenset("head nav footer aside form button select dialog menu canvas object audio video".split())
-#: Class, id and role words that name a branch as no article text.
-NAMED = frozenset(("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar "
-                   "navigation menu breadcrumb breadcrumbs footer sidebar side aside widget cookie cookies consent gdpr notice "
-                   "popup modal overlay comment comments disqus reply replies respond reactions form login signup search "
-                   "newsletter subscribe subscription share sharing social related recommended pagination pager toolbar "
-                   "masthead topbar skip contentinfo complementary alert").split())
-#: Names that begin so tell how an element is laid out ("has-sidebar").
+DROPPED = frozenset("head nav footer aside button select dialog menu canvas object audio video".split())
+#: Class, id and role words that name a branch as no article text: these also
+#: name layouts ("content-sidebar-wrap"), so the branch may be the page's body,
+LAYOUT_NAMED = frozenset(("banner nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget notice popup "
+                          "modal overlay form login signup search share sharing social pagination pager toolbar masthead "
+                          "topbar skip contentinfo complementary alert").split())
+#: and these do not.
+NAMED = LAYOUT_NAMED | frozenset((
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion footer cookie cookies consent gdpr "
+    "comment comments disqus reply replies respond reactions newsletter subscribe subscription related recommended").split())
+#: Names that begin so tell how an element is laid out ("has-sidebar"),
 LAYOUT = frozenset("has no with without".split())
+#: names that end so the state of a page ("comments-open").
+STATE = frozenset("open opened closed enabled disabled allowed".split())
+#: Ordinary words, which name a branch alone or with words of the second kind.
+ORDINARY = frozenset("alert notice side form menu banner search share social skip".split())
+PARTS = frozenset(("box bar list item items container wrap wrapper section block panel area inner outer group button buttons "
+                   "link links icon icons widget info warning success danger error primary secondary dismissible dismissable top "
+                   "bottom main site page global col column rail strip text title header footer content message msg body nav "
+                   "left right toggle input field fields row form bar cta menu media fixed sticky floating mobile").split())
 FRAME = frozenset("html body main article".split())
 #: Opening one of these closes an open one of the same set, up to a border.
 CLOSES = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"),
@@ -89,45 +110,101 @@ BORDER = frozenset(("body html div article section main aside nav header footer
 _SPLIT_NAME = re.compile(r"[^a-z]+")
 
 
-def style_of(tag: str, attributes: str) -> tuple[str, bool]:
-    """Presentation of an element, and whether its names give it away.  The
-    page's own frame and its article are never given away by name."""
+def _named(words: list[str]) -> set[str]:
+    """The words of a class, id or role that give its element away."""
+    if not words or words[0] in LAYOUT or words[-1] in STATE:
+        return set()
+    return {w for w in words if w in NAMED and (w not in ORDINARY or all(x in PARTS or x in NAMED for x in words))}
+
+
+def style_of(tag: str, attributes: str) -> tuple[str, set[str]]:
+    """Presentation of an element, and the words that give it away."""
     names, shown = set(), []
     for m in _ATTRIBUTE.finditer(attributes):
         for name in (m[2] or m[3] or m[4] or "").lower().split():
             words = [w for w in _SPLIT_NAME.split(name) if w]
-            if words and words[0] not in LAYOUT:
-                names.update(words)
+            names |= _named(words)
             if m[1].lower() != "id":
                 shown += words
-    bad = tag in DROPPED or tag not in FRAME and not names.isdisjoint(NAMED)
-    return tag + "".join(f".{w}" for w in sorted(set(shown))), bad
+    return tag + "".join(f".{w}" for w in sorted(set(shown))), names
+
+
+class Branches:
+    """Branches of a page that tag or name give away, by number in page order.
+    ``mild`` ones may turn out to be the page's body (see ``spared``)."""
+
+    def __init__(self):
+        self.parent: list[int] = []
+        self.mild: list[bool] = []
+        self.article: list[bool] = []   # holds an article or main element of its own
+        self.header: list[int] = []     # element that a header stands in, else -1
+        self.free_article = False       # such an element stands in no branch
+
+    def open(self, parent: int, mild: bool, header: int = -1) -> int:
+        self.parent.append(parent)
+        self.mild.append(mild)
+        self.article.append(False)
+        self.header.append(header)
+        return len(self.parent) - 1
+
+    def note_article(self, branch: int) -> None:
+        self.free_article |= branch < 0
+        while branch >= 0 and not self.article[branch]:
+            self.article[branch] = True
+            branch = self.parent[branch]
+
+    def spared(self, blocks: list[tuple[str, list[tuple[str, int]]]], paragraphs: set[int]) -> set[int]:
+        """The branches that are no boilerplate: -1 (no branch), headers of the
+        element that has the paragraphs, and the page's body."""
+        kept, n = {-1}, len(self.parent)
+        if not n:
+            return kept
+        beside, own = 0, [0] * n    # text in no branch; running text in each branch
+        for _, pieces in blocks:
+            running = sum(len(t.strip()) for t, _ in pieces) >= RUNNING
+            for t, k in pieces:
+                if k < 0:
+                    beside += len(t.strip())
+                elif running:
+                    own[k] += len(t.strip())
+        deep = own.copy()
+        for k in range(n - 1, -1, -1):  # mild branches inside belong to a branch's text
+            if self.mild[k] and self.parent[k] >= 0:
+                deep[self.parent[k]] += deep[k]
+        for k in range(n):
+            body = self.mild[k] and not self.free_article and (
+                self.article[k] and deep[k] > beside or deep[k] > BODY_TIMES * beside)
+            if self.parent[k] in kept and (body or self.header[k] in paragraphs):
+                kept.add(k)
+                beside += own[k]
+        return kept
 
 
 def blocks_of(html: str) -> list[tuple[str, str]]:
     """(style path, text) of each text block in page order, without the text
     of branches that tag, class or role give away."""
-    out: list[tuple[str, str]] = []
-    open_: list[tuple[str, str, bool]] = []  # tag, path, given away
-    text: list[str] = []
+    out: list[tuple[str, list[tuple[str, int]]]] = []
+    open_: list[tuple[str, str, int, int, int]] = []  # tag, path, its depth, branch, element
+    text: list[tuple[str, int]] = []
+    branches, paragraphs, elements = Branches(), set(), 0
+    n_open: Counter = Counter()
     at = 0
 
     def end_block():
+        nonlocal text
         if text:
-            joined = " ".join(unescape("".join(text)).split())
-            text.clear()
-            if joined:
-                out.append((open_[-1][1] if open_ else "", joined))
+            out.append((open_[-1][1] if open_ else "", text))
+            text = []
 
     def close(k):
         while len(open_) > k:
             if open_[-1][0] in BLOCK:
                 end_block()
-            open_.pop()
+            n_open[open_.pop()[0]] -= 1
 
     def say(piece):
-        if not (open_ and open_[-1][2]):
-            text.append(piece)
+        if piece:
+            text.append((piece, open_[-1][3] if open_ else -1))
 
     for m in _TOKEN.finditer(html):
         if m.start() < at:
@@ -140,8 +217,8 @@ def blocks_of(html: str) -> list[tuple[str, str]]:
         if not m[4]:  # cut off inside the tag
             break
         if m[1]:
-            k = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == tag), None)
-            if k is not None and not (tag == "p" and any(o[0] in BORDER for o in open_[k + 1:])):
+            k = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == tag), None) if n_open[tag] else None
+            if k is not None and not (tag == "p" and any(open_[i][0] in BORDER for i in range(k + 1, len(open_)))):
                 close(k)
             elif tag in BLOCK:
                 end_block()
@@ -164,26 +241,39 @@ def blocks_of(html: str) -> list[tuple[str, str]]:
                 at = end.end()
             continue
         if tag in BLOCK:
-            k = len(open_)
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] in CLOSES.get(tag, ("p",)):
-                    k = i
-                elif open_[i][0] in BORDER:
-                    break
+            k, ends = len(open_), CLOSES.get(tag, ("p",))
+            if any(n_open[t] for t in ends):
+                for i in range(len(open_) - 1, -1, -1):
+                    if open_[i][0] in ends:
+                        k = i
+                    elif open_[i][0] in BORDER:
+                        break
             close(k)  # formatting left open in a closed paragraph ends with it
             end_block()
         if tag in VOID or m[3].rstrip().endswith("/") and tag not in BLOCK:
             continue
-        style, bad = style_of(tag, m[3])
-        if tag == "header" and not any(o[0] in ("article", "main") for o in open_):
-            bad = True
-        path = open_[-1][1] if open_ else ""
-        open_.append((tag, f"{path}/{style}" if tag in BLOCK else path, bad or bool(open_ and open_[-1][2])))
+        style, names = style_of(tag, m[3])
+        _, path, depth, branch, inside = open_[-1] if open_ else ("", "", 0, -1, -1)
+        elements += 1
+        if tag == "p" and open_:
+            paragraphs.add(inside)
+        if tag in DROPPED or names and tag not in FRAME or tag == "form":
+            branch = branches.open(branch, tag not in DROPPED and names <= LAYOUT_NAMED)
+        elif tag == "header" and not any(o[0] in ("article", "main") for o in open_):
+            branch = branches.open(branch, False, inside if open_ and open_[-1][0] not in ("html", "body") else -1)
+        elif tag in ("article", "main") and not names:
+            branches.note_article(branch)
+        if tag in BLOCK and depth < MAX_DEPTH:
+            path, depth = f"{path}/{style}", depth + 1
+        open_.append((tag, path, depth, branch, elements))
+        n_open[tag] += 1
     else:
         say(html[at:])
     close(0)
     end_block()
-    return out
+    kept = branches.spared(out, paragraphs)
+    done = ((path, " ".join(unescape("".join(t for t, k in pieces if k in kept)).split())) for path, pieces in out)
+    return [(path, joined) for path, joined in done if joined]
 
 
 def _hosts(pages: DataFrame) -> DataFrame:

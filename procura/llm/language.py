@@ -7,8 +7,8 @@ entropy (phrases per character times the log of the training length).  The
 language that needs the fewest normalised phrases wins, ties going to the
 first name.
 
-Phrases end at word borders (a word is a run of letters, in lower case), so
-the phrases of a word are counted once per distinct word; the words of a batch
+Phrases end at word borders (a word is a run of letters and their combining
+marks, in lower case; number signs like ½ or ② are no letters), so the phrases of a word are counted once per distinct word; the words of a batch
 are parsed together, one character position at a time, on the automata's dense
 transition tables.
 
@@ -28,6 +28,8 @@ rows.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,7 +48,23 @@ ALL_CHARS = 6_000_000
 #: Words whose phrases a task keeps counted.
 KEPT_WORDS = 300_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _category(*kinds: str) -> str:
+    """The characters whose Unicode category begins with one of ``kinds``, as
+    ranges of a regular expression's set."""
+    ranges, last = [], -2
+    for c in (c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)).startswith(kinds)):
+        if c == last + 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+        last = c
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+#: A letter, then letters and the marks that combine with them.
+_WORD = re.compile(f"[{_category('L')}][{_category('L', 'M')}]*")
 BREAK = " "
 
 

@@ -29,12 +29,17 @@ from procura.llm.common import map_batches, per_process, read_table, stage, text
 
 CAPACITY = 2048
 END_ID = 0
-#: Chunks of text whose token ids a worker keeps.
-KEPT_CHUNKS = 500_000
+#: Chunks of text whose token ids a worker keeps: so many, and so many bytes
+#: of text and ids.
+KEPT_CHUNKS, KEPT_BYTES = 500_000, 64_000_000
+#: White space of this length is left to ``tokenizers``: the other matches it
+#: by recursion, which a run of a million characters brings down.
+LONG_SPACE = 2_000
 
 #: Places where the byte-level pre-tokeniser always splits: before one blank
 #: or line end that stands between two characters that aren't white space.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_LONG_SPACE = re.compile(r"\s{%d}" % LONG_SPACE)
 
 
 class ChunkIds(dict):
@@ -43,7 +48,7 @@ class ChunkIds(dict):
     The ids are those of the ``tokenizers`` file at ``path``.  Chunks not met
     before are merged by ``tiktoken`` on that file's vocabulary, which gives
     the same ids in a third of the time; a chunk with the text of a special
-    token goes to ``tokenizers`` itself.
+    token or with very long white space goes to ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -51,6 +56,7 @@ class ChunkIds(dict):
         import tiktoken
         from tokenizers import Tokenizer
         super().__init__()
+        self.bytes = 0
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -62,14 +68,18 @@ class ChunkIds(dict):
                                        special_tokens={}).encode_ordinary
 
     def learn(self, chunks: set[str]) -> None:
-        if len(self) + len(chunks) > KEPT_CHUNKS:
+        if len(self) + len(chunks) > KEPT_CHUNKS or self.bytes > KEPT_BYTES:
             self.clear()
+            self.bytes = 0
         new = chunks.difference(self)
+        odd = [c for c in new if len(c) >= LONG_SPACE and _LONG_SPACE.search(c)]
         for special in self.special:
-            for c in [c for c in new if special in c]:
-                new.discard(c)
-                self[c] = array("I", self.tokenizer.encode(c, add_special_tokens=False).ids).tobytes()
+            odd += [c for c in new if special in c]
+        new.difference_update(odd)
+        for c in odd:
+            self[c] = array("I", self.tokenizer.encode(c, add_special_tokens=False).ids).tobytes()
         self.update(zip(new, [array("I", ids).tobytes() for ids in map(self.merge, new)]))
+        self.bytes += sum(map(len, new)) + sum(map(len, odd)) + sum(len(self[c]) for c in new)
 
 
 #: What makes the plain cuts of ``chunks_of`` unsafe, beside other white space.

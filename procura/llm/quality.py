@@ -83,16 +83,28 @@ def describe(docs: DataFrame) -> DataFrame:
                        "doc_id long, held_out boolean, x array<float>")
 
 
+#: Hashes that a draw compares, and how much more than needed it lets through.
+DRAW_RANGE, DRAW_MORE = 1 << 62, 1.2
+
+
+def draw_below(max_rows: int, n: int) -> int:
+    """The hashes under this bound are about ``DRAW_MORE * max_rows`` of ``n``
+    (all of them if there are no more)."""
+    return min(DRAW_RANGE, int(DRAW_RANGE * DRAW_MORE) * max_rows // max(n, 1))
+
+
 def drawn_labels(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """``doc_id`` and ``y`` of the labels that may be learnt from, at most
-    about ``max_rows`` by a hash of the id, so small enough to broadcast; a
-    fifth is marked ``calibrate``."""
-    known = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("double").alias("y")).filter(
-        "y is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    share = min(1.0, max_rows / max(known.count(), 1))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000)) < int(1_000_000 * share)
+    """``doc_id`` and ``y`` of the labels that may be learnt from: the
+    ``max_rows`` smallest by a hash of the id, so small enough to broadcast; a
+    fifth is marked ``calibrate``.  An id with several labels is one, with the
+    largest of them.  The bound on the hash leaves few rows to sort."""
+    known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y"))
+             .filter("y is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
+             .groupBy("doc_id").agg(F.max("y").alias("y")))
+    place = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(DRAW_RANGE))
+    drawn = known.filter(place < draw_below(max_rows, known.count())).orderBy(place, "doc_id").limit(max_rows)
     fold = (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 0).alias("calibrate")
-    return known.filter(drawn).select("doc_id", "y", fold)
+    return drawn.select("doc_id", "y", fold)
 
 
 def matrix(column) -> np.ndarray:

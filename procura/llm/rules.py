@@ -7,7 +7,7 @@ sums the loss and gradient (of the fixed hashed size) per task.  The scores are
 calibrated on rows outside the fit (Platt scaling) and held, in Arrow batches,
 against fixed thresholds.
 
-The fit uses at most about ``max_rows`` labelled rows, drawn by a hash of their
+The fit uses at most ``max_rows`` labelled rows, drawn by a hash of their
 ids; held-out rows are never learnt from.  Defined cases: null text is empty
 (fails the base rules); rows with a null label are not used; a null id is
 judged, never learnt from; repeated rows are judged each; without labelled rows
@@ -63,13 +63,14 @@ def base_fails(n_words: int, n_repeat_words: int) -> bool:
 
 
 def hashed_grams(text: str, hashed: np.ndarray) -> np.ndarray:
-    """Hashed counts of words and of character trigrams (bytes, blanks
-    included), each kind damped and of unit length."""
+    """Hashed counts of words, of pairs of neighbouring words and of character
+    trigrams (bytes, blanks included), each kind damped and of unit length."""
     raw = np.frombuffer(f" {text} ".encode(), np.uint8).astype(np.uint32)
     grams = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
     grams = (grams * np.uint32(0x9E3779B1)) >> np.uint32(32 - CHAR_BITS)
     out = []
-    for bits, buckets in ((WORD_BITS, (hashed >> np.uint64(64 - WORD_BITS)).astype(np.int64)), (CHAR_BITS, grams)):
+    words, pairs = ((h >> np.uint64(64 - WORD_BITS)).astype(np.int64) for h in (hashed, window_hashes(hashed, 2)))
+    for bits, buckets in ((WORD_BITS, words), (WORD_BITS, pairs), (CHAR_BITS, grams)):
         v = np.log1p(np.bincount(buckets, minlength=1 << bits))
         norm = np.sqrt(v @ v)
         out.append(v / norm if norm else v)
@@ -174,7 +175,7 @@ def fit(train: DataFrame) -> Model | None:
     """Logistic regression on the rows of ``training_rows``; None without
     rows.  Rows of both labels weigh the same in sum."""
     train = stage(train.repartition(FIT_TASKS), "grams")
-    size = (1 << WORD_BITS) + (1 << CHAR_BITS)
+    size = 2 * (1 << WORD_BITS) + (1 << CHAR_BITS)
     count = {(r["calibrate"], r["y"] > 0): r["n"] for r in
              train.groupBy("calibrate", "y").agg(F.count("*").alias("n")).collect()}
     good, bad = count.get((False, True), 0), count.get((False, False), 0)

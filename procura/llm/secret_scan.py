@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from procura.llm.common import read_table, stage
@@ -76,21 +76,14 @@ def _matches(text: Column, rule: Rule) -> tuple[Column, Column, Column]:
     return whole, checked, F.split(text, rule.pattern, -1)
 
 
-def find_spans(text: Column, rule: Rule, rank: int) -> Column:
-    """Spans of a rule's matches in ``text`` (code points, end exclusive)."""
+def find_matches(text: Column, rule: Rule) -> Column:
+    """A rule's matches in ``text``: the code points before each (since the
+    last one) and in it, and whether it counts."""
     whole, checked, pieces = _matches(text, rule)
     rows = F.arrays_zip(whole.alias("m"), checked.alias("g"), F.slice(pieces, 1, F.size(whole)).alias("p"))
-    done = F.aggregate(
-        rows, F.struct(F.lit(0).alias("at"), F.lit(None).cast(SPAN).alias("found")),
-        lambda a, x: F.struct(
-            (a["at"] + F.length(x["p"]) + F.length(x["m"])).alias("at"),
-            F.when(F.length(x["g"]) >= rule.least,
-                   F.concat(F.coalesce(a["found"], F.array().cast(SPAN)), F.array(F.struct(
-                       (a["at"] + F.length(x["p"])).alias("start"), F.lit(rule.kind).alias("kind"),
-                       F.lit(rank).alias("rank"), (a["at"] + F.length(x["p"]) + F.length(x["m"])).alias("stop")))))
-            .otherwise(a["found"]).alias("found")))
-    return F.when(text.rlike(rule.pattern), F.coalesce(done["found"], F.array().cast(SPAN))).otherwise(
-        F.array().cast(SPAN))
+    found = F.transform(rows, lambda x: F.struct(F.length(x["p"]).alias("gap"), F.length(x["m"]).alias("size"),
+                                                 (F.length(x["g"]) >= rule.least).alias("counts")))
+    return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast("array<struct<gap:int,size:int,counts:boolean>>"))
 
 
 def blob_of(text: Column) -> Column:
@@ -99,19 +92,25 @@ def blob_of(text: Column) -> Column:
 
 def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Ledger rows for the unseen (blob, rule version) pairs of ``versions``
-    (columns ``blob`` and ``text``; append them to the ledger)."""
+    (columns ``blob`` and ``text``; append them to the ledger).  Positions are
+    running sums over the matches as rows, so a text with very many costs no
+    more for each."""
     known = F.lit(None).cast("array<string>")
     blobs = versions.select("blob", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["blob"])
     if ledger is not None:
         seen = ledger.groupBy("blob").agg(F.collect_set(F.concat_ws(":", "kind", "version")).alias("seen"))
         blobs = blobs.join(seen, "blob", "left")
         known = F.col("seen")
-    wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"),
+    wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(k).alias("rank"), F.lit(r.version).alias("version"),
                                 F.when(~F.coalesce(F.array_contains(known, f"{r.kind}:{r.version}"), F.lit(False)),
-                                       find_spans(F.col("text"), r, k)).alias("spans"))
+                                       find_matches(F.col("text"), r)).alias("matches"))
                        for k, r in enumerate(rules)])
-    return (blobs.select("blob", F.explode(wanted).alias("r"))
-            .select("blob", "r.kind", "r.version", "r.spans").filter("spans is not null"))
+    matches = (blobs.select("blob", F.explode(wanted).alias("r")).filter("r.matches is not null")
+               .select("blob", "r.kind", "r.rank", "r.version", F.posexplode_outer("r.matches").alias("place", "m")))
+    stop = F.sum(F.col("m.gap") + F.col("m.size")).over(Window.partitionBy("blob", "rank").orderBy("place")).cast("int")
+    span = F.when(F.col("m.counts"), F.struct((F.col("stop") - F.col("m.size")).alias("start"), "kind", "rank", "stop"))
+    return (matches.withColumn("stop", stop).groupBy("blob", "kind", "version")
+            .agg(F.array_sort(F.collect_list(span)).cast(SPAN).alias("spans")))
 
 
 def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -133,16 +132,29 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None,
     return out.select("doc_id", F.coalesce("spans", F.array().cast(SPAN)).alias("spans")), new
 
 
-def redact(text: Column, spans: Column) -> Column:
-    """``text`` with each span (sorted by start) replaced by ``[kind]``;
-    of overlapping spans the first gives the kind."""
-    done = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["stop"]).alias("at"),
-            F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]),
-                                                   F.lit("["), s["kind"], F.lit("]"))).otherwise(a["out"]).alias("out")))
-    return F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+#: Code points of a text that are cut together.
+BLOCK = 4096
+
+
+def _cut(blocks: Column, start: Column, stop: Column) -> Column:
+    """Code points ``start`` to ``stop`` of a text in blocks of ``BLOCK``."""
+    i, j = F.floor(start / BLOCK).cast("int"), F.floor((stop - 1) / BLOCK).cast("int")
+    one = F.substring(F.get(blocks, i), start - i * BLOCK + 1, stop - start)
+    more = F.concat(F.substring(F.get(blocks, i), start - i * BLOCK + 1, F.lit(BLOCK)),
+                    F.array_join(F.slice(blocks, i + 2, F.greatest(j - i - 1, F.lit(0))), ""),
+                    F.substring(F.get(blocks, j), F.lit(1), stop - j * BLOCK))
+    return F.when(stop <= start, F.lit("")).when(i == j, one).otherwise(more)
+
+
+def redact(blocks: Column, length: Column, spans: Column) -> Column:
+    """The text with each span (sorted by start, with the end ``before`` it of
+    all earlier ones) replaced by ``[kind]``; of overlapping spans the first
+    gives the kind.  The text comes in blocks, so that a piece costs its own
+    length and not its distance from the start."""
+    parts = F.transform(spans, lambda s: F.when(
+        s["start"] >= s["before"], F.concat(_cut(blocks, s["before"], s["start"]), F.lit("["), s["kind"], F.lit("]")))
+        .otherwise(F.lit("")))
+    return F.concat(F.array_join(parts, ""), _cut(blocks, F.array_max(F.transform(spans, lambda s: s["stop"])), length))
 
 
 def redact_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -150,9 +162,17 @@ def redact_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: tupl
     ``n_chars``, if there, counted anew)."""
     keyed = docs.withColumn("__blob", blob_of(F.col("text")))
     new = stage(scan_unseen(keyed.select(F.col("__blob").alias("blob"), "text"), ledger, rules), "ledger")
-    found = findings(new if ledger is None else ledger.select(new.columns).union(new), rules).toDF("__blob", "__spans")
-    out = keyed.join(found, "__blob", "left").withColumn(
-        "text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("__spans"))))
+    found = findings(new if ledger is None else ledger.select(new.columns).union(new), rules)
+    # the furthest end of the earlier spans of a blob, as a running maximum over rows
+    earlier = Window.partitionBy("blob").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    found = (found.select("blob", F.posexplode("spans").alias("place", "s"))
+             .withColumn("before", F.coalesce(F.max("s.stop").over(earlier), F.lit(0)))
+             .groupBy(F.col("blob").alias("__blob"))
+             .agg(F.array_sort(F.collect_list(F.struct("place", "s.start", "s.stop", "s.kind", "before"))).alias("__spans")))
+    blocks = F.when(F.col("__spans").isNotNull(), F.regexp_extract_all("text", F.lit(r"(?s).{1,%d}" % BLOCK), F.lit(0)))
+    out = keyed.join(found, "__blob", "left").withColumn("__blocks", blocks).withColumn(
+        "text", F.when(F.col("__spans").isNull(), F.col("text"))
+        .otherwise(redact(F.col("__blocks"), F.length("text"), F.col("__spans"))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(
             F.length("text").cast(docs.schema["n_chars"].dataType)))

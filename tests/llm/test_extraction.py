@@ -140,3 +140,133 @@ def test_copies_under_own_headings_keep_their_text(spark):
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
     got = {r.page_id: r.text for r in ex.main_text(df).collect()}
     assert got == want
+
+
+LONG = "This paragraph of the article is long enough to be running text, and not an entry of some menu or a label beside it."
+
+
+@pytest.mark.parametrize("html, want", [
+    # a page inside one form, as some frameworks write it
+    (f"<body><form id=aspnetForm><div class=menu><a>Home</a></div><div class=content><h1>T</h1><p>{LONG}</p><p>b</p></div>"
+     "<div class=footer>f</div></form></body>", f"T\n\n{LONG}\n\nb"),
+    (f"<form><nav>n</nav><article><p>short</p><form><input>f</form></article><p>{LONG}</p></form>", f"short\n\n{LONG}"),
+    # wrappers whose class tells of the layout
+    (f"<div class=content-sidebar-wrap><main><p>{LONG}</p></main><aside>a</aside></div><footer>f</footer>", LONG),
+    (f"<div class='page-with-sidebar'><div class=story><p>{LONG}</p></div><div class=sidebar><p>s</p></div></div>", LONG),
+    (f"<div class=sidebar-layout><div class=text><p>{LONG}</p><p>{LONG}</p></div><div class=sidebar>s</div></div>", f"{LONG}\n\n{LONG}"),
+    ("<div class='post comment-open'><p>short</p></div><div class=comments><p>c</p></div>", "short"),
+    ("<div class=comments-closed><article><p>short</p></article></div>", "short"),
+    # an ordinary word in a name of its own
+    ("<article><p>a</p><section class=alert-levels><h2>Levels</h2><p>b</p></section></article>", "a\n\nLevels\n\nb"),
+    ("<article><p>a</p><div class=menu-ideas><p>b</p></div><div class='alert alert-info'>no</div><div class=share-buttons>no</div></article>",
+     "a\n\nb"),
+    # headings of the block that has the paragraphs
+    ("<body><header>Site</header><div class=post><header><h1>T</h1></header><p>one</p></div></body>", "T\n\none"),
+    ("<section><header><h2>T</h2></header><p>one</p></section>", "T\n\none"),
+    ("<div id=page><header><h1>Site</h1></header><div class=story><p>one</p></div></div>", "one"),
+    (f"<form id=f><div><header><h1>T</h1></header><p>{LONG}</p></div></form>", f"T\n\n{LONG}"),
+    # the side is no body, however long it is
+    (f"<article><p>short</p></article><div class=sidebar><p>{LONG}</p></div>", "short"),
+    (f"<main><p>short</p></main><form><p>{LONG}</p></form>", "short"),
+    (f"<div class=story><p>{LONG}</p></div><div class=sidebar><p>{LONG}</p></div>", LONG),
+    (f"<p>short</p><div id=comments><article class=comment-body><p>{LONG}</p></article></div>", "short"),
+    (f"<div class=comments><p>{LONG}</p></div>", ""),
+    (f"<p>short</p><div class=related><article><p>{LONG}</p></article></div>", "short"),
+])
+def test_names_are_no_verdict_over_the_article(html, want):
+    assert text_of(html) == want
+
+
+def test_deep_and_stray_tags_take_linear_time():
+    import time
+    t0 = time.time()
+    deep = "".join(f"<div class=c{k % 7}>t{k} " for k in range(5_000))
+    assert len(ex.blocks_of(deep)) == 5_000
+    assert max(path.count("/") for path, _ in ex.blocks_of(deep)) == ex.MAX_DEPTH
+    assert text_of("<div>" * 20_000 + "</x></b></p>" * 20_000 + "end") == "end"
+    assert text_of("<b>" * 5_000 + "<h1>x</h1>" * 5_000).startswith("x\n\nx")
+    assert time.time() - t0 < 10
+
+
+def test_a_deep_page_in_the_whole_query(spark):
+    deep = "".join(f"<div>t{k} " for k in range(5_000))
+    df = spark.createDataFrame([(1, "http://a.org/", deep), (2, "http://a.org/", "<p>x</p>")], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in ex.main_text(df).collect()}
+    assert got[1].count("\n\n") == 4_999 and got[2] == "x"
+
+
+def brute_main_text(pages):
+    """The whole method on plain lists: page -> text."""
+    parsed = {i: (host, ex.blocks_of(html or "")) for i, host, html in pages}
+    told = {i: ex.telling(blocks) for i, (_, blocks) in parsed.items()}
+    of_host = {}
+    for i, (host, blocks) in parsed.items():
+        if any(len(path.split("/")) > 1 for path, _ in blocks):
+            of_host.setdefault(host, []).append(i)
+    article = {}
+    for ids in of_host.values():
+        n = Counter(t for i in ids for t in set(told[i]))
+        for i in ids:
+            own = [t for t in told[i] if not (n[t] > 1 and n[t] > ex.WIDE * len(ids))]
+            article[i] = own[0] if own else told[i][-1]
+
+    def tree(ids):
+        """node -> (articles, value) of the merged trees of pages."""
+        shown, contents = {}, {}
+        for i in ids:
+            for path, text in parsed[i][1]:
+                steps = path.split("/")
+                for d in range(2, len(steps) + 1):
+                    node = "/".join(steps[:d])
+                    contents.setdefault(node, set()).add((parsed[i][0] if whole else "", article[i], text))
+                    shown.setdefault(node, {}).setdefault(i, set()).add(path[len(node):])
+        out = {}
+        for node in shown:
+            styles = Counter(s for _, s in {(article[i], tuple(sorted(v))) for i, v in shown[node].items()})
+            m = len({article[i] for i in shown[node]})
+            s, k = sum(styles.values()), Counter(t for _, t in {(a, t) for _, a, t in contents[node]})
+            if m <= 1:
+                out[node] = (m, 1.0)
+                continue
+            style = -sum(c / s * math.log(c / s) for c in styles.values()) / math.log(max(s, 2))
+            content = 1 - sum(c * math.log(c) for c in k.values()) / sum(k.values()) / math.log(m)
+            out[node] = (m, ex.CONTENT_WEIGHT * content + (1 - ex.CONTENT_WEIGHT) * style)
+        return out
+
+    whole = True
+    every = tree([i for ids in of_host.values() for i in ids])
+    whole = False
+    low = {}
+    for host, ids in of_host.items():
+        for node, (m, own) in tree(ids).items():
+            share = m / (m + ex.BACKING_PAGES)
+            if share * own + (1 - share) * every[node][1] < ex.LEAST:
+                low.setdefault(host, set()).add(node)
+    out = {}
+    for i, (host, blocks) in parsed.items():
+        drop = tuple(n + "/" for n in low.get(host, ()))
+        out[i] = "\n\n".join([t for path, t in blocks if not (path + "/").startswith(drop)] or [t for _, t in blocks])
+    return out
+
+
+def test_whole_query_against_a_brute_force_style_tree(spark):
+    rng = random.Random(7)
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+
+    def some(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    pages = []
+    for i in range(400):
+        host = rng.choice("abbbccccc")
+        parts = [f"<div class=blurb><p>Our other pages {rng.randrange(4)}</p></div>" if host != "a" else "",
+                 f"<div class=story><h1>{some(3)}</h1>" + "".join(f"<p>{some(rng.randrange(2, 12))}</p>" for _ in range(rng.randrange(1, 5)))
+                 + "</div>", rng.choice(["", "<div class=legal>All rights kept.</div>", "<div class=legal><ul><li>All rights</ul></div>"]),
+                 f"<div class=x{chr(97 + i % 3)}>{some(rng.randrange(1, 3))}</div>"]
+        pages.append((i, f"http://{host}.org/{i}", f"<body>{''.join(parts)}</body>" if rng.random() < .95 else rng.choice(["", None, "bare text"])))
+    pages += [(1000 + k, "http://c.org/", pages[7][2]) for k in range(30)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in ex.main_text(df).collect()}
+    want = brute_main_text([(i, u.split("/")[2], h) for i, u, h in pages])
+    assert got == want
+    assert any(len(ex.blocks_of(h or "")) > want[i].count("\n\n") + 1 for i, _, h in pages)

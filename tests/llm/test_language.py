@@ -114,3 +114,19 @@ def test_languages_of_long_or_short_documents_alone_are_learnt(spark):
 def test_one_long_document_fills_what_others_leave(spark):
     training = lang.training_text(labelled(spark, {"k": ["abc"] * 10 + ["lomba renke " * 10_000]}))
     assert 0.9 * lang.TRAIN_CHARS <= len(training["k"]) <= lang.TRAIN_CHARS + 2
+
+
+def test_letters_and_marks():
+    assert lang.words_of("हिन्दी भाषा") == ["हिन्दी", "भाषा"] and lang.words_of("ภาษาไทยนี้ดี") == ["ภาษาไทยนี้ดี"]
+    assert lang.words_of("½ ² ① Ⅷ ٣ ́ _ 7") == [] and lang.words_of("É2a_b") == ["é", "a", "b"]
+    import re
+    import unicodedata
+    for c in map(chr, range(0x3000)):
+        assert bool(re.fullmatch(lang._WORD, c)) == unicodedata.category(c).startswith("L"), hex(ord(c))
+
+
+def test_a_text_of_number_signs_is_undetermined(spark):
+    docs = spark.createDataFrame([(k, "one two three four", "en") for k in range(8)] + [(20, "½ ² ①", "en"), (21, "ab", None)],
+                                 "doc_id long, text string, lang string")
+    out = {r.doc_id: r for r in lang.identify(docs, lang.train(lang.training_text(docs))).collect()}
+    assert out[20].lang_pred == "und" and out[20].score == 0 and out[21].lang_pred == "en"

@@ -114,3 +114,29 @@ def test_null_id_and_empty_table(spark, table):
     assert packing.pack(table([]), PATH).collect() == []
     out = packing.pack(table([(None, "a b"), (1, None)]), PATH).collect()
     assert check([(None, "a b"), (1, None)], out, packing.CAPACITY) == 1
+
+
+def test_long_white_space(spark):
+    """Runs that overflow a recursive matcher give the ids of ``tokenizers``."""
+    texts = ["x" + "\n" * 2_000_000 + "x", " " * 2_000_000 + "x", "a b  c" + " \n\t" * 400_000 + "z\r\n", "x" * 3000 + " " * 2500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packing.pack(docs, PATH).collect())
+    tokenizer = Tokenizer.from_file(PATH)
+    want = []
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        cut = [(len(ids) - 1) % 2048 + 1]
+        cut += [2048] * ((len(ids) - cut[0]) // 2048)
+        at = 0
+        for piece, size in enumerate(cut):
+            want.append((i, piece, at, size, zlib.crc32(np.array(ids[at:at + size], "<u4").tobytes())))
+            at += size
+    assert out == want
+
+
+def test_the_table_of_chunks_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_BYTES", 50_000)
+    ids = packing.ChunkIds(PATH)
+    for k in range(20):
+        ids.learn({f"{k}-{j}-" + "ab9" * 300 for j in range(20)})
+        assert ids.bytes < 150_000 and len(ids) < 100

@@ -12,7 +12,9 @@ def steps(spark):
     out = [docs]
     for _, step in corpus_pipeline.STAGES[:-1]:
         out.append(step(spark, out[-1], SF).persist())
-    return out
+    yield out
+    for df in out[1:]:
+        df.unpersist()
 
 
 def rows(df):

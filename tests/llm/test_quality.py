@@ -118,3 +118,67 @@ def test_minimise_finds_the_optimum():
     a, b = a @ a.T + np.eye(8), rng.normal(size=8)
     x = rules.minimise(lambda x: (0.5 * x @ a @ x - b @ x, a @ x - b), np.zeros(8), 200)
     assert np.allclose(x, np.linalg.solve(a, b), atol=0.05)
+
+
+def test_some_labels_are_drawn_from_any_number():
+    for n in (10, 10 ** 6, 10 ** 11, 10 ** 15):
+        share = quality.draw_below(60_000, n) / quality.DRAW_RANGE
+        assert share == 1 if n <= 60_000 else abs(share * n / 72_000 - 1) < 0.01
+
+
+def test_drawn_labels_are_bounded(spark):
+    rows = [(k, k % 2) for k in range(4000)] + [(1, 0)] * 3000 + [(None, 1), (7, None)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int").repartition(5)
+    drawn = [tuple(r) for r in quality.drawn_labels(labels, "quality", 500).collect()]
+    ids = [d for d, _, _ in drawn]
+    assert len(ids) == len(set(ids)) == 500 and not any(held(i) for i in ids)
+    assert all(y == i % 2 for i, y, _ in drawn)
+    assert 60 < sum(c for _, _, c in drawn) < 150
+    every = {r.doc_id: r.y for r in quality.drawn_labels(labels, "quality", 10 ** 6).collect()}
+    assert every == {i: float(i % 2) for i in range(4000) if not held(i)}  # the largest label of an id
+
+
+def test_scores_against_a_brute_force_fit(spark, marked):
+    """The whole query against the same model fitted on plain arrays."""
+    docs, labels, rows, y = marked
+    out = {r.doc_id: r.score for r in quality.score(docs, labels).collect() if r.doc_id is not None and r.doc_id != 5}
+    fold = {r.doc_id: r.calibrate for r in quality.drawn_labels(labels, "quality", quality.MAX_ROWS).collect()}
+    text = {}
+    for d, t in rows:
+        if d is not None:
+            text.setdefault(d, []).append(t or "")
+    train = [(np.array(quality.statistics(t), np.float32).astype(float), float(y[d]), fold[d])
+             for d in fold if d in text for t in text[d]]
+    x, target, calibrate = (np.array(v) for v in zip(*train))
+    mean, scale = x.mean(0), x.std(0)
+    scale[scale < 1e-6] = 1.0
+    rng = np.random.default_rng(7)
+    n = quality.N_FEATURES
+    weights = rng.normal(size=(x.shape[1], n)) / (0.8 * np.sqrt(x.shape[1]))
+    phase = rng.uniform(0, 2 * np.pi, n)
+
+    def features(v):
+        z = np.cos(np.clip((v - mean) / scale, -8, 8) @ weights + phase) * np.sqrt(2 / n)
+        return np.concatenate([z, np.ones((len(v), 1))], axis=1)
+
+    z = features(x[~calibrate])
+    beta = np.linalg.solve(z.T @ z + quality.RIDGE * len(z) * np.eye(n + 1), z.T @ target[~calibrate])
+    edges = np.linspace(-0.5, 1.5, quality.BINS + 1)
+    raw = np.clip(features(x[calibrate]) @ beta, -0.5, 1.5)
+    knots, rates = quality.isotonic(np.histogram(raw, edges, weights=target[calibrate])[0], np.histogram(raw, edges)[0],
+                                    (edges[1:] + edges[:-1]) / 2)
+    for d, texts in text.items():
+        if d == 5:
+            continue
+        r = features(np.array([quality.statistics(texts[0])], np.float32).astype(float)) @ beta
+        want = np.clip(0.999 * np.interp(r, knots, rates) + 0.001 * np.clip(r, 0, 1), 0, 1)[0]
+        assert abs(out[d] - want) < 1e-5, d
+
+
+def test_pairs_of_words_are_features():
+    a, b = "alpha beta gamma delta", "delta gamma beta alpha"
+    grams = [rules.hashed_grams(t, rules._words(t, rules.word_hasher())[1]) for t in (a, b)]
+    words = 1 << rules.WORD_BITS
+    assert len(grams[0]) == 2 * words + (1 << rules.CHAR_BITS)
+    assert (grams[0][:words] == grams[1][:words]).all() and (grams[0][words:2 * words] != grams[1][words:2 * words]).any()
+    assert not rules.hashed_grams("one", rules._words("one", rules.word_hasher())[1])[words:2 * words].any()

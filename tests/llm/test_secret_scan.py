@@ -108,3 +108,15 @@ def test_no_key_character_survives_redaction(spark, table):
         left = out[i].replace("\\n", "").replace(chr(34), "")
         assert left == "Before it.\n[pem]" + ("" if name == "no end, few" else after), (name, left[:300])
     assert out[900] == "A key begins with [pem]. It is secret.\nNote: read on.\nAnd more."
+
+
+def test_very_many_findings_in_one_text(spark, table):
+    import time
+    text = " ".join("%016x" % (k * 0x9E3779B97F4A7C15 % (1 << 64)) for k in range(60_000)) + " é😀 token=abcdefghijklmnop" * 3
+    df = table([(1, text), (2, "plain")])
+    t0 = time.time()
+    got = {r.doc_id: r.spans for r in ss.scan(df)[0].collect()}
+    assert [(s.start, s.rank, s.kind, s.stop) for s in got[1]] == brute(text) and got[2] == []
+    left = {r.doc_id: r.text for r in ss.redact_secrets(df).collect()}
+    assert left[1] == " ".join(["[hex]"] * 60_000) + " é😀 [assign]" * 3
+    assert time.time() - t0 < 60
