@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import digits_key, to_cents
 from procura.operators.allocate import DEFAULT_CHUNK_SIZE, allocate, share_cents, with_chunk
-from procura.operators.nesting import first_by, nest
+from procura.operators.nesting import first_by, in_runs, nest
 from procura.operators.reshape import decode
 from procura.session import materialize
 
@@ -227,8 +227,8 @@ class Marts:
     def invoice_frame(self, how: str = "left", allocation: bool = True) -> DataFrame:
         """M4: invoices with their lines nested in line order.
 
-        One row per invoice: one aggregate per invoice, one join with the
-        header.  ``how="inner", allocation=False`` is the older variant (lines
+        One row per invoice: lines sorted by chunk of positions, one aggregate
+        per invoice over its chunks, one join with the header.  ``how="inner", allocation=False`` is the older variant (lines
         of known orders only, no allocated share per line)."""
         flat = self.invoice_lines_flat if how == "left" else self.invoice_lines_frame(how)
         fields = [f for f in self.LINE_FIELDS if allocation or f != "approx_adjust_amt"]
@@ -431,7 +431,7 @@ class Marts:
         fields = ["address_type_code", "display_order", "addr1", "addr2", "addr3", "village", "city",
                   "region", "postal_code", "country", "vendor_record_address_id"]
         addresses = nest(self.vendor_addresses, "vendor_record_id", fields, list(self.ADDRESS_ORDER),
-                         "vendor_record_address")
+                         "vendor_record_address", chunks=[F.col("address_type_code"), in_runs("display_order")])
         return self.vendor_header.join(addresses, "vendor_record_id").select(
             *self.vendor_header.columns, "vendor_record_address")
 

@@ -8,15 +8,17 @@ matching parents first and build the marts over those parents only
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procura.operators.nesting import to_json_text
 from procura.plans.marts import ORDER, Marts
-from procura.plans.reports import VIEW_ORDER, Reports
-from procura.sources.sinks import MONTH_COLUMN
+from procura.plans.reports import NO_SHOWN_ORDER, VIEW_ORDER, Reports
+from procura.sources.commits import MONTH_COLUMN
 from procura.sources.sinks import register_views as sink_views
+from procura.sources.sinks import sort_key
 from procura.sources.subset import SubsetSources, children_of, only_invoices, renewed
 
 # Browse limits of the reporting front end.
@@ -60,7 +62,11 @@ def multi_fund_orders(m: Marts, more_than: int, order_status_code: str) -> DataF
     ids = (_over(m, kids).order_funds_flat.groupBy("order_record_id")
            .agg(F.count_distinct("_raw_fund_code").alias("n")).filter(F.col("n") > more_than).select("order_record_id"))
     o = _over(m, SubsetSources(m.src, order_record=renewed(chosen), order_record_cmf=children_of(m.src, ids))).orders
-    return _json_arrays(o.select(
+    return _multi_fund_listing(o)
+
+
+def _multi_fund_listing(orders: DataFrame) -> DataFrame:
+    return _json_arrays(orders.select(
         "order_record_num", F.to_date("creation_date_gmt").alias("creation_date"), "count_cmf",
         F.col("count_distinct_cmf_fund_codes").alias("count_fund_codes"), "sum_cmf_copies", "cmf_data",
         "bib_record_id", F.col("accounting_unit_code_num").alias("accnt_unit_code"),
@@ -71,6 +77,57 @@ def multi_fund_orders(m: Marts, more_than: int, order_status_code: str) -> DataF
         .orderBy(F.col("creation_date").asc_nulls_first(), "order_record_num"))
 
 
+class PublishedQueries:
+    """The look-ups and the browse of the front end over published tables
+    (``table(name)`` gives one): what they need is read, nothing is built.
+
+    Q1 to Q3 find their rows by a Bloom filter or a sorted column of a small
+    flat table and meet the nested mart by record id.  Q9 reads the counts per
+    value of the leading sort column first: they tell up to which value the
+    first rows go, and the ledger's files and row groups beyond are skipped."""
+
+    def __init__(self, table: Callable[[str], DataFrame]):
+        self.table = table
+
+    def invoices_for_order(self, order_record_num: int) -> DataFrame:
+        """Q1."""
+        ids = (self.table("invoice_record_order_record_link").filter(F.col("order_record_num") == order_record_num)
+               .select("invoice_record_id"))
+        found = self.table("invoice").join(ids, "invoice_record_id", "left_semi")
+        return _json_arrays(found.orderBy(F.col("last_updated").desc_nulls_last(), "invoice_record_num"))
+
+    def on_order_by_fund(self, fund_code: str) -> DataFrame:
+        """Q2: an order once per matching child."""
+        kids = self.table("order_funds_flat").filter(F.col("fund_code") == fund_code).select("order_record_id")
+        orders = self.table("orders").filter(F.col("order_status_code") == "o")
+        return _json_arrays(orders.join(kids, "order_record_id").select(*orders.columns))
+
+    def multi_fund_orders(self, more_than: int, order_status_code: str) -> DataFrame:
+        """Q3."""
+        return _multi_fund_listing(self.table("orders").filter(
+            (F.col("order_status_code") == order_status_code) & (F.col("count_distinct_cmf_fund_codes") > more_than)))
+
+    def first_ledger_rows(self, n: int = MAX_RETURNED_ROWS) -> DataFrame:
+        """Q9: the first ``n`` rows of the second ledger format in its order."""
+        order = [sort_key(*key) for key in VIEW_ORDER["ledger_lines_alt_view"]]
+        lead, counts = VIEW_ORDER["ledger_lines_alt_view"][0][0], self.table("ledger_lines_alt_counts")
+        # every value has a row, so the first n values reach n rows: at most n rows here
+        left, last = n, None
+        for value, count in counts.orderBy(F.col(lead).asc_nulls_first()).limit(n).collect():
+            left, last = left - count, value
+            if left <= 0:
+                break
+        df = self.table("ledger_lines_alt_view").drop(MONTH_COLUMN)
+        if left <= 0:
+            df = df.filter(F.col(lead).isNull() if last is None else F.col(lead).isNull() | (F.col(lead) <= last))
+        return top_rows(df, order, n)
+
+    def ledger_facet(self) -> DataFrame:
+        """Q10 on the payee: the counts as published."""
+        return (self.table("ledger_lines_alt_counts").select(F.col("pe_id").alias("value"), "count")
+                .orderBy(F.col("count").desc(), F.col("value").asc_nulls_last()))
+
+
 def order_status_counts(m: Marts) -> DataFrame:
     """Q4: number of orders per status, the most frequent first."""
     return (m.order_header.groupBy("order_status_code", "order_status_name")
@@ -121,9 +178,13 @@ def browse(df: DataFrame, gte: dict | None = None, lte: dict | None = None,
 
 
 def in_order(df: DataFrame, view: str) -> DataFrame:
-    """A report in the order in which it is shown (a range sort)."""
-    return df.orderBy(*[F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_first()
-                        for c, d in VIEW_ORDER.get(view, ())])
+    """A mart or report in the order in which it is shown (a range sort); one
+    that is shown in no particular order is returned as it is."""
+    if view not in VIEW_ORDER:
+        if view not in NO_SHOWN_ORDER:
+            raise ValueError(f"no mart or report is called {view!r}; there are {', '.join(sorted({*VIEW_ORDER, *NO_SHOWN_ORDER}))}")
+        return df
+    return df.orderBy(*[sort_key(*key) for key in VIEW_ORDER[view]])
 
 
 def ledger_lines_between(m: Marts, posted_from: str, posted_to: str, hide: list[str] | None = None) -> DataFrame:

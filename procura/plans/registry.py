@@ -17,7 +17,7 @@ from procura.operators.nesting import unnest
 from procura.plans import queries as Q
 from procura.plans import roundtrip as T
 from procura.plans.marts import Marts
-from procura.plans.reports import Reports
+from procura.plans.reports import VIEW_ORDER, Reports
 from procura.session import apply_sql_conf
 from procura.sources.testdata import TestSources
 
@@ -59,8 +59,7 @@ def _r(fn: Callable[[Reports], DataFrame]) -> Callable[[SparkSession, str], Data
 
 J = Q._json_arrays
 
-ALT_ORDER = ["pe_id", "ref", "line_cnt", "invoice_record_id", "gl_key", "gl_obj", "dist_amt", "fund_code",
-             "vendor_code"]
+ALT_ORDER = [c for c, _ in VIEW_ORDER["ledger_lines_alt_view"]]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # marts
@@ -119,8 +118,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_fund_use": _r(T.stored_fund_use),
     "ledger_alt_file": _r(T.ledger_alt_file),
     "published_receipts": _m(T.published_receipts),
+    "fund_use_view": _r(T.fund_use_view),
+    # the ledgers over bucketed tables
+    "ledger_export_bucketed": _r(T.bucketed(lambda r: r.ledger_export_table)),
+    "ledger_export_distinct_bucketed": _r(T.bucketed(lambda r: r.ledger_export_view)),
+    "ledger_lines_alt_bucketed": _r(T.bucketed(lambda r: r.ledger_lines_alt_view)),
+    # look-ups and browsing over published tables
+    "invoices_for_order_published": _m(T.published("invoice_record_order_record_link", "invoice")(
+        lambda q: q.invoices_for_order(PARAMS["order_record_num"]))),
+    "on_order_by_fund_published": _m(T.published("order_funds_flat", "orders")(
+        lambda q: q.on_order_by_fund(PARAMS["fund_code"]))),
+    "multi_fund_orders_published": _m(T.published("orders")(
+        lambda q: q.multi_fund_orders(PARAMS["more_than_funds"], PARAMS["order_status_code"]))),
+    "report_top_published": _r(T.published_ledger(lambda q: q.first_ledger_rows())),
+    "facet_counts_published": _r(T.published_ledger(lambda q: q.ledger_facet())),
 }
 
 #: Registered queries that write while they are built.
 ROUND_TRIPS = ("fiscal_funds_file", "fiscal_vendors_file", "stored_sources_fund", "typed_vendors_table",
-               "stored_fund_use", "ledger_alt_file", "published_receipts")
+               "stored_fund_use", "ledger_alt_file", "published_receipts", "fund_use_view",
+               *(n for n in QUERIES if n.endswith(("_bucketed", "_published"))))

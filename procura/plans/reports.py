@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import (cents_to_money, gl_object_description, int_prefix, pct_of,
                                strip_zeros_if_numeric)
-from procura.operators.nesting import first_by, nest
+from procura.operators.nesting import first_by, in_runs, nest
 from procura.operators.reshape import concat_distinct, fallback_lookup, melt, with_headings
 from procura.plans.marts import Marts
 
@@ -53,6 +53,13 @@ FUND_USE_SERIES = {"expenditure": " expenditure % used", "encumbrance": "encumbr
 
 # Order of each report as shown: (column, direction), then unique tie-breakers.
 VIEW_ORDER = {
+    "fund": (("fund_master_id", "asc"), ("fund_type", "asc"), ("fund_code", "asc")),
+    "varfield_metadata": (("record_type_name", "asc nulls last"), ("varfield_display_order", "asc nulls last"),
+                          ("record_type_code", "asc"), ("varfield_code", "asc")),
+    "invoice_record_order_record_link": (("invoice_record_id", "asc"), ("order_record_id", "asc")),
+    "vendors": (("vendor_record_id", "asc"),),
+    "invoice_record_vendor_summary": (("invoice_record_vendor_summary_id", "desc"),),
+    "vendors_summary_last_invoice_view": (("last_order_date", "desc"), ("vendor_record_num", "asc")),
     "vendors_summary_view": (("last_order_date", "desc"), ("vendor_record_num", "asc")),
     "fiscal_office_vendors_view": (("FiscalVendorId", "asc"), ("FiscalVendorCode", "asc")),
     "invoice_export_rows": (("invoice_date", "asc"), ("invoice_number_text", "asc"), ("line_cnt", "asc"),
@@ -61,10 +68,18 @@ VIEW_ORDER = {
                             ("invoice_total_or_sequence", "asc")),
     "ledger_export_view": (("invoice_date", "asc"), ("invoice_record_id", "asc"), ("row_type", "desc"),
                            ("invoice_total_or_sequence", "asc")),
-    "ledger_lines_alt_view": (("pe_id", "asc"), ("ref", "asc"), ("line_cnt", "asc"), ("invoice_record_id", "asc")),
+    "ledger_lines_alt_view": (("pe_id", "asc"), ("ref", "asc"), ("line_cnt", "asc"), ("invoice_record_id", "asc"),
+                              ("gl_key", "asc"), ("gl_obj", "asc"), ("dist_amt", "asc"), ("fund_code", "asc"),
+                              ("vendor_code", "asc")),
     "invoice_vendor_alt_code_view": (("count_invoices", "desc"), ("vendor_code", "asc"), ("alternate_code", "asc")),
 }
 
+#: Marts and reports that are shown in no particular order.
+NO_SHOWN_ORDER = ("varfield", "invoice", "invoice_header", "invoice_lines_flat", "invoice_line_data",
+                  "invoice_record_vendor_record_link", "orders", "order_header", "order_funds_flat", "vendor_header",
+                  "order_record_received", "on_order_view", "peid_view", "ref_view",
+                  "fully_paid_order_bib_avg_item_cost_view", "fund_use")
+
 US_DATE = "MM/dd/yyyy"
 
 
@@ -233,10 +248,13 @@ class Reports:
         per_invoice = (self._with_payee(self._vendor_pairs, "vendor_code", "peid").groupBy("invoice_record_id")
                        .agg(F.sum("n_lines").alias("count_invoice_record_line"),
                             first_by("peid", ["peid"]).alias("peid")))
-        return self.m.invoice_header.join(per_invoice, "invoice_record_id").select(
-            "invoice_record_id", "invoice_record_num", "invoice_number_text", "count_invoice_record_line",
-            "invoice_date", "paid_date", "invoice_record_status_code", "posted_date", "grand_total_amt_cents",
-            "subtotal_amt_cents", "peid", strip_zeros_if_numeric("invoice_number_text").alias("ref"))
+        return self.m.invoice_header.join(per_invoice, "invoice_record_id").withColumn(
+            "ref", strip_zeros_if_numeric("invoice_number_text")).select(*self.INVOICE_DATA)
+
+    #: Columns of :attr:`invoice_data`, as the ledger export shows them.
+    INVOICE_DATA = ("invoice_record_id", "invoice_record_num", "invoice_number_text", "count_invoice_record_line",
+                    "invoice_date", "paid_date", "invoice_record_status_code", "posted_date", "grand_total_amt_cents",
+                    "subtotal_amt_cents", "peid", "ref")
 
     @cached_property
     def current_funds(self) -> DataFrame:
@@ -267,12 +285,21 @@ class Reports:
         invoice, so its data is computed and joined once."""
         d = self._allocated_lines()
         detail = d.join(self.current_funds, d._fund_key == F.col("fund_code_num"), "left").select(
-            "invoice_record_id", F.lit("D").alias("row_type"), "seq", "_amount_cents", "paid_amt_cents", "GLKey", "GLObj")
+            "invoice_record_id", F.lit("D").alias("row_type"), *self.DETAIL_COLUMNS)
         heading = self.src.invoice_record.select(F.col("record_id").alias("invoice_record_id"), F.lit("H").alias("row_type"))
         inv = self.invoice_data
+        return self._ledger_columns(with_headings(detail, heading).join(inv, "invoice_record_id"), list(self.INVOICE_DATA))
+
+    #: What a detail row has of its own, beside its invoice's data.
+    DETAIL_COLUMNS = ("seq", "_amount_cents", "paid_amt_cents", "GLKey", "GLObj")
+
+    @staticmethod
+    def _ledger_columns(rows: DataFrame, invoice_columns: list[str]) -> DataFrame:
+        """The columns of the export from detail and heading rows with their
+        invoice's data."""
         is_head = F.col("row_type") == "H"
         date = F.date_format("invoice_date", US_DATE)
-        return with_headings(detail, heading).join(inv, "invoice_record_id").select(
+        return rows.select(
             "row_type", F.col("peid").alias("vendor_number"), F.col("ref").alias("invoice_number"),
             F.when(is_head, _money("grand_total_amt_cents")).otherwise(F.col("seq").cast("decimal(14,2)"))
             .alias("invoice_total_or_sequence"),
@@ -280,34 +307,33 @@ class Reports:
             gl_object_description("GLObj").alias("payment_method_or_description"),
             F.when(is_head, date).otherwise(F.col("GLKey").cast("string")).alias("invoice_date_or_org"),
             F.when(is_head, date).otherwise(F.col("GLObj").cast("string")).alias("due_date_or_object"),
-            F.lit("").alias("extra_data"), _money("paid_amt_cents").alias("orig_paid_amt"), *inv.columns)
+            F.lit("").alias("extra_data"), _money("paid_amt_cents").alias("orig_paid_amt"), *invoice_columns)
 
     @cached_property
     def ledger_export_view(self) -> DataFrame:
         return self.ledger_export_table.distinct()
 
     # ------------------------------------------------- V10 second ledger format
-    @cached_property
-    def ledger_lines_alt_view(self) -> DataFrame:
-        d = self._allocated_lines()
+    @property
+    def _vendor_codes(self) -> DataFrame:
+        return self.m.vendor_header.select("vendor_record_code")
+
+    def _charged_lines(self) -> DataFrame:
         # the filters on the allocation's paid amount and the fund's code need
         # both rows to exist, so these two joins are inner
-        d = d.filter(F.col("_ild_paid") != 0)
-        f = self.m.fund.filter(F.col("fund_type") == "fbal").filter(F.col("fund_code") != "65535").select(
-            "fund_code_num", F.col("fund_code").alias("fund_table_code"))
-        fo = self.src.fiscal_funds.select(F.lower("IlsFundCode").alias("_glcode"), "GLKey", "GLObj")
-        funds = f.join(fo, F.lower(F.col("fund_table_code")) == fo._glcode, "left")
-        d = d.join(funds, d._fund_key == F.col("fund_code_num"), "inner")
+        return self._allocated_lines().filter(F.col("_ild_paid") != 0)
+
+    @cached_property
+    def ledger_lines_alt_view(self) -> DataFrame:
+        d = self._charged_lines()
+        funds = self.current_funds.filter(F.col("fund_table_code") != "65535")
+        d = d.join(funds, d._fund_key == funds.fund_code_num, "inner")
         # raw (untrimmed) vendor code join of the reference: repeats a line once
         # per vendor carrying that code, keeps lines without one
-        v = self.m.vendor_header.select(F.col("vendor_record_code").alias("_vc"))
+        v = self._vendor_codes.select(F.col("vendor_record_code").alias("_vc"))
         d = d.join(v, d.vendor_code == F.col("_vc"), "left")
         d = self._with_payee(d, "vendor_code", "pe_id")
-        h = self.m.invoice_header.select("invoice_record_id", "invoice_record_num", "invoice_number_text",
-                                         "invoice_date", "posted_date", "grand_total_amt_cents",
-                                         "subtotal_amt_cents")
-        d = d.join(h, "invoice_record_id").join(self._line_counts, "invoice_record_id")
-        return d.select(
+        return self._with_invoice(d).select(
             "pe_id", strip_zeros_if_numeric("invoice_number_text").alias("ref"),
             F.lit(ALT_LEDGER_DIVISION).alias("div"), _money("_amount_cents").alias("dist_amt"),
             F.lit(ALT_LEDGER_CHECK_ID).alias("check_id"), F.col("invoice_date").alias("ref_dt"),
@@ -318,6 +344,14 @@ class Reports:
             F.col("_fund_key").alias("fund_code"), "posted_date", "grand_total_amt_cents", "subtotal_amt_cents",
             "vendor_code", "approx_adj_amt", "running_adjusted_total_paid_cents", "off_amt_cents")
 
+    #: What a row of the second ledger format has of its invoice.
+    INVOICE_COLUMNS = ("invoice_record_num", "invoice_number_text", "invoice_date", "posted_date", "grand_total_amt_cents",
+                       "subtotal_amt_cents")
+
+    def _with_invoice(self, lines: DataFrame) -> DataFrame:
+        h = self.m.invoice_header.select("invoice_record_id", *self.INVOICE_COLUMNS)
+        return lines.join(h, "invoice_record_id").join(self._line_counts, "invoice_record_id")
+
     # --------------------------------------------------- V11 vendor alt codes
     @cached_property
     def invoice_vendor_alt_code_view(self) -> DataFrame:
@@ -347,13 +381,19 @@ class Reports:
              .select("bib_record_num", "order_record_num", "physical_form_name", "estimated_price_cents",
                      "sum_cmf_copies", "order_type_name", F.to_date("order_date_gmt").alias("order_date")))
         keys = ["bib_record_num", "physical_form_name"]
-        s_, n_ = F.sum("estimated_price_cents"), F.count("estimated_price_cents")
-        figures = [F.sum("sum_cmf_copies").cast("bigint").alias("total_copies"),
-                   F.when(n_ > 0, F.floor((s_ - F.pmod(s_, n_)) / n_)).cast("bigint").alias("est_avg_price_cents"),
-                   F.min("order_date").alias("min_order_date"), F.max("order_date").alias("max_order_date"),
-                   F.count(F.lit(1)).cast("bigint").alias("count_order_records")]
-        return nest(o, keys, ["order_date", "order_record_num", "order_type_name", "sum_cmf_copies"],
-                    ["order_date", "order_record_num"], "order_dates", extra_aggs=figures, nulls_first=True)
+        sums = {n: (F.sum(c), F.sum(n)) for n, c in (("total_copies", "sum_cmf_copies"), ("_price", "estimated_price_cents"))}
+        counts = {n: (F.count(c), F.sum(n)) for n, c in (("_prices", "estimated_price_cents"), ("count_order_records", F.lit(1)))}
+        dates = {"min_order_date": (F.min("order_date"), F.min("min_order_date")),
+                 "max_order_date": (F.max("order_date"), F.max("max_order_date"))}
+        d = nest(o, keys, ["order_date", "order_record_num", "order_type_name", "sum_cmf_copies"],
+                 ["order_date", "order_record_num"], "order_dates", aggs={**sums, **counts, **dates}, nulls_first=True,
+                 chunks=[F.col("order_date"), in_runs("order_record_num")])
+        s_, n_ = F.col("_price"), F.col("_prices")
+        return d.select(
+            *keys, F.col("total_copies").cast("bigint").alias("total_copies"),
+            F.when(n_ > 0, F.floor((s_ - F.pmod(s_, n_)) / n_)).cast("bigint").alias("est_avg_price_cents"),
+            "min_order_date", "max_order_date", F.col("count_order_records").cast("bigint").alias("count_order_records"),
+            "order_dates")
 
     # ------------------------------------------------------- V13 fund use
     @cached_property

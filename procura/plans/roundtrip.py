@@ -1,4 +1,4 @@
-"""Registered round trips through the sources and sinks.
+"""Registered round trips through the sources and sinks.
 
 Each writes a derived relation through the real sink into a folder of its own
 under the checkpoint folder, reads it back through the real source and returns
@@ -8,17 +8,23 @@ while they are built: the write is the point.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from procura.plans.ledger_store import LEDGER_TABLES, BucketedReports, write_ledger_tables
 from procura.plans.marts import Marts
-from procura.plans.queries import _json_arrays, in_order
-from procura.plans.reports import ALT_LEDGER_HEADERS, Reports
+from procura.plans.queries import PublishedQueries, _json_arrays, in_order
+from procura.plans.refresh import LAYOUT
+from procura.plans.reports import ALT_LEDGER_HEADERS, VIEW_ORDER, Reports
 from procura.schemas import mart_schema
 from procura.session import owned_folder
+from procura.sources.buckets import bucket_count
 from procura.sources.catalog import SourceCatalog, export_sources
 from procura.sources.files import read_fiscal_funds, read_fiscal_vendors
-from procura.sources.sinks import export_csv, publish_snapshot, read_current, save_report, write_table
+from procura.sources.sinks import export_csv, open_snapshot, publish_snapshot, read_current, save_report, write_table
 
 FUND_RELATIONS = ("fund_master", "accounting_unit", "fund_myuser", "external_fund_property",
                   "external_fund_property_name")
@@ -74,3 +80,48 @@ def published_receipts(m: Marts) -> DataFrame:
     root = owned_folder(m.src.spark, "snapshots")
     publish_snapshot(m.src.spark, {"order_record_received": m.order_record_received}, root)
     return read_current(m.src.spark, root, "order_record_received")
+
+
+def fund_use_view(r: Reports) -> DataFrame:
+    """A report through a catalog view over the published snapshot."""
+    spark = r.src.spark
+    root, database = owned_folder(spark, "snapshots"), f"procura_{uuid.uuid4().hex}"
+    publish_snapshot(spark, {"fund_use": r.fund_use}, root)
+    open_snapshot(spark, root, database)
+    return spark.sql(f"SELECT * FROM `{database}`.fund_use")
+
+
+def bucketed(report: Callable[[Reports], DataFrame]) -> Callable[[Reports], DataFrame]:
+    """A ledger report over the bucketed ledger tables."""
+    def run(r: Reports) -> DataFrame:
+        return report(bucketed_reports(r))
+    return run
+
+
+def bucketed_reports(r: Reports) -> BucketedReports:
+    spark = r.src.spark
+    buckets = bucket_count(r.src.invoice_record_line.count())
+    tables = write_ledger_tables(r, owned_folder(spark, "ledger"), buckets)
+    return BucketedReports(r.m, {n: tables[n].read(spark) for n in LEDGER_TABLES})
+
+
+def published(*names: str) -> Callable[[Callable[[PublishedQueries], DataFrame]], Callable[[Marts], DataFrame]]:
+    """A query over the named marts, written in the layout of the refresh."""
+    def query(ask: Callable[[PublishedQueries], DataFrame]) -> Callable[[Marts], DataFrame]:
+        def run(m: Marts) -> DataFrame:
+            base = owned_folder(m.src.spark, "published")
+            tables = {n: write_table(getattr(m, n), f"{base}/{n}", **LAYOUT.get(n, {})) for n in names}
+            return ask(PublishedQueries(lambda n: tables[n].read(m.src.spark)))
+        return run
+    return query
+
+
+def published_ledger(ask: Callable[[PublishedQueries], DataFrame]) -> Callable[[Reports], DataFrame]:
+    """A query over the second ledger format as the refresh publishes it."""
+    def run(r: Reports) -> DataFrame:
+        spark, base, name = r.src.spark, owned_folder(r.src.spark, "published"), "ledger_lines_alt_view"
+        ledger = write_table(bucketed_reports(r).ledger_lines_alt_view, f"{base}/{name}", **LAYOUT[name])
+        lead = VIEW_ORDER[name][0][0]
+        counts = write_table(ledger.read(spark).groupBy(lead).count(), f"{base}/counts")
+        return ask(PublishedQueries(lambda n: (ledger if n == name else counts).read(spark)))
+    return run

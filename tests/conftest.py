@@ -27,3 +27,13 @@ def tmp(tmp_path):
 @pytest.fixture(scope="session")
 def small_dir():
     return SMALL
+
+
+@pytest.fixture(scope="session")
+def source_root(spark, tmp_path_factory):
+    """The source relations of the smallest test tables, stored once."""
+    from procura.sources.catalog import export_sources
+    from procura.sources.testdata import TestSources
+    root = str(tmp_path_factory.mktemp("sources"))
+    export_sources(TestSources(spark, SMALL), root)
+    return root

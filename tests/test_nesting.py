@@ -96,3 +96,37 @@ def test_offsets_of_one_dense_group_are_shared_out(spark):
     # the fine level's window is partitioned by (group, coarse chunk), not by the group alone
     windows = [line for line in plan.split("\n") if "Window" in line and "_rn_1" in line]
     assert windows and all("_rn_0" in w.split("windowspecdefinition(")[1].split(" ASC")[0] for w in windows)
+
+
+def test_nest_sorts_a_huge_parent_chunk_by_chunk(spark):
+    """A parent with a third of all rows: no group that is sorted is larger
+    than a chunk of positions, and the result is that of one sort."""
+    import random
+    from collections import defaultdict
+
+    from procura.operators.nesting import NEST_CHUNK, in_runs, nest_parts
+    r = random.Random(5)
+    rows = [(1, k, f"v{k}") for k in range(30_000)] + [(k % 4000 + 2, r.randrange(3), f"w{k}") for k in range(60_000)]
+    rows += [(1, None, f"n{k}") for k in range(5)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, o int, v string").repartition(6)
+    parts = nest_parts(df, ["k"], ["o", "v"], ["o", "v"], [in_runs("o")])
+    sizes = [x[0] for x in parts.filter("k = 1").select(F.size("_part")).collect()]
+    assert max(sizes) <= NEST_CHUNK and sum(sizes) == 30_005 and len(sizes) == 30_000 // NEST_CHUNK + 2
+    got = {x.k: [(e.o, e.v) for e in x.arr] for x in nest(df, "k", ["o", "v"], ["o", "v"], "arr").collect()}
+    want = defaultdict(list)
+    for k, o, v in rows:
+        want[k].append((o, v))
+    assert got == {k: sorted(v, key=lambda e: (e[0] is None, e[0] or 0, e[1])) for k, v in want.items()}
+
+
+def test_nest_by_several_chunk_levels_with_aggregates(spark):
+    rows = [(1, "b", 9000, 3), (1, "a", 10, 4), (1, None, 1, 5), (1, "a", 9000, None), (1, "a", None, 6), (2, None, None, None)]
+    df = spark.createDataFrame(rows, "k int, t string, p int, x int")
+    d = nest(df, "k", ["t", "p"], ["t", "p"], "a", count_of="x", count_out="n", chunks=[F.col("t"), F.floor(F.col("p") / 4096)],
+             aggs={"s": (F.sum("x"), F.sum("s")), "most": (F.max("x"), F.max("most"))})
+    got = {r.k: r for r in d.collect()}
+    assert [tuple(e) for e in got[1].a] == [("a", 10), ("a", 9000), ("a", None), ("b", 9000), (None, 1)]
+    assert (got[1].n, got[1].s, got[1].most) == (4, 18, 6) and (got[2].n, got[2].s) == (0, None)
+    first = nest(df, "k", ["t", "p"], ["t", "p"], "a", nulls_first=True, chunks=[F.col("t")]).filter("k = 1").first().a
+    assert [tuple(e) for e in first] == [(None, 1), ("a", None), ("a", 10), ("a", 9000), ("b", 9000)]

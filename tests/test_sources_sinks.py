@@ -9,7 +9,6 @@ from procura.plans import queries as Q
 from procura.plans.refresh import FISCAL_NAMES, MART_NAMES, REPORT_NAMES, main, refresh
 from procura.plans.registry import QUERIES
 from procura.plans.reports import ALT_LEDGER_HEADERS, LEDGER_HEADERS
-from procura.sources.catalog import export_sources
 from procura.sources.files import FISCAL_FUND_COLUMNS, read_fiscal_funds, read_fiscal_vendors, rejected_values
 from procura.sources.sinks import (conform, current_snapshot, export_csv, open_snapshot, publish_snapshot, read_current,
                                    write_table)
@@ -57,17 +56,20 @@ def test_fund_csv_with_other_titles(spark, tmp):
 def test_malformed_numbers_raise_and_are_counted(spark, tmp):
     path = _write(tmp, "f.csv", FUNDS_NO_ROWID + "x,Fund A,QRXFGEN,4,QRX F GEN,81-1,\n")
     assert rejected_values(spark, path, FISCAL_FUND_COLUMNS).first().asDict() == {
-        "FiscalFundId": 1, "IlsFundCodeNumeric": 0, "GLKey": 1, "GLObj": 0}
+        "FiscalFundId": 1, "IlsFundCodeNumeric": 0, "GLKey": 1, "GLObj": 0, "broken_lines": 0}
     with pytest.raises(Exception, match="is no"):
         read_fiscal_funds(spark, path).collect()
 
 
-def test_refresh_reads_a_file_with_prefixed_titles(spark, tmp, small_dir):
-    """The fund file's own header gives ledger keys, through a full refresh."""
+def test_refresh_reads_a_file_with_prefixed_titles(spark, tmp, small_dir, source_root):
+    """The fund file's own header gives ledger keys, through a full refresh;
+    its broken lines are published beside the list."""
     src = TestSources(spark, small_dir)
-    export_sources(src, f"{tmp}/src")
-    export_csv(src.fiscal_funds, f"{tmp}/funds.csv", {c: c.replace("Ils", "Legacy") for c in src.fiscal_funds.columns})
-    base = main(["--sources", f"{tmp}/src", "--fiscal-funds", f"{tmp}/funds.csv", "--out", f"{tmp}/out",
+    export_csv(src.fiscal_funds.coalesce(1), f"{tmp}/funds.csv", {c: c.replace("Ils", "Legacy") for c in src.fiscal_funds.columns})
+    file = next(f for f in os.listdir(f"{tmp}/funds.csv") if f.endswith(".csv"))
+    with open(f"{tmp}/funds.csv/{file}") as f:
+        funds = _write(tmp, "office.csv", f.read() + "900,short\n901,long,X,1,X,5,6,7,8\n")
+    base = main(["--sources", source_root, "--fiscal-funds", funds, "--out", f"{tmp}/out",
                  "--ledger-files", f"{tmp}/files"])
     ledger = spark.read.parquet(f"{base}/ledger_lines_alt_view")
     assert ledger.filter("gl_key is not null").count() > 0
@@ -78,6 +80,8 @@ def test_refresh_reads_a_file_with_prefixed_titles(spark, tmp, small_dir):
         back = spark.read.option("header", True).csv(f"{tmp}/files/{name}")
         assert back.columns[:len(headers)] == list(headers.values())
         assert back.count() == spark.read.parquet(f"{base}/{view}").count()
+    assert sorted(r.line for r in read_current(spark, f"{tmp}/out", "fiscal_funds_broken").collect()) == [
+        "900,short", "901,long,X,1,X,5,6,7,8"]
     names = open_snapshot(spark, f"{tmp}/out")
     assert {"fiscal_funds", "fiscal_vendors", "orders", "ledger_export_view"} <= set(names)
     assert spark.table("fiscal_funds").count() == src.fiscal_funds.count()
@@ -101,31 +105,92 @@ def test_vendor_csv(spark, tmp):
 
 
 class _FakeJdbc:
-    """Records how relations are read; every count is 2.5 million rows."""
+    """Records how relations are read; the key splits are given."""
 
-    def __init__(self, rows):
-        self.rows, self.calls = rows, []
+    def __init__(self, splits):
+        self.splits, self.calls = splits, []
         self.read = self
 
     def jdbc(self, url, table, **kw):
         self.calls.append((table, kw))
         return self
 
-    def first(self):
-        return {"lo": 5, "hi": 900, "n": self.rows} if self.rows else {"lo": None, "hi": None, "n": 0}
+    def collect(self):
+        return self.splits
 
 
-def test_jdbc_reads_large_relations_in_ranges():
+def test_jdbc_reads_large_relations_in_parts():
     from procura.sources.catalog import SourceCatalog
-    fake = _FakeJdbc(2_500_000)
+    fake = _FakeJdbc([(5, 70), (9, 3)])
     src = SourceCatalog.jdbc(fake, "jdbc:x", {"user": "u"}, "s", "v.csv", "f.csv")
     assert src.fund_master is fake and fake.calls == [("s.fund_master", {"properties": {"fetchsize": "10000", "user": "u"}})]
     assert src.invoice_record_line is fake
-    table, kw = fake.calls[-1]
-    assert (table, kw["column"], kw["lowerBound"], kw["upperBound"], kw["numPartitions"]) == (
-        "s.invoice_record_line", "invoice_record_id", 5, 901, 3)
-    empty = _FakeJdbc(0)
-    assert SourceCatalog.jdbc(empty, "jdbc:x", {}, "s", "v", "f").varfield is empty and "column" not in empty.calls[-1][1]
+    (asked, _), (table, kw) = fake.calls[-2:]
+    assert "row_number() over (order by invoice_record_id, id)" in asked and table == "s.invoice_record_line"
+    assert len(kw["predicates"]) == 3 and kw["properties"]["fetchsize"] == "10000"
+    empty = _FakeJdbc([])
+    assert SourceCatalog.jdbc(empty, "jdbc:x", {}, "s", "v", "f").varfield is empty and "predicates" not in empty.calls[-1][1]
+
+
+@pytest.mark.parametrize("key", [("k", "id"), ("id",), ("k", "name")])
+def test_jdbc_parts_are_balanced_on_a_skewed_key(key):
+    """The SQL that the source is asked, run on a table where one key has
+    two thirds of the rows, keys have gaps, and some rows have no key."""
+    import duckdb
+
+    from procura.sources.catalog import split_predicates, split_query
+    con = duckdb.connect()
+    con.execute("create table t as select range as id, 'n''' || range as name, "
+                "case when range < 2000 then 77 when range < 2900 then range * range else null end as k from range(3000)")
+    size = 100
+    splits = con.execute(f"select * from {split_query('t', key, size)}").fetchall()
+    parts = split_predicates(key, splits)
+    counts = [con.execute(f"select count(*) from t where {p}").fetchone()[0] for p in parts]
+    nulls = con.execute(f"select count(*) from t where {key[0]} is null").fetchone()[0]
+    assert sum(counts) == 3000 and len(parts) == (3000 - nulls) // size
+    assert counts[0] == size + nulls and set(counts[1:]) <= {size}
+    assert con.execute("select count(*) from t where " + " or ".join(f"({p})" for p in parts)).fetchone()[0] == 3000
+    assert split_predicates(key, []) == ["1 = 1"]
+
+
+BROKEN_FUNDS = (FUNDS_NO_ROWID + '2,Fund B,TUVAFND,5\n3,Fund C,ABC,6,A B C,77,5430,too,many\n'
+                '"4","Fund, D","DEF",7,"D E F",78,5430\n\n5\n')
+
+
+def test_broken_lines_are_reported_and_not_loaded(spark, tmp):
+    from procura.sources.files import broken_rows
+    path = _write(tmp, "broken.csv", BROKEN_FUNDS)
+    got = read_fiscal_funds(spark, path).orderBy("FiscalFundId").collect()
+    assert [(r.FiscalFundId, r.FundName, r.GLKey) for r in got] == [(1, "Fund A", 8119100115), (4, "Fund, D", 78)]
+    # whichever columns are asked for
+    assert read_fiscal_funds(spark, path).select("FiscalFundId").count() == 2
+    assert read_fiscal_funds(spark, path).filter("IlsFundCode = 'TUVAFND'").count() == 0
+    bad = broken_rows(spark, path, FISCAL_FUND_COLUMNS).collect()
+    assert sorted(tuple(r) for r in bad) == [("broken.csv", "2,Fund B,TUVAFND,5"),
+                                             ("broken.csv", "3,Fund C,ABC,6,A B C,77,5430,too,many"), ("broken.csv", "5")]
+    assert rejected_values(spark, path, FISCAL_FUND_COLUMNS).first()["broken_lines"] == 3
+    assert broken_rows(spark, _write(tmp, "good.csv", FUNDS_NO_ROWID), FISCAL_FUND_COLUMNS).count() == 0
+
+
+def test_every_mart_and_report_can_be_shown(spark, small_dir):
+    from procura.plans.registry import reports_for
+    from procura.plans.reports import VIEW_ORDER
+    r = reports_for(spark, small_dir)
+    names = Q.register_views(spark, r.m, r)
+    assert set(names) == set(MART_NAMES + REPORT_NAMES) - {"invoice_header", "invoice_lines_flat"}
+    for name in {*names, *MART_NAMES}:
+        df = getattr(r, name) if name in REPORT_NAMES else getattr(r.m, name)
+        assert Q.in_order(df, name).columns == df.columns, name
+    for name in ("varfield_metadata", "invoice_record_order_record_link", "vendors", "invoice_record_vendor_summary",
+                 "vendors_summary_last_invoice_view", "fund"):
+        assert name in VIEW_ORDER
+    link = Q.in_order(r.m.invoice_record_order_record_link, "invoice_record_order_record_link").limit(500).collect()
+    assert link == sorted(link, key=lambda x: (x.invoice_record_id, x.order_record_id)) and link
+    num = [x.invoice_record_vendor_summary_id for x in
+           Q.in_order(r.m.invoice_record_vendor_summary, "invoice_record_vendor_summary").collect()]
+    assert num == sorted(num, reverse=True)
+    with pytest.raises(ValueError, match="no mart or report is called 'ledger'"):
+        Q.in_order(r.peid_view, "ledger")
 
 
 def test_write_table_conform_and_csv_export(spark, tmp):
