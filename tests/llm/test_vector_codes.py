@@ -68,11 +68,16 @@ def test_empty_repeated_and_missing_ids(spark):
     got, books = compress(frame(spark, [(1, None, 1)]))
     assert got.collect() == [] and books == []
     same = [0.25] * 16
-    rows = [(7, same, 1), (7, same, 1), (7, [0.5] * 16, 2), (None, [9.0] * 16, None)]
+    got, books = compress(frame(spark, [(7, same, 1)] * 5), entries=2)
+    # the smallest rows are equal: ties go to the lower entry, the other is never used
+    assert [[int(x) for x in e] for e in books[0]] == [[64], [64]]
+    assert [(bytes(r.codes), r.error) for r in got.collect()] == [(b"\0" * 16, 0)] * 5
+    # rows without an id come last, and are coded and counted as any other
+    rows = [(None, [9.0] * 16, None), (7, [0.5] * 16, 2), (7, same, 1), (9, [8.0] * 16, 3)]
     got, books = compress(frame(spark, rows), entries=2)
-    assert len(got.collect()) == 4
-    # both smallest rows are equal: ties go to the lower entry, the other stays unused
-    assert [int(x) for x in books[0][1]] == [64] and result(got)[7][0] == "00" * 16
+    want, plain = brute([(7, same, 1), (8, [0.5] * 16, 2), (9, [8.0] * 16, 3), (10, [9.0] * 16, None)], entries=2)
+    assert digest(books) == digest([np.array(b) for b in plain])
+    assert sorted((bytes(r.codes).hex(), r.error) for r in got.collect()) == sorted(want.values())
 
 
 def test_huge_components_are_exact(spark):
