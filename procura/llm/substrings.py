@@ -16,8 +16,9 @@ task whose size ``BUCKET_BYTES`` of input sets.  Before they travel, the equal
 runs of a group of documents are settled among themselves: all but those of the
 group's smallest document have a smaller one beside them and are hits on the
 spot, so a run that very many documents share is sent once or twice a group.
+Settled runs meet nobody: they are dealt evenly, whatever their hash.
 The anchor hashes may collide (32 bits and the bucket's): a false anchor only
-costs a comparison of whole windows, by 64 bits and the document's own words.
+costs a comparison of whole windows, by 128 bits (two rolling hashes).
 
 Defined cases: null text has no words; a document with fewer words than a
 window loses none; a null id neither loses words nor counts as smaller; rows
@@ -27,6 +28,8 @@ words; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -60,28 +63,31 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, f"<u{raw[0]}", offset=1)
 
 
-def pack_runs(doc: np.ndarray, place: np.ndarray, hashes: np.ndarray, buckets: int, width: int,
-              settled: bool = False) -> dict[str, list]:
-    """Rows of ``PACKED`` for runs sorted by document; ``width`` bytes of the
-    hash travel beside the bucket, which its upper bits give (counted down
-    from -1 for runs that are settled already)."""
+def pack_runs(doc: np.ndarray, place: np.ndarray, hashes: np.ndarray, buckets: int, settled: bool = False) -> dict[str, list]:
+    """Rows of ``PACKED`` for runs sorted by document.  The upper bits of the
+    (first) hash give the bucket; its lower 32 bits travel, or both hashes of a
+    run that has two.  Runs that are settled already get a bucket below 0, a
+    different one in each group of documents."""
+    both = hashes.ndim > 1
+    sent, hashes = hashes, hashes[:, 0] if both else hashes
     bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     doc = np.asarray(doc, np.int64)
+    shift = zlib.crc32(doc.tobytes()) if settled else 0
     out: dict[str, list] = {k: [] for k in ("bucket", "docs", "counts", "places", "hashes")}
     for i in np.split(order, edges[1:]) if len(order) else []:
         first = np.flatnonzero(np.r_[True, doc[i][1:] != doc[i][:-1]])
         ids = doc[i][first]
-        out["bucket"].append(-1 - int(bucket[i[0]]) if settled else int(bucket[i[0]]))
+        out["bucket"].append(-1 - (int(bucket[i[0]]) + shift) % buckets if settled else int(bucket[i[0]]))
         out["docs"].append(int(ids[0]).to_bytes(8, "little", signed=True) + _pack(np.diff(ids).astype(np.uint64)))
         out["counts"].append(_pack(np.diff(np.r_[first, len(i)])))
         out["places"].append(_pack(place[i]))
-        out["hashes"].append(hashes[i].astype(f"<u{width}").tobytes())
+        out["hashes"].append(sent[i].astype("<u8" if both else "<u4").tobytes())
     return out
 
 
-def unpack_runs(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpack_runs(table: pa.Table, both: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc, place, hash) of all the runs in the rows of a bucket."""
     doc, place, hashes = [], [], []
     for docs, counts, places, raw in zip(*(table.column(c).to_pylist() for c in ("docs", "counts", "places", "hashes"))):
@@ -89,7 +95,7 @@ def unpack_runs(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np
         ids = int.from_bytes(docs[:8], "little", signed=True) + np.r_[np.zeros(1, np.int64), np.cumsum(step)]
         doc.append(np.repeat(ids, _unpack(counts)))
         place.append(_unpack(places).astype(np.int64))
-        hashes.append(np.frombuffer(raw, f"<u{width}"))
+        hashes.append(np.frombuffer(raw, "<u8").reshape(-1, 2) if both else np.frombuffer(raw, "<u4"))
     return np.concatenate(doc), np.concatenate(place), np.concatenate(hashes)
 
 
@@ -123,17 +129,29 @@ def _rolled(sizes: np.ndarray, words: np.ndarray, length: int) -> tuple[np.ndarr
     return own[inside], doc[inside], place[inside]
 
 
+def grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal hashes (or pairs of hashes) together, stable,
+    and where each group begins."""
+    if hashes.ndim > 1:
+        order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+        own = hashes[order]
+        new = (own[1:] != own[:-1]).any(1)
+    else:
+        order = np.argsort(hashes, kind="stable")
+        own = hashes[order]
+        new = own[1:] != own[:-1]
+    return order, np.flatnonzero(np.r_[True, new]) if len(order) else order
+
+
 def settle(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Equal runs of a group of documents (sorted by id): the places in the
     arrays, grouped by hash, the group of each, and for each group whether it
     holds several documents; and which places belong to the smallest one."""
-    order = np.argsort(hashes, kind="stable")
-    new = np.r_[True, hashes[order][1:] != hashes[order][:-1]] if len(order) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
+    order, first = grouped(hashes)
+    group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
     smallest = doc[order] == doc[order][first][group]
     last = np.r_[first[1:], len(order)] - 1
-    several = doc[order][last] != doc[order][first]
+    several = doc[order][last] != doc[order][first] if len(order) else np.zeros(0, bool)
     return order, group, several, smallest
 
 
@@ -152,26 +170,25 @@ def anchors(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             shared = several[group]
             # settled here: the runs of all documents of a group of several
             here = np.sort(order[shared])
-            yield pack_runs(doc[here], place[here], own[here], buckets, 4, settled=True)
+            yield pack_runs(doc[here], place[here], own[here], buckets, settled=True)
             # sent: those of the smallest document and one of the largest
             last = np.flatnonzero(np.r_[group[1:] != group[:-1], True]) if len(group) else group
             sent = np.sort(np.r_[order[smallest], order[last[several]]])
-            yield pack_runs(doc[sent], place[sent], own[sent], buckets, 4)
+            yield pack_runs(doc[sent], place[sent], own[sent], buckets)
             # a block of any of them stands for the smallest document (place 0 is a block's)
             blocks = np.zeros(len(several), bool)
             np.logical_or.at(blocks, group[shared], place[order[shared]] % block == 0)
             first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
             mark = np.sort(order[first[blocks]])
-            yield pack_runs(doc[mark], np.zeros(len(mark), np.int64), own[mark], buckets, 4)
+            yield pack_runs(doc[mark], np.zeros(len(mark), np.int64), own[mark], buckets)
 
     out = _arrow_schema(docs.sparkSession, "doc_id long, place int")
 
     def meet(table: pa.Table) -> pa.Table:
-        doc, place, own = unpack_runs(table, 4)
+        doc, place, own = unpack_runs(table)
         if table.column("bucket")[0].as_py() >= 0:
-            order = np.argsort(own, kind="stable")
-            doc, place, own = doc[order], place[order], own[order]
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            order, first = grouped(own)
+            doc, place = doc[order], place[order]
             size = np.diff(np.r_[first, len(own)])
             is_block = place % block == 0
             lowest = np.minimum.reduceat(np.where(is_block, doc, np.iinfo(np.int64).max), first)
@@ -183,15 +200,29 @@ def anchors(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     return map_batches(docs, probe, PACKED).groupBy("bucket").applyInArrow(meet, "doc_id long, place int")
 
 
+#: Multipliers of the second hash of a window, and of its halves' join.
+_SECOND, _JOIN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+
+
 def _windows(words: np.ndarray, window: int) -> np.ndarray:
-    """Hashes of whole windows from those of their two halves."""
-    half = window_hashes(words, window // 2)
-    n = len(words) - window + 1
-    return half[:n] * _MULT ^ half[window - window // 2:][:n] if n > 0 else half[:0]
+    """Two hashes (a row) of each whole window, both from those of its halves:
+    of the words as they are and of a second product of each."""
+    n = max(0, len(words) - window + 1)
+    out = np.empty((n, 2), np.uint64)
+    if n:
+        second = (words ^ (words >> np.uint64(29))) * _SECOND
+        for k, own in enumerate((words, second ^ (second >> np.uint64(32)))):
+            half = window_hashes(own, window // 2)
+            joined = half[:n] * (_MULT if k == 0 else _JOIN) + half[window - window // 2:][:n]
+            out[:, k] = joined ^ (joined >> np.uint64(31))
+    return out
+
+
+FOUND = "doc_id long, place int, hash long, second long"
 
 
 def repeats(docs: DataFrame, hits: DataFrame, window: int, buckets: int) -> DataFrame:
-    """(doc_id, place, hash) of the windows around hits that occur in a
+    """(doc_id, place, both hashes) of the windows around hits that occur in a
     smaller document."""
     block = window // 2
     found = docs.join(hits.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "doc_id").select(
@@ -212,22 +243,21 @@ def repeats(docs: DataFrame, hits: DataFrame, window: int, buckets: int) -> Data
             order, _, _, smallest = settle(doc, own)
             for chosen, settled in ((~smallest, True), (smallest, False)):
                 i = np.sort(order[chosen])
-                yield pack_runs(doc[i], place[i], own[i], buckets, 8, settled)
+                yield pack_runs(doc[i], place[i], own[i], buckets, settled)
 
-    out = _arrow_schema(docs.sparkSession, "doc_id long, place int, hash long")
+    out = _arrow_schema(docs.sparkSession, FOUND)
 
     def meet(table: pa.Table) -> pa.Table:
-        doc, place, own = unpack_runs(table, 8)
+        doc, place, own = unpack_runs(table, both=True)
         if table.column("bucket")[0].as_py() >= 0:
-            order = np.argsort(own, kind="stable")
+            order, first = grouped(own)
             doc, place, own = doc[order], place[order], own[order]
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
             hit = doc > np.repeat(np.minimum.reduceat(doc, first), np.diff(np.r_[first, len(own)]))
             doc, place, own = doc[hit], place[hit], own[hit]
-        return pa.Table.from_arrays([pa.array(doc), pa.array(place.astype(np.int32)), pa.array(own.view(np.int64))],
-                                    schema=out)
+        both = np.ascontiguousarray(own.T).view(np.int64)
+        return pa.Table.from_arrays([pa.array(doc), pa.array(place.astype(np.int32)), *map(pa.array, both)], schema=out)
 
-    return map_batches(found, extend, PACKED).groupBy("bucket").applyInArrow(meet, "doc_id long, place int, hash long")
+    return map_batches(found, extend, PACKED).groupBy("bucket").applyInArrow(meet, FOUND)
 
 
 OUT = "doc_id long, n_words long, n_removed long, kept_text string"
@@ -242,7 +272,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     buckets = n_buckets(docs)
     hits = stage(anchors(docs, window, buckets), "anchors")
     found = stage(repeats(docs, hits, window, buckets), "repeats")
-    gone = found.groupBy("doc_id").agg(F.collect_list(F.struct("place", "hash")).alias("gone"))
+    gone = found.groupBy("doc_id").agg(F.collect_list(F.struct("place", "hash", "second")).alias("gone"))
 
     def run(batches):
         hashes = per_process("word hashes", word_hasher)
@@ -253,10 +283,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 left = words
                 if gone.is_valid:
                     place = gone.values.field("place").to_numpy()
-                    value = gone.values.field("hash").to_numpy().view(np.uint64)
+                    value = np.stack([gone.values.field(c).to_numpy().view(np.uint64) for c in ("hash", "second")], 1)
                     own = _windows(hash_words(words, hashes), window)
                     there = place < len(own)
-                    starts = place[there][own[place[there]] == value[there]]
+                    starts = place[there][(own[place[there]] == value[there]).all(1)]
                     mask = covered(starts, window, len(words))
                     left = [w for w, m in zip(words, mask.tolist()) if not m]
                 n.append(len(words))
