@@ -35,9 +35,12 @@ MAX_BITS = 3
 #: Reference fingerprints whose distances make up the pivot table.
 PIVOTS = 24
 #: Fingerprints that may meet under one key before they are dealt out anew
-#: under longer keys (48 bits and more: at most 65 536 can meet there).
+#: under longer keys.
 KEY_LIMIT = 65_536
-FINE_BLOCKS, FINE_KEEP = 12, 9
+#: Blocks of the longer keys.  A pair differs in at most ``max_bits`` of them, so
+#: keys of all the others find every pair; at 3 bits they have 46 bits or more,
+#: and at most 2^18 fingerprints can share one.
+FINE_BLOCKS = 12
 
 
 def fingerprint(text: str, words_per_shingle: int) -> int:
@@ -77,6 +80,12 @@ def _masks(blocks: int, keep: int) -> list[int]:
     return [sum(c) for c in combinations(block, keep)]
 
 
+def fine_blocks(bits: int) -> tuple[int, int]:
+    """Blocks of the longer keys, and how many of them make one."""
+    blocks = max(FINE_BLOCKS, 2 * bits + 2)
+    return blocks, blocks - bits
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -169,7 +178,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max
         links = found.filter("not over").select("a", "b")
         if found.filter("over").limit(1).count():
             again = found.filter("over").select(F.col("a").alias("fp")).distinct()
-            links = links.union(_links(again, max_bits, FINE_BLOCKS, FINE_KEEP, None).select("a", "b"))
+            links = links.union(_links(again, max_bits, *fine_blocks(max_bits), None).select("a", "b"))
         fps = fps.join(components(links), F.col("fp") == F.col("node"), "left").select(
             "fp", "low", F.coalesce("root", "fp").alias("root"))
     else:

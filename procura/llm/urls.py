@@ -7,6 +7,10 @@ in lower case), an occurrence counts if neither neighbour is a letter or digit,
 and the url is rejected on one strict term or on ``SOFT_HITS`` distinct soft
 ones.
 
+The vocabulary is an argument, or a table of (term, kind) rows; a term is
+compared in lower case, repeated terms are one, empty ones are left out, and a
+term of both kinds is strict.  The automaton is built once per worker.
+
 Defined cases: a null url or one without ``://`` has empty host and path (no
 rule fits), its terms still count; a null id and repeated rows are judged each;
 an empty table gives no rows.
@@ -14,12 +18,13 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm.common import map_batches, read_table, texts_of
+from procura.llm.common import map_batches, per_process, read_table, texts_of
 
 
 @dataclass(frozen=True)
@@ -42,6 +47,8 @@ STRICT = ("casino", "porn", "xxx", "viagra", "cialis", "escort", "gambling", "sp
 SOFT = ("ads", "adult", "bet", "bets", "bonus", "buy", "cheap", "click", "credit", "deal", "farm", "free", "hot", "loan",
         "loans", "offer", "pill", "pills", "poker", "prize", "promo", "sale", "slots", "track", "win", "winner")
 SOFT_HITS = 2
+#: Terms of a table that travel with a task.
+MAX_TERMS = 1_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -59,23 +66,55 @@ def fits(rule: Rule, host: Column, path: Column) -> Column:
     return ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
 
 
-def term_hits(urls: DataFrame, strict: tuple[str, ...] = STRICT, soft: tuple[str, ...] = SOFT) -> DataFrame:
-    """Adds ``n_strict`` and ``n_soft``, the distinct terms of either kind in
-    each url of (page_id, url, host, path)."""
-    def run(batches):
+@dataclass(frozen=True)
+class Vocabulary:
+    """Strict and soft terms, and how many distinct soft ones reject."""
+    strict: frozenset[str]
+    soft: frozenset[str]
+    soft_hits: int = SOFT_HITS
+
+    @staticmethod
+    def of(strict, soft, soft_hits: int = SOFT_HITS) -> Vocabulary:
+        lower = str.maketrans(_UPPER, _LOWER)
+        kinds = [frozenset(t.translate(lower) for t in terms if t) for terms in (strict, soft)]
+        return Vocabulary(kinds[0], kinds[1] - kinds[0], soft_hits)
+
+    @staticmethod
+    def read(table: DataFrame, soft_hits: int = SOFT_HITS) -> Vocabulary:
+        """From (``term``, ``kind``) rows, kind "strict" or "soft"."""
+        rows = table.select("term", "kind").filter("term <> '' and kind in ('strict', 'soft')").distinct()
+        terms = rows.limit(MAX_TERMS + 1).collect()
+        if len(terms) > MAX_TERMS:
+            raise ValueError(f"the vocabulary has more than {MAX_TERMS} terms")
+        return Vocabulary.of(*([t.term for t in terms if t.kind == k] for k in ("strict", "soft")), soft_hits)
+
+    def automaton(self):
         import ahocorasick
         finder = ahocorasick.Automaton()
-        for kind, terms in enumerate((strict, soft)):
+        for kind, terms in enumerate((self.strict, self.soft)):
             for term in terms:
                 finder.add_word(term, (kind, term))
         finder.make_automaton()
+        return finder
+
+
+DEFAULT = Vocabulary.of(STRICT, SOFT)
+
+
+def term_hits(urls: DataFrame, vocabulary: Vocabulary = DEFAULT) -> DataFrame:
+    """Adds ``n_strict`` and ``n_soft``, the distinct terms of either kind in
+    each url of (page_id, url, host, path)."""
+    name = f"vocabulary {uuid.uuid4().hex}"
+
+    def run(batches):
+        finder = per_process(name, vocabulary.automaton)
         lower = str.maketrans(_UPPER, _LOWER)
         inside = frozenset(_LOWER + "0123456789")
         for batch in batches:
             counts = ([], [])
             for url in texts_of(batch.column(1)):
                 text, found = url.translate(lower), (set(), set())
-                for end, (kind, term) in finder.iter(text):
+                for end, (kind, term) in finder.iter(text) if len(finder) else ():
                     start = end - len(term) + 1
                     if text[end + 1:end + 2] not in inside and (not start or text[start - 1] not in inside):
                         found[kind].add(term)
@@ -87,13 +126,14 @@ def term_hits(urls: DataFrame, strict: tuple[str, ...] = STRICT, soft: tuple[str
     return map_batches(urls, run, "page_id long, host string, path string, n_strict int, n_soft int")
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, soft_hits: int = SOFT_HITS) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, vocabulary: Vocabulary = DEFAULT) -> DataFrame:
     """``page_id`` and ``url`` -> host, path, rule, verdict and term counts."""
     url = F.col("url")
-    hits = term_hits(pages.select(F.col("page_id").cast("long"), url, host_of(url).alias("host"), path_of(url).alias("path")))
+    hits = term_hits(pages.select(F.col("page_id").cast("long"), url, host_of(url).alias("host"), path_of(url).alias("path")),
+                     vocabulary)
     longest = sorted(rules, key=lambda r: -len(r.name))
     fit = [(fits(r, F.col("host"), F.col("path")), r) for r in longest]
-    by_terms = F.when((F.col("n_strict") > 0) | (F.col("n_soft") >= soft_hits), "block").otherwise("allow")
+    by_terms = F.when((F.col("n_strict") > 0) | (F.col("n_soft") >= vocabulary.soft_hits), "block").otherwise("allow")
     rule, verdict = F.lit(None).cast("string"), by_terms
     for ok, r in reversed(fit):
         rule, verdict = F.when(ok, r.name).otherwise(rule), F.when(ok, r.verdict).otherwise(verdict)

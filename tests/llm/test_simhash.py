@@ -58,12 +58,13 @@ def test_against_all_pairs(spark, table, bits):
     assert sorted(((r.doc_id, r.fp & (2 ** 64 - 1), r.component_id) for r in got), key=repr) == want
 
 
-def test_keys_over_the_limit_are_dealt_out_anew(spark, table, monkeypatch):
+@pytest.mark.parametrize("bits", [3, 4])
+def test_keys_over_the_limit_are_dealt_out_anew(spark, table, monkeypatch, bits):
     monkeypatch.setattr(simhash, "KEY_LIMIT", 3)
     rows = rows_of(random.Random(3))
     prints = [(d, brute_fingerprint(t or "", 3)) for d, t in rows]
-    want = sorted(zip((d for d, _ in prints), brute_components(prints, 3)), key=repr)
-    got = simhash.near_duplicates(table(rows), 3, 3).collect()
+    want = sorted(zip((d for d, _ in prints), brute_components(prints, bits)), key=repr)
+    got = simhash.near_duplicates(table(rows), 3, bits).collect()
     assert sorted(((r.doc_id, r.component_id) for r in got), key=repr) == want
 
 
@@ -91,3 +92,27 @@ def test_flooded_runs_over_batch_borders():
 
 def test_empty_table(spark, table):
     assert simhash.near_duplicates(table([])).collect() == []
+
+
+def test_longer_keys_find_every_pair():
+    rng = random.Random(6)
+    for bits in (1, 3, 4, 7):
+        blocks, keep = simhash.fine_blocks(bits)
+        masks = simhash._masks(blocks, keep) if bits < 7 else None
+        assert blocks - keep == bits and blocks <= 16
+        for _ in range(30 if masks else 0):
+            a = rng.getrandbits(64)
+            b = a
+            for bit in rng.sample(range(64), bits):
+                b ^= 1 << bit
+            assert any(a & m == b & m for m in masks)
+
+
+def test_pivots_discard_nearly_all_pairs():
+    """Of the pairs that meet, the table of distances leaves few to verify."""
+    rng = np.random.default_rng(3)
+    fps = rng.integers(0, 1 << 63, 400, dtype=np.uint64) << np.uint64(1)
+    table = simhash.pivot_table(fps).astype(int)
+    far = np.abs(table[:, :, None] - table[:, None, :]).max(0)
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3
+    assert (far[near] <= 3).all() and (far <= 3).sum() - len(fps) < 0.001 * len(fps) ** 2

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from procura.llm import urls
 
 
@@ -35,3 +37,25 @@ def test_against_python(spark):
 
 def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
+
+
+def test_other_vocabularies(spark):
+    rows = [(0, "http://a.org/roulette"), (1, "http://a.org/red-Blue"), (2, "http://a.org/red"), (3, "http://a.org/casino"),
+            (4, "http://a.org/redblue"), (5, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    table = spark.createDataFrame([("ROULETTE", "strict"), ("red", "soft"), ("blue", "soft"), ("Red", "soft"), ("", "strict"),
+                                   (None, "soft"), ("casino", "other"), ("green", "soft"), ("green", "strict")], "term string, kind string")
+    words = urls.Vocabulary.read(table)
+    assert words == urls.Vocabulary.of(["roulette", "green"], ["red", "blue"])
+    assert {r.page_id: r.verdict for r in urls.judge(df, vocabulary=words).collect()} == {
+        0: "block", 1: "block", 2: "allow", 3: "allow", 4: "allow", 5: "allow"}
+    assert {r.verdict for r in urls.judge(df, vocabulary=urls.Vocabulary.of([], [])).collect()} == {"allow"}
+    one = urls.Vocabulary.of([], ["red"], soft_hits=1)
+    assert {r.page_id for r in urls.judge(df, vocabulary=one).collect() if r.verdict == "block"} == {1, 2}
+
+
+def test_a_vocabulary_table_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(urls, "MAX_TERMS", 3)
+    table = spark.range(4).selectExpr("concat('t', id) as term", "'soft' as kind")
+    with pytest.raises(ValueError, match="more than 3"):
+        urls.Vocabulary.read(table)
