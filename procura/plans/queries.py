@@ -124,8 +124,12 @@ class PublishedQueries:
 
     def ledger_facet(self) -> DataFrame:
         """Q10 on the payee: the counts as published."""
-        return (self.table("ledger_lines_alt_counts").select(F.col("pe_id").alias("value"), "count")
-                .orderBy(F.col("count").desc(), F.col("value").asc_nulls_last()))
+        return facet_of(self.table("ledger_lines_alt_counts"), "pe_id")
+
+    def ledger_lines_between(self, posted_from: str, posted_to: str, hide: list[str] | None = None) -> DataFrame:
+        """Q7 over the second ledger format: the files of the months in range."""
+        return browse(self.table("ledger_lines_alt_view"), {"posted_date": posted_from}, {"posted_date": posted_to},
+                      [MONTH_COLUMN, *(hide or [])])
 
 
 def order_status_counts(m: Marts) -> DataFrame:
@@ -216,8 +220,12 @@ def top_rows(df: DataFrame, order: list[Column], n: int = MAX_RETURNED_ROWS) ->
 def facet_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     """Q10: the values of a column with their counts (largest first, ties by
     value); the ``n`` most frequent ones if ``n`` is given, else all."""
-    out = (df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-           .orderBy(F.col("count").desc(), F.col("value").asc_nulls_last()))
+    return facet_of(df.groupBy(col).agg(F.count(F.lit(1)).cast("bigint").alias("count")), col, n)
+
+
+def facet_of(counts: DataFrame, col: str, n: int | None = None) -> DataFrame:
+    """Q10 from counts per value."""
+    out = counts.select(F.col(col).alias("value"), "count").orderBy(F.col("count").desc(), F.col("value").asc_nulls_last())
     return out if n is None else out.limit(n)
 
 

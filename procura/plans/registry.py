@@ -109,7 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # the nested lines unnested again
     "invoice_lines_from_nested": _m(lambda m: unnest(m.invoice.select("invoice_record_id", "json_invoice_record_line"),
                                                      "json_invoice_record_line")),
-    "facet_counts": _r(lambda r: Q.facet_counts(r.ledger_lines_alt_view, "pe_id")),
+    "facet_counts": _r(lambda r: Q.facet_of(r.ledger_lines_alt_counts, "pe_id")),
     # round trips through the sinks and sources
     "fiscal_funds_file": _m(T.fiscal_funds_file),
     "fiscal_vendors_file": _m(T.fiscal_vendors_file),
@@ -131,6 +131,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "multi_fund_orders_published": _m(T.published("orders")(
         lambda q: q.multi_fund_orders(PARAMS["more_than_funds"], PARAMS["order_status_code"]))),
     "report_top_published": _r(T.published_ledger(lambda q: q.first_ledger_rows())),
+    "report_range_published": _r(T.published_ledger(lambda q: q.ledger_lines_between(
+        PARAMS["posted_from"], PARAMS["posted_to"], hide=["extra_data", "alt_addr_cd"]))),
     "facet_counts_published": _r(T.published_ledger(lambda q: q.ledger_facet())),
 }
 

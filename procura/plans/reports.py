@@ -323,11 +323,27 @@ class Reports:
         # both rows to exist, so these two joins are inner
         return self._allocated_lines().filter(F.col("_ild_paid") != 0)
 
-    @cached_property
-    def ledger_lines_alt_view(self) -> DataFrame:
+    def _paying_lines(self) -> DataFrame:
         d = self._charged_lines()
         funds = self.current_funds.filter(F.col("fund_table_code") != "65535")
-        d = d.join(funds, d._fund_key == funds.fund_code_num, "inner")
+        return d.join(funds, d._fund_key == funds.fund_code_num, "inner")
+
+    @cached_property
+    def ledger_lines_alt_counts(self) -> DataFrame:
+        """Rows of the second ledger format per payee.  Lines are counted by
+        vendor code before anything else is looked up; every allocated line has
+        its invoice, so no invoice is read."""
+        lines = self._paying_lines().groupBy("vendor_code").agg(F.count(F.lit(1)).alias("_lines"))
+        carriers = (self._vendor_codes.groupBy(F.col("vendor_record_code").alias("_vc"))
+                    .agg(F.count(F.lit(1)).alias("_carriers")))
+        d = lines.join(carriers, lines.vendor_code == F.col("_vc"), "left")
+        d = self._with_payee(d, "vendor_code", "pe_id")
+        return d.groupBy("pe_id").agg(
+            F.sum(F.col("_lines") * F.coalesce("_carriers", F.lit(1))).cast("bigint").alias("count"))
+
+    @cached_property
+    def ledger_lines_alt_view(self) -> DataFrame:
+        d = self._paying_lines()
         # raw (untrimmed) vendor code join of the reference: repeats a line once
         # per vendor carrying that code, keeps lines without one
         v = self._vendor_codes.select(F.col("vendor_record_code").alias("_vc"))

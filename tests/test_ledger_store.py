@@ -141,6 +141,21 @@ def test_first_page_reads_the_first_files(spark, snapshots, n):
     assert ("LessThanOrEqual(pe_id" in plan or "IsNull(pe_id)" in plan) == (every.count() >= n)
 
 
+def test_published_range_reads_its_months(spark, snapshots):
+    root, catalog = snapshots
+    p = Q.PublishedQueries(lambda n: read_current(spark, f"{root}/out", n))
+    got = p.ledger_lines_between("1997-02-10", "1997-05-05", hide=["extra_data"])
+    assert same_rows(got, Q.ledger_lines_between(Marts(catalog), "1997-02-10", "1997-05-05", hide=["extra_data"]))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "posted_month" in plan.split("PartitionFilters")[1][:200] and got.count() > 0
+
+
+def test_payees_are_counted_before_the_look_ups(spark, stored):
+    m, tables = stored
+    for r in (Reports(m), BucketedReports(m, tables)):
+        assert same_rows(r.ledger_lines_alt_counts, Q.facet_counts(r.ledger_lines_alt_view, "pe_id").withColumnRenamed("value", "pe_id"))
+
+
 def test_published_facet(spark, snapshots):
     root, catalog = snapshots
     p = Q.PublishedQueries(lambda n: read_current(spark, f"{root}/out", n))
