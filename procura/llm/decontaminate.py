@@ -158,13 +158,15 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 SQL = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
-b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS s FROM d),
-bs AS (SELECT DISTINCT item_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS s FROM b),
-n AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id)
-SELECT ds.doc_id, bs.item_id, any_value(n.n)::INTEGER AS n_shingles, count(*)::INTEGER AS n_shared,
-       count(*)::DOUBLE / any_value(n.n) AS containment
-FROM ds JOIN bs USING (s) JOIN n USING (item_id)
-GROUP BY ds.doc_id, bs.item_id HAVING count(*) >= 0.8 * any_value(n.n) - 1e-9
+WITH d AS (SELECT row_number() OVER () AS drow, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS brow, item_id, w, least(5, len(w)) AS k
+      FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0),
+ds AS (SELECT DISTINCT drow, doc_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS s
+       FROM d, (SELECT DISTINCT k FROM b)),
+bs AS (SELECT DISTINCT brow, item_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS s FROM b),
+n AS (SELECT brow, count(*) AS n FROM bs GROUP BY brow)
+SELECT any_value(ds.doc_id) AS doc_id, any_value(bs.item_id) AS item_id, any_value(n.n)::INTEGER AS n_shingles,
+       count(*)::INTEGER AS n_shared, count(*)::DOUBLE / any_value(n.n) AS containment
+FROM ds JOIN bs USING (k, s) JOIN n USING (brow)
+GROUP BY drow, brow HAVING count(*) >= 0.8 * any_value(n.n) - 1e-9
 """

@@ -63,3 +63,15 @@ def test_empty_tables(spark, table):
     assert dc.find_items(table([]), none).collect() == []
     assert dc.find_items(table([(1, "a b c d e f")]), none).collect() == []
     assert dc.drop_contaminated(table([(1, "a b")]), none).count() == 1
+
+
+def test_sql_against_all_pairs():
+    """Short items and repeated rows included."""
+    import duckdb
+    import pyarrow as pa
+    docs, items = fixture(8)
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.register(name, pa.table({key: pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())}))
+    got = con.execute(f"SELECT doc_id, item_id, n_shingles, n_shared FROM ({dc.SQL})").fetchall()
+    assert sorted(got, key=repr) == brute(docs, items, 5, 0.8)
