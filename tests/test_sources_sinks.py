@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from procura.plans import queries as Q
+from procura.plans.ledger_store import LEDGER_TABLES
+from procura.plans.marts import Marts
 from procura.plans.refresh import FISCAL_NAMES, MART_NAMES, REPORT_NAMES, main, refresh
 from procura.plans.registry import QUERIES
 from procura.plans.reports import ALT_LEDGER_HEADERS, LEDGER_HEADERS
+from procura.sources.catalog import SourceCatalog
 from procura.sources.files import FISCAL_FUND_COLUMNS, read_fiscal_funds, read_fiscal_vendors, rejected_values
 from procura.sources.sinks import (conform, current_snapshot, export_csv, open_snapshot, publish_snapshot, read_current,
                                    write_table)
@@ -120,7 +123,6 @@ class _FakeJdbc:
 
 
 def test_jdbc_reads_large_relations_in_parts():
-    from procura.sources.catalog import SourceCatalog
     fake = _FakeJdbc([(5, 70), (9, 3)])
     src = SourceCatalog.jdbc(fake, "jdbc:x", {"user": "u"}, "s", "v.csv", "f.csv")
     assert src.fund_master is fake and fake.calls == [("s.fund_master", {"properties": {"fetchsize": "10000", "user": "u"}})]
@@ -223,15 +225,16 @@ def test_snapshot_publish_switches_pointer(spark, tmp):
     assert spark.read.parquet(f"{p1}/t").count() == 3  # the old snapshot is untouched
 
 
-def test_full_refresh(spark, tmp, small_dir):
-    base = refresh(spark, TestSources(spark, small_dir), tmp, label="t")
+def test_full_refresh(spark, tmp, source_root):
+    src = SourceCatalog.parquet(spark, source_root)
+    base = refresh(spark, src, tmp, label="t")
     assert current_snapshot(spark, tmp) == base
-    for n in MART_NAMES + REPORT_NAMES + FISCAL_NAMES:
+    for n in MART_NAMES + REPORT_NAMES + FISCAL_NAMES + LEDGER_TABLES:
         assert os.path.isdir(f"{base}/{n}"), n
     # reports built from the stored marts equal the ones built in one plan
     stored = spark.read.parquet(f"{base}/ledger_export_view").drop("posted_month")
-    direct = QUERIES["ledger_export_distinct"](spark, small_dir)
+    direct = QUERIES["ledger_export_distinct"].on_marts(Marts(src))
     assert stored.count() == direct.count()
     assert stored.select(sorted(stored.columns)).exceptAll(direct.select(sorted(direct.columns))).count() == 0
     alloc = spark.read.parquet(f"{base}/invoice_line_data")
-    assert alloc.count() == QUERIES["invoice_line_allocation"](spark, small_dir).count()
+    assert alloc.count() == QUERIES["invoice_line_allocation"].on_marts(Marts(src)).count()
