@@ -48,7 +48,7 @@ MIN_CHARS = 10
 SHARD_BYTES = 32_000_000
 #: Insertions in which ``op12`` brings the documents.
 DELIVERIES = 2
-#: Words of text whose postings are put together.
+#: Characters of text whose postings are put together (a chunk of a task).
 CHUNK_CHARS = 8_000_000
 
 SPACE = " \t\n\x0b\x0c\r"
