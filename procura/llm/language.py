@@ -65,11 +65,17 @@ def _category(*kinds: str) -> str:
 
 #: A letter, then letters and the marks that combine with them.
 _WORD = re.compile(f"[{_category('L')}][{_category('L', 'M')}]*")
+#: The same for texts without the characters of ``_RARE``, among which all marks
+#: and all but six of the number signs are; several times as fast.
+_PLAIN = re.compile(r"[^\W\d_²³¹¼½¾]+")
+_RARE = re.compile("[\u0300-\u1fff\u2070-\u209f\u20d0-\U0010ffff]")
 BREAK = " "
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    text = text.lower()
+    plain = text.isascii() or not _RARE.search(text)
+    return (_PLAIN if plain else _WORD).findall(text)
 
 
 def automaton(text: str, code: dict[str, int]) -> np.ndarray:

@@ -130,3 +130,13 @@ def test_a_text_of_number_signs_is_undetermined(spark):
                                  "doc_id long, text string, lang string")
     out = {r.doc_id: r for r in lang.identify(docs, lang.train(lang.training_text(docs))).collect()}
     assert out[20].lang_pred == "und" and out[20].score == 0 and out[21].lang_pred == "en"
+
+
+def test_plain_texts_have_the_same_words():
+    rng = random.Random(5)
+    every = [chr(c) for c in (*range(0x300), *range(0x2000, 0x2070), *range(0x20a0, 0x20d0))]
+    for c in every:
+        assert lang._PLAIN.findall(c) == lang._WORD.findall(c), hex(ord(c))
+    for _ in range(300):
+        text = "".join(rng.choice(every + ["a", "é", " "] * 60) for _ in range(60))
+        assert lang.words_of(text) == lang._WORD.findall(text.lower())
