@@ -130,3 +130,27 @@ def test_nest_by_several_chunk_levels_with_aggregates(spark):
     assert (got[1].n, got[1].s, got[1].most) == (4, 18, 6) and (got[2].n, got[2].s) == (0, None)
     first = nest(df, "k", ["t", "p"], ["t", "p"], "a", nulls_first=True, chunks=[F.col("t")]).filter("k = 1").first().a
     assert [tuple(e) for e in first] == [(None, 1), ("a", None), ("a", 10), ("a", 9000), ("b", 9000)]
+
+
+def test_ordinary_groups_are_numbered_with_one_shuffle_of_the_rows(spark):
+    from procura.operators.sizing import row_number_chunked
+    df = spark.range(0, 3000, 1, 4).selectExpr("nullif(id % 7, 6) as g", "nullif(id % 11, 10) as a", "id as b", "id * 2 as payload")
+    out = row_number_chunked(df, ["g"], ["a", "b"], [F.col("a")], "rn")
+    assert out.count() == 3000
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # one of the rows, one of the groups' sizes
+    assert final.count("Exchange hashpartitioning") <= 2, final
+
+
+def test_large_and_ordinary_groups_are_numbered_alike(spark):
+    from pyspark.sql.window import Window
+
+    from procura.operators.sizing import row_number_chunked
+    # groups of 1000, 100, 10 rows and one null group of 40
+    df = spark.range(0, 1150, 1, 4).selectExpr(
+        "case when id < 1000 then 0 when id < 1100 then 1 when id < 1110 then 2 end as g", "nullif(id % 13, 12) as a", "id as b")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("a", "b"))).collect()
+    for whole in (0, 10, 39, 500, 1000):
+        got = row_number_chunked(df, ["g"], ["a", "b"], [F.col("a")], "rn", whole=whole)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want)), whole
