@@ -238,3 +238,22 @@ def test_full_refresh(spark, tmp, source_root):
     assert stored.select(sorted(stored.columns)).exceptAll(direct.select(sorted(direct.columns))).count() == 0
     alloc = spark.read.parquet(f"{base}/invoice_line_data")
     assert alloc.count() == QUERIES["invoice_line_allocation"].on_marts(Marts(src)).count()
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp):
+    from procura.session import SHUFFLE_CLEANUP, shuffles_released
+
+    def shuffle_files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+    df = spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 50).alias("k")).agg(F.max("id").alias("v"))
+    before = shuffle_files()
+    write_table(df, f"{tmp}/plain", sort_within=["k"])
+    write_table(df, f"{tmp}/dealt", buckets={"by": ["k"], "count": 3})
+    export_csv(df.orderBy("k"), f"{tmp}/csv")
+    assert not shuffle_files() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, "false") == "false"
+    with shuffles_released(spark), shuffles_released(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
