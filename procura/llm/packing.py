@@ -31,7 +31,9 @@ CAPACITY = 2048
 END_ID = 0
 #: Chunks of text whose token ids a worker keeps: so many, and so many bytes
 #: of text and ids.
-KEPT_CHUNKS, KEPT_BYTES = 500_000, 64_000_000
+KEPT_CHUNKS, KEPT_BYTES = 200_000, 64_000_000
+#: Documents whose texts a worker has as strings at once.
+TEXTS_AT_ONCE = 256
 #: White space of this length is left to ``tokenizers``: the other matches it
 #: by recursion, which a run of a million characters brings down.
 LONG_SPACE = 2_000
@@ -109,12 +111,12 @@ def piece_rows(path: str, capacity: int):
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), texts_of(batch.column(1))
-            for at in range(0, len(texts), 256):
-                cut = [chunks_of(t) for t in texts[at:at + 256]]
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(at, TEXTS_AT_ONCE)
+                cut = [chunks_of(t) for t in texts_of(some.column(1))]
                 ids.learn(set().union(*cut))
                 out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "rank")}
-                for doc, chunks in zip(docs[at:at + 256], cut):
+                for doc, chunks in zip(some.column(0).to_pylist(), cut):
                     raw = b"".join(map(ids.__getitem__, chunks)) + end
                     total, start, piece = len(raw) // 4, 0, 0
                     size = (total - 1) % capacity + 1

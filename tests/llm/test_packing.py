@@ -140,3 +140,14 @@ def test_the_table_of_chunks_is_bounded_by_bytes(monkeypatch):
     for k in range(20):
         ids.learn({f"{k}-{j}-" + "ab9" * 300 for j in range(20)})
         assert ids.bytes < 150_000 and len(ids) < 100
+
+
+def test_a_worker_reads_a_batch_of_texts_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    read, texts_of = [], packing.texts_of
+    monkeypatch.setattr(packing, "texts_of", lambda column: read.append(len(column)) or texts_of(column))
+    monkeypatch.setattr(packing.TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 0})()))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": [f"text {i}" for i in range(999)] + [None]})
+    out = [i for part in packing.piece_rows(PATH, 64)([batch]) for i in part["doc_id"]]
+    assert out == list(range(1000)) and max(read) <= packing.TEXTS_AT_ONCE and sum(read) == 1000
