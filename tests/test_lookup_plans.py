@@ -1,11 +1,15 @@
 """Look-ups cut lines and children down before these are numbered, and give
 the same rows as the marts over everything."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from procura.plans import queries as Q
+from procura.plans.ledger_store import LINE_COLUMNS, ledger_lines
 from procura.plans.registry import marts_for
+from procura.plans.reports import Reports
 from procura.sources.subset import MARKS, _keep, only_invoices
 from tests.fakes import FakeSources
 
@@ -69,3 +73,15 @@ def test_lookups_over_repeated_and_missing_keys(spark, small_dir):
     got = Q.invoices_for_order(m, 5).collect()
     want = Q._json_arrays(m.invoice.filter("invoice_record_num = 7")).collect()
     assert [str(r) for r in got] == [str(r) for r in want] and len(got) == 1
+
+
+def test_an_ordinary_invoice_is_allocated_on_one_clustering(marts):
+    # the merge of equal lines and the sums need no shuffle of their own
+    plan = marts.invoice_line_data._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(invoice_record_id#\d+L?, invoice_record_num#\d+L?, paid_amt#\d+, subtotal_amt#\d+, "
+                         r"grand_total_amt#\d+, line_cnt#\d+, \d+\)", plan)
+
+
+def test_stored_ledger_lines_hold_what_the_ledgers_read(marts):
+    assert ledger_lines(Reports(marts)).columns == [*LINE_COLUMNS, "line_chunk"]
+    assert not {"_line_id", "_ild_inv", "_ild_line", "_ild_total", "fund_code"} & set(LINE_COLUMNS)
