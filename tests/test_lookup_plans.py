@@ -85,3 +85,13 @@ def test_an_ordinary_invoice_is_allocated_on_one_clustering(marts):
 def test_stored_ledger_lines_hold_what_the_ledgers_read(marts):
     assert ledger_lines(Reports(marts)).columns == [*LINE_COLUMNS, "line_chunk"]
     assert not {"_line_id", "_ild_inv", "_ild_line", "_ild_total", "fund_code"} & set(LINE_COLUMNS)
+
+
+def test_published_invoices_of_an_order_are_cut_down_where_they_are_read(spark):
+    tables = {"invoice_record_order_record_link": spark.createDataFrame(
+                  [(1, 7), (1, 7), (None, 7), (2, 8)], "invoice_record_id long, order_record_num long"),
+              "invoice": spark.createDataFrame([(1, 11, None), (2, 12, None), (None, 13, None)],
+                                               "invoice_record_id long, invoice_record_num long, last_updated date")}
+    found = Q.PublishedQueries(tables.get).invoices_for_order(7)
+    assert "array_contains(scalar-subquery" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.invoice_record_num for r in found.collect()] == [11]
